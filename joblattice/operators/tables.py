@@ -34,7 +34,7 @@ def as_job_rows(clean: DataFrame, now: Column) -> DataFrame:
     return align_schema(valued, T.StructType(layout))
 
 
-def _accepted(updates: DataFrame, required: Sequence[str]) -> Column:
+def _accepted(required: Sequence[str]) -> Column:
     ok = F.lit(True)
     for name in required:
         ok = ok & F.col(name).isNotNull()
@@ -72,7 +72,7 @@ def upsert(
     key: str = "job_id",
     order: str | None = None,
     update_columns: Sequence[str] = (*UPSERT_UPDATE_COLUMNS, "updated_at"),
-    required: Sequence[str] = ("job_id",),
+    required: Sequence[str] | None = None,
 ) -> DataFrame:
     """``target`` with the rows of ``updates`` applied; keys of the target are unique.
 
@@ -80,7 +80,7 @@ def upsert(
     the target is neither shuffled nor sorted; a larger one is joined on the key. Write the result
     to a new place, never over the target it reads.
     """
-    batch = fold_updates(updates.filter(_accepted(updates, required)), key, order, update_columns)
+    batch = fold_updates(updates.filter(_accepted(required or (key,))), key, order, update_columns)
     columns = target.columns
     if is_small(batch):
         return _upsert_small(target, batch, key, columns, update_columns)
@@ -126,11 +126,12 @@ def upsert_counts(
     target: DataFrame,
     updates: DataFrame,
     key: str = "job_id",
-    required: Sequence[str] = ("job_id",),
+    required: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row ``inserted, updated, failed``: a second copy of a new key counts as an update."""
-    failed = updates.agg(F.count_if(~_accepted(updates, required)).alias("failed"), F.count(F.lit(1)).alias("all"))
-    keys = updates.filter(_accepted(updates, required)).select(key).distinct()
+    accepted = _accepted(required or (key,))
+    failed = updates.agg(F.count_if(~accepted).alias("failed"), F.count(F.lit(1)).alias("all"))
+    keys = updates.filter(accepted).select(key).distinct()
     held = target.select(F.col(key).alias("__held"))
     fresh = keys.join(held, keys[key] == held["__held"], "left_anti").agg(F.count(F.lit(1)).alias("inserted"))
     inserted = fresh.scalar()
