@@ -2,27 +2,36 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from joblattice.constants import SKILL_ALIASES, SKILL_KEYWORDS, SKILL_VOCAB
-from joblattice.functions.text import BOUNDARY, let, ngrams, whole_word
+from joblattice.functions.text import BOUNDARY, WORD, java_literal, let
 
 _TOKEN = rf"{BOUNDARY}[a-z0-9+\-.#]{{2,}}{BOUNDARY}"
 
 
+def _is_word(char: str) -> bool:
+    return re.match(r"\w", char) is not None
+
+
+def _both_fit(word: str, longer: str) -> bool:
+    """Whether both can match at one place: ``longer`` goes on after a word boundary behind ``word``."""
+    return longer.startswith(word) and len(longer) > len(word) and _is_word(word[-1]) != _is_word(longer[len(word)])
+
+
 def _layers(keywords: Iterable[str]) -> list[list[str]]:
-    """Split keywords so that none in a layer starts with another one of that layer.
+    """Split keywords so that at any place of a text at most one of a layer can match.
 
-    One look-ahead alternation then finds every keyword of a layer: overlapping hits start at
-    different places, and at one place only one of the layer can match.
+    One look-ahead alternation then finds every keyword of a layer, overlapping ones included.
     """
     layers: list[list[str]] = []
-    for word in sorted(set(keywords), key=len, reverse=True):
+    for word in sorted(set(keywords), key=lambda w: (-len(w), w)):
         for layer in layers:
-            if not any(longer.startswith(word) for longer in layer):
+            if not any(_both_fit(word, longer) for longer in layer):
                 layer.append(word)
                 break
         else:
@@ -30,6 +39,35 @@ def _layers(keywords: Iterable[str]) -> list[list[str]]:
     return layers
 
 
+def _alternation(words: Iterable[str]) -> str:
+    """Alternatives sharing their first characters, so that a mismatch is decided once for all of them."""
+    by_head: dict[str, list[str]] = {}
+    for word in sorted(words):
+        by_head.setdefault(word[:1], []).append(word[1:])
+    branches = []
+    for head, tails in by_head.items():
+        branches.append(java_literal(head) + (_alternation(tails) if tails != [""] else "") if head else "")
+    return "(?:" + "|".join(sorted(branches, key=lambda x: x == "")) + ")"
+
+
+def _layer_pattern(layer: list[str]) -> str:
+    """Look-ahead capturing the keyword that starts here, if any.
+
+    An edge of a keyword that is a word character needs none beyond it; any other edge needs one.
+    """
+    starts = []
+    for word_start, before in ((True, rf"(?<![{WORD}])"), (False, rf"(?<=[{WORD}])")):
+        ends = []
+        for word_end, after in ((True, rf"(?![{WORD}])"), (False, rf"(?=[{WORD}])")):
+            group = [w for w in layer if (_is_word(w[0]), _is_word(w[-1])) == (word_start, word_end)]
+            if group:
+                ends.append(_alternation(group) + after)
+        if ends:
+            starts.append(before + "(?:" + "|".join(ends) + ")")
+    # With one kind of start its check comes first and passes over the middles of words.
+    return "(?=(" + "|".join(starts) + "))"
+
+
 def _string_array(words: Iterable[str]) -> Column:
     return F.array(*[F.lit(w) for w in words]).cast("array<string>")
 
@@ -47,8 +85,7 @@ def keyword_skills(c: Column, keywords: Iterable[str] | None = None) -> Column:
     lowered = F.lower(c)
     found = []
     for layer in _layers(spelling):
-        pattern = "(?=(" + "|".join(whole_word(word) for word in sorted(layer)) + "))"
-        found.append(F.regexp_extract_all(lowered, F.lit(pattern), F.lit(1)))
+        found.append(F.regexp_extract_all(lowered, F.lit(_layer_pattern(layer)), F.lit(1)))
     hits = F.array_distinct(found[0] if len(found) == 1 else F.concat(*found))
     names = F.create_map(*[x for low, as_listed in spelling.items() for x in (F.lit(low), _string_array(as_listed))])
     return F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda h: F.element_at(names, h)))))
@@ -102,12 +139,17 @@ def phrase_skills(
     vocab: Iterable[str],
     aliases: dict[str, str] | None = None,
 ) -> Column:
-    """As ``vocab_skills``, with vocabulary entries of several words matched as word sequences."""
+    """As ``vocab_skills``, with vocabulary entries of several words matched as word sequences.
+
+    For vocabularies of up to some hundred entries; ``skills_by_join`` takes larger ones.
+    """
     aliases = SKILL_ALIASES if aliases is None else aliases
     forms = surface_forms(vocab, aliases)
-    longest = max((len(f.split(" ")) for f in forms), default=1)
     plain = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^a-z0-9\-+.# ]", " ")
-    words = F.regexp_extract_all(plain, F.lit("[^ ]+"), F.lit(0))
-    phrases = F.array_intersect(ngrams(words, 1, longest), _string_array(forms))
+    spaced = F.concat(F.lit(" "), F.regexp_replace(plain, "  +", " "), F.lit(" "))
+
+    def held(line: Column) -> Column:
+        return F.array_compact(F.array(*[F.when(F.contains(line, F.lit(f" {form} ")), F.lit(form)) for form in forms]))
+
     tokens = F.array_intersect(skill_tokens(c), _string_array(forms))
-    return _named(F.array_union(phrases, tokens), forms)
+    return _named(F.array_union(let(spaced, held), tokens), forms)

@@ -127,6 +127,24 @@ def ngrams(tokens: Column, low: int = 1, high: int = 1) -> Column:
     return let(tokens, build)
 
 
+def counted(items: Column) -> Column:
+    """Array of ``(term, tf)``: the distinct items with their numbers of occurrences, sorted.
+
+    The sorted array is cut where its value changes, so the work is that of one sort and no table
+    of all rows' items is built.
+    """
+
+    def runs(s: Column) -> Column:
+        n = F.size(s)
+        places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+        changes = F.filter(places, lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
+        ends = lambda first: F.concat(F.slice(first, 2, n), F.array(n + 1))
+        run = lambda a, b: F.struct(F.get(s, a - 1).alias("term"), (b - a).cast("bigint").alias("tf"))
+        return let(changes, lambda first: F.when(n > 0, F.zip_with(first, ends(first), run)))
+
+    return let(F.sort_array(items), runs)
+
+
 # --- titles ------------------------------------------------------------------------------------
 
 

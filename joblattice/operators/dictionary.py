@@ -6,17 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from joblattice.functions.skills import skill_tokens
-from joblattice.functions.text import word_tokens
+from joblattice.functions.text import ngrams, word_tokens
 from joblattice.session import broadcast_if_small
 
 
-def skills_by_join(docs: DataFrame, key: str, text: str, forms: DataFrame) -> DataFrame:
+def skills_by_join(docs: DataFrame, key: str, text: str, forms: DataFrame, longest: int = 1) -> DataFrame:
     """Sorted distinct skills per document from a table ``forms(form, skill)``.
 
-    Documents without a hit have an empty array. The distinct tokens of each row are looked up, so
-    one row's repeats never travel.
+    ``longest`` is the number of words of the longest form. Documents without a hit have an empty
+    array. The distinct candidates of each row are looked up, so one row's repeats never travel.
     """
-    tokens = docs.select(key, F.explode_outer(F.array_distinct(skill_tokens(F.col(text)))).alias("form"))
+    candidates = skill_tokens(F.col(text))
+    if longest > 1:
+        plain = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^a-z0-9\-+.# ]", " ")
+        words = F.regexp_extract_all(plain, F.lit("[^ ]+"), F.lit(0))
+        candidates = F.array_union(candidates, ngrams(words, 1, longest))
+    tokens = docs.select(key, F.explode_outer(F.array_distinct(candidates)).alias("form"))
     found = tokens.join(broadcast_if_small(forms.select("form", "skill")), "form", "left")
     return found.groupBy(key).agg(F.array_sort(F.collect_set("skill")).alias("skills"))
 

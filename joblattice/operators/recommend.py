@@ -10,19 +10,21 @@ from pyspark.sql import functions as F
 from joblattice.functions.skills import vocab_skills
 from joblattice.operators import tfidf
 from joblattice.operators.rows import first_per_key
-from joblattice.session import broadcast_if_small
+from joblattice.session import broadcast_if_small, cut_lineage, is_small
 
 SCORE = "_similarity_score"
 SKILLS = "_extracted_skills"
 
 
-def cosine_scores(query_weights: DataFrame, postings: DataFrame, digits: int = 9) -> DataFrame:
+def cosine_scores(query_weights: DataFrame, postings: DataFrame, digits: int = 9, small: bool = False) -> DataFrame:
     """``(query_id, doc_id, score)`` of every query and document that share a term.
 
-    With a small query side the postings stay where they are: partitioned by document, so the sum
-    per (query, document) needs no shuffle either.
+    With a small query side, as checked by the caller, the postings stay where they are: partitioned
+    by document, so the sum per (query, document) needs no shuffle either. Otherwise both sides are
+    joined by term, where the adaptive skew join splits the common terms.
     """
-    near = broadcast_if_small(query_weights.select("query_id", tfidf.TERM, F.col("weight").alias("query_weight")))
+    asked = query_weights.select("query_id", tfidf.TERM, F.col("weight").alias("query_weight"))
+    near = F.broadcast(asked) if small else asked
     products = postings.join(near, tfidf.TERM).select(
         "query_id", tfidf.DOC, (F.col("query_weight") * F.col("weight")).alias("product")
     )
@@ -64,8 +66,10 @@ def recommend(
     """
     tfidf.need_column(docs, text)
     model = model or tfidf.fit(docs, key, text, spec, lemmas)
-    weights = tfidf.transform(queries, "query_id", "query", model.vocab, model.spec, lemmas)
-    scores = cosine_scores(weights.withColumnRenamed(tfidf.DOC, "query_id"), model.postings)
+    asked = tfidf.term_counts(queries, "query_id", "query", model.spec, lemmas)
+    weights = tfidf.weigh(asked, model.vocab, model.spec).withColumnRenamed(tfidf.DOC, "query_id")
+    # The size is checked on the queries' own terms, which cost nothing to count.
+    scores = cosine_scores(weights, model.postings, small=is_small(asked))
     return top_documents(scores, queries, docs, key, top_n)
 
 
@@ -78,7 +82,7 @@ def with_documents(
     aliases: dict[str, str] | None = None,
 ) -> DataFrame:
     """Ranked rows with their document columns; skills are extracted for the ranked rows only."""
-    rows = broadcast_if_small(ranked)
+    rows = broadcast_if_small(cut_lineage(ranked))
     full = docs.join(rows, docs[key] == rows[tfidf.DOC]).drop(rows[tfidf.DOC]) if key != tfidf.DOC else docs.join(rows, key)
     if skills_field is None or skills_field not in docs.columns:
         return full

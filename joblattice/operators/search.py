@@ -60,14 +60,22 @@ def fuzzy_search_many(
     """As ``fuzzy_search`` for a table ``queries(query_id, query)``: ``(query_id, rank, key, similarity)``.
 
     Texts and queries meet on shared trigrams only, and only where their set sizes still allow the
-    threshold: the similarity is at most the smaller size over the larger one.
+    threshold: the similarity is at most the smaller size over the larger one. Texts too long or
+    too short for every query are left out before their trigrams are spread.
     """
     asked = queries.select("query_id", trigrams(F.col("query")).alias("grams"))
-    asked = asked.select("query_id", F.size("grams").alias("query_size"), F.explode("grams").alias("gram"))
+    asked = asked.select("query_id", F.size("grams").alias("query_size"), "grams")
+    shortest, longest = (F.lit(x) for x in asked.agg(F.min("query_size"), F.max("query_size")).first())
     placed = docs.select(F.col(key), F.col(text).alias("__text")).repartition(key)
-    held = placed.select(key, trigrams(F.col("__text")).alias("grams"))
-    held = held.select(key, F.size("grams").alias("size"), F.explode("grams").alias("gram"))
-    near = broadcast_if_small(asked)
+
+    def worth_it(grams: Column) -> Column:
+        size = F.size(grams)
+        fits = (size >= shortest * threshold) & (size * threshold <= longest)
+        return F.when(fits, F.transform(grams, lambda g: F.struct(size.alias("size"), g.alias("gram"))))
+
+    # Decided inside one expression: a filter on the size would take every text's trigrams again.
+    held = placed.select(key, F.inline(let(trigrams(F.col("__text")), worth_it)))
+    near = broadcast_if_small(asked.select("query_id", "query_size", F.explode("grams").alias("gram")))
     possible = F.least("size", "query_size") >= F.greatest("size", "query_size") * F.lit(threshold)
     common = (
         held.join(near, "gram")

@@ -12,7 +12,7 @@ from joblattice.constants import DEFAULT_SOURCE, UPSERT_UPDATE_COLUMNS
 from joblattice.functions.values import default_quality_score
 from joblattice.operators.rows import align_schema
 from joblattice.schemas import JOBS
-from joblattice.session import broadcast_if_small, is_small
+from joblattice.session import broadcast_if_small, cut_lineage, is_small
 
 
 def as_job_rows(clean: DataFrame, now: Column) -> DataFrame:
@@ -83,7 +83,7 @@ def upsert(
     batch = fold_updates(updates.filter(_accepted(required or (key,))), key, order, update_columns)
     columns = target.columns
     if is_small(batch):
-        return _upsert_small(target, batch, key, columns, update_columns)
+        return _upsert_small(target, cut_lineage(batch), key, columns, update_columns)
     return _upsert_large(target, batch, key, columns, update_columns)
 
 

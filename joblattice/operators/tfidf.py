@@ -1,9 +1,9 @@
 """TF-IDF term models over any number of documents.
 
-Layout of the work: the cleaned text is hashed by document id once; term counts, weights and norms
-of a document are then computed where its text is, with no further shuffle. Only the per-term
-counts travel, already summed per task. The vocabulary is cut to ``max_features`` terms and so has
-a known bound for its broadcast.
+Layout of the work: the text is hashed by document id once; term counts, weights and norms of a
+document are then computed where its text is, with no further shuffle. Only the per-term counts
+travel, already summed per task. The vocabulary is cut to ``max_features`` terms and so has a known
+bound for its broadcast.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from joblattice.constants import MAX_FEATURES, NGRAM_RANGE
-from joblattice.functions.text import ngrams, preprocess_text
+from joblattice.functions.text import counted, ngrams, word_tokens
 from joblattice.operators.dictionary import lemmatized_tokens
-from joblattice.session import BROADCAST_MAX_ROWS, broadcast_if_small
+from joblattice.session import BROADCAST_MAX_ROWS, broadcast_if_small, cut_lineage
 
 DOC, TERM = "doc_id", "term"
 
@@ -62,21 +62,23 @@ def term_counts(
     spec: Spec = STORED,
     lemmas: DataFrame | None = None,
 ) -> DataFrame:
-    """``(doc_id, term, tf)`` for every n-gram of every document; documents without terms have no row."""
+    """``(doc_id, term, tf)`` for every n-gram of every document; documents without terms have no row.
+
+    Each text is counted inside its own row, so nothing is grouped over documents. The rows are
+    hash-partitioned by document for the sums per document that follow.
+    """
     need_column(docs, text)
     if lemmas is None:
         placed = docs.select(F.col(key).alias(DOC), F.col(text).alias("text")).repartition(DOC)
-        cleaned = placed.select(DOC, preprocess_text(F.col("text")).alias("cleaned"))
+        words: Column = word_tokens(F.col("text"))
     else:
         tokens = lemmatized_tokens(docs, key, text, lemmas)
-        cleaned = tokens.select(F.col(key).alias(DOC), F.array_join("tokens", " ").alias("cleaned")).repartition(DOC)
-    words: Column = F.split("cleaned", " ")
+        placed = tokens.select(F.col(key).alias(DOC), "tokens").repartition(DOC)
+        words = F.col("tokens")
     if spec.stopwords:
         stop = F.array(*[F.lit(w) for w in spec.stopwords])
         words = F.filter(words, lambda w: ~F.array_contains(stop, w))
-    terms = cleaned.select(DOC, F.explode(ngrams(words, *spec.ngram_range)).alias(TERM))
-    # An empty text splits into one empty word; a filter on the text itself would run the cleaning twice.
-    return terms.filter(F.col(TERM) != "").groupBy(DOC, TERM).agg(F.count(F.lit(1)).alias("tf"))
+    return placed.select(DOC, F.inline(counted(ngrams(words, *spec.ngram_range))))
 
 
 def corpus_counts(counts: DataFrame) -> DataFrame:
@@ -135,12 +137,14 @@ def fit(
     spec: Spec = STORED,
     lemmas: DataFrame | None = None,
 ) -> Model:
+    """Runs the vocabulary count at once and keeps it in the shared folder; the postings stay lazy."""
     counts = term_counts(docs, key, text, spec, lemmas)
     return from_counts(counts, corpus_counts(counts), count_docs(docs), spec)
 
 
 def from_counts(counts: DataFrame, totals: DataFrame, n_docs: Column, spec: Spec = STORED) -> Model:
-    vocab = build_vocab(totals, n_docs, spec)
+    """As ``fit``, from term counts that are at hand."""
+    vocab = cut_lineage(build_vocab(totals, n_docs, spec))
     return Model(vocab, weigh(counts, vocab, spec), spec)
 
 

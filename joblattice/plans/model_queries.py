@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from joblattice.operators import evaluate, recommend, search, tfidf
 from joblattice.plans.catalog import Tables, query, sql_skill_tokens, sql_word_tokens
 from joblattice.plans.text_queries import VOCAB
+from joblattice.session import broadcast_if_small
 
 # --- SQL pieces ---------------------------------------------------------------------------------------
 
@@ -153,16 +154,17 @@ scored AS (SELECT item_id AS query,
 _METRICS = ["p_at_1", "p_at_5", "p_at_10", "r_at_1", "r_at_5", "r_at_10", "mrr"]
 
 
-def _truth(queries: DataFrame, docs: DataFrame, model: tfidf.Model, counts: DataFrame) -> DataFrame:
+def _truth(queries: DataFrame, docs: DataFrame, model: tfidf.Model) -> DataFrame:
     asked = tfidf.term_counts(queries, "query_id", "query", model.spec).join(model.vocab.select("term", "df"), "term")
     specific = asked.groupBy("doc_id").agg(F.min_by("term", F.struct("df", "term")).alias("term"))
-    return specific.withColumnRenamed("doc_id", "query").join(counts.select(F.col("doc_id").alias("item"), "term"), "term")
+    named = broadcast_if_small(specific.withColumnRenamed("doc_id", "query"))
+    held = tfidf.term_counts(docs, "doc_id", "text", model.spec).withColumnRenamed("doc_id", "item")
+    return held.join(named, "term").select("query", "item")
 
 
 def _evaluated(t: Tables, score) -> DataFrame:
     queries, docs = _queries(t), t.documents
-    counts = tfidf.term_counts(docs, "doc_id", "text")
-    model = tfidf.from_counts(counts, tfidf.corpus_counts(counts), tfidf.count_docs(docs))
+    model = tfidf.fit(docs, "doc_id", "text")
 
     def by_tfidf(asked: DataFrame, k: int) -> DataFrame:
         named = asked.withColumnRenamed("query", "query_id").join(queries, "query_id")
@@ -170,7 +172,7 @@ def _evaluated(t: Tables, score) -> DataFrame:
         return ranked.withColumnsRenamed({"query_id": "query", "doc_id": "item"})
 
     ids = queries.select(F.col("query_id").alias("query"))
-    scores = score(by_tfidf, ids, _truth(queries, docs, model, counts))
+    scores = score(by_tfidf, ids, _truth(queries, docs, model))
     return scores.withColumns({m: F.round(m, 6) for m in _METRICS})
 
 
