@@ -163,16 +163,22 @@ def transform(
 # --- incremental update ---------------------------------------------------------------------------
 
 
-def replace_counts(stored: DataFrame, changed: DataFrame) -> DataFrame:
-    """Stored term counts with the changed documents' rows exchanged for their new ones."""
-    ids = broadcast_if_small(changed.select(DOC).distinct())
-    return stored.join(ids, DOC, "left_anti").unionByName(changed)
+def _ids(changed: DataFrame, key: str) -> DataFrame:
+    return broadcast_if_small(changed.select(F.col(key).alias(DOC)).distinct())
 
 
-def shift_totals(totals: DataFrame, stored: DataFrame, changed: DataFrame) -> DataFrame:
+def replace_counts(stored: DataFrame, changed: DataFrame, key: str, fresh: DataFrame) -> DataFrame:
+    """Stored term counts with those of the documents in ``changed`` exchanged for ``fresh`` ones.
+
+    The documents are taken from ``changed`` itself, since one edited to nothing has no fresh counts.
+    """
+    return stored.join(_ids(changed, key), DOC, "left_anti").unionByName(fresh)
+
+
+def shift_totals(totals: DataFrame, stored: DataFrame, changed: DataFrame, key: str, fresh: DataFrame) -> DataFrame:
     """Corpus counts after ``replace_counts``, from the changed documents' rows alone."""
-    ids = broadcast_if_small(changed.select(DOC).distinct())
-    gone = corpus_counts(stored.join(ids, DOC, "left_semi")).select(TERM, (-F.col("cf")).alias("cf"), (-F.col("df")).alias("df"))
-    moved = totals.select(TERM, "cf", "df").unionByName(gone).unionByName(corpus_counts(changed))
+    gone = corpus_counts(stored.join(_ids(changed, key), DOC, "left_semi"))
+    gone = gone.select(TERM, (-F.col("cf")).alias("cf"), (-F.col("df")).alias("df"))
+    moved = totals.select(TERM, "cf", "df").unionByName(gone).unionByName(corpus_counts(fresh))
     summed = moved.groupBy(TERM).agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
     return summed.filter(F.col("df") > 0)

@@ -95,8 +95,8 @@ def tfidf_incremental(t: Tables) -> DataFrame:
     edited = edited.withColumn("text", F.concat("text", F.lit(" freshly edited")))
     stored = tfidf.term_counts(docs, "doc_id", "text", spec)
     fresh = tfidf.term_counts(edited, "doc_id", "text", spec)
-    counts = tfidf.replace_counts(stored, fresh)
-    totals = tfidf.shift_totals(tfidf.corpus_counts(stored), stored, fresh)
+    counts = tfidf.replace_counts(stored, edited, "doc_id", fresh)
+    totals = tfidf.shift_totals(tfidf.corpus_counts(stored), stored, edited, "doc_id", fresh)
     postings = tfidf.from_counts(counts, totals, tfidf.count_docs(docs), spec).postings
     return postings.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 

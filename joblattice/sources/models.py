@@ -57,8 +57,8 @@ def update_and_save(
     old_counts = spark.read.parquet(part_path(root, "counts", old_version))
     old_totals = spark.read.parquet(part_path(root, "totals", old_version))
     fresh = tfidf.term_counts(changed, key, text, spec, lemmas)
-    counts = _write(tfidf.replace_counts(old_counts, fresh), root, "counts", version)
-    totals = _write(tfidf.shift_totals(old_totals, old_counts, fresh), root, "totals", version)
+    counts = _write(tfidf.replace_counts(old_counts, changed, key, fresh), root, "counts", version)
+    totals = _write(tfidf.shift_totals(old_totals, old_counts, changed, key, fresh), root, "totals", version)
     return _save_from_counts(counts, totals, docs, root, version, spec)
 
 
