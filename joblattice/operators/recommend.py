@@ -14,20 +14,25 @@ from joblattice.session import broadcast_if_small, cut_lineage, is_small
 
 SCORE = "_similarity_score"
 SKILLS = "_extracted_skills"
+_SPREAD = 16
 
 
 def cosine_scores(query_weights: DataFrame, postings: DataFrame, digits: int = 9, small: bool = False) -> DataFrame:
     """``(query_id, doc_id, score)`` of every query and document that share a term.
 
     With a small query side, as checked by the caller, the postings stay where they are: partitioned
-    by document, so the sum per (query, document) needs no shuffle either. Otherwise both sides are
-    joined by term, where the adaptive skew join splits the common terms.
+    by document, so the sum per (query, document) needs no shuffle either. Otherwise both sides meet
+    by term, and a term's documents are spread over ``_SPREAD`` tasks: no term is rare enough to be
+    trusted with one.
     """
     asked = query_weights.select("query_id", tfidf.TERM, F.col("weight").alias("query_weight"))
-    near = F.broadcast(asked) if small else asked
-    products = postings.join(near, tfidf.TERM).select(
-        "query_id", tfidf.DOC, (F.col("query_weight") * F.col("weight")).alias("product")
-    )
+    if small:
+        met = postings.join(F.broadcast(asked), tfidf.TERM)
+    else:
+        every = F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))).alias("part")
+        part = F.pmod(F.hash(tfidf.DOC), F.lit(_SPREAD))
+        met = postings.withColumn("part", part).join(asked.select("*", every), [tfidf.TERM, "part"])
+    products = met.select("query_id", tfidf.DOC, (F.col("query_weight") * F.col("weight")).alias("product"))
     return products.groupBy("query_id", tfidf.DOC).agg(F.round(F.sum("product"), digits).alias(SCORE))
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from joblattice.session import is_small
+
 # Up to this many rows per key the plan cuts each map task's rows before the shuffle by itself
 # (spark.sql.optimizer.windowGroupLimitThreshold); above it we cut in two steps.
 _SELF_LIMITING = 1000
@@ -46,15 +48,27 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return first_per_key(df, keys, [F.col(order).desc()])
 
 
-def _same_key(a: DataFrame, b: DataFrame, key: str) -> Column:
+def same_key(a: DataFrame, b: DataFrame, key: str) -> Column:
     return a[key].eqNullSafe(b[key])
 
 
+def not_in(rows: DataFrame, held: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose key ``held`` does not have; null counts as a key.
+
+    Few rows are broadcast to find their keys in ``held``, which then is only read. Otherwise the
+    distinct keys of both meet in a shuffle.
+    """
+    if is_small(rows.select(key)):
+        wanted = F.broadcast(rows.select(F.col(key).alias("__wanted")).distinct())
+        found = held.select(key).join(wanted, held[key].eqNullSafe(wanted["__wanted"]), "left_semi").distinct()
+    else:
+        found = held.select(key).distinct()
+    return rows.join(found, same_key(rows, found, key), "left_anti")
+
+
 def new_rows(existing: DataFrame, new: DataFrame, key: str = "job_id", order: str = "_seq") -> DataFrame:
     """First copy of every key in ``new`` that ``existing`` does not hold; only keys of it are read."""
-    fresh = keep_first(new, [key], order)
-    held = existing.select(key).distinct()
-    return fresh.join(held, _same_key(fresh, held, key), "left_anti")
+    return not_in(keep_first(new, [key], order), existing, key)
 
 
 def append_dedup(

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from joblattice.constants import DEFAULT_SOURCE, UPSERT_UPDATE_COLUMNS
 from joblattice.functions.values import default_quality_score
-from joblattice.operators.rows import align_schema
+from joblattice.operators.rows import align_schema, not_in
 from joblattice.schemas import JOBS
 from joblattice.session import broadcast_if_small, cut_lineage, is_small
 
@@ -132,9 +132,7 @@ def upsert_counts(
     accepted = _accepted(required or (key,))
     failed = updates.agg(F.count_if(~accepted).alias("failed"), F.count(F.lit(1)).alias("all"))
     keys = updates.filter(accepted).select(key).distinct()
-    held = target.select(F.col(key).alias("__held"))
-    fresh = keys.join(held, keys[key] == held["__held"], "left_anti").agg(F.count(F.lit(1)).alias("inserted"))
-    inserted = fresh.scalar()
+    inserted = not_in(keys, target, key).agg(F.count(F.lit(1))).scalar()
     return failed.select(
         inserted.alias("inserted"),
         (F.col("all") - F.col("failed") - inserted).alias("updated"),
@@ -164,7 +162,8 @@ def rollback(
 
 
 def delete_keys(jobs: DataFrame, keys: DataFrame, key: str = "job_id") -> DataFrame:
-    return jobs.join(broadcast_if_small(keys.select(key).distinct()), key, "left_anti")
+    """``jobs`` without the rows of the given keys; the keys are written down before they are measured."""
+    return jobs.join(broadcast_if_small(cut_lineage(keys.select(key).distinct())), key, "left_anti")
 
 
 def with_month(jobs: DataFrame, date_column: str = "posted_date", month: str = "posted_month") -> DataFrame:

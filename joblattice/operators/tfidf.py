@@ -2,13 +2,12 @@
 
 Layout of the work: the text is hashed by document id once; term counts, weights and norms of a
 document are then computed where its text is, with no further shuffle. Only the per-term counts
-travel, already summed per task. The vocabulary is cut to ``max_features`` terms and so has a known
-bound for its broadcast.
+travel, already summed per task. A vocabulary cut to ``max_features`` terms is written down once and
+broadcast after a check of its size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from joblattice.constants import MAX_FEATURES, NGRAM_RANGE
 from joblattice.functions.text import counted, ngrams, word_tokens
 from joblattice.operators.dictionary import lemmatized_tokens
-from joblattice.session import BROADCAST_MAX_ROWS, broadcast_if_small, cut_lineage
+from joblattice.session import broadcast_if_small, cut_lineage
 
 DOC, TERM = "doc_id", "term"
 
@@ -110,19 +109,16 @@ def with_term_ids(vocab: DataFrame) -> DataFrame:
     return vocab.withColumn("term_id", (F.row_number().over(Window.orderBy(TERM)) - 1).cast("int"))
 
 
-def _near_vocab(vocab: DataFrame, spec: Spec) -> DataFrame:
-    terms = vocab.select(TERM, "idf")
-    bounded = spec.max_features is not None and spec.max_features <= BROADCAST_MAX_ROWS
-    return F.broadcast(terms) if bounded else terms
+def weigh(counts: DataFrame, vocab: DataFrame, spec: Spec = STORED) -> DataFrame:
+    """L2-normalised tf-idf weights; terms outside the vocabulary fall away.
 
-
-def weigh(counts: DataFrame, vocab: DataFrame, spec: Spec = STORED, key: str | Sequence[str] = DOC) -> DataFrame:
-    """L2-normalised tf-idf weights; terms outside the vocabulary fall away."""
-    keys = [key] if isinstance(key, str) else list(key)
+    A vocabulary of checked size is broadcast; an uncut one is joined by term.
+    """
+    near = broadcast_if_small(vocab.select(TERM, "idf"))
     tf = F.log(F.col("tf")) + 1.0 if spec.sublinear_tf else F.col("tf").cast("double")
-    raw = counts.join(_near_vocab(vocab, spec), TERM).select(*keys, TERM, (tf * F.col("idf")).alias("raw"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*keys)))
-    return raw.select(*keys, TERM, (F.col("raw") / norm).alias("weight"))
+    raw = counts.join(near, TERM).select(DOC, TERM, (tf * F.col("idf")).alias("raw"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(DOC)))
+    return raw.select(DOC, TERM, (F.col("raw") / norm).alias("weight"))
 
 
 def count_docs(docs: DataFrame) -> Column:

@@ -208,7 +208,7 @@ def eval_best_sellers(t: Tables) -> DataFrame:
     def best_sellers(asked: DataFrame, k: int) -> DataFrame:
         totals = sold.filter(early).groupBy(*named).agg(F.sum("l_quantity").alias("n"))
         rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("n"), "item"))
-        return totals.withColumn("rank", rank).filter(F.col("rank") <= k).join(F.broadcast(asked), "query")
+        return totals.withColumn("rank", rank).filter(F.col("rank") <= k).join(asked, "query")
 
     nations = t.nation.select(F.col("n_nationkey").alias("query"))
     scores = evaluate.evaluate_recommender(best_sellers, nations, sold.filter(~early).select(*named).distinct(), (1, 10))

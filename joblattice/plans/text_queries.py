@@ -20,6 +20,7 @@ from joblattice.plans.catalog import (
     sql_text,
     sql_word_tokens,
 )
+from joblattice.session import broadcast_if_small
 
 # Words that the supplied texts really hold, beside the default skills they hardly do.
 KEYWORDS = [*SKILL_KEYWORDS, "The", "Of the", "The of", "De la", "La", "Que", "Und", "Der", "With", "Für", "À la"]
@@ -134,7 +135,7 @@ def location_standardize(t: Tables) -> DataFrame:
         F.lit("  "), name, F.lit(" "), (F.col("c_custkey") % 20).cast("string"), suffix,
         F.lit(" ("), F.col("c_mktsegment"), F.lit(") l'ÉTÉ"),
     )
-    named = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    named = t.customer.join(broadcast_if_small(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
     return named.select("c_custkey", text.standardize_location(place).alias("location"))
 
 

@@ -6,10 +6,12 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def get_session(app: str = "joblattice", master: str | None = None, **conf: str) -> SparkSession:
@@ -59,10 +61,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting at most ``max_rows + 1`` rows; else leave it to a shuffle join."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether the rows and the bytes of their variable-length values stay within both bounds.
+
+    The row check reads partitions only until it has seen enough; the bytes are summed only for a
+    frame that has passed it. Both run the frame, so give one that is cheap or written down.
+    """
+    if df.select(F.lit(1)).offset(max_rows).limit(1).collect():
+        return False
+    sizes = [_byte_size(f) for f in df.schema.fields if not isinstance(f.dataType, _FIXED)]
+    if not sizes:
+        return True
+    total = df.agg(F.sum(sum(sizes[1:], sizes[0]))).first()[0]
+    return total is None or total <= max_bytes
+
+
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _byte_size(field: T.StructField) -> Column:
+    value = F.col(f"`{field.name}`")
+    if not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        value = F.to_json(F.struct(value))
+    return F.coalesce(F.octet_length(value), F.lit(0)).cast("bigint")
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> DataFrame:
+    """Hint a broadcast for a frame within the bounds; leave any other to a shuffle join."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df

@@ -11,7 +11,7 @@ from joblattice.constants import DEFAULT_SOURCE
 from joblattice.functions.values import format_salary, uuid5_of
 from joblattice.operators.rows import align_schema, first_per_key
 from joblattice.schemas import API_PAGE, RAW_JOBS
-from joblattice.session import broadcast_if_small
+from joblattice.session import broadcast_if_small, cut_lineage
 
 SEARCH = ["query", "location"]
 
@@ -27,12 +27,14 @@ def _hits_on(page_results: Column) -> Column:
 def before_first_empty(pages: DataFrame) -> DataFrame:
     """Pages before the first page without hits of their search; a failed page counts as empty.
 
-    The page numbers alone are aggregated, so the hits of a big search are not brought together.
+    The page numbers alone are aggregated, so the hits of a big search are not brought together; the
+    stops are written down, since finding them reads all pages.
     """
     empty = pages.groupBy(*SEARCH).agg(F.min(F.when(_hits_on(F.col("results")) == 0, F.col("page"))).alias("stop"))
-    stops = broadcast_if_small(empty.filter(F.col("stop").isNotNull()))
-    same = pages["query"].eqNullSafe(stops["query"]) & pages["location"].eqNullSafe(stops["location"])
-    return pages.join(stops, same & (pages["page"] >= stops["stop"]), "left_anti")
+    found = empty.filter(F.col("stop").isNotNull()).withColumnsRenamed({"query": "stop_query", "location": "stop_location"})
+    stops = broadcast_if_small(cut_lineage(found))
+    same = F.col("query").eqNullSafe(F.col("stop_query")) & F.col("location").eqNullSafe(F.col("stop_location"))
+    return pages.join(stops, same & (F.col("page") >= F.col("stop")), "left_anti")
 
 
 def explode_hits(pages: DataFrame) -> DataFrame:
