@@ -52,20 +52,30 @@ def same_key(a: DataFrame, b: DataFrame, key: str) -> Column:
     return a[key].eqNullSafe(b[key])
 
 
-def not_in(rows: DataFrame, held: DataFrame, key: str) -> DataFrame:
-    """``rows`` whose key ``held`` does not have; null counts as a key.
+def shared_keys(rows: DataFrame, held: DataFrame, key: str) -> DataFrame:
+    """Distinct keys of ``held``, at least all those that ``rows`` has too; null counts as a key.
 
-    Few rows are broadcast to find their keys in ``held``, which then is only read. Otherwise the
-    distinct keys of both meet in a shuffle.
+    Few rows are broadcast to find their keys in ``held``, which then is only read. Otherwise all its
+    distinct keys are given.
     """
-    if is_small(rows.select(key)):
-        wanted = F.broadcast(rows.select(F.col(key).alias("__wanted")).distinct())
-        found = held.select(key).join(wanted, held[key].eqNullSafe(wanted["__wanted"]), "left_semi").distinct()
-    else:
-        found = held.select(key).distinct()
+    if not is_small(rows.select(key)):
+        return held.select(key).distinct()
+    wanted = F.broadcast(rows.select(F.col(key).alias("__wanted")).distinct())
+    return held.select(key).join(wanted, held[key].eqNullSafe(wanted["__wanted"]), "left_semi").distinct()
+
+
+def not_in(rows: DataFrame, held: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose key ``held`` does not have."""
+    found = shared_keys(rows, held, key)
     return rows.join(found, same_key(rows, found, key), "left_anti")
 
 
+def only_in(rows: DataFrame, held: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose key ``held`` has."""
+    found = shared_keys(rows, held, key)
+    return rows.join(found, same_key(rows, found, key), "left_semi")
+
+
 def new_rows(existing: DataFrame, new: DataFrame, key: str = "job_id", order: str = "_seq") -> DataFrame:
     """First copy of every key in ``new`` that ``existing`` does not hold; only keys of it are read."""
     return not_in(keep_first(new, [key], order), existing, key)
@@ -82,9 +92,9 @@ def append_dedup(
 
     With ``existing_unique`` the payload of the old rows is not shuffled.
     """
-    if not existing_unique:
-        existing = keep_first(existing, [key], order)
-    return existing.unionByName(new_rows(existing, new, key, order), allowMissingColumns=True)
+    fresh = new_rows(existing, new, key, order)
+    kept = existing if existing_unique else keep_first(existing, [key], order)
+    return kept.unionByName(fresh, allowMissingColumns=True)
 
 
 def append_stats(existing: DataFrame, new: DataFrame, key: str = "job_id") -> DataFrame:

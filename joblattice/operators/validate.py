@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from joblattice.functions.text import strip
 from joblattice.functions.values import parse_timestamp
+from joblattice.operators.rows import only_in
 
 FAILED = "failed_rules"
 
@@ -78,8 +79,7 @@ def keep_by_valid_key(checked: DataFrame, key: str = "job_id") -> DataFrame:
     Valid rows pass straight through; only the failing ones are looked up.
     """
     valid, failed = valid_rows(checked), rejected_rows(checked).drop(FAILED)
-    held = valid.select(key).distinct()
-    return valid.unionByName(failed.join(held, failed[key].eqNullSafe(held[key]), "left_semi"))
+    return valid.unionByName(only_in(failed, valid, key))
 
 
 def rule_counts(df: DataFrame, fields: Fields = Fields(), url_format: bool = False) -> DataFrame:

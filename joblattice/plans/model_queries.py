@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from joblattice.operators import evaluate, recommend, search, tfidf
 from joblattice.plans.catalog import Tables, query, sql_skill_tokens, sql_word_tokens
 from joblattice.plans.text_queries import VOCAB
-from joblattice.session import broadcast_if_small
+from joblattice.session import broadcast_if_small, scratch_path
+from joblattice.sources import models
 
 # --- SQL pieces ---------------------------------------------------------------------------------------
 
@@ -86,13 +87,18 @@ def tfidf_options(t: Tables) -> DataFrame:
 _CHANGED = "SELECT doc_id AS id, CASE WHEN quality = 1 THEN text || ' freshly edited' ELSE text END AS text FROM documents LEFT JOIN labels USING (doc_id)"
 
 
+def _edited(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """All documents, and the well-labelled ones with words added."""
+    docs = t.documents.select("doc_id", "text")
+    edited = docs.join(t.labels.filter(F.col("quality") == 1).select("doc_id"), "doc_id")
+    return docs, edited.withColumn("text", F.concat("text", F.lit(" freshly edited")))
+
+
 @query(f"WITH {_model(_CHANGED, 3000)} SELECT id AS doc_id, term, round(weight, 6) AS weight FROM postings")
 def tfidf_incremental(t: Tables) -> DataFrame:
     """Model of the documents, brought up to date after the well-labelled ones were edited."""
     spec = replace(tfidf.STORED, max_features=3000)
-    docs = t.documents.select("doc_id", "text")
-    edited = docs.join(t.labels.filter(F.col("quality") == 1).select("doc_id"), "doc_id")
-    edited = edited.withColumn("text", F.concat("text", F.lit(" freshly edited")))
+    docs, edited = _edited(t)
     stored = tfidf.term_counts(docs, "doc_id", "text", spec)
     fresh = tfidf.term_counts(edited, "doc_id", "text", spec)
     counts = tfidf.replace_counts(stored, edited, "doc_id", fresh)
@@ -103,9 +109,20 @@ def tfidf_incremental(t: Tables) -> DataFrame:
 
 @query(f"WITH {_model(_DOCS)} SELECT count(*) AS vocab_size, '(1, 2)' AS ngram_range FROM vocab")
 def model_summary(t: Tables) -> DataFrame:
-    from joblattice.sources.models import summary
+    return models.summary(tfidf.fit(t.documents, "doc_id", "text"))
 
-    return summary(tfidf.fit(t.documents, "doc_id", "text"))
+
+@query(f"""WITH {_model(_CHANGED, 3000)}, numbered AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_id FROM vocab)
+SELECT id AS doc_id, term, CAST(term_id AS INTEGER) AS term_id, round(weight, 6) AS weight FROM postings JOIN numbered USING (term)""")
+def model_stored(t: Tables) -> DataFrame:
+    """A model written down, brought to a second version with the edited documents, and loaded."""
+    spec = replace(tfidf.STORED, max_features=3000)
+    root, docs, edited = scratch_path(t.spark, "models"), *_edited(t)
+    models.build_and_save(docs, "doc_id", "text", root, "v1", spec)
+    models.update_and_save(docs, edited, "doc_id", "text", root, "v1", "v2", spec)
+    model = models.load(t.spark, root, "v2", spec)
+    numbered = model.postings.join(model.vocab.select("term", "term_id"), "term")
+    return numbered.select("doc_id", "term", "term_id", F.round("weight", 6).alias("weight"))
 
 
 # --- recommendations --------------------------------------------------------------------------------------

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from joblattice.constants import STAGE_ALERT_SECONDS, STAGE_SLA_SECONDS, STAGES
 from joblattice.operators import reports, search
+from joblattice.operators import runs as run_log
+from joblattice.operators.rows import align_schema
 from joblattice.plans.catalog import Tables, query
+from joblattice.schemas import BATCH_RUNS
 
 AS_OF_SQL = "DATE '2001-08-02'"
 
@@ -223,6 +226,15 @@ def stage_success(t: Tables) -> DataFrame:
     return reports.stage_criteria(runs(t))
 
 
+@query(_runs_sql("""
+SELECT batch_id, stage, arg_max(status, (updated_at, status <> 'in_progress', error_message)) AS status, max(updated_at) AS updated_at,
+    min(created_at) AS created_at FROM runs GROUP BY batch_id, stage"""))
+def current_runs(t: Tables) -> DataFrame:
+    """The log folded to the last state of every batch and stage."""
+    folded = run_log.current_runs(align_schema(runs(t), BATCH_RUNS))
+    return folded.select("batch_id", "stage", "status", "updated_at", "created_at")
+
+
 def _limits(limits: dict[str, int]) -> str:
     return "CASE stage " + " ".join(f"WHEN '{s}' THEN {n}" for s, n in limits.items()) + " END"
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from joblattice.constants import RAW_COLUMNS
 from joblattice.functions import values
 from joblattice.operators import clean, reports, rows, tables, validate
+from joblattice.plans import daily
 from joblattice.plans.catalog import Tables, query, sql_clean_text
 from joblattice.plans.text_queries import sql_keyword_skills
 from joblattice.schemas import API_PAGE, RAW_JOBS
+from joblattice.session import scratch_path
 from joblattice.sources import files, pages
 
 # --- raw listings made of the documents: the text's hash is the id, so copies share one --------------
@@ -26,7 +31,7 @@ SELECT md5(text) AS job_id, doc_id AS _seq,
     text AS job_description,
     CASE WHEN n_chars % 3 = 0 THEN NULL WHEN n_chars % 7 = 0 THEN 'Competitive'
         ELSE (20 + n_chars % 50) || ' 000 - ' || (60 + n_chars % 40) || ' 500 EUR' END AS salary_range,
-    CASE WHEN n_chars % 23 = 0 THEN '' ELSE 'http://jobs.example/' || doc_id END AS url,
+    CASE WHEN n_chars % 23 = 0 THEN '' WHEN n_chars % 22 = 0 THEN 'ftp://jobs.example/' || doc_id ELSE 'http://jobs.example/' || doc_id END AS url,
     source, lang AS search_query,
     CAST(n_chars % 41 AS VARCHAR) AS salary_min,
     CASE WHEN n_chars % 29 = 0 THEN 'high' ELSE CAST(n_chars % 43 AS VARCHAR) END AS salary_max
@@ -53,7 +58,9 @@ def raw_listings(t: Tables, salaries: bool = True) -> DataFrame:
         "salary_range": F.when(every(3), F.lit(None).cast("string"))
         .when(every(7), "Competitive")
         .otherwise(F.concat(text(20 + n % 50), F.lit(" 000 - "), text(60 + n % 40), F.lit(" 500 EUR"))),
-        "url": F.when(every(23), "").otherwise(F.concat(F.lit("http://jobs.example/"), text(F.col("doc_id")))),
+        "url": F.when(every(23), "").otherwise(
+            F.concat(F.when(every(22), "ftp").otherwise("http"), F.lit("://jobs.example/"), text(F.col("doc_id")))
+        ),
         "source": F.col("source"),
         "search_query": F.col("lang"),
     }
@@ -166,6 +173,11 @@ def validate_repair(t: Tables) -> DataFrame:
     return mended.select("_seq", "posted_date", "location", "salary_min", "salary_max")
 
 
+@query(f"""{_CHECKED} SELECT count(*) FILTER (WHERE trim(url) <> '' AND url NOT LIKE 'http%') AS invalid_url, count(*) AS total FROM checked""")
+def validate_url_format(t: Tables) -> DataFrame:
+    return validate.rule_counts(raw_listings(t), FIELDS, url_format=True).select("invalid_url", "total")
+
+
 # --- cleaning ------------------------------------------------------------------------------------------
 
 CLEAN_SQL = f"""
@@ -382,13 +394,41 @@ def delete_keys(t: Tables) -> DataFrame:
     return tables.delete_keys(t.customer.select("c_custkey", "c_name"), costly, "c_custkey")
 
 
+@query("SELECT CAST(doc_id AS VARCHAR) AS job_id, text AS job_description, source FROM documents")
+def csv_round_trip(t: Tables) -> DataFrame:
+    """Documents written as CSV and read back, line breaks, quotes and all."""
+    path = scratch_path(t.spark, "csv")
+    named = t.documents.select(F.col("doc_id").cast("string").alias("job_id"), F.col("text").alias("job_description"), "source")
+    files.write_csv(named, path)
+    return files.read_csv(t.spark, path).select("job_id", "job_description", "source")
+
+
+@query("""
+SELECT 'Clerk of ' || o_orderpriority AS job_title, 'Customer ' || o_custkey AS company_name,
+    CASE o_orderpriority WHEN '1-URGENT' THEN '1-Urgent' WHEN '2-HIGH' THEN '2-High' WHEN '3-MEDIUM' THEN '3-Medium'
+        WHEN '4-NOT SPECIFIED' THEN '4-Not Specified' ELSE '5-Low' END AS location,
+    CAST(o_orderdate AS DATE) AS posted_date, CAST(trunc(o_totalprice) AS BIGINT) AS salary_min,
+    CAST(trunc(o_totalprice * 1.25) AS BIGINT) AS salary_max, true AS has_salary, false AS has_skills,
+    'http://jobs.example/' || o_orderkey AS url, o_orderstatus AS search_query, 1.0::DOUBLE AS data_quality_score
+FROM orders""")
+def daily_batch(t: Tables) -> DataFrame:
+    """All five stages over the landed pages, run twice: the second day only updates."""
+    root = scratch_path(t.spark, "daily")
+    landed = landed_pages(t)
+    first = daily.Day(t.spark, root, datetime(2026, 1, 8, 0, 30), limit=10**9)
+    daily.run_day(first, landed)
+    jobs = daily.run_day(replace(first, now=datetime(2026, 1, 9, 0, 30), batch_id="second"), landed)
+    return jobs.select(
+        "job_title", "company_name", "location", "posted_date", "salary_min", "salary_max", "has_salary", "has_skills",
+        "url", "search_query", "data_quality_score",
+    )
+
+
 @query("""
 SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS posted_month, count(*) AS jobs FROM orders
 WHERE o_orderdate >= TIMESTAMP '2000-02-10' GROUP BY ALL""")
 def month_partitions(t: Tables) -> DataFrame:
     """Written by month, read back from a date on: earlier months are never opened."""
-    from joblattice.session import scratch_path
-
     path = scratch_path(t.spark, "jobs-by-month")
     jobs = t.orders.select(F.col("o_orderkey").cast("string").alias("job_id"), F.to_date("o_orderdate").alias("posted_date"))
     files.write_jobs(jobs, path)

@@ -42,11 +42,10 @@ MONTH = "posted_month"
 def write_jobs(jobs: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Jobs by month of posting, sorted by date inside a file so that date filters skip row groups.
 
-    Rows of a month are spread over the default number of tasks, not sent to one.
+    The rebalance hint lets adaptive execution put small months together and split a big one.
     """
-    monthly = with_month(jobs, "posted_date", MONTH)
-    spread = monthly.repartition(F.col(MONTH), F.pmod(F.xxhash64("job_id"), F.lit(32)))
-    spread.sortWithinPartitions(MONTH, "posted_date").write.mode(mode).partitionBy(MONTH).parquet(path)
+    monthly = with_month(jobs, "posted_date", MONTH).hint("rebalance", F.col(MONTH))
+    monthly.sortWithinPartitions(MONTH, "posted_date").write.mode(mode).partitionBy(MONTH).parquet(path)
 
 
 def read_jobs(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
