@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from joblattice.constants import UNKNOWN_COMPANY, UNKNOWN_LOCATION
 from joblattice.functions.skills import extract_skills, vocab_skills
@@ -27,11 +28,22 @@ def clean_jobs(
 
     Duplicates go before untitled rows do: a job whose first copy has no title is lost.
     """
-    titled = (
-        keep_first(raw, ["job_id"], order)
-        .withColumn("job_title", clean_text(F.col("job_title")))
-        .filter(F.col("job_title").isNotNull())
-    )
+    return clean_rows(keep_first(raw, ["job_id"], order), as_of, keywords, date_formats, thousands)
+
+
+def clean_rows(
+    rows: DataFrame,
+    as_of: Column,
+    keywords: Iterable[str] | None = None,
+    date_formats: tuple[str, ...] = (),
+    thousands: str = " ",
+    extra: tuple[str, ...] = (),
+) -> DataFrame:
+    """The cleaning of each row by itself, for streams too; rows without a title are dropped.
+
+    Columns named in ``extra`` pass through behind the 16.
+    """
+    titled = rows.withColumn("job_title", clean_text(F.col("job_title"))).filter(F.col("job_title").isNotNull())
     texts = titled.withColumns(
         {
             "company_name": F.coalesce(clean_text(F.col("company_name")), F.lit(UNKNOWN_COMPANY)),
@@ -50,7 +62,8 @@ def clean_jobs(
             "has_skills": F.col("skills_required").isNotNull(),
         }
     )
-    return align_schema(enriched, CLEAN_JOBS)
+    passed = [f for f in rows.schema.fields if f.name in extra]
+    return align_schema(enriched, T.StructType(CLEAN_JOBS.fields + passed))
 
 
 def cleaning_stats(clean: DataFrame) -> DataFrame:

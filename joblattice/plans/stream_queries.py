@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from joblattice.plans.catalog import Tables, query
 from joblattice.plans.row_queries import landed_pages
 from joblattice.session import scratch_path
-from joblattice.sources.pages import unify_schema
 from joblattice.streaming import flows
 
 
@@ -52,10 +51,13 @@ def stream_upsert(t: Tables) -> DataFrame:
     return flows.current_table(base, _drained(t, changes, "changes"), "c_custkey", "_seq", ["balance"])
 
 
-@query("""SELECT 'http://jobs.example/' || o_orderkey AS url, 'Customer ' || o_custkey AS company_name, o_orderstatus AS search_query FROM orders""")
+@query("""
+SELECT 'http://jobs.example/' || o_orderkey AS url, 'Customer ' || o_custkey AS company_name, o_orderstatus AS search_query,
+    CAST(o_orderdate AS DATE) AS posted_date, CAST(trunc(o_totalprice) AS BIGINT) AS salary_min FROM orders""")
 def stream_collect(t: Tables) -> DataFrame:
-    """Pages landed as JSON files, streamed into raw listings."""
+    """Pages landed as JSON files, streamed into valid, clean listings."""
     landed = scratch_path(t.spark, "landed")
     landed_pages(t).write.json(landed)
-    raw = unify_schema(flows.raw_job_stream(flows.read_page_stream(t.spark, landed)))
-    return _drained(t, raw, "raw").select("url", "company_name", "search_query")
+    raw = flows.raw_job_stream(flows.read_page_stream(t.spark, landed))
+    clean = flows.clean_job_stream(raw, F.lit("2001-08-02").cast("date"))
+    return _drained(t, clean, "clean").select("url", "company_name", "search_query", "posted_date", "salary_min")

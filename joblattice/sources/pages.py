@@ -48,10 +48,14 @@ def limit_hits(hits: DataFrame, limit: int) -> DataFrame:
 
 
 def to_raw_rows(hits: DataFrame, source: str = DEFAULT_SOURCE, locations: Sequence[str] = ()) -> DataFrame:
-    """Raw 11-column rows plus ``_seq``, which orders them by place in ``locations``, page and position."""
+    """Raw 11-column rows plus ``_seq``, which orders them by place in ``locations``, page and position.
+
+    Searches of unlisted locations follow each other in a fixed order of their own.
+    """
     hit = lambda name: F.col(f"hit.{name}")
     company, place = hit("company.display_name"), hit("location.display_name")
-    number = F.array_position(F.array(*[F.lit(x) for x in locations]).cast("array<string>"), F.col("location"))
+    listed = F.array_position(F.array(*[F.lit(x) for x in locations]).cast("array<string>"), F.col("location"))
+    search = F.coalesce(listed, F.lit(0)) * F.lit(1 << 12) + F.pmod(F.xxhash64(*SEARCH), F.lit(1 << 12))
     rows = hits.select(
         uuid5_of(F.lit(source), hit("id"), hit("redirect_url"), hit("title"), company).alias("job_id"),
         hit("title").alias("job_title"),
@@ -64,7 +68,7 @@ def to_raw_rows(hits: DataFrame, source: str = DEFAULT_SOURCE, locations: Sequen
         hit("redirect_url").alias("url"),
         F.lit(source).alias("source"),
         F.col("query").alias("search_query"),
-        (number * F.lit(1 << 40) + F.col("page").cast("bigint") * F.lit(1 << 12) + F.col("pos")).alias("_seq"),
+        (search * F.lit(1 << 36) + F.col("page").cast("bigint") * F.lit(1 << 12) + F.col("pos")).alias("_seq"),
     )
     return rows
 

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from joblattice.constants import DEFAULT_SOURCE
+from joblattice.operators import validate
+from joblattice.operators.clean import clean_rows
 from joblattice.operators.rows import first_per_key
 from joblattice.operators.tables import UPSERT_UPDATE_COLUMNS, upsert
 from joblattice.schemas import API_PAGE
@@ -34,6 +36,12 @@ def raw_job_stream(pages: DataFrame, source: str = DEFAULT_SOURCE, locations: Se
     return to_raw_rows(explode_hits(pages), source, locations)
 
 
+def clean_job_stream(raw: DataFrame, as_of: Column, fields: validate.Fields = validate.Fields()) -> DataFrame:
+    """Valid raw rows of a stream, cleaned; ``_seq`` stays, to order the rows when they are applied."""
+    kept = validate.valid_rows(validate.with_failed_rules(raw, fields))
+    return clean_rows(kept, as_of, extra=("_seq",))
+
+
 def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 day") -> DataFrame:
     """One row per key among rows at most ``delay`` apart; later repeats are left to the upsert."""
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))

@@ -153,13 +153,24 @@ def test_daily_counts_drop_late_rows(spark, folder):
     ]
 
 
+def test_cleaned_stream_keeps_valid_rows(spark, landed, folder):
+    landed.write.json(f"{folder}/landed")
+    raw = flows.raw_job_stream(flows.read_page_stream(spark, f"{folder}/landed"))
+    clean = flows.clean_job_stream(raw, F.lit("2026-01-10").cast("date"))
+    flows.drain(clean, f"{folder}/out", f"{folder}/progress")
+    rows = flows.read_drained(spark, f"{folder}/out", clean.schema).collect()
+    assert len(rows) == 8 and {r["location"] for r in rows} == {"Paris"} and all(r["_seq"] >= 0 for r in rows)
+    applied = flows.current_table(spark.createDataFrame([], clean.drop("_seq").schema), flows.read_drained(spark, f"{folder}/out", clean.schema))
+    assert applied.count() == 6
+
+
 def test_streamed_changes_applied_to_a_table(spark, landed, folder):
     landed.write.json(f"{folder}/landed")
     raw = flows.raw_job_stream(flows.read_page_stream(spark, f"{folder}/landed"), locations=["Paris", "Lyon"])
     flows.drain(raw, f"{folder}/out", f"{folder}/progress")
     drained = flows.read_drained(spark, f"{folder}/out", raw.schema)
     assert drained.count() == 9
-    base = drained.drop("epoch", "_seq").limit(0)
+    base = spark.createDataFrame([], drained.drop("epoch", "_seq").schema)
     now_current = flows.current_table(base, drained, update_columns=["job_title"])
     assert now_current.count() == 7
     flows.drain(raw, f"{folder}/out", f"{folder}/progress")
