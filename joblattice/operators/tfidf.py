@@ -2,8 +2,8 @@
 
 Layout of the work: the text is hashed by document id once; term counts, weights and norms of a
 document are then computed where its text is, with no further shuffle. Only the per-term counts
-travel, already summed per task. A vocabulary cut to ``max_features`` terms is written down once and
-broadcast after a check of its size.
+travel, already summed per task. A vocabulary cut to ``max_features`` terms is bounded by that
+number and broadcast; an uncut one is written down and measured first.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from joblattice.operators.dictionary import lemmatized_tokens
 from joblattice.session import broadcast_if_small, cut_lineage
 
 DOC, TERM = "doc_id", "term"
+CUT_MAX_TERMS = 50_000
 
 
 @dataclass(frozen=True)
@@ -60,24 +61,27 @@ def term_counts(
     text: str,
     spec: Spec = STORED,
     lemmas: DataFrame | None = None,
+    placed: bool = True,
 ) -> DataFrame:
     """``(doc_id, term, tf)`` for every n-gram of every document; documents without terms have no row.
 
-    Each text is counted inside its own row, so nothing is grouped over documents. The rows are
-    hash-partitioned by document for the sums per document that follow.
+    Each text is counted inside its own row, so nothing is grouped over documents. ``placed`` rows
+    are hash-partitioned by document, for sums per document that follow in the same job; without it
+    nothing is shuffled.
     """
     need_column(docs, text)
     if lemmas is None:
-        placed = docs.select(F.col(key).alias(DOC), F.col(text).alias("text")).repartition(DOC)
+        texts = docs.select(F.col(key).alias(DOC), F.col(text).alias("text"))
         words: Column = word_tokens(F.col("text"))
     else:
-        tokens = lemmatized_tokens(docs, key, text, lemmas)
-        placed = tokens.select(F.col(key).alias(DOC), "tokens").repartition(DOC)
+        texts = lemmatized_tokens(docs, key, text, lemmas).select(F.col(key).alias(DOC), "tokens")
         words = F.col("tokens")
+    if placed:
+        texts = texts.repartition(DOC)
     if spec.stopwords:
         stop = F.array(*[F.lit(w) for w in spec.stopwords])
         words = F.filter(words, lambda w: ~F.array_contains(stop, w))
-    return placed.select(DOC, F.inline(counted(ngrams(words, *spec.ngram_range))))
+    return texts.select(DOC, F.inline(counted(ngrams(words, *spec.ngram_range))))
 
 
 def corpus_counts(counts: DataFrame) -> DataFrame:
@@ -112,9 +116,12 @@ def with_term_ids(vocab: DataFrame) -> DataFrame:
 def weigh(counts: DataFrame, vocab: DataFrame, spec: Spec = STORED) -> DataFrame:
     """L2-normalised tf-idf weights; terms outside the vocabulary fall away.
 
-    A vocabulary of checked size is broadcast; an uncut one is joined by term.
+    A vocabulary cut to few enough terms is broadcast unseen; any other is measured first, and
+    joined by term if it is too large.
     """
-    near = broadcast_if_small(vocab.select(TERM, "idf"))
+    terms = vocab.select(TERM, "idf")
+    cut = spec.max_features is not None and spec.max_features <= CUT_MAX_TERMS
+    near = F.broadcast(terms) if cut else broadcast_if_small(terms)
     tf = F.log(F.col("tf")) + 1.0 if spec.sublinear_tf else F.col("tf").cast("double")
     raw = counts.join(near, TERM).select(DOC, TERM, (tf * F.col("idf")).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(DOC)))
@@ -132,15 +139,24 @@ def fit(
     text: str,
     spec: Spec = STORED,
     lemmas: DataFrame | None = None,
+    written: bool = False,
 ) -> Model:
-    """Runs the vocabulary count at once and keeps it in the shared folder; the postings stay lazy."""
+    """Vocabulary and postings in one lazy plan that shuffles the text once for both.
+
+    ``written`` counts the vocabulary at once and keeps it in the shared folder, for a model that
+    several jobs will read. An uncut vocabulary always is, since it has to be measured.
+    """
     counts = term_counts(docs, key, text, spec, lemmas)
-    return from_counts(counts, corpus_counts(counts), count_docs(docs), spec)
+    return from_counts(counts, corpus_counts(counts), count_docs(docs), spec, written)
 
 
-def from_counts(counts: DataFrame, totals: DataFrame, n_docs: Column, spec: Spec = STORED) -> Model:
+def from_counts(
+    counts: DataFrame, totals: DataFrame, n_docs: Column, spec: Spec = STORED, written: bool = False
+) -> Model:
     """As ``fit``, from term counts that are at hand."""
-    vocab = cut_lineage(build_vocab(totals, n_docs, spec))
+    vocab = build_vocab(totals, n_docs, spec)
+    if written or spec.max_features is None or spec.max_features > CUT_MAX_TERMS:
+        vocab = cut_lineage(vocab)
     return Model(vocab, weigh(counts, vocab, spec), spec)
 
 

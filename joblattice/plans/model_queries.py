@@ -181,7 +181,7 @@ def _truth(queries: DataFrame, docs: DataFrame, model: tfidf.Model) -> DataFrame
 
 def _evaluated(t: Tables, score) -> DataFrame:
     queries, docs = _queries(t), t.documents
-    model = tfidf.fit(docs, "doc_id", "text")
+    model = tfidf.fit(docs, "doc_id", "text", written=True)
 
     def by_tfidf(asked: DataFrame, k: int) -> DataFrame:
         named = asked.withColumnRenamed("query", "query_id").join(queries, "query_id")

@@ -32,8 +32,12 @@ def build_and_save(
     spec: tfidf.Spec = tfidf.STORED,
     lemmas: DataFrame | None = None,
 ) -> tfidf.Model:
-    """Fit and write a model version. The term counts are written first and read by all later steps."""
-    counts = _write(tfidf.term_counts(docs, key, text, spec, lemmas), root, "counts", version)
+    """Fit and write a model version.
+
+    The term counts are written first, straight from the rows of the texts, and read by all later
+    steps; the only shuffle by document is that of the weighted terms the vocabulary has kept.
+    """
+    counts = _write(tfidf.term_counts(docs, key, text, spec, lemmas, placed=False), root, "counts", version)
     totals = _write(tfidf.corpus_counts(counts), root, "totals", version)
     return _save_from_counts(counts, totals, docs, root, version, spec)
 
@@ -56,7 +60,7 @@ def update_and_save(
     spark = docs.sparkSession
     old_counts = spark.read.parquet(part_path(root, "counts", old_version))
     old_totals = spark.read.parquet(part_path(root, "totals", old_version))
-    fresh = tfidf.term_counts(changed, key, text, spec, lemmas)
+    fresh = tfidf.term_counts(changed, key, text, spec, lemmas, placed=False)
     counts = _write(tfidf.replace_counts(old_counts, changed, key, fresh), root, "counts", version)
     totals = _write(tfidf.shift_totals(old_totals, old_counts, changed, key, fresh), root, "totals", version)
     return _save_from_counts(counts, totals, docs, root, version, spec)
