@@ -55,6 +55,15 @@ def need_column(df: DataFrame, name: str) -> None:
         raise ValueError(f"Field '{name}' not found in {df.columns}")
 
 
+def _named(column: str, name: str) -> Column:
+    """The column under ``name``, without an alias that changes nothing.
+
+    Such an alias is dropped in one use of a plan and kept in another, and then the shuffle under it
+    is no longer shared.
+    """
+    return F.col(column) if column == name else F.col(column).alias(name)
+
+
 def term_counts(
     docs: DataFrame,
     key: str,
@@ -71,10 +80,10 @@ def term_counts(
     """
     need_column(docs, text)
     if lemmas is None:
-        texts = docs.select(F.col(key).alias(DOC), F.col(text).alias("text"))
+        texts = docs.select(_named(key, DOC), _named(text, "text"))
         words: Column = word_tokens(F.col("text"))
     else:
-        texts = lemmatized_tokens(docs, key, text, lemmas).select(F.col(key).alias(DOC), "tokens")
+        texts = lemmatized_tokens(docs, key, text, lemmas).select(_named(key, DOC), "tokens")
         words = F.col("tokens")
     if placed:
         texts = texts.repartition(DOC)

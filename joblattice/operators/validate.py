@@ -51,7 +51,7 @@ def rules(df: DataFrame, fields: Fields = Fields(), url_format: bool = False) ->
         "invalid_date": posted.isNotNull() & parse_timestamp(posted, fields.date_formats).isNull(),
         "invalid_salary": low.isNotNull()
         & high.isNotNull()
-        & (low_n.isNull() | high_n.isNull() | (low_n > high_n)),
+        & (low_n.isNull() | high_n.isNull() | (~F.isnan(low_n) & ~F.isnan(high_n) & (low_n > high_n))),
     }
     if url_format:
         checks["invalid_url"] = ~_missing(url) & ~F.rlike(url, F.lit("^https?://"))

@@ -88,6 +88,18 @@ def test_weights_of_a_document_need_one_shuffle_of_the_text(docs):
     assert plan.count("Exchange hashpartitioning(doc_id") == plan.count("REPARTITION_BY_COL") and "BroadcastHashJoin" in plan
 
 
+@pytest.mark.parametrize("key", ["job_id", "doc_id"])
+def test_vocabulary_and_postings_share_the_shuffle_of_the_text(spark, docs, folder, key):
+    docs.withColumnRenamed("job_id", key).write.parquet(f"{folder}/docs")
+    stored = spark.read.parquet(f"{folder}/docs")
+    asked = spark.createDataFrame([(1, "python sql")], "query_id int, query string")
+    ranked = recommend.recommend(asked, stored, key=key)
+    ranked.collect()
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    shared = [line for line in plan.splitlines() if "ReusedExchange" in line and "REPARTITION_BY_COL" in line]
+    assert len(shared) == 1
+
+
 QUERIES = {1: "senior data python", 2: "sql cloud", 3: "nothing known", 4: "", 5: "etl paris etl"}
 
 

@@ -37,8 +37,15 @@ def test_hot_keys_are_cut_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
 
 
+@pytest.fixture(params=["few rows", "many rows"])
+def either_size(request, monkeypatch):
+    """Run a test with the size check passed and failed; both ways must give the same."""
+    if request.param == "many rows":
+        monkeypatch.setattr(rows, "is_small", lambda *_: False)
+
+
 @pytest.mark.parametrize("unique", [False, True])
-def test_append_keeps_old_rows_and_repeats_nothing(spark, unique):
+def test_append_keeps_old_rows_and_repeats_nothing(spark, either_size, unique):
     old = keyed(spark, [("a", "old a"), ("b", "old b"), (None, "old none")])
     new = keyed(spark, [("c", "new c"), ("a", "new a"), ("c", "again c"), (None, "new none")])
     once = rows.append_dedup(old, new, existing_unique=unique)
@@ -93,11 +100,33 @@ def test_title_length_bounds(spark):
     assert sorted(len(r["job_title"]) for r in bad.collect()) == [9, 501]
 
 
-def test_failing_twins_of_valid_rows_stay(mixed):
+def test_failing_twins_of_valid_rows_stay(mixed, either_size):
     kept = validate.keep_by_valid_key(validate.with_failed_rules(mixed))
     assert sorted(str(r["job_id"]) for r in kept.collect()) == ["None", "None", "ok", "twin", "twin"]
 
 
+def test_not_a_number_passes_as_missing_does(spark):
+    df = spark.createDataFrame([("nan", "2"), ("3", "nan"), ("3", "2")], "salary_min string, salary_max string")
+    assert validate.rule_counts(df).first()["invalid_salary"] == 1
+
+
+def test_a_third_of_all_rows_under_one_key(spark, either_size):
+    n = 3000
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string")))
+    df = spark.range(n).select(key.alias("job_id"), F.col("id").alias("_seq"))
+    names = ["hot" if i % 3 == 0 else f"k{i % 500}" for i in range(n)]
+    first = {}
+    for i, name in enumerate(names):
+        first.setdefault(name, i)
+    kept = rows.keep_first(df.repartition(7), ["job_id"], "_seq")
+    assert {r["job_id"]: r["_seq"] for r in kept.collect()} == first
+    old, new = df.filter("_seq < 1000"), df.filter("_seq >= 1000")
+    assert {r["job_id"]: r["_seq"] for r in rows.append_dedup(old, new).collect()} == first
+    titles = F.when(F.col("_seq") == 0, "Data Engineer")
+    checked = validate.with_failed_rules(df.withColumns({"job_title": titles, "url": F.lit("u"), "location": F.lit("p")}))
+    assert validate.keep_by_valid_key(checked).count() == names.count("hot")
+
+
 def test_repair(spark):
     df = spark.createDataFrame([("soon", " ", "9", "2"), (None, "Paris", "low", "3")], "posted_date string, location string, salary_min string, salary_max string")
     out = validate.repair(df, F.lit("2026-02-03").cast("date")).collect()
