@@ -91,12 +91,14 @@ def collect(day: Day, landed: DataFrame, sample: DataFrame | None = None) -> Dat
 
 
 def check(day: Day, raw: DataFrame, fields: validate.Fields = validate.Fields()) -> DataFrame:
+    """The rules run once and their outcome is kept: ``checked`` also is the table of rejects."""
+
     def work():
-        checked = validate.with_failed_rules(raw, fields)
-        day.keep(validate.rejected_rows(checked), "rejected")
+        checked = day.keep(validate.with_failed_rules(raw, fields), "checked")
         kept = day.keep(validate.keep_by_valid_key(checked, fields.key), "validated")
-        counts = validate.rule_counts(raw, fields).collect()[0]
-        return kept, {"jobs_validated": counts["valid_count"], "jobs_failed": counts["total"] - counts["valid_count"]}
+        passed = F.count_if(F.size(validate.FAILED) == 0)
+        valid, total = checked.agg(passed, F.count(F.lit(1))).first()
+        return kept, {"jobs_validated": valid, "jobs_failed": total - valid}
 
     return _run(day, "validate", work)
 

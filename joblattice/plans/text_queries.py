@@ -14,7 +14,6 @@ from joblattice.plans.catalog import (
     SQL_BLANK,
     Tables,
     query,
-    sql_ascii_words,
     sql_clean_text,
     sql_skill_tokens,
     sql_text,

@@ -76,6 +76,10 @@ def _save_from_counts(counts, totals, docs, root, version, spec) -> tfidf.Model:
 
 
 def load(spark: SparkSession, root: str, version: str, spec: tfidf.Spec = tfidf.STORED) -> tfidf.Model:
+    """A stored version as it lies, right for a few queries: only scores of matching documents move.
+
+    For many queries take it from ``ModelCache``, which places the postings by document once.
+    """
     vocab, postings = (spark.read.parquet(part_path(root, part, version)) for part in ("vocab", "postings"))
     return tfidf.Model(vocab, postings, spec)
 
