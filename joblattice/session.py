@@ -41,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     own = os.environ.get("JOBLATTICE_LOCAL_DIR") or tempfile.mkdtemp(prefix="joblattice-")
     os.environ["JOBLATTICE_LOCAL_DIR"] = own
