@@ -19,6 +19,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,18 +38,18 @@ class Spec:
 
     max_frequent: int = 131_072
     max_bytes: int = 40
-    code_bits: int = 8
+    code_bits: int = 5
     table_bits: int = 20
     spell_bits: int = 18
-    segment: int = 256
-    block_tokens: int = 400_000
+    segment: int = 128
+    block_tokens: int = 200_000
     rate: float = 0.01
     tuning_rate: float = 0.03
     refine: float = 0.02
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_GATES, _INPUTS, _BUCKETS = 9, 4, 33
+_GATES, _INPUTS, _BUCKETS = 9, 3, 33
 _CHUNK = 1 << 14
 #: Bytes back that the spelling models look.
 ORDERS = 4
@@ -121,19 +122,17 @@ class Code:
             weight.append(a + b)
             heapq.heappush(heap, (a + b, len(weight) - 1))
         n = len(words) + 2
-        self.node = np.zeros((n, bits), np.int64)  # numbers of the first nodes on the way, heap fashion
-        self.bit = np.zeros((n, bits), np.int8)
-        self.length = np.zeros(n, np.int64)
+        self.length = np.zeros(n, np.int64)  # modelled bits of each symbol
         self.tail = np.zeros(n)  # log10 of what the bits beyond have by the counts alone
         self.chance = np.full(1 << bits, 0.5)
+        paths: list[tuple] = [()] * n
         todo = [(heap[0][1], 1, 0, 0.0, ())]
         while todo:
             at, number, depth, tail, path = todo.pop()
             if left[at] < 0:
                 self.length[at] = len(path)
                 self.tail[at] = tail
-                for d, (v, b) in enumerate(path):
-                    self.node[at, d], self.bit[at, d] = v, b
+                paths[at] = path
                 continue
             one = weight[right[at]] / weight[at]
             if depth < bits:
@@ -143,6 +142,11 @@ class Code:
                     todo.append((child, 2 * number + b, depth + 1, 0.0, (*path, (number, b))))
                 else:
                     todo.append((child, 0, depth + 1, tail + math.log10(p), path))
+        # all ways one after the other: numbers of the nodes, heap fashion, and the bits taken there
+        self.first = np.cumsum(self.length) - self.length
+        self.node = np.array([v for path in paths for v, _ in path], np.int32)
+        self.bit = np.array([b for path in paths for _, b in path], np.int8)
+        self.mark = _hash(np.arange(1 << bits) + 1)
         self.own = np.log(self.chance / (1 - self.chance)).astype(np.float32)
 
 
@@ -156,18 +160,16 @@ class Block:
 
 
 def tokens_of(texts: list[bytes], code: Code, keep_rare: bool) -> Block:
-    sym: list[int] = []
-    starts, rare = [], []
-    get, escape = code.index.get, code.escape
+    parts, rare = [], []
+    get, escape, end = code.index.get, code.escape, np.array([code.end], np.int32)
     for text in texts:
-        starts.append(len(sym))
         words = text.lower().split()
-        found = [get(w, escape) for w in words]
-        sym += found
-        sym.append(code.end)
+        found = np.fromiter(map(get, words, repeat(escape)), np.int32, len(words))
+        parts += (found, end)
         if keep_rare:
-            rare.append(Counter(w for w, s in zip(words, found) if s == escape))
-    return Block(np.array(sym, np.int64), np.array(starts, np.int64), rare)
+            rare.append(Counter([words[i] for i in np.flatnonzero(found == escape).tolist()]))
+    lengths = np.array([len(p) for p in parts[::2]], np.int64) + 1
+    return Block(np.concatenate(parts), np.cumsum(lengths) - lengths, rare)
 
 
 @dataclass
@@ -187,14 +189,15 @@ def events_of(block: Block, code: Code, spec: Spec) -> Events:
     before = np.empty_like(sym)
     before[:2], before[2:] = code.end, sym[:-2]
     before[block.starts] = code.end
-    token = np.repeat(np.arange(len(sym)), code.length[sym])
-    first = np.cumsum(code.length[sym]) - code.length[sym]
-    depth = np.arange(len(token)) - first[token]
-    node, bit = code.node[sym[token], depth], code.bit[sym[token], depth]
+    length = code.length[sym]
+    token = np.repeat(np.arange(len(sym), dtype=np.int32), length)
+    first = code.first[sym] - (np.cumsum(length) - length)
+    at = np.arange(len(token)) + first[token]
+    node, bit = code.node[at], code.bit[at]
+    mark = code.mark[node]
     shift = np.uint64(64 - spec.table_bits)
-    one = _hash(last + 1)
-    two = _hash(last + 1, before + 7)
-    slots = tuple((_hash(c[token], node) >> shift).astype(np.int64) for c in (one, two))
+    one, two = _hash(last + 1), _hash(last + 1, before + 7)
+    slots = tuple((((c[token] ^ mark) * _ODD) >> shift).astype(np.int32) for c in (one, two))
     return Events(token, node, bit, slots)
 
 
@@ -242,7 +245,7 @@ def add_tables(parts: DataFrame, sizes: dict[int, int]) -> dict[int, np.ndarray]
 
 def _tally(slots: np.ndarray, bits: np.ndarray, table: np.ndarray) -> None:
     size = table.shape[1]
-    table += np.bincount(slots + size * bits.astype(np.int64), minlength=2 * size).reshape(2, size).astype(table.dtype)
+    table += np.bincount(slots + size * bits.astype(np.int32), minlength=2 * size).reshape(2, size).astype(table.dtype)
 
 
 def context_tables(docs: DataFrame, code: Code, spec: Spec) -> dict[int, np.ndarray]:
@@ -309,8 +312,7 @@ class Mixer:
         inputs[put, 0] = code.own[e.node]
         inputs[put, 1] = self.stretch[0][e.slots[0]]
         inputs[put, 2] = self.stretch[1][e.slots[1]]
-        inputs[:, 3] = 0.3
-        gate = np.empty(len(lane), np.int64)
+        gate = np.empty(len(lane), np.int32)
         gate[put] = self.seen[0][e.slots[0]] * 3 + self.seen[1][e.slots[1]]
         bit = np.empty(len(lane), np.float32)
         bit[put] = e.bit
@@ -318,22 +320,23 @@ class Mixer:
         centre = (np.arange(_BUCKETS, dtype=np.float32) - _BUCKETS // 2) / 2
         table = np.tile(1 / (1 + np.exp(-centre)), lanes)
         w_base, t_base = np.arange(lanes) * _GATES, np.arange(lanes) * _BUCKETS
-        total = np.zeros(lanes)
-        for t, m in enumerate(active.tolist()):
-            part = slice(int(begin[t]), int(begin[t]) + m)
+        chance = np.empty(len(lane), np.float32)
+        for a, m in zip(begin.tolist(), active.tolist()):
+            part = slice(a, a + m)
             x, y = inputs[part], bit[part]
             at = w_base[:m] + gate[part]
-            w = weights[at]
-            z = np.clip(np.einsum("ij,ij->i", x, w), -7.9, 7.9)
+            w = weights.take(at, axis=0)
+            z = np.minimum(np.maximum(np.einsum("ij,ij->i", x, w), -7.9), 7.9)
             p = 1 / (1 + np.exp(-z))
-            cell = t_base[:m] + np.rint(2 * z).astype(np.int64) + _BUCKETS // 2
-            q = table[cell]
-            final = 0.5 * (p + q)
-            total[:m] += np.log10(np.where(y > 0, final, 1 - final))
+            cell = t_base[:m] + (2 * z + 0.5 + _BUCKETS // 2).astype(np.int32)
+            q = table.take(cell)
+            chance[part] = p + q
             weights[at] = w + (rate * (y - p))[:, None] * x
-            table[cell] = np.clip(q + spec.refine * (y - q), 1e-4, 1 - 1e-4)
+            table[cell] = q + spec.refine * (y - q)
+        chance = np.where(bit > 0, 0.5 * chance, 1 - 0.5 * chance)
+        total = np.bincount(lane, np.log10(np.maximum(chance[put], 1e-6), dtype=np.float64), minlength=lanes)
         out = np.zeros(len(block.starts))
-        np.add.at(out, text[np.flatnonzero(new)], total[rank])
+        np.add.at(out, text[np.flatnonzero(new)], total)
         final_weights = weights.reshape(lanes, _GATES, _INPUTS).sum(axis=0, dtype=np.float64)
         return out, final_weights, lanes
 
@@ -363,23 +366,24 @@ def tune(docs: DataFrame, mixer: Mixer) -> np.ndarray:
 
 def _spelled(words: list[bytes], spec: Spec) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """(word, bit, slots of each order) of every bit of every byte; a blank ends a word."""
-    data = np.frombuffer(b" ".join([*words, b""]), np.uint8).astype(np.uint64)
+    data = np.frombuffer(b" ".join([*words, b""]), np.uint8)
     length = np.array([len(w) + 1 for w in words])
-    word = np.repeat(np.arange(len(words)), length)
+    word = np.repeat(np.arange(len(words), dtype=np.int32), length)
     place = np.arange(len(data)) - np.repeat(np.cumsum(length) - length, length)
-    bits = np.unpackbits(data.astype(np.uint8)[:, None], axis=1)
-    node = np.ones((len(data), 8), np.uint64)
+    bits = np.unpackbits(data[:, None], axis=1)
+    node = np.ones((len(data), 8), np.int32)
     for j in range(1, 8):
-        node[:, j] = node[:, j - 1] * np.uint64(2) + bits[:, j - 1]
+        node[:, j] = node[:, j - 1] * 2 + bits[:, j - 1]
+    mark = _hash(np.arange(256) + 1)[node]
     slots = []
     shift = np.uint64(64 - spec.spell_bits)
     context = np.zeros(len(data), np.uint64)
     for order in range(ORDERS):
         earlier = np.zeros(len(data), np.uint64)
-        earlier[order + 1 :] = data[: -order - 1] if order + 1 <= len(data) else 0
+        earlier[order + 1 :] = data[: -order - 1]
         earlier[place <= order] = 0
         context = _hash(context, earlier + np.uint64(1 + order))
-        slots.append((_hash(np.repeat(context, 8), node.ravel()) >> shift).astype(np.int64))
+        slots.append((((context[:, None] ^ mark) * _ODD) >> shift).astype(np.int32).ravel())
     return np.repeat(word, 8), bits.ravel(), slots
 
 
@@ -453,7 +457,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
     code = Code([w for w, _ in rows], [c for _, c in rows], ends, n_rare, spec.code_bits)
     tables = context_tables(slim.where(training & (F.col("fold") != TUNING)), code, spec)
     both = [_stretched(tables[k]) for k in range(2)]
-    start = np.tile(np.array([0.3, 0.4, 0.4, 0.0]), (_GATES, 1))
+    start = np.tile(np.array([0.3, 0.4, 0.4]), (_GATES, 1))
     mixer = Mixer(code, spec, tuple(s for s, _ in both), tuple(n for _, n in both), start)
     mixer.weights = tune(slim.where(F.col("fold") == TUNING), mixer)
 
