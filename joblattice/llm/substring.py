@@ -6,11 +6,11 @@ and a right symbol. Names are 64-bit hashes of what they stand for, so all tasks
 without talking to each other, and the inside of equal word sequences is rewritten alike wherever
 they stand: only a run and at most one more symbol at either end depend on what is around.
 
-So each window of words has, in each round, an inside that its own words fix. The first symbol of the
-last round whose inside is not empty is the window's anchor. Equal windows have equal anchors, a few
-dozen neighbouring windows share one, and an anchor that Spark meets in one document only rules out
-all its windows. For the others the windows themselves are compared, by anchor and window hash, 128
-bits in all.
+So each window of words has, in each round, an inside that its own words fix. In the last round that
+leaves it enough symbols, the least and the greatest of them are the window's anchor. Equal windows
+have equal anchors, several neighbouring windows share one, and an anchor that Spark meets in one text
+only rules out all its windows. For the others the windows themselves are compared, by anchor and
+window hash, 128 bits in all. Texts that are equal as a whole are compared once.
 """
 
 from __future__ import annotations
@@ -82,7 +82,9 @@ def anchors(names: np.ndarray, owner: np.ndarray, window: int = WINDOW) -> tuple
     level = 0
     while len(open_):
         wide = hi - lo >= INSIDE if level else np.ones(len(open_), bool)
-        anchor[open_[wide]] = _least(_mix(names, level), lo[wide], hi[wide])
+        ranked = _mix(names, level)
+        low, high = _least(ranked, lo[wide], hi[wide]), ~_least(~ranked, lo[wide], hi[wide])
+        anchor[open_[wide]] = _mix(low, high)
         # runs: the first and the last run of an inside may go on outside
         first = np.ones(len(names), bool)
         first[1:] = (names[1:] != names[:-1]) | (owner[1:] != owner[:-1])
@@ -140,8 +142,8 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def find_anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(key, doc): each anchor of each document once."""
+def find_anchors(texts: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(key, tid): each anchor of each text once; ``texts`` has tid and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,9 +157,9 @@ def find_anchors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 fresh[1:] = (key[order][1:] != key[order][:-1]) | (by[order][1:] != by[order][:-1])
                 kept = order[fresh]
                 ids = batch.column(0).take(pa.array(np.array(rows)[by[kept]]))
-                yield pa.RecordBatch.from_arrays([_signed(key[kept]), ids], ["key", "doc"])
+                yield pa.RecordBatch.from_arrays([_signed(key[kept]), ids], ["key", "tid"])
 
-    return docs.mapInArrow(run, f"key bigint, doc {docs.schema[0].dataType.simpleString()}")
+    return texts.mapInArrow(run, "key bigint, tid bigint")
 
 
 def find_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -198,19 +200,27 @@ def _kept(words: list[bytes], starts: list[int], window: int) -> tuple[bytes, in
     return b" ".join([w for w, g in zip(words, gone.tolist()) if not g]), int(gone.sum())
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc, starts): the windows of a document that also start in one with a smaller id."""
-    found = staged(find_anchors(docs, window), "anchors")
-    shared = found.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+def fates(slim: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc, tid, whole, starts): whether the text is that of a smaller id, else where its late windows start."""
+    ids = slim.where("doc is not null").select("doc", "tid", F.md5("text").alias("sum"))
+    ids = ids.groupBy("doc").agg(F.min(F.struct("tid", "sum")).alias("t")).select("doc", "t.tid", "t.sum")
+    ids = staged(ids, "text-ids")
+    first = ids.groupBy("sum").agg(F.min("doc").alias("first"))
+    ids = ids.join(first, "sum").select("doc", "tid", (F.col("first") < F.col("doc")).alias("whole"))
+
+    found = staged(find_anchors(slim.select("tid", "text"), window), "anchors")
+    shared = found.groupBy("key").agg(F.min("tid").alias("low"), F.max("tid").alias("high"))
     shared = shared.where("low < high").select("key")
-    keys = found.join(shared, "key", "left_semi").groupBy("doc").agg(F.collect_set("key").alias("keys"))
-    windows = staged(find_windows(docs.join(keys, "doc"), window), "windows")
+    keys = found.join(shared, "key", "left_semi").groupBy("tid").agg(F.collect_set("key").alias("keys"))
+    wanted = ids.where("not whole").join(keys, "tid")
+    windows = staged(find_windows(slim.join(wanted, ["doc", "tid"]).select("doc", "text", "keys"), window), "windows")
     discard(found)
-    first = windows.groupBy("key", "hash").agg(F.min("doc").alias("low"))
-    late = windows.join(first, ["key", "hash"]).where("low < doc")
-    late = staged(late.groupBy("doc").agg(F.collect_set("start").alias("starts")), "repeats")
+    low = windows.groupBy("key", "hash").agg(F.min("doc").alias("low"))
+    late = windows.join(low, ["key", "hash"]).where("low < doc")
+    late = late.groupBy("doc").agg(F.collect_set("start").alias("starts"))
+    out = staged(ids.join(late, "doc", "left"), "fates")
     discard(windows)
-    return late
+    return out
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -218,20 +228,25 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A word goes if a window of ``window`` words that covers it also starts in a document with a smaller
     id; windows are those of the input. Null and empty texts have no words and the hash of nothing.
-    Rows without an id neither lose words nor make others lose any. Rows that repeat an id count as
-    that one document: what they share with each other stays. Other columns are not looked at.
+    Rows without an id neither lose words nor make others lose any. Rows that repeat an id and text count
+    as one document; of different texts under one id one takes part, that with the smallest hash, and the
+    others keep all words. Other columns are not looked at.
     """
-    slim = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    late = repeated_windows(slim.where("doc is not null and text is not null"), window)
+    text = F.col(text_col)
+    slim = docs.select(F.col(id_col).alias("doc"), text.alias("text"), F.xxhash64(text).alias("tid"))
+    fate = fates(slim.where("text is not null"), window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, starts = as_bytes(batch.column(1)), batch.column(2)
+            texts, whole, starts = as_bytes(batch.column(1)), batch.column(2).to_pylist(), batch.column(3)
             n, removed, kept = [], [], []
             for i, text in enumerate(texts):
                 words = text.split()
-                fits = starts[i].as_py() or ()
-                left, gone = _kept(words, [s for s in fits if s + window <= len(words)], window) if fits else (b" ".join(words), 0)
+                late = starts[i].as_py() if starts[i].is_valid else ()
+                if whole[i]:
+                    left, gone = (b"", len(words)) if len(words) >= window else (b" ".join(words), 0)
+                else:
+                    left, gone = _kept(words, late, window) if late else (b" ".join(words), 0)
                 n.append(len(words))
                 removed.append(gone)
                 kept.append(left)
@@ -245,5 +260,5 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             )
 
     kind = slim.schema["doc"].dataType.simpleString()
-    joined = slim.join(late, "doc", "left")
+    joined = slim.join(fate, ["doc", "tid"], "left").select("doc", "text", "whole", "starts")
     return joined.mapInArrow(run, f"doc_id {kind}, n_words bigint, n_removed bigint, kept string, kept_sha256 string")
