@@ -38,7 +38,7 @@ class Spec:
 
     max_frequent: int = 131_072
     max_bytes: int = 40
-    code_bits: int = 5
+    code_bits: int = 4
     table_bits: int = 20
     spell_bits: int = 18
     segment: int = 128
@@ -102,6 +102,20 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequent_words(vocabulary: DataFrame, spec: Spec) -> list[tuple[bytes, int]]:
+    """The words above the count at which they would become more than ``max_frequent``, most frequent first."""
+    short = vocabulary.where((F.col("c") > 1) & (F.length("word") <= spec.max_bytes))
+    level = F.floor(F.log2("c") * 64)  # at most 64 levels for each power of two
+    bar, total = -1, 0
+    for at, n in sorted(map(tuple, short.groupBy(level.alias("level")).count().collect()), reverse=True):
+        total += n
+        if total > spec.max_frequent:
+            bar = at
+            break
+    top = short.where(level > bar).select("word", "c").collect()  # at most max_frequent words of max_bytes
+    return sorted(((bytes(w), int(c)) for w, c in top), key=lambda r: (-r[1], r[0]))
+
+
 # --- the code --------------------------------------------------------------------------------------
 
 
@@ -450,9 +464,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
     ).first()
     ends = slim.where(training).count()
     n_train, n_types = int(n_words or 0) + ends, int(n_types or 0) + (ends > 0)
-    short = vocabulary.where((F.col("c") > 1) & (F.length("word") <= spec.max_bytes))
-    top = short.orderBy(F.desc("c"), "word").limit(spec.max_frequent)
-    rows = [(bytes(w), int(c)) for w, c in top.collect()]  # bounded by the spec
+    rows = frequent_words(vocabulary, spec)
     n_rare = n_train - ends - sum(c for _, c in rows)
     code = Code([w for w, _ in rows], [c for _, c in rows], ends, n_rare, spec.code_bits)
     tables = context_tables(slim.where(training & (F.col("fold") != TUNING)), code, spec)

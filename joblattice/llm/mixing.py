@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from joblattice.llm.shared import WORD, free_name, staged
+from joblattice.llm.shared import WORD, free_name, hash_sample, staged
 
 #: Share of the tokens that each domain is to hold; domains without labels drop out, the rest is scaled up.
 TARGETS = {"high": 0.85, "low": 0.10, "toxic": 0.05}
@@ -49,7 +49,7 @@ def _labelled(labels: DataFrame) -> DataFrame:
 
 def learn_words(docs: DataFrame, labels: DataFrame, spec: Spec) -> list[str]:
     """The words that set ``word_domain`` apart, strongest first."""
-    sample = _labelled(labels).orderBy(F.xxhash64("id"), "id").limit(spec.max_word_docs)
+    sample = hash_sample(_labelled(labels), F.col("id"), spec.max_word_docs)
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text")).join(F.broadcast(sample), "id")
     texts = texts.groupBy(F.col("text")).agg(F.max(F.col("domain") == spec.word_domain).alias("in"))
     texts = staged(texts, "mix-words")

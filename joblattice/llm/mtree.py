@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from joblattice.llm.ann import _unpack, top_k, usable
-from joblattice.llm.shared import staged
+from joblattice.llm.shared import hash_sample, staged
 
-#: Routing vectors come from a sample of this many rows, those with the smallest id hashes.
+#: Routing vectors come from a sample of at most this many rows, chosen by a hash of the id.
 ROUTES, FIRST_BOUND = 16, 512
 PAGE, FANOUT, TREE_SIZE, QUERY_BLOCK = 64, 12, 4096, 256
 
@@ -131,8 +131,8 @@ def _integers(cell) -> tuple[list, np.ndarray]:
 
 
 def _sample(rows: DataFrame, n: int) -> tuple[list, dict[int, np.ndarray]]:
-    """At most ``n`` rows with the smallest hashes: their ids, and their vectors by length."""
-    found = rows.orderBy(F.xxhash64("id", "v"), "id").limit(n).collect()
+    """At most ``n`` rows by a hash of their ids: the ids, and their vectors by length."""
+    found = sorted(hash_sample(rows, F.col("id"), n).collect(), key=lambda r: r["id"])
     by: dict[int, list] = {}
     for r in found:
         by.setdefault(len(r["v"]), []).append((r["id"], list(r["v"])))

@@ -56,6 +56,18 @@ def crc_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def hash_sample(rows: DataFrame, key: Column, max_rows: int) -> DataFrame:
+    """At most about nine tenths of ``max_rows`` rows by a hash of their key, all rows if they are few.
+
+    Which rows depends on keys and their number alone; no task gathers rows to choose from.
+    """
+    n = rows.count()
+    if n <= max_rows:
+        return rows
+    chosen = rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int((1 << 40) * 0.9 * max_rows / n))
+    return chosen.limit(max_rows)  # keys that repeat could pass the threshold together
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from joblattice.llm.shared import scratch_path
+from joblattice.llm.shared import hash_sample
+from joblattice.session import scratch_path
 
 END_ID = 2
-#: The dictionary is trained on the ids of at most this many documents, those with the smallest id hashes.
+#: The dictionary is trained on the ids of at most this many documents, chosen by a hash of the id.
 DICTIONARY_DOCS, DICTIONARY_BYTES = 4_000, 112_640
 SHARD_BYTES = 1 << 20
 LEVEL = 3
@@ -99,7 +100,7 @@ def _encoded(batch: pa.RecordBatch, path: str) -> Iterator[tuple[int, list[bytes
 
 def train_dictionary(docs: DataFrame, path: str, max_docs: int = DICTIONARY_DOCS) -> bytes:
     """A zstandard dictionary for the ids of a bounded sample; no dictionary if there is too little to learn."""
-    sample = docs.orderBy(F.xxhash64("doc"), "doc").limit(max_docs)
+    sample = hash_sample(docs, F.col("doc"), max_docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

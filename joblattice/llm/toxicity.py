@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from joblattice.llm.shared import crc_remainder, free_name, staged
+from joblattice.llm.shared import crc_remainder, free_name, hash_sample, staged
 
 # Words around a hit.
 REPORTING = frozenset(
@@ -222,13 +222,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30)
 def train(docs: DataFrame, labels: DataFrame, spec: Spec = Spec()) -> Model:
     """Fit on at most ``max_train_docs`` labelled documents whose crc32 remainder is not 0.
 
-    The sample is the rows with the smallest hashes of their id, so it does not depend on the layout.
+    Larger label tables are thinned out by a hash of the id, so the sample does not depend on the layout.
     Labels or ids that are null are left out; of repeated labels of one id the highest counts; equal
     texts count once. Without labels of both kinds the model is the prior alone.
     """
     usable = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("y")).dropna()
     usable = usable.where(crc_remainder(F.col("id"), spec.folds) != 0).groupBy("id").agg(F.max("y").alias("y"))
-    sample = usable.orderBy(F.xxhash64("id"), "id").limit(spec.max_train_docs)
+    sample = hash_sample(usable, F.col("id"), spec.max_train_docs)
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text"))
     met = texts.join(F.broadcast(sample), "id").where("text is not null").groupBy("text").agg(F.max("y").alias("y"))
     met = staged(met, "toxic-sample")
