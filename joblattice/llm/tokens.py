@@ -13,18 +13,18 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from joblattice.llm.shared import hash_sample
+from joblattice.llm.shared import hash_sample, sharded
 from joblattice.session import scratch_path
 
 END_ID = 2
@@ -32,17 +32,17 @@ END_ID = 2
 DICTIONARY_DOCS, DICTIONARY_BYTES = 4_000, 112_640
 SHARD_BYTES = 1 << 20
 LEVEL = 3
-_CACHE_WORDS = 400_000
-#: Where a space is part of a longer run of white space, a text isn't cut into words.
-_RUNS = re.compile(r" \s|\s ")
+_CACHE_WORDS = 600_000
+_SLICE_CHARS = 8_000_000
 
 
 class Encoder:
     """Ids of whole texts by the tokenizers library, with the end id.
 
-    The tokenizer joins a space to what follows it and nothing across it, so a text in which each
-    space stands alone is encoded as its words are, one after the other, and words met before come
-    from a table. Other texts go to the library in one piece. Both ways give the same ids.
+    The tokenizer joins a space to what follows it and nothing across it, and parts letters from a
+    full stop or comma behind them. So a text in which each space stands alone is encoded as its words
+    are, one after the other, and words met before come from a table. New words go to the library in
+    one text; the byte lengths of the tokens tell them apart again. Other texts are encoded in one piece.
     """
 
     def __init__(self, path: str):
@@ -50,34 +50,96 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        # a byte-level vocabulary writes each byte as one character; added tokens stand as they are
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.bytes[number] = len(token.encode()) if token in self.special else len(token)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.end = np.array([END_ID], "<u4").tobytes()
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.marks = {m: self._ids(m).tobytes() for m in ".,"}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, words: list[str]) -> None:
+        """Put words, each of one space and what follows it, into the table."""
+        ids = self._ids("".join(words))
+        ends = np.cumsum(self.bytes[ids])
+        stops = np.cumsum([len(w.encode()) for w in words])
+        at = np.searchsorted(ends, stops) + 1
+        if ends[-1] != stops[-1] or (ends[at - 1] != stops).any():
+            raise ValueError("the tokenizer joined two words")
+        data, start = ids.tobytes(), 0
+        for word, stop in zip(words, (4 * at).tolist()):
+            self.young[word[1:]] = data[start:stop]
+            start = stop
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words behind a space, from the table or the library; nothing for odd ones.
+
+        A word is odd if it is empty or has white space at an end, so that the space before or behind
+        it does not stand alone.
+        """
+        if len(self.young) > _CACHE_WORDS:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        found = list(map(young.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        fresh, ended = {}, []
+        for w in map(words.__getitem__, missing):
+            if w in old:
+                young[w] = old[w]
+            elif not w or w[0].isspace() or w[-1].isspace():
+                young[w] = b""
+            elif w[-1] in self.marks and w[:-1].isalpha():
+                ended.append(w)
+                if w[:-1] not in young and w[:-1] not in old:
+                    fresh[w[:-1]] = None
+            else:
+                fresh[w] = None
+        fresh = list(fresh)
+        for at in range(0, len(fresh), 20_000):
+            self._learn([" " + w for w in fresh[at : at + 20_000]])
+        for w in ended:
+            young[w] = (young.get(w[:-1]) or old[w[:-1]]) + self.marks[w[-1]]
+        for i in missing:
+            found[i] = young[words[i]]
+        return found
+
+    def _whole(self, text: str) -> bytes:
+        return self._ids(text).tobytes() + self.end
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [i for i, t in enumerate(texts) if " " in t and not any(s in t for s in self.special)]
         out: list[bytes] = [b""] * len(texts)
-        cut: dict[int, list[str]] = {}
-        whole = []
-        for i, text in enumerate(texts):
-            if _RUNS.search(text) or len(text) < 2:
-                whole.append(i)
+        for i in set(range(len(texts))).difference(cut):
+            out[i] = self._whole(texts[i])
+        if not cut:
+            return out
+        heads = [texts[i].partition(" ")[0] for i in cut]
+        rests = pc.split_pattern(pa.array([texts[i][len(h) + 1 :] for i, h in zip(cut, heads)], pa.large_string()), " ")
+        coded = rests.flatten().dictionary_encode()
+        words = self._known(coded.dictionary.to_pylist())
+        pool = np.frombuffer(b"".join(words), "<u4")
+        length = np.fromiter(map(len, words), np.int32, len(words)) >> 2
+        start = np.cumsum(length, dtype=np.int32) - length
+        at, offsets = coded.indices.to_numpy(), rests.offsets.to_numpy()
+        sizes = length[at]
+        odd = np.add.reduceat(sizes == 0, offsets[:-1], dtype=np.int32) > 0
+        ends = np.cumsum(sizes, dtype=np.int32)  # a slice of texts is far from 2**31 ids
+        where = np.arange(ends[-1], dtype=np.int32)
+        where += np.repeat(start[at] - (ends - sizes), sizes)
+        ids = pool[where]
+        begin = 0
+        for i, head, stop, strange in zip(cut, heads, ends[offsets[1:] - 1].tolist(), odd.tolist()):
+            if strange or not head or head[-1].isspace():
+                out[i] = self._whole(texts[i])
             else:
-                head, *rest = text.split(" ")
-                cut[i] = [head, *[" " + w for w in rest]]
-        if len(self.known) > _CACHE_WORDS:
-            self.known.clear()
-        known = self.known
-        fresh = list({w for words in cut.values() for w in words if w not in known})
-        for at in range(0, len(fresh), 10_000):
-            part = fresh[at : at + 10_000]
-            known.update(zip(part, self._encode(part)))
-        for i, words in cut.items():
-            out[i] = b"".join([known[w] for w in words]) + self.end
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
-            out[i] = ids + self.end
+                out[i] = self._ids(head).tobytes() + ids[begin:stop].tobytes() + self.end
+            begin = stop
         return out
 
 
@@ -92,10 +154,10 @@ def encoder(path: str) -> Encoder:
 
 
 def _encoded(batch: pa.RecordBatch, path: str) -> Iterator[tuple[int, list[bytes]]]:
-    """(first row, ids) of slices of a batch."""
+    """(first row, ids) of slices of a batch, each of bounded size or one text."""
     texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-    for at in range(0, len(texts), 500):
-        yield at, encoder(path).encode(texts[at : at + 500])
+    for a, b in sharded(np.array([len(t) + 1 for t in texts]), _SLICE_CHARS):
+        yield a, encoder(path).encode(texts[a:b])
 
 
 def train_dictionary(docs: DataFrame, path: str, max_docs: int = DICTIONARY_DOCS) -> bytes:
