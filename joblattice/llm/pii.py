@@ -107,7 +107,7 @@ def _syllables(noise: Column, cyrillic: Column, n: int) -> Column:
     return F.when(cyrillic, of("бвгдзклмнпрст", "аеиоу")).otherwise(of("bdfgklmnprstv", "aeiou"))
 
 
-def _name(noise: Column, canonical: Column, female: Column, draw: Column, key: str) -> Column:
+def _name(noise: Column, canonical: Column, female: Column, draw: Column) -> Column:
     """A first name of the gender and script, and a family name that all bearers of the real one share.
 
     A lone family name is drawn again itself; of a full name only the first name is, from syllables
@@ -119,15 +119,23 @@ def _name(noise: Column, canonical: Column, female: Column, draw: Column, key: s
     listed = listed.when(female, at(FEMALE)).otherwise(at(MALE))
     ending = F.when(cyrillic & female, "а").when(cyrillic, "").when(female, "a").otherwise("o")
     first = F.when(draw < 4, listed).otherwise(F.concat(_syllables(noise, cyrillic, 7), ending))
+    family = _syllables(F.col("family"), cyrillic, 8)
+    return F.when(F.instr(canonical, " ") > 0, F.concat_ws(" ", first, family)).otherwise(family)
+
+
+def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
+    """Adds ``drawn``, the canonical surrogate of (kind, canonical) for its draw; the noise is made once a row."""
+    kind, canonical, draw = F.col("kind"), F.col("canonical"), F.col("draw")
     full = F.instr(canonical, " ") > 0
     last = F.substring_index(canonical, " ", -1)
-    family = _syllables(_noise(F.lit("family"), last, F.when(full, 0).otherwise(draw), key), cyrillic, 8)
-    return F.when(full, F.concat_ws(" ", first, family)).otherwise(family)
+    named = kind.isin("name_f", "name_m")
+    noisy = entities.withColumn("noise", _noise(kind, canonical, draw, key)).withColumn(
+        "family", F.when(named, _noise(F.lit("family"), last, F.when(full, 0).otherwise(draw), key))
+    )
+    return noisy.withColumn("drawn", _surrogate(kind, canonical, draw, F.col("noise"))).drop("noise", "family")
 
 
-def surrogate(kind: Column, canonical: Column, draw: Column, key: str) -> Column:
-    """The canonical surrogate of an entity for one draw."""
-    noise = _noise(kind, canonical, draw, key)
+def _surrogate(kind: Column, canonical: Column, draw: Column, noise: Column) -> Column:
     at = F.instr(canonical, "@")
     domain = F.element_at(F.array(*map(F.lit, ("example.com", "example.net", "example.org"))), F.pmod(noise[63], F.lit(3)) + 1)
     email = F.concat(_shaped(F.substring(canonical, F.lit(1), at - 1), noise), F.lit("@"), domain)
@@ -137,7 +145,7 @@ def surrogate(kind: Column, canonical: Column, draw: Column, key: str) -> Column
         .when(kind == "ipv4", octets)
         .when(kind == "token", _hex_shaped(canonical, noise))
         .when(kind == "aws_key", F.concat(F.substring(canonical, 1, 4), _shaped(F.substring(canonical, F.lit(5), F.length(canonical)), noise)))
-        .when(kind.isin("name_f", "name_m"), _name(noise, canonical, kind == "name_f", draw, key))
+        .when(kind.isin("name_f", "name_m"), _name(noise, canonical, kind == "name_f", draw))
         .otherwise(_shaped(canonical, noise))
     )
 
@@ -175,7 +183,7 @@ def surrogate_map(surfaces: DataFrame, key: str = KEY) -> DataFrame:
     settled = None
     open_rows = entities.withColumn("draw", F.lit(0))
     for draw in range(MAX_DRAWS):
-        drawn = open_rows.withColumn("drawn", surrogate(F.col("kind"), F.col("canonical"), F.col("draw"), key))
+        drawn = with_surrogates(open_rows, key)
         if settled is not None:
             held = settled.select("kind", "drawn", F.lit(True).alias("held"))
             drawn = drawn.join(held, ["kind", "drawn"], "left").where("held is null").drop("held").unionByName(

@@ -32,7 +32,7 @@ END_ID = 2
 DICTIONARY_DOCS, DICTIONARY_BYTES = 4_000, 112_640
 SHARD_BYTES = 1 << 20
 LEVEL = 3
-_CACHE_WORDS = 600_000
+_CACHE_WORDS = 800_000
 _SLICE_CHARS = 8_000_000
 
 
