@@ -10,6 +10,7 @@ A step needs only the totals Ar, one number per domain; a rate is the fold of al
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +36,11 @@ class Spec:
     seed: int = 7
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once a row, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def domain(quality: Column, toxic: Column) -> Column:
     """Null unless both labels are known, or the row is toxic."""
     return F.when(toxic > 0, "toxic").when(toxic.isNull(), None).when(quality > 0, "high").when(quality == 0, "low")
@@ -95,19 +101,21 @@ class Classifier:
     mean: list[list[float]]
     var: list[list[float]]
 
-    def posteriors(self, value: dict[str, Column]) -> list[Column]:
-        """One column per domain; they add up to 1."""
+    def posteriors(self, value: Column) -> Column:
+        """An array with one number per domain from a struct of features; they add up to 1."""
         if len(self.domains) == 1:
-            return [F.lit(1.0)]
+            return F.array(F.lit(1.0))
         scores = []
         for k in range(len(self.domains)):
             score = F.lit(self.log_prior[k])
             for f, m, v in zip(FEATURES, self.mean[k], self.var[k]):
-                score = score - (value[f] - m) * (value[f] - m) / (2 * v) - float(np.log(v)) / 2
+                score = score - F.pow(value[f] - m, F.lit(2.0)) / (2 * v) - float(np.log(v)) / 2
             scores.append(score)
-        top = F.greatest(*scores)
-        total = sum((F.exp(s - top) for s in scores[1:]), F.exp(scores[0] - top))
-        return [F.exp(s - top) / total for s in scores]
+
+        def shares(e: Column) -> Column:
+            return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
+
+        return let(F.array(*scores), lambda s: let(F.transform(s, lambda x: F.exp(x - F.array_max(s))), shares))
 
 
 def fit_classifier(measured: DataFrame, labels: DataFrame, words: list[str]) -> Classifier:
@@ -130,14 +138,14 @@ def fit_classifier(measured: DataFrame, labels: DataFrame, words: list[str]) ->
     )
 
 
-def _rate(steps: list[list[float]], tokens: Column, share: list[Column]) -> Column:
+def _rate(steps: list[list[float]], tokens: Column, share: Column) -> Column:
     """The fold of all gradient steps, from rate 1, each cut at 0."""
     if not steps:
         return F.lit(1.0)
     listed = F.array(*[F.array(*[F.lit(float(g)) for g in step]) for step in steps])
 
     def one(rate: Column, step: Column) -> Column:
-        move = sum((step[k] * p for k, p in enumerate(share)), F.lit(0.0))
+        move = F.aggregate(F.zip_with(step, share, lambda g, p: g * p), F.lit(0.0), lambda a, b: a + b)
         return F.greatest(F.lit(0.0), rate - tokens * move)
 
     return F.aggregate(listed, F.lit(1.0), one)
@@ -153,55 +161,53 @@ class Plan:
     totals: dict[str, float]
     seed: int
 
-    def columns(self, value: dict[str, Column], doc_id: Column) -> dict[str, Column]:
-        share = self.classifier.posteriors(value)
-        rate = F.round(_rate(self.steps, value["tokens"], share), 6)
-        u = F.pmod(F.xxhash64(doc_id, value["tokens"], F.lit(self.seed)), F.lit(1 << 30)) / float(1 << 30)
-        copies = F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0)
-        named = {f"p_{d}": F.round(p, 6) for d, p in zip(self.classifier.domains, share)}
-        return {**named, "rate": rate, "copies": copies.cast("bigint")}
+    def rate(self, tokens: Column, share: Column) -> Column:
+        return F.round(_rate(self.steps, tokens.cast("double"), share), 6)
 
-
-def measure(docs: DataFrame, words: list[str]) -> DataFrame:
-    values = features(words, F.col("text"))
-    return docs.select(F.col("doc_id").alias("id"), *[c.alias(n) for n, c in values.items()])
+    def copies(self, rate: Column, doc_id: Column, tokens: Column) -> Column:
+        """The whole part of the rate, and one more if a hash of the id falls below the rest."""
+        u = F.pmod(F.xxhash64(doc_id, tokens, F.lit(self.seed)), F.lit(1 << 30)) / float(1 << 30)
+        return (F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0)).cast("bigint")
 
 
-def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, spec: Spec = Spec()) -> tuple:
-    """(plan, measured): the plan and the written features of every row.
+def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None, spec: Spec, keep: list[str]) -> tuple:
+    """(plan, measured, shares, name): columns ``keep`` of ``docs`` with a written struct ``name`` of tokens and features, and the
+    written (id, tokens, share) of every row.
 
     The token budget is that of the input. Documents without tokens weigh nothing and keep rate 1.
     """
-    words = learn_words(docs, labels, spec)
-    measured = staged(measure(docs, words), "mix-features")
-    classifier = fit_classifier(measured, labels, words)
-    share = classifier.posteriors({f: F.col(f) for f in FEATURES})
-    k = range(len(share))
-    rows = measured.select(F.col("tokens").cast("double").alias("tokens"), *[p.alias(f"p{i}") for i, p in enumerate(share)])
-    shares = [F.col(f"p{i}") for i in k]
-    tokens = F.col("tokens")
+    words, name = learn_words(docs, labels, spec), free_name(docs.columns, "_mix")
+    values = features(words, F.col("text"))
+    measured = docs.withColumn(name, F.struct(*[c.alias(n) for n, c in values.items()])).select(*keep, name)
+    measured = staged(measured, "mix-features")
+    slim = measured.select(F.col("doc_id").alias("id"), F.col(name).alias("value"))
+    classifier = fit_classifier(slim.select("id", "value.*"), labels, words)
+    rows = slim.select("id", F.col("value.tokens").alias("tokens"), classifier.posteriors(F.col("value")).alias("share"))
+    rows = staged(rows, "mix-shares")
+    k = range(len(classifier.domains))
+    tokens, share = F.col("tokens").cast("double"), F.col("share")
     pairs = [(i, j) for i in k for j in k if i <= j]
-    sums = rows.agg(F.sum(tokens), *[F.sum(tokens * tokens * shares[i] * shares[j]) for i, j in pairs]).first()
+    sums = rows.agg(F.sum(tokens), *[F.sum(tokens * tokens * share[i] * share[j]) for i, j in pairs]).first()
     budget = float(sums[0] or 0.0)
     targets = TARGETS if targets is None else targets
     weight = np.array([targets.get(d, 0.0) for d in classifier.domains])
     weight = weight / weight.sum() if weight.sum() > 0 else np.full(len(weight), 1.0 / len(weight))
     wanted = weight * budget
-    gram = np.zeros((len(share), len(share)))
+    gram = np.zeros((len(k), len(k)))
     for (i, j), v in zip(pairs, sums[1:]):
         gram[i, j] = gram[j, i] = float(v or 0.0)
     inverse = np.linalg.pinv(gram, rcond=1e-9)
     steps: list[list[float]] = []
-    totals = np.zeros(len(share))
-    for _ in range(spec.max_steps + 1 if budget else 0):
-        rate = _rate(steps, tokens, shares)
-        found = rows.select((rate * tokens).alias("m"), *shares).agg(*[F.sum(F.col("m") * s) for s in shares]).first()
+    totals = np.zeros(len(k))
+    while budget:
+        parts = let(_rate(steps, tokens, share) * tokens, lambda m: F.transform(share, lambda p: p * m))
+        found = rows.select(parts.alias("parts")).agg(*[F.sum(F.col("parts")[i]) for i in k]).first()
         totals = np.array([float(v or 0.0) for v in found])
         if np.abs(totals - wanted).max() <= spec.tolerance * budget or len(steps) == spec.max_steps:
             break
         steps.append([float(f"{v:.12g}") for v in inverse @ (totals - wanted)])
     named = lambda v: dict(zip(classifier.domains, map(float, v)))
-    return Plan(classifier, steps, named(wanted), named(totals), spec.seed), measured
+    return Plan(classifier, steps, named(wanted), named(totals), spec.seed), measured, rows, name
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, spec: Spec = Spec()) -> DataFrame:
@@ -211,17 +217,20 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     are left out, repeated labels of an id count once. Without labels all documents are one domain.
     Repeated rows get equal rates. An empty table gives an empty result.
     """
-    plan, measured = fit(docs, labels, targets, spec)
-    decided = plan.columns({c: F.col(c) for c in ("tokens", *FEATURES)}, F.col("id"))
-    return measured.select(F.col("id").alias("doc_id"), F.col("tokens").alias("n_tokens"), *[c.alias(n) for n, c in decided.items()])
+    plan, _, shares, _ = fit(docs.select("doc_id", "text"), labels, targets, spec, ["doc_id"])
+    rate = plan.rate(F.col("tokens"), F.col("share"))
+    named = [F.round(F.col("share")[i], 6).alias(f"p_{d}") for i, d in enumerate(plan.classifier.domains)]
+    decided = shares.select(F.col("id").alias("doc_id"), F.col("tokens").alias("n_tokens"), *named, let(rate, lambda r: r).alias("rate"))
+    return decided.withColumn("copies", plan.copies(F.col("rate"), F.col("doc_id"), F.col("n_tokens")))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, spec: Spec = Spec()) -> DataFrame:
     """The rows of ``docs``, each as often as its rate says: the whole part, and one more by a hash of its id."""
-    plan, _ = fit(docs, labels, targets, spec)
-    held = free_name(docs.columns, "_mix")
-    values = features(plan.classifier.words, F.col("text"))
-    measured = docs.withColumn(held, F.struct(*[c.alias(n) for n, c in values.items()]))
-    copies = plan.columns({n: F.col(f"{held}.{n}") for n in values}, F.col("doc_id"))["copies"]
-    counted = measured.withColumn(held, copies).where(F.col(held) > 0)
-    return counted.withColumn(held, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(held)))).drop(held)
+    plan, measured, _, name = fit(docs, labels, targets, spec, docs.columns)
+    tokens = F.col(f"{name}.tokens")
+    copies = let(
+        let(plan.classifier.posteriors(F.col(name)), lambda share: plan.rate(tokens, share)),
+        lambda rate: plan.copies(rate, F.col("doc_id"), tokens),
+    )
+    repeated = F.explode(let(copies, lambda n: F.when(n > 0, F.sequence(F.lit(1).cast("bigint"), n))))
+    return measured.withColumn(name, repeated).drop(name)
