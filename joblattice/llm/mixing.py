@@ -4,8 +4,9 @@ The labelled table defines domains (toxic, high and low quality). A Gaussian cla
 features and hits of learned words, fitted from sums that Spark adds up, gives every document its
 posterior of each domain. Projected gradient steps then fit nonnegative document rates whose expected
 token totals by domain match the targets: with A the tokens times posteriors, t the targets and
-M = (A A')^-1, the loss (Ar - t)' M (Ar - t) has unit curvature, so each step is r = max(0, r - A' M (Ar - t)).
-A step needs only the totals Ar, one number per domain; a rate is the fold of all steps over its own row.
+M = (A A')^-1 over the documents whose rate is not cut off, the loss (Ar - t)' M (Ar - t) has unit curvature
+there, so each step is r = max(0, r - A' M (Ar - t)). A step needs only the totals Ar and A A', a few numbers
+for all domains; a rate is the fold of all steps over its own row.
 """
 
 from __future__ import annotations
@@ -187,25 +188,28 @@ def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None, sp
     k = range(len(classifier.domains))
     tokens, share = F.col("tokens").cast("double"), F.col("share")
     pairs = [(i, j) for i in k for j in k if i <= j]
-    sums = rows.agg(F.sum(tokens), *[F.sum(tokens * tokens * share[i] * share[j]) for i, j in pairs]).first()
+    sums = rows.agg(F.sum(tokens)).first()
     budget = float(sums[0] or 0.0)
     targets = TARGETS if targets is None else targets
     weight = np.array([targets.get(d, 0.0) for d in classifier.domains])
     weight = weight / weight.sum() if weight.sum() > 0 else np.full(len(weight), 1.0 / len(weight))
     wanted = weight * budget
-    gram = np.zeros((len(k), len(k)))
-    for (i, j), v in zip(pairs, sums[1:]):
-        gram[i, j] = gram[j, i] = float(v or 0.0)
-    inverse = np.linalg.pinv(gram, rcond=1e-9)
     steps: list[list[float]] = []
     totals = np.zeros(len(k))
     while budget:
-        parts = let(_rate(steps, tokens, share) * tokens, lambda m: F.transform(share, lambda p: p * m))
-        found = rows.select(parts.alias("parts")).agg(*[F.sum(F.col("parts")[i]) for i in k]).first()
-        totals = np.array([float(v or 0.0) for v in found])
+        kept = rows.select(tokens.alias("m"), "share", _rate(steps, tokens, share).alias("rate"))
+        weighed = F.col("m") * F.col("m") * (F.col("rate") > 0).cast("double")
+        found = kept.agg(
+            *[F.sum(F.col("rate") * F.col("m") * share[i]) for i in k],
+            *[F.sum(weighed * share[i] * share[j]) for i, j in pairs],
+        ).first()
+        totals = np.array([float(v or 0.0) for v in found[: len(k)]])
         if np.abs(totals - wanted).max() <= spec.tolerance * budget or len(steps) == spec.max_steps:
             break
-        steps.append([float(f"{v:.12g}") for v in inverse @ (totals - wanted)])
+        gram = np.zeros((len(k), len(k)))
+        for (i, j), v in zip(pairs, found[len(k) :]):
+            gram[i, j] = gram[j, i] = float(v or 0.0)
+        steps.append([float(f"{v:.12g}") for v in np.linalg.pinv(gram, rcond=1e-9) @ (totals - wanted)])
     named = lambda v: dict(zip(classifier.domains, map(float, v)))
     return Plan(classifier, steps, named(wanted), named(totals), spec.seed), measured, rows, name
 
