@@ -57,7 +57,9 @@ def parse_timestamp(c: Column, formats: Sequence[str] = ()) -> Column:
 
 
 def parse_posted_date(c: Column, formats: Sequence[str] = ()) -> Column:
-    return parse_timestamp(c, formats).cast("date")
+    """The day as written: an offset behind the time does not move it."""
+    written = F.regexp_extract(strip(c.cast("string")), r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ].*)?$", 1).try_cast("date")
+    return F.when(parse_timestamp(c).isNotNull(), written).otherwise(parse_timestamp(c, formats).cast("date"))
 
 
 def days_since(posted: Column, as_of: Column) -> Column:

@@ -82,9 +82,10 @@ def upsert(
     """
     batch = fold_updates(updates.filter(_accepted(required or (key,))), key, order, update_columns)
     columns = target.columns
-    if is_small(batch):
-        return _upsert_small(target, cut_lineage(batch), key, columns, update_columns)
-    return _upsert_large(target, batch, key, columns, update_columns)
+    batch = cut_lineage(batch)
+    joined = _upsert_small if is_small(batch) else _upsert_large
+    merged = joined(target, batch, key, columns, update_columns)
+    return merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
 
 
 def _prefixed(batch: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def _run(day: Day, stage: str, work: Callable[[], tuple[DataFrame, dict[str, int
     try:
         out, counts = work()
     except Exception as error:
-        note("failed", error_message=f"{stage} failed: {error}"[:4000], seconds=int(time.monotonic() - started))
+        note("failed", error_message=f"{stage} failed: {error}", seconds=int(time.monotonic() - started))
         raise
     note("success", counts=counts, seconds=int(time.monotonic() - started))
     return out

@@ -94,10 +94,10 @@ def _edited(t: Tables) -> tuple[DataFrame, DataFrame]:
     return docs, edited.withColumn("text", F.concat("text", F.lit(" freshly edited")))
 
 
-@query(f"WITH {_model(_CHANGED, 3000)} SELECT id AS doc_id, term, round(weight, 6) AS weight FROM postings")
+@query(f"WITH {_model(_CHANGED)} SELECT id AS doc_id, term, round(weight, 6) AS weight FROM postings")
 def tfidf_incremental(t: Tables) -> DataFrame:
     """Model of the documents, brought up to date after the well-labelled ones were edited."""
-    spec = replace(tfidf.STORED, max_features=3000)
+    spec = tfidf.STORED
     docs, edited = _edited(t)
     stored = tfidf.term_counts(docs, "doc_id", "text", spec)
     fresh = tfidf.term_counts(edited, "doc_id", "text", spec)
@@ -112,11 +112,11 @@ def model_summary(t: Tables) -> DataFrame:
     return models.summary(tfidf.fit(t.documents, "doc_id", "text"))
 
 
-@query(f"""WITH {_model(_CHANGED, 3000)}, numbered AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_id FROM vocab)
+@query(f"""WITH {_model(_CHANGED)}, numbered AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_id FROM vocab)
 SELECT id AS doc_id, term, CAST(term_id AS INTEGER) AS term_id, round(weight, 6) AS weight FROM postings JOIN numbered USING (term)""")
 def model_stored(t: Tables) -> DataFrame:
     """A model written down, brought to a second version with the edited documents, and loaded."""
-    spec = replace(tfidf.STORED, max_features=3000)
+    spec = tfidf.STORED
     root, docs, edited = scratch_path(t.spark, "models"), *_edited(t)
     models.build_and_save(docs, "doc_id", "text", root, "v1", spec)
     models.update_and_save(docs, edited, "doc_id", "text", root, "v1", "v2", spec)

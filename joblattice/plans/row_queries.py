@@ -127,7 +127,7 @@ _FAILED_SQL = "list_filter([" + ", ".join(f"CASE WHEN {rule} THEN '{name}' END"
 _CHECKED = f"WITH raw AS ({RAW_SQL}), checked AS (SELECT *, {_FAILED_SQL} AS failed FROM raw)"
 _COUNTS_SQL = ", ".join(f"count(*) FILTER (WHERE {rule}) AS {name}" for name, rule in _RULES.items())
 
-# Shorter titles than usual pass, since the made-up ones are short.
+# A stricter title length than usual, so that the rule rejects some of the made-up titles.
 FIELDS = validate.Fields(title_low=30)
 
 
@@ -325,19 +325,18 @@ def first_events_per_type(t: Tables) -> DataFrame:
 
 # --- table maintenance: customers as the stored table, orders as the batch ------------------------------------
 
-_TARGET = "SELECT c_custkey, c_name, c_mktsegment AS segment, c_acctbal AS balance FROM customer WHERE c_acctbal < 5000"
-_BATCH = """SELECT o_custkey AS c_custkey, 'batch ' || o_orderkey AS c_name, o_orderpriority AS segment, o_totalprice AS balance,
+_TARGET = "SELECT c_custkey, c_name, c_mktsegment AS segment, c_acctbal AS balance FROM customer"
+_BATCH = """SELECT o_custkey + CASE WHEN o_orderkey % 5 = 0 THEN 1000000 ELSE 0 END AS c_custkey, 'batch ' || o_orderkey AS c_name, o_orderpriority AS segment, o_totalprice AS balance,
     o_orderkey AS _seq FROM orders"""
 
 
 def _target(t: Tables) -> DataFrame:
-    stored = t.customer.filter(F.col("c_acctbal") < 5000)
-    return stored.select("c_custkey", "c_name", F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
+    return t.customer.select("c_custkey", "c_name", F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
 
 
 def _batch(t: Tables) -> DataFrame:
     return t.orders.select(
-        F.col("o_custkey").alias("c_custkey"),
+        (F.col("o_custkey") + F.when(F.col("o_orderkey") % 5 == 0, 1000000).otherwise(0)).alias("c_custkey"),
         F.concat(F.lit("batch "), F.col("o_orderkey").cast("string")).alias("c_name"),
         F.col("o_orderpriority").alias("segment"),
         F.col("o_totalprice").alias("balance"),

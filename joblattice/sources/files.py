@@ -23,7 +23,9 @@ def with_sequence(df: DataFrame, name: str = "_seq") -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """UTF-8 CSV with a header; blanks at the ends of a text are kept. An empty text reads back as null."""
+    writer = df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

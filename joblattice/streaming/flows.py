@@ -16,7 +16,7 @@ from joblattice.constants import DEFAULT_SOURCE
 from joblattice.operators import validate
 from joblattice.operators.clean import clean_rows
 from joblattice.operators.rows import first_per_key
-from joblattice.operators.tables import UPSERT_UPDATE_COLUMNS, upsert
+from joblattice.operators.tables import UPSERT_UPDATE_COLUMNS, as_job_rows, upsert
 from joblattice.schemas import API_PAGE
 from joblattice.sources.pages import explode_hits, to_raw_rows
 
@@ -86,6 +86,13 @@ def current_table(
     key: str = "job_id",
     order: str = "_seq",
     update_columns: Sequence[str] = (*UPSERT_UPDATE_COLUMNS, "updated_at"),
+    now: Column | None = None,
 ) -> DataFrame:
-    """The base table with all drained changes applied in ``order``; commit it as a version to compact."""
-    return upsert(base, changes.drop(EPOCH), key, order, update_columns)
+    """The base table with all drained changes applied by micro-batch, then ``order``; commit it to compact.
+
+    For a jobs table, changes that are clean listings get the values an insert gives, as of ``now``.
+    """
+    ordered = changes.withColumn(order, F.struct(F.col(EPOCH), F.col(order))).drop(EPOCH)
+    if "data_quality_score" in base.columns and "data_quality_score" not in changes.columns:
+        ordered = as_job_rows(ordered, F.current_timestamp() if now is None else now)
+    return upsert(base, ordered, key, order, update_columns)

@@ -175,3 +175,32 @@ def test_streamed_changes_applied_to_a_table(spark, landed, folder):
     assert now_current.count() == 7
     flows.drain(raw, f"{folder}/out", f"{folder}/progress")
     assert flows.read_drained(spark, f"{folder}/out", raw.schema).count() == 9
+
+
+def test_later_micro_batches_win(spark, folder):
+    """Three micro-batches; the later ones hold smaller sequence numbers."""
+    schema = "job_id string, job_title string, _seq bigint"
+    for epoch, rows in enumerate([[("a", "old", 30), ("b", "only", 31)], [("a", "newer", 7)], [("a", "newest", 1), ("c", "fresh", 2)]]):
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/out/epoch={epoch}")
+    changes = flows.read_drained(spark, f"{folder}/out", spark.createDataFrame([], schema).schema)
+    base = spark.createDataFrame([("a", "first"), ("z", "kept")], "job_id string, job_title string")
+    now = {r.job_id: r.job_title for r in flows.current_table(base, changes, update_columns=["job_title"]).collect()}
+    assert now == {"a": "newest", "b": "only", "c": "fresh", "z": "kept"}
+
+
+def test_upsert_keeps_the_target_schema(spark, monkeypatch):
+    from joblattice.operators import tables
+
+    target = spark.createDataFrame([("a", 1, 2)], "k string, n int, m int")
+    batch = spark.createDataFrame([("a", 5, 6), ("b", 7, 8)], "k string, n bigint, m bigint")
+    small = tables.upsert(target, batch, "k", None, ["n"])
+    monkeypatch.setattr(tables, "is_small", lambda df: False)
+    large = tables.upsert(target, batch, "k", None, ["n"])
+    assert small.dtypes == large.dtypes == target.dtypes
+    assert sorted(small.collect()) == sorted(large.collect()) == [("a", 5, 2), ("b", 7, 8)]
+
+
+def test_csv_keeps_edge_blanks(spark, folder):
+    df = spark.createDataFrame([("x", "  lead and trail  ")], "job_id string, job_title string")
+    files.write_csv(df, f"{folder}/csv")
+    assert files.read_csv(spark, f"{folder}/csv", df.schema).first().job_title == "  lead and trail  "

@@ -176,3 +176,8 @@ def test_model_version_name(apply):
 @pytest.mark.parametrize("a,b,score", [("word", "two words", 0.363636), ("same", "SAME", 1.0), ("", "x", 0.0), ("", "", 0.0)])
 def test_trigram_similarity(apply, a, b, score):
     assert apply([a], lambda c: F.round(trigram.similarity(c, F.lit(b)), 6)) == [score]
+
+
+def test_offsets_keep_the_written_day(apply):
+    given = ["2026-01-08T01:00:00+05:00", "2026-01-08T23:30:00-08:00", "2026-1-8", "2026-13-01"]
+    assert apply(given, lambda c: values.parse_posted_date(c).cast("string")) == ["2026-01-08"] * 3 + [None]
