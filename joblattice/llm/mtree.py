@@ -25,7 +25,9 @@ from joblattice.llm.shared import hash_sample, staged
 
 #: Routing vectors come from a sample of at most this many rows, chosen by a hash of the id.
 ROUTES, FIRST_BOUND = 16, 512
-PAGE, FANOUT, TREE_SIZE, QUERY_BLOCK = 64, 12, 4096, 256
+PAGE, FANOUT, TREE_SIZE, QUERY_BLOCK = 256, 16, 4096, 256
+#: Below this squared length of every vector, sums of products are exact in double precision.
+EXACT = 1 << 52
 
 
 class Tree:
@@ -40,8 +42,10 @@ class Tree:
         self.children: list[np.ndarray | None] = []
         self.entries: list[np.ndarray | None] = []
         self.to_parent: list[np.ndarray] = []  # of the children or entries, to this node's pivot
+        self.block: list[np.ndarray | None] = []  # the entries' or children's vectors side by side
         rows = np.arange(len(ids))
         self.root = self._build(rows, 0, self._distances(0, rows))
+        self.below = [None if c is None else np.array([self.radius[i] for i in c]) for c in self.children]
         self.slack = 1e-7 * (1.0 + math.sqrt(self.longest))
 
     def _distances(self, pivot: int, rows: np.ndarray) -> np.ndarray:
@@ -81,39 +85,48 @@ class Tree:
         self.children.append(children)
         self.entries.append(entries)
         self.to_parent.append(to_parent)
+        rows = entries if children is None else np.array([self.pivot[c] for c in children], np.int64)
+        self.block.append(self.x[rows].astype(np.float64) if self.longest < EXACT else self.x[rows])
         return len(self.pivot) - 1
 
     def search(self, q_id, q: np.ndarray, k: int, floor: int | None) -> list[tuple[int, object]]:
         """The best (score, id), ``floor`` a score that k other rows are known to reach."""
         norm = int((q * q).sum())
         base = norm + self.longest
+        q = q.astype(np.float64) if norm < EXACT and self.longest < EXACT else q
 
-        def away(rows: np.ndarray) -> np.ndarray:
-            return np.sqrt(np.maximum(base - 2.0 * (self.x[rows] @ q), 0.0))
+        def away(dots: np.ndarray) -> np.ndarray:
+            return np.sqrt(np.maximum(base - 2.0 * dots, 0.0))
 
-        best: list[tuple[int, object]] = []  # ascending by (score, -order): the worst first
+        best: list[tuple[int, object]] = []  # (score less than 0, id), best first
         bar = math.inf if floor is None else math.sqrt(max(base - 2.0 * floor, 0.0)) + self.slack
-        at = float(away(np.array([self.pivot[self.root]]))[0])
+        at = float(away(self.x[self.pivot[self.root]] @ q))
         heap = [(max(at - self.radius[self.root], 0.0), self.root, at)]
         while heap:
             least, node, at = heapq.heappop(heap)
             if least > bar:
                 break
             gap = np.abs(at - self.to_parent[node])
-            children = self.children[node]
+            block, children = self.block[node], self.children[node]
             if children is not None:
-                radius = np.array([self.radius[c] for c in children])
-                open_ = np.flatnonzero(gap - radius <= bar)
-                d = away(np.array([self.pivot[c] for c in children[open_]], np.int64)) if len(open_) else ()
-                for c, dist, r in zip(children[open_], d, radius[open_]):
+                open_ = np.flatnonzero(gap - self.below[node] <= bar)
+                d = away((block if len(open_) == len(block) else block[open_]) @ q)
+                for c, dist, r in zip(children[open_].tolist(), d.tolist(), self.below[node][open_].tolist()):
                     if dist - r <= bar:
-                        heapq.heappush(heap, (max(float(dist - r), 0.0), int(c), float(dist)))
+                        heapq.heappush(heap, (max(dist - r, 0.0), c, dist))
                 continue
-            rows = self.entries[node][gap <= bar]
-            if not len(rows):
+            open_ = np.flatnonzero(gap <= bar)
+            scores = (block if len(open_) == len(block) else block[open_]) @ q
+            if len(best) == k:
+                good = scores >= -best[-1][0]
+                open_, scores = open_[good], scores[good]
+            elif floor is not None:
+                good = scores >= floor
+                open_, scores = open_[good], scores[good]
+            if not len(open_):
                 continue
-            scores = self.x[rows] @ q
-            found = [(-int(s), self.ids[r]) for s, r in zip(scores, rows) if self.ids[r] != q_id]
+            rows = self.entries[node][open_].tolist()
+            found = [(-int(s), self.ids[r]) for s, r in zip(scores.tolist(), rows) if self.ids[r] != q_id]
             best = heapq.nsmallest(k, best + found)
             if len(best) == k:
                 bar = min(bar, math.sqrt(max(base + 2.0 * best[-1][0], 0.0)) + self.slack)
