@@ -8,6 +8,11 @@ the contexts have seen), the weights learn from every bit within a segment of a
 table refines the mixed prediction. A word behind the escape has the probability of its training
 count, mixed with that of its spelling, which other hashed-context bit predictors give byte by byte.
 
+Two parts adapt to what a text repeats. Where its last three tokens have stood in it before, a flag,
+whose chance adapts to the flags of the text, says whether the next token is as it was then. Words
+behind the escape come from an urn, to which each drawn word goes back with a copy. Either part is
+mixed half and half, text by text, with the same text scored without it.
+
 Spark counts the words and the context tables over all training documents; weights start from the mean
 of what they become over the tuning fold, training documents that the context tables leave out.
 """
@@ -24,7 +29,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from joblattice.llm.shared import as_bytes, crc_remainder, sharded, staged
@@ -44,6 +49,7 @@ class Spec:
     segment: int = 128
     block_tokens: int = 200_000
     rate: float = 0.01
+    urn: float = 32.0
     tuning_rate: float = 0.03
     refine: float = 0.02
 
@@ -56,6 +62,8 @@ ORDERS = 4
 #: What a spelling model's prediction weighs, by its order and by how much its context has seen.
 TRUST = np.array([[0, 1.4**k, 3 * 1.4**k] for k in range(ORDERS)], np.float32)
 SHARPEN = 1.2
+#: Hits and misses that the flags of a text are taken to have had: after none or a miss, after a hit.
+FLAGS = ((0.1, 2.0), (2.0, 0.2))
 
 
 def _hash(*parts: np.ndarray) -> np.ndarray:
@@ -172,6 +180,11 @@ class Block:
     starts: np.ndarray
     rare: list[Counter]
 
+    @property
+    def text(self) -> np.ndarray:
+        """The number of the text of each token."""
+        return np.repeat(np.arange(len(self.starts)), np.diff(np.append(self.starts, len(self.sym))))
+
 
 def tokens_of(texts: list[bytes], code: Code, keep_rare: bool) -> Block:
     parts, rare = [], []
@@ -300,7 +313,7 @@ class Mixer:
     weights: np.ndarray  # gates x inputs
 
     def run(self, block: Block, rate: float) -> tuple[np.ndarray, np.ndarray, int]:
-        """(log10 probability of each text's code bits, sum of the segments' last weights, number of segments).
+        """(log10 probability of each token's code, sum of the segments' last weights, number of segments).
 
         Segments are predicted side by side, each bit of all segments in one step; a segment starts
         from the common weights and learns from its own bits only, so results don't depend on which
@@ -308,8 +321,7 @@ class Mixer:
         """
         code, spec = self.code, self.spec
         e = events_of(block, code, spec)
-        text = np.repeat(np.arange(len(block.starts)), np.diff(np.append(block.starts, len(block.sym))))
-        place = np.arange(len(block.sym)) - block.starts[text]
+        place = np.arange(len(block.sym)) - block.starts[block.text]
         new = (place % spec.segment) == 0
         lane_of = np.cumsum(new) - 1
         lane = lane_of[e.token]
@@ -348,13 +360,75 @@ class Mixer:
             weights[at] = w + (rate * (y - p))[:, None] * x
             table[cell] = q + spec.refine * (y - q)
         chance = np.where(bit > 0, 0.5 * chance, 1 - 0.5 * chance)
-        total = np.bincount(lane, np.log10(np.maximum(chance[put], 1e-6), dtype=np.float64), minlength=lanes)
-        out = np.zeros(len(block.starts))
-        np.add.at(out, text[np.flatnonzero(new)], total)
+        modelled = np.log10(np.maximum(chance[put], 1e-6), dtype=np.float64)
+        out = np.bincount(e.token, modelled, minlength=len(block.sym)) + code.tail[block.sym]
         final_weights = weights.reshape(lanes, _GATES, _INPUTS).sum(axis=0, dtype=np.float64)
         return out, final_weights, lanes
 
 
+def text_scores(block: Block, logs: np.ndarray, escape: int) -> np.ndarray:
+    """log10 probability of each text from those of its tokens, with the flags for repeats mixed in.
+
+    The token after the last earlier place of the same three tokens is foretold; the escape never is.
+    The flags of a text are drawn from two urns of hits and misses, one for flags after a hit, so
+    their probability follows from counts alone.
+    """
+    plain = np.add.reduceat(logs, block.starts)
+    sym, text, n = block.sym, block.text, len(block.sym)
+    at = np.flatnonzero(np.arange(n) - block.starts[text] >= 3)
+    if not len(at):
+        return plain
+    shift = np.uint64(n.bit_length())
+    keys = _hash(text[at] + 1, sym[at - 1] + 1, sym[at - 2] + 1, sym[at - 3] + 1)
+    keys = np.sort((keys >> shift << shift) | at.astype(np.uint64))
+    same = np.flatnonzero((keys[1:] >> shift) == (keys[:-1] >> shift))
+    places = (keys & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
+    now, then = places[same + 1], places[same]
+    sure = (text[now] == text[then]) & (sym[then] != escape)
+    for back in (1, 2, 3):
+        sure &= sym[now - back] == sym[then - back]
+    now, then = now[sure], then[sure]
+    if not len(now):
+        return plain
+    order = np.argsort(now)
+    now, then = now[order], then[order]
+    owner, hit = text[now], sym[now] == sym[then]
+    after = np.zeros(len(now), np.int64)
+    after[1:] = hit[:-1] & (owner[1:] == owner[:-1])
+    flags = np.bincount(owner * 4 + after * 2 + hit, minlength=4 * len(plain)).reshape(-1, 2, 2)
+    told = plain - np.bincount(owner, logs[now] * hit, minlength=len(plain))
+    for i in np.unique(owner).tolist():
+        for (misses, hits), (a, b) in zip(flags[i].tolist(), FLAGS):
+            told[i] += (_log_beta(hits + a, misses + b) - _log_beta(a, b)) / math.log(10)
+    met = flags.any(axis=(1, 2))
+    both = np.logaddexp(plain * math.log(10), told * math.log(10)) / math.log(10) - math.log10(2)
+    return np.where(met, both, plain)
+
+
+def _log_beta(a: float, b: float) -> float:
+    return math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+
+
+def log_gamma(x: Column) -> Column:
+    """Natural logarithm of the gamma function of a positive column, by Stirling's series eight steps on."""
+    y, steps = x + 8, x
+    for j in range(1, 8):
+        steps = steps * (x + j)
+    series = 1 / (12 * y) - 1 / (360 * F.pow(y, F.lit(3.0))) + 1 / (1260 * F.pow(y, F.lit(5.0)))
+    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(steps)
+
+
+def log_rising(a: Column, n: Column) -> Column:
+    """log10 of a (a + 1) ... (a + n - 1)."""
+    return (log_gamma(a + n) - log_gamma(a)) / math.log(10)
+
+
+def log_mean(a: Column, b: Column) -> Column:
+    """log10 of the mean of two probabilities given by theirs."""
+    high = F.greatest(a, b)
+    return high + F.log10(0.5 + 0.5 * F.pow(F.lit(10.0), F.least(a, b) - high))
+
+
 def tune(docs: DataFrame, mixer: Mixer) -> np.ndarray:
     """The mean of the weights that the segments of ``docs`` end with; the given ones if there are none."""
     held, spec = docs.sparkSession.sparkContext.broadcast(mixer), mixer.spec
@@ -485,7 +559,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
             texts = as_bytes(batch.column(1))
             for a, b in sharded(np.array([len(t) // 5 + 1 for t in texts]), spec.block_tokens):
                 block = tokens_of(texts[a:b], model.code, True)
-                bits, _, _ = model.run(block, spec.rate)
+                logs, _, _ = model.run(block, spec.rate)
                 plain = block.sym != model.code.escape
                 add = lambda v: np.add.reduceat(v, block.starts)  # noqa: B023, E731
                 columns = [
@@ -495,7 +569,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
                     pa.array([len(t) for t in texts[a:b]], pa.int64()),
                     pa.array(add((plain & (known[block.sym] > 0)).astype(np.int64))),
                     pa.array(add(np.where(plain, base[block.sym], 0.0))),
-                    pa.array(bits + add(model.code.tail[block.sym])),
+                    pa.array(text_scores(block, logs, model.code.escape)),
                     pa.array([list(r.items()) for r in block.rare], pa.map_(pa.binary(), pa.int32())),
                 ]
                 row += b - a
@@ -522,14 +596,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
     spelled = others.mapInArrow(spelling, "word binary, c bigint, spell double")
     chance = F.greatest((1 - new) * F.col("c") / max(n_rare, 1) + new * F.pow(F.lit(10.0), F.col("spell")), F.lit(1e-300))
     spelled = spelled.select(
-        "word", (F.col("c") > 0).alias("seen"), (F.log10(F.col("c") + 1.0) - floor).alias("base"), F.log10(chance).alias("score")
+        "word", (F.col("c") > 0).alias("seen"), (F.log10(F.col("c") + 1.0) - floor).alias("base"), chance.alias("chance")
     )
     rare = scored.select("row", F.explode("rare").alias("word", "n")).join(spelled, "word")
     sums = rare.groupBy("row").agg(
         F.sum(F.when(F.col("seen"), F.col("n")).otherwise(0)).alias("more_known"),
         F.sum(F.col("n") * F.col("base")).alias("more_base"),
-        F.sum(F.col("n") * F.col("score")).alias("more_score"),
+        F.sum(F.col("n") * F.log10("chance")).alias("by_chance"),
+        F.sum(log_rising(F.col("chance") * spec.urn, F.col("n"))).alias("drawn"),
+        F.sum("n").alias("n_rare"),
     )
+    by_urn = F.col("drawn") - log_rising(F.lit(spec.urn), F.col("n_rare"))
+    sums = sums.withColumn("more_score", log_mean(F.col("by_chance"), by_urn))
     whole = scored.drop("rare").join(sums, "row", "left")
     total = F.col("bits") + F.coalesce("more_score", F.lit(0.0))
     return whole.select(

@@ -280,6 +280,52 @@ def test_lm_code_sums_to_one():
     assert chance == pytest.approx(1)
 
 
+def test_repeats_by_plain_steps():
+    r, escape = random.Random(6), 9
+    texts = [[r.randrange(4) for _ in range(n)] + [8] for n in (0, 2, 30, 200)] + [[1, 2, 3, 4, 5, 9] * 6 + [8], [0, 1, 2, 3, 4, 5, 8]]
+    logs = [[-r.random() - 0.1 for _ in t] for t in texts]
+    starts = np.cumsum([0] + [len(t) for t in texts[:-1]])
+    block = lm.Block(np.array(sum(texts, []), np.int32), starts, [])
+    found = lm.text_scores(block, np.array(sum(logs, [])), escape)
+    for text, log, score in zip(texts, logs, found):
+        seen, urns, told, last, flags = {}, [list(u) for u in lm.FLAGS], 0.0, 0, 0
+        for i, (s, v) in enumerate(zip(text, log)):
+            guess = seen.get(tuple(text[i - 3 : i])) if i >= 3 else None
+            if i >= 3:
+                seen[tuple(text[i - 3 : i])] = s
+            if guess is None or guess == escape:
+                told += v
+                continue
+            urn, hit = urns[last], guess == s
+            told += math.log10(urn[0 if hit else 1] / sum(urn)) + (0 if hit else v)
+            urn[0 if hit else 1] += 1
+            last, flags = int(hit), flags + 1
+        plain = sum(log)
+        assert score == pytest.approx(math.log10((10**plain + 10**told) / 2) if flags else plain, abs=1e-9)
+
+
+def test_urn_by_plain_steps(spark):
+    rows = [(1e-9, 1), (3e-4, 1), (0.2, 5), (2.0, 700)]
+    frame = spark.createDataFrame(rows, "a double, n int").select("a", "n", lm.log_rising(F.col("a"), F.col("n")).alias("x"))
+    for a, n, x in frame.collect():
+        assert x == pytest.approx(sum(math.log10(a + j) for j in range(n)), abs=1e-7)
+    mean = spark.range(1).select(lm.log_mean(F.lit(-400.0), F.lit(-2.0)), lm.log_mean(F.lit(-1.0), F.lit(-1.0))).first()
+    assert tuple(mean) == pytest.approx((-2 - math.log10(2), -1))
+
+
+def test_lm_repeats_cost_little(spark):
+    words = [f"w{i}" for i in range(300)]
+    r = random.Random(8)
+    texts = [" ".join(r.choice(words) for _ in range(60)) for _ in range(200)]
+    texts += ["w7 w3 w11 w3 w250 " * 40, " ".join(r.choice(words) for _ in range(200))]
+    held = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    train = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 7 != 2][:200]
+    frame = spark.createDataFrame(list(zip(train + held, texts)), "doc_id long, text string")
+    found = {x.doc_id: x for x in lm.score(frame).collect()}
+    assert found[held[0]].score > 0.2 * found[held[0]].base_score
+    assert found[held[1]].score > 1.2 * found[held[1]].base_score
+
+
 def test_pii_surrogates(spark):
     texts = [
         "Call Mr. John Smith or Mrs. Mary Smith: +1 (988) 555-2485, again 988 555 2485. Госпожа Иванова",
