@@ -76,13 +76,16 @@ def upsert(
 ) -> DataFrame:
     """``target`` with the rows of ``updates`` applied; keys of the target are unique.
 
-    On a match only ``update_columns`` change. A batch that passes the size check is broadcast and
+    On a match only ``update_columns`` change. Without ``order`` a key may occur once in the batch; a
+    second row of it is an error. A batch that passes the size check is broadcast and
     the target is neither shuffled nor sorted; a larger one is joined on the key. Write the result
     to a new place, never over the target it reads.
     """
     batch = fold_updates(updates.filter(_accepted(required or (key,))), key, order, update_columns)
     columns = target.columns
     batch = cut_lineage(batch)
+    if order is None and not batch.groupBy(key).count().filter("count > 1").isEmpty():
+        raise ValueError(f"rows of one {key} need an order to be applied in")
     joined = _upsert_small if is_small(batch) else _upsert_large
     merged = joined(target, batch, key, columns, update_columns)
     return merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])

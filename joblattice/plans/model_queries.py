@@ -142,6 +142,14 @@ def recommend_unigrams(t: Tables) -> DataFrame:
     return _shown(recommend.recommend(_queries(t), t.documents, "doc_id", "text", spec=tfidf.ON_THE_FLY))
 
 
+@query(f"WITH {_ranked(False, None)} SELECT query_id, rank, doc_id, round(score, 6) AS _similarity_score FROM recs")
+def recommend_stored(t: Tables) -> DataFrame:
+    """Ranking from a stored model that brings its own settings along."""
+    root = scratch_path(t.spark, "ranked-models")
+    models.build_and_save(t.documents, "doc_id", "text", root, "v1", tfidf.ON_THE_FLY)
+    return _shown(recommend.recommend(_queries(t), t.documents, "doc_id", "text", model=models.load(t.spark, root, "v1")))
+
+
 @query(f"""WITH {_ranked()}
 SELECT query_id, rank, doc_id, source, round(score, 6) AS _similarity_score,
     array_to_string(list_sort(list_distinct(list_filter({sql_skill_tokens('text')}, lambda w: list_contains({VOCAB!r}, w)))), ', ') AS skills

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from joblattice.constants import RAW_COLUMNS
 from joblattice.functions import values
-from joblattice.operators import clean, reports, rows, tables, validate
+from joblattice.operators import clean, reports, rows, runs, tables, validate
 from joblattice.plans import daily
 from joblattice.plans.catalog import Tables, query, sql_clean_text
 from joblattice.plans.text_queries import sql_keyword_skills
@@ -309,10 +309,19 @@ def api_first_empty(t: Tables) -> DataFrame:
     return hits.select(F.col("hit.id").cast("bigint").alias("o_orderkey"))
 
 
+def _limited(t: Tables, limit: int) -> DataFrame:
+    hits = pages.explode_hits(pages.limit_pages(landed_pages(t), limit))
+    return hits.select(F.col("hit.id").cast("bigint").alias("o_orderkey"))
+
+
 @query(f"{_FOUND} SELECT o_orderkey FROM found WHERE place <= 300")
 def location_limit(t: Tables) -> DataFrame:
-    hits = pages.limit_hits(pages.explode_hits(landed_pages(t)), 300)
-    return hits.select(F.col("hit.id").cast("bigint").alias("o_orderkey"))
+    return _limited(t, 300)
+
+
+@query(f"{_FOUND} SELECT o_orderkey FROM found WHERE place <= 5000")
+def location_limit_large(t: Tables) -> DataFrame:
+    return _limited(t, 5000)
 
 
 @query("""
@@ -402,6 +411,49 @@ def csv_round_trip(t: Tables) -> DataFrame:
     return files.read_csv(t.spark, path).select("job_id", "job_description", "source")
 
 
+@query("""
+SELECT job_id, job_description, source FROM (SELECT CAST(doc_id AS VARCHAR) AS job_id, text AS job_description, source FROM documents UNION ALL
+SELECT CAST(doc_id + 1000000000 AS VARCHAR), text, 'again' FROM documents WHERE doc_id % 2 = 1)""")
+def csv_folder(t: Tables) -> DataFrame:
+    """Two folders of CSV files with their columns in another order and ids in common: the first file's row stays."""
+    path = scratch_path(t.spark, "csv-folder")
+    named = t.documents.select(F.col("doc_id").cast("string").alias("job_id"), F.col("text").alias("job_description"), "source")
+    moved = (F.col("doc_id") + F.when(F.col("doc_id") % 2 == 1, 1000000000).otherwise(0)).cast("string").alias("job_id")
+    again = t.documents.select(F.lit("again").alias("source"), F.col("text").alias("job_description"), moved)
+    files.write_csv(named, f"{path}/a")
+    files.write_csv(again, f"{path}/b")
+    found = files.read_csv(t.spark, [f"{path}/a", f"{path}/b"], sequence="_seq")
+    return rows.keep_first(found, ["job_id"], "_seq").select("job_id", "job_description", "source")
+
+
+_LOG_COLUMNS = ["jobs_collected", "jobs_validated", "jobs_enriched", "jobs_vectorized", "jobs_inserted", "jobs_updated", "jobs_failed"]
+
+
+@query("""
+WITH docs AS (SELECT count(*) AS n FROM documents),
+stages AS (SELECT unnest(['collect', 'validate', 'enrich', 'vectorize', 'export']) AS stage,
+    unnest(['jobs_collected', 'jobs_validated', 'jobs_enriched', 'jobs_vectorized', 'jobs_inserted']) AS counter)
+SELECT stage, 'success' AS status, """ + ", ".join(f"CASE counter WHEN '{c}' THEN n ELSE 0 END AS {c}" for c in _LOG_COLUMNS) + """,
+    CAST(1 AS BIGINT) AS total_runs, CAST(0 AS BIGINT) AS failed_runs, CAST(0 AS DOUBLE) AS failure_rate FROM stages, docs""")
+def batch_log(t: Tables) -> DataFrame:
+    """The log that a day over the documents writes, folded to one row a stage, beside its failure rates."""
+    name = lambda c: F.struct(c.alias("display_name"))
+    key = F.col("doc_id").cast("string")
+    hit = F.struct(
+        key.alias("id"), F.lit("Document in prose").alias("title"), F.lit("2026-01-05T00:00:00Z").alias("created"),
+        F.col("text").alias("description"), F.concat(F.lit("http://docs.example/"), key).alias("redirect_url"),
+        name(F.col("source")).alias("company"), name(F.col("lang")).alias("location"), *[F.lit(None).cast("double").alias(f"salary_{x}") for x in ("min", "max")],
+        F.lit(None).cast("string").alias("salary_currency"),
+    )
+    page = (F.col("doc_id") + 1).cast("int").alias("page")
+    landed = t.documents.select(F.col("source").alias("query"), F.col("lang").alias("location"), page, F.array(hit).alias("results"))
+    day = daily.Day(t.spark, scratch_path(t.spark, "daily-texts"), datetime(2026, 1, 8, 0, 30), limit=10**9)
+    daily.run_day(day, landed)
+    log = runs.current_runs(day.runs_log())
+    rates = reports.failure_rate(log, F.current_date())
+    return log.select("stage", "status", *_LOG_COLUMNS).join(rates, "stage")
+
+
 @query("""
 SELECT 'Clerk of ' || o_orderpriority AS job_title, 'Customer ' || o_custkey AS company_name,
     CASE o_orderpriority WHEN '1-URGENT' THEN '1-Urgent' WHEN '2-HIGH' THEN '2-High' WHEN '3-MEDIUM' THEN '3-Medium'

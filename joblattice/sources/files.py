@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,10 +14,28 @@ from joblattice.operators.tables import with_month
 from joblattice.schemas import RAW_JOBS
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_JOBS) -> DataFrame:
-    """UTF-8 CSV with a header; columns are matched to the schema by name, empty fields are null."""
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_JOBS, sequence: str | None = None) -> DataFrame:
+    """UTF-8 CSV with a header; columns are matched to the schema by name, empty fields are null.
+
+    Every file goes by its own header, which stands in one line; files with equal headers are read
+    together. ``sequence`` adds a column that orders rows by file and position in the file.
+    """
+    lines = spark.read.text(path).where("_metadata.file_block_start = 0")
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    kinds = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
     reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-    return align_schema(reader.csv(path), schema)
+    parts = [path] if len(kinds) < 2 else [[unquote(f) for f in kind.files] for kind in kinds]
+    fields, out = list(schema.fields), []
+    if sequence:
+        fields.append(T.StructField(sequence, T.StructType().add("file", T.StringType()).add("row", T.LongType())))
+    for part in parts:
+        rows = reader.csv(part)
+        if sequence:
+            order = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
+            rows = rows.withColumn(sequence, order)
+        out.append(align_schema(rows, T.StructType(fields)))
+    return reduce(DataFrame.unionByName, out)
 
 
 def with_sequence(df: DataFrame, name: str = "_seq") -> DataFrame:

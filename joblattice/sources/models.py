@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import time
+from dataclasses import asdict
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +39,7 @@ def build_and_save(
     The term counts are written first, straight from the rows of the texts, and read by all later
     steps; the only shuffle by document is that of the weighted terms the vocabulary has kept.
     """
+    _write_spec(docs.sparkSession, root, version, spec, lemmas is not None)
     counts = _write(tfidf.term_counts(docs, key, text, spec, lemmas, placed=False), root, "counts", version)
     totals = _write(tfidf.corpus_counts(counts), root, "totals", version)
     return _save_from_counts(counts, totals, docs, root, version, spec)
@@ -50,14 +53,20 @@ def update_and_save(
     root: str,
     old_version: str,
     version: str,
-    spec: tfidf.Spec = tfidf.STORED,
+    spec: tfidf.Spec | None = None,
     lemmas: DataFrame | None = None,
 ) -> tfidf.Model:
     """A new version in which only the texts of ``changed`` are read again; ``docs`` is only counted.
 
-    The earlier version's counts stay as they are; ``changed`` holds new and edited documents.
+    The earlier version's counts stay as they are, and so do its settings unless others are given;
+    ``changed`` holds new and edited documents.
     """
     spark = docs.sparkSession
+    before, with_lemmas = stored_spec(spark, root, old_version)
+    if with_lemmas != (lemmas is not None):
+        raise ValueError("the earlier version was made " + ("with" if with_lemmas else "without") + " lemmas")
+    spec = before if spec is None else spec
+    _write_spec(spark, root, version, spec, with_lemmas)
     old_counts = spark.read.parquet(part_path(root, "counts", old_version))
     old_totals = spark.read.parquet(part_path(root, "totals", old_version))
     fresh = tfidf.term_counts(changed, key, text, spec, lemmas, placed=False)
@@ -75,13 +84,26 @@ def _save_from_counts(counts, totals, docs, root, version, spec) -> tfidf.Model:
     return tfidf.Model(vocab, postings, spec)
 
 
-def load(spark: SparkSession, root: str, version: str, spec: tfidf.Spec = tfidf.STORED) -> tfidf.Model:
-    """A stored version as it lies, right for a few queries: only scores of matching documents move.
+def _write_spec(spark: SparkSession, root: str, version: str, spec: tfidf.Spec, with_lemmas: bool) -> None:
+    row = spark.range(1).select(F.lit(json.dumps(asdict(spec))).alias("spec"), F.lit(with_lemmas).alias("with_lemmas"))
+    _write(row, root, "spec", version)
+
+
+def stored_spec(spark: SparkSession, root: str, version: str) -> tuple[tfidf.Spec, bool]:
+    """(settings of a stored version, whether lemmas were used); queries need the same lemmas."""
+    row = spark.read.parquet(part_path(root, "spec", version)).first()
+    values = json.loads(row["spec"])
+    lists = {k: tuple(v) for k, v in values.items() if isinstance(v, list)}
+    return tfidf.Spec(**{**values, **lists}), row["with_lemmas"]
+
+
+def load(spark: SparkSession, root: str, version: str, spec: tfidf.Spec | None = None) -> tfidf.Model:
+    """A stored version with its settings, right for a few queries: only scores of matching documents move.
 
     For many queries take it from ``ModelCache``, which places the postings by document once.
     """
     vocab, postings = (spark.read.parquet(part_path(root, part, version)) for part in ("vocab", "postings"))
-    return tfidf.Model(vocab, postings, spec)
+    return tfidf.Model(vocab, postings, stored_spec(spark, root, version)[0] if spec is None else spec)
 
 
 def registry_row(
@@ -125,14 +147,14 @@ class ModelCache:
         self._spark, self._root, self._ttl, self._clock = spark, root, ttl_seconds, clock
         self._held: dict[str, tuple[float, tfidf.Model]] = {}
 
-    def get(self, version: str, spec: tfidf.Spec = tfidf.STORED) -> tfidf.Model:
+    def get(self, version: str, spec: tfidf.Spec | None = None) -> tfidf.Model:
         held = self._held.get(version)
         if held and self._clock() - held[0] < self._ttl:
             return held[1]
         self.invalidate(version)
         stored = load(self._spark, self._root, version, spec)
         level = StorageLevel.MEMORY_AND_DISK
-        model = tfidf.Model(stored.vocab.persist(level), stored.postings.repartition(tfidf.DOC).persist(level), spec)
+        model = tfidf.Model(stored.vocab.persist(level), stored.postings.repartition(tfidf.DOC).persist(level), stored.spec)
         self._held[version] = (self._clock(), model)
         return model
 

@@ -159,7 +159,7 @@ def test_cleaned_stream_keeps_valid_rows(spark, landed, folder):
     clean = flows.clean_job_stream(raw, F.lit("2026-01-10").cast("date"))
     flows.drain(clean, f"{folder}/out", f"{folder}/progress")
     rows = flows.read_drained(spark, f"{folder}/out", clean.schema).collect()
-    assert len(rows) == 8 and {r["location"] for r in rows} == {"Paris"} and all(r["_seq"] >= 0 for r in rows)
+    assert len(rows) == 8 and {r["location"] for r in rows} == {"Paris"} and all(r["_seq"].page > 0 for r in rows)
     applied = flows.current_table(spark.createDataFrame([], clean.drop("_seq").schema), flows.read_drained(spark, f"{folder}/out", clean.schema))
     assert applied.count() == 6
 
@@ -204,3 +204,45 @@ def test_csv_keeps_edge_blanks(spark, folder):
     df = spark.createDataFrame([("x", "  lead and trail  ")], "job_id string, job_title string")
     files.write_csv(df, f"{folder}/csv")
     assert files.read_csv(spark, f"{folder}/csv", df.schema).first().job_title == "  lead and trail  "
+
+
+def test_many_searches_keep_their_order(spark):
+    rows = [(f"q{i}", "Paris", p, [hit(1000 * i + 10 * p + j) for j in range(5)]) for i in range(300) for p in (1, 2)]
+    frame = spark.createDataFrame(rows, API_PAGE)
+    out = pages.collect_jobs(frame, 7, locations=["Paris"])
+    assert out.count() == out.select("_seq").distinct().count() == 300 * 7
+    first = [r.url for r in out.orderBy("_seq").limit(7).collect()]
+    assert [u.rsplit("/", 1)[-1] for u in first] == [str(x) for x in (10, 11, 12, 13, 14, 20, 21)]
+
+
+def test_cut_pages(spark):
+    rows = [("a", None, p, [hit(100 * p + j) for j in range(3)]) for p in (1, 2, 5000)]
+    rows += [("a", None, 2, [hit(900), hit(901)]), ("b", "x", 1, [hit(1)]), ("c", "x", None, [hit(7)] * 4), ("d", "x", 1, None)]
+    frame = spark.createDataFrame(rows, API_PAGE)
+
+    def sizes(limit):
+        hits = pages.explode_hits(pages.limit_pages(frame, limit))
+        return {r["query"]: r["count"] for r in hits.groupBy("query").count().collect()}
+
+    for limit in (0, 1, 3, 4, 7, 8, 9, 11, 50):
+        assert sizes(limit) == {q: min(n, limit) for q, n in (("a", 11), ("b", 1), ("c", 4)) if limit}
+
+
+def test_upsert_refuses_unordered_repeats(spark):
+    from joblattice.operators import tables
+
+    target = spark.createDataFrame([("a", 1)], "k string, n int")
+    with pytest.raises(ValueError):
+        tables.upsert(target, spark.createDataFrame([("b", 1), ("b", 2)], "k string, n int"), "k", None, ["n"])
+
+
+def test_stored_models_bring_their_settings(spark, folder):
+    from joblattice.operators import tfidf
+    from joblattice.sources import models
+
+    spec = tfidf.Spec(max_features=None, ngram_range=(1, 1), sublinear_tf=True, stopwords=("the",))
+    docs = spark.createDataFrame([(1, "the cat cat sat"), (2, "the dog")], "job_id int, job_description string")
+    models.build_and_save(docs, "job_id", "job_description", folder, "v1", spec)
+    assert models.load(spark, folder, "v1").spec == spec
+    models.update_and_save(docs, docs.limit(0), "job_id", "job_description", folder, "v1", "v2")
+    assert models.stored_spec(spark, folder, "v2") == (spec, False)

@@ -16,7 +16,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no supplied t
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_its_sql(spark, name):
-    assert compare(spark, FOLDER, name).startswith("ok")
+    """Queries without SQL only have to run here; other tests hold them against plain versions."""
+    assert compare(spark, FOLDER, name).startswith("ok" if name in entry.oracle_sql() else "rows only")
 
 
 def test_entry(spark):
