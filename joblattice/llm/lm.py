@@ -423,6 +423,18 @@ def log_rising(a: Column, n: Column) -> Column:
     return (log_gamma(a + n) - log_gamma(a)) / math.log(10)
 
 
+def log_drawn(chance: Column, urn: float, n: Column) -> Column:
+    """``log_rising`` of the urn's share of a word, whose chance is given by its log10 and may be below any double."""
+    share = F.pow(F.lit(10.0), chance) * urn
+    return chance + math.log10(urn) + log_rising(share + 1, n - 1)
+
+
+def log_sum(a: Column, b: Column) -> Column:
+    """log10 of the sum of two probabilities given by theirs."""
+    high = F.greatest(a, b)
+    return high + F.log10(1 + F.pow(F.lit(10.0), F.least(a, b) - high))
+
+
 def log_mean(a: Column, b: Column) -> Column:
     """log10 of the mean of two probabilities given by theirs."""
     high = F.greatest(a, b)
@@ -594,7 +606,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
     marked = spark.createDataFrame([(w,) for w, _ in rows], "word binary") if rows else None
     others = vocabulary.join(F.broadcast(marked), "word", "left_anti") if rows else vocabulary
     spelled = others.mapInArrow(spelling, "word binary, c bigint, spell double")
-    chance = F.greatest((1 - new) * F.col("c") / max(n_rare, 1) + new * F.pow(F.lit(10.0), F.col("spell")), F.lit(1e-300))
+    by_spelling = math.log10(new) + F.col("spell")
+    by_count = F.log10((1 - new) * F.col("c") / max(n_rare, 1))
+    chance = F.when(F.col("c") > 0, log_sum(by_count, by_spelling)).otherwise(by_spelling)  # a logarithm: long words underflow
     spelled = spelled.select(
         "word", (F.col("c") > 0).alias("seen"), (F.log10(F.col("c") + 1.0) - floor).alias("base"), chance.alias("chance")
     )
@@ -602,8 +616,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
     sums = rare.groupBy("row").agg(
         F.sum(F.when(F.col("seen"), F.col("n")).otherwise(0)).alias("more_known"),
         F.sum(F.col("n") * F.col("base")).alias("more_base"),
-        F.sum(F.col("n") * F.log10("chance")).alias("by_chance"),
-        F.sum(log_rising(F.col("chance") * spec.urn, F.col("n"))).alias("drawn"),
+        F.sum(F.col("n") * F.col("chance")).alias("by_chance"),
+        F.sum(log_drawn(F.col("chance"), spec.urn, F.col("n"))).alias("drawn"),
         F.sum("n").alias("n_rare"),
     )
     by_urn = F.col("drawn") - log_rising(F.lit(spec.urn), F.col("n_rare"))

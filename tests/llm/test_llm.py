@@ -313,6 +313,21 @@ def test_urn_by_plain_steps(spark):
     assert tuple(mean) == pytest.approx((-2 - math.log10(2), -1))
 
 
+def test_lm_long_words_cost_by_length(spark):
+    r = random.Random(9)
+    held = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
+    train = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 7 != 2][:50]
+    texts = [" ".join(f"w{r.randrange(100)}" for _ in range(50)) for _ in train]
+    long = ["".join(r.choice("abcdefghijklmnop") for _ in range(n)) for n in (2_000, 20_000)]
+    texts += [*long, f"{long[1]} {long[1]}"]
+    frame = spark.createDataFrame(list(zip(train + held, texts)), "doc_id long, text string")
+    found = {x.doc_id: x for x in lm.score(frame).collect()}
+    short, whole, twice = (found[i] for i in held)
+    assert short.score < -1_000 and whole.score == pytest.approx(10 * short.score, rel=0.05)
+    assert whole.bits_per_byte == pytest.approx(short.bits_per_byte, rel=0.05)
+    assert 2 * whole.score < twice.score < whole.score
+
+
 def test_lm_repeats_cost_little(spark):
     words = [f"w{i}" for i in range(300)]
     r = random.Random(8)
