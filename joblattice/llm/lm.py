@@ -14,7 +14,7 @@ behind the escape come from an urn, to which each drawn word goes back with a co
 mixed half and half, text by text, with the same text scored without it.
 
 Spark counts the words and the context tables over all training documents; weights start from the mean
-of what they become over the tuning fold, training documents that the context tables leave out.
+of what they become over the tuning fold, training documents that the context tables leave out until then.
 """
 
 from __future__ import annotations
@@ -270,6 +270,12 @@ def add_tables(parts: DataFrame, sizes: dict[int, int]) -> dict[int, np.ndarray]
     return out
 
 
+def add_counts(table: np.ndarray, more: np.ndarray) -> None:
+    """Add counts in place, up to the largest number a table holds."""
+    np.minimum(table, np.iinfo(np.int32).max - more, out=table)
+    table += more
+
+
 def _tally(slots: np.ndarray, bits: np.ndarray, table: np.ndarray) -> None:
     size = table.shape[1]
     table += np.bincount(slots + size * bits.astype(np.int32), minlength=2 * size).reshape(2, size).astype(table.dtype)
@@ -555,9 +561,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
     code = Code([w for w, _ in rows], [c for _, c in rows], ends, n_rare, spec.code_bits)
     tables = context_tables(slim.where(training & (F.col("fold") != TUNING)), code, spec)
     both = [_stretched(tables[k]) for k in range(2)]
+    tuning = slim.where(F.col("fold") == TUNING)
     start = np.tile(np.array([0.3, 0.4, 0.4]), (_GATES, 1))
     mixer = Mixer(code, spec, tuple(s for s, _ in both), tuple(n for _, n in both), start)
-    mixer.weights = tune(slim.where(F.col("fold") == TUNING), mixer)
+    mixer.weights = tune(tuning, mixer)
+    # the weights are settled; scoring knows the contexts of all training documents
+    for k, more in context_tables(tuning, code, spec).items():
+        add_counts(tables[k], more)
+    both = [_stretched(tables[k]) for k in range(2)]
+    mixer.stretch, mixer.seen = tuple(s for s, _ in both), tuple(n for _, n in both)
 
     held = spark.sparkContext.broadcast(mixer)
     known = np.array([c for _, c in rows] + [ends, 0], np.int64)

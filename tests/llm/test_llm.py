@@ -313,6 +313,25 @@ def test_urn_by_plain_steps(spark):
     assert tuple(mean) == pytest.approx((-2 - math.log10(2), -1))
 
 
+def test_lm_learns_contexts_of_the_tuning_fold(spark):
+    fold = lambda k: [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 7 == k]
+    r, words = random.Random(10), [f"w{i}" for i in range(64)]
+    cycle = words[:]
+    r.shuffle(cycle)  # one order of words, met in the tuning fold alone
+    mixed = lambda: " ".join(r.choice(words) for _ in range(64))
+    rows = [(i, mixed()) for i in fold(0)[:100]] + [(i, " ".join(cycle)) for i in fold(lm.TUNING)[:100]]
+    rows += [(fold(lm.HELD_OUT)[0], " ".join(cycle)), (fold(lm.HELD_OUT)[1], " ".join(sorted(cycle)))]
+    found = {x.doc_id: x for x in lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    known, other = (found[i].score for i in fold(lm.HELD_OUT)[:2])
+    assert known > 0.8 * other
+
+
+def test_counts_stay_in_range():
+    table = np.array([[1, 2_000_000_000]], np.int32)
+    lm.add_counts(table, np.array([[4, 2_000_000_000]], np.int32))
+    assert table.tolist() == [[5, 2**31 - 1]]
+
+
 def test_lm_long_words_cost_by_length(spark):
     r = random.Random(9)
     held = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
