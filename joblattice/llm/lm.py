@@ -1,11 +1,11 @@
 """Text probability by online logistic mixing of hashed-context bit predictors.
 
 A text is its lower-cased words and one end. Tokens are written in a Huffman code over a bounded table of
-frequent words, the end and an escape for all other words. The first bits of a code are predicted by
-several models: the code's own statistics, and counts under hashes of the last one and the last two
-tokens. Their predictions are mixed in the logistic domain by weights that a gate selects (how much
-the contexts have seen), the weights learn from every bit within a segment of a text, and an adaptive
-table refines the mixed prediction. A word behind the escape has the probability of its training
+frequent words, the end and an escape for all other words. Every bit of a code is predicted by
+several models: the code's own statistics, counts under hashes of the last one and the last two
+tokens, and a constant. Their predictions are mixed in the logistic domain by weights that a gate
+selects (how much the contexts have seen), the weights learn from every bit of a text from its first
+to its last, and an adaptive table refines the mixed prediction. A word behind the escape has the probability of its training
 count, mixed with that of its spelling, which other hashed-context bit predictors give byte by byte.
 
 Two parts adapt to what a text repeats. Where its last three tokens have stood in it before, a flag,
@@ -39,14 +39,16 @@ FOLDS, HELD_OUT, TUNING = 7, 2, 3
 
 @dataclass(frozen=True)
 class Spec:
-    """``max_frequent`` words of at most ``max_bytes`` bytes make the table that tasks hold in memory."""
+    """``max_frequent`` words of at most ``max_bytes`` bytes make the table that tasks hold in memory.
+
+    ``code_bits`` bounds the bits of a code that are modelled; by default all are.
+    """
 
     max_frequent: int = 131_072
     max_bytes: int = 40
-    code_bits: int = 4
+    code_bits: int | None = None
     table_bits: int = 20
     spell_bits: int = 18
-    segment: int = 128
     block_tokens: int = 200_000
     rate: float = 0.01
     urn: float = 32.0
@@ -55,7 +57,9 @@ class Spec:
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_GATES, _INPUTS, _BUCKETS = 9, 3, 33
+_GATES, _INPUTS, _BUCKETS = 9, 4, 33
+#: What the constant input says, and the number of texts below which each is gone through by itself.
+_BIAS, _NARROW = 0.3, 24
 _CHUNK = 1 << 14
 #: Bytes back that the spelling models look.
 ORDERS = 4
@@ -128,9 +132,9 @@ def frequent_words(vocabulary: DataFrame, spec: Spec) -> list[tuple[bytes, int]]
 
 
 class Code:
-    """Huffman codes of the frequent words, the end and the escape; only the first bits are modelled."""
+    """Huffman codes of the frequent words, the end and the escape; ``bits`` bounds the modelled bits of each."""
 
-    def __init__(self, words: list[bytes], counts: list[int], ends: int, others: int, bits: int):
+    def __init__(self, words: list[bytes], counts: list[int], ends: int, others: int, bits: int | None = None):
         self.index = {w: i for i, w in enumerate(words)}
         self.end, self.escape = len(words), len(words) + 1
         weight = [float(c) + 1.0 for c in (*counts, ends, others)]
@@ -145,30 +149,33 @@ class Code:
             heapq.heappush(heap, (a + b, len(weight) - 1))
         n = len(words) + 2
         self.length = np.zeros(n, np.int64)  # modelled bits of each symbol
-        self.tail = np.zeros(n)  # log10 of what the bits beyond have by the counts alone
-        self.chance = np.full(1 << bits, 0.5)
+        self.tail = np.zeros(n)  # log10 of what bits beyond the bound have by the counts alone
+        chance: list[float] = []  # of a one at each node that is modelled, numbered as they are met
         paths: list[tuple] = [()] * n
-        todo = [(heap[0][1], 1, 0, 0.0, ())]
+        todo = [(heap[0][1], 0, 0.0, ())]
         while todo:
-            at, number, depth, tail, path = todo.pop()
+            at, depth, tail, path = todo.pop()
             if left[at] < 0:
                 self.length[at] = len(path)
                 self.tail[at] = tail
                 paths[at] = path
                 continue
             one = weight[right[at]] / weight[at]
-            if depth < bits:
-                self.chance[number] = one
+            modelled = bits is None or depth < bits
+            number = len(chance)
+            if modelled:
+                chance.append(one)
             for child, b, p in ((left[at], 0, 1 - one), (right[at], 1, one)):
-                if depth < bits:
-                    todo.append((child, 2 * number + b, depth + 1, 0.0, (*path, (number, b))))
+                if modelled:
+                    todo.append((child, depth + 1, 0.0, (*path, (number, b))))
                 else:
-                    todo.append((child, 0, depth + 1, tail + math.log10(p), path))
-        # all ways one after the other: numbers of the nodes, heap fashion, and the bits taken there
+                    todo.append((child, depth + 1, tail + math.log10(p), path))
+        # all ways one after the other: numbers of the nodes, and the bits taken there
         self.first = np.cumsum(self.length) - self.length
         self.node = np.array([v for path in paths for v, _ in path], np.int32)
         self.bit = np.array([b for path in paths for _, b in path], np.int8)
-        self.mark = _hash(np.arange(1 << bits) + 1)
+        self.chance = np.array(chance)
+        self.mark = _hash(np.arange(len(chance)) + 1)
         self.own = np.log(self.chance / (1 - self.chance)).astype(np.float32)
 
 
@@ -319,19 +326,16 @@ class Mixer:
     weights: np.ndarray  # gates x inputs
 
     def run(self, block: Block, rate: float) -> tuple[np.ndarray, np.ndarray, int]:
-        """(log10 probability of each token's code, sum of the segments' last weights, number of segments).
+        """(log10 probability of each token's code, sum of the texts' last weights, number of texts).
 
-        Segments are predicted side by side, each bit of all segments in one step; a segment starts
-        from the common weights and learns from its own bits only, so results don't depend on which
-        texts a task happens to hold.
+        Texts are predicted side by side, each bit of all texts in one step, and the longest, when few
+        are left, one after the other; a text starts from the common weights and learns from all of
+        its own bits and no others, so results don't depend on which texts a task happens to hold.
         """
         code, spec = self.code, self.spec
         e = events_of(block, code, spec)
-        place = np.arange(len(block.sym)) - block.starts[block.text]
-        new = (place % spec.segment) == 0
-        lane_of = np.cumsum(new) - 1
-        lane = lane_of[e.token]
-        lanes = int(lane_of[-1]) + 1 if len(lane_of) else 0
+        lane = block.text[e.token]
+        lanes = len(block.starts)
         size = np.bincount(lane, minlength=lanes)
         order = np.argsort(-size, kind="stable")
         rank = np.empty(lanes, np.int64)
@@ -340,22 +344,25 @@ class Mixer:
         active = np.bincount(time, minlength=1)
         begin = np.cumsum(active) - active
         put = begin[time] + rank[lane]
-        inputs = np.empty((len(lane), _INPUTS), np.float32)
+        del lane, time
+        inputs = np.empty((len(put), _INPUTS), np.float32)
         inputs[put, 0] = code.own[e.node]
         inputs[put, 1] = self.stretch[0][e.slots[0]]
         inputs[put, 2] = self.stretch[1][e.slots[1]]
-        gate = np.empty(len(lane), np.int32)
+        inputs[:, 3] = _BIAS
+        gate = np.empty(len(put), np.int32)
         gate[put] = self.seen[0][e.slots[0]] * 3 + self.seen[1][e.slots[1]]
-        bit = np.empty(len(lane), np.float32)
+        bit = np.empty(len(put), np.float32)
         bit[put] = e.bit
-        weights = np.repeat(self.weights[None].astype(np.float32), lanes, axis=0).reshape(-1, _INPUTS)
-        centre = (np.arange(_BUCKETS, dtype=np.float32) - _BUCKETS // 2) / 2
+        weights = np.repeat(self.weights[None].astype(np.float64), lanes, axis=0).reshape(-1, _INPUTS)
+        centre = (np.arange(_BUCKETS) - _BUCKETS // 2) / 2
         table = np.tile(1 / (1 + np.exp(-centre)), lanes)
         w_base, t_base = np.arange(lanes) * _GATES, np.arange(lanes) * _BUCKETS
-        chance = np.empty(len(lane), np.float32)
-        for a, m in zip(begin.tolist(), active.tolist()):
+        chance = np.empty(len(put))
+        wide = int(np.searchsorted(-active, -_NARROW, side="right"))
+        for a, m in zip(begin[:wide].tolist(), active[:wide].tolist()):
             part = slice(a, a + m)
-            x, y = inputs[part], bit[part]
+            x, y = inputs[part].astype(np.float64), bit[part]
             at = w_base[:m] + gate[part]
             w = weights.take(at, axis=0)
             z = np.minimum(np.maximum(np.einsum("ij,ij->i", x, w), -7.9), 7.9)
@@ -365,11 +372,35 @@ class Mixer:
             chance[part] = p + q
             weights[at] = w + (rate * (y - p))[:, None] * x
             table[cell] = q + spec.refine * (y - q)
+        weights, table = weights.reshape(lanes, _GATES, _INPUTS), table.reshape(lanes, _BUCKETS)
+        for i in range(int(active[wide]) if wide < len(active) else 0):
+            rest = begin[wide : size[order[i]]] + i
+            chance[rest], weights[i], table[i] = _alone(
+                inputs[rest], bit[rest], gate[rest], weights[i], table[i], rate, spec.refine
+            )
         chance = np.where(bit > 0, 0.5 * chance, 1 - 0.5 * chance)
-        modelled = np.log10(np.maximum(chance[put], 1e-6), dtype=np.float64)
+        modelled = np.log10(np.maximum(chance[put], 1e-6))
         out = np.bincount(e.token, modelled, minlength=len(block.sym)) + code.tail[block.sym]
-        final_weights = weights.reshape(lanes, _GATES, _INPUTS).sum(axis=0, dtype=np.float64)
-        return out, final_weights, lanes
+        return out, weights.sum(axis=0), lanes
+
+
+def _alone(inputs, bits, gates, weights, table, rate: float, refine: float) -> tuple[list, list, list]:
+    """The steps of ``Mixer.run`` for the bits of one text: (sums of both chances, weights, table)."""
+    weights, table, out, half = weights.tolist(), table.tolist(), [], _BUCKETS // 2 + 0.5
+    for at in range(0, len(bits), _CHUNK):
+        part = slice(at, at + _CHUNK)
+        for (a, b, c, d), y, gate in zip(inputs[part].tolist(), bits[part].tolist(), gates[part].tolist()):
+            w = weights[gate]
+            wa, wb, wc, wd = w
+            z = min(max(a * wa + b * wb + c * wc + d * wd, -7.9), 7.9)
+            p = 1 / (1 + math.exp(-z))
+            cell = int(2 * z + half)
+            q = table[cell]
+            out.append(p + q)
+            step = rate * (y - p)
+            weights[gate] = (wa + step * a, wb + step * b, wc + step * c, wd + step * d)
+            table[cell] = q + refine * (y - q)
+    return out, weights, table
 
 
 def text_scores(block: Block, logs: np.ndarray, escape: int) -> np.ndarray:
@@ -448,7 +479,7 @@ def log_mean(a: Column, b: Column) -> Column:
 
 
 def tune(docs: DataFrame, mixer: Mixer) -> np.ndarray:
-    """The mean of the weights that the segments of ``docs`` end with; the given ones if there are none."""
+    """The mean of the weights that the texts of ``docs`` end with; the given ones if there are none."""
     held, spec = docs.sparkSession.sparkContext.broadcast(mixer), mixer.spec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -562,7 +593,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
     tables = context_tables(slim.where(training & (F.col("fold") != TUNING)), code, spec)
     both = [_stretched(tables[k]) for k in range(2)]
     tuning = slim.where(F.col("fold") == TUNING)
-    start = np.tile(np.array([0.3, 0.4, 0.4]), (_GATES, 1))
+    start = np.tile(np.array([0.3, 0.4, 0.4, 0.0]), (_GATES, 1))
     mixer = Mixer(code, spec, tuple(s for s, _ in both), tuple(n for _, n in both), start)
     mixer.weights = tune(tuning, mixer)
     # the weights are settled; scoring knows the contexts of all training documents

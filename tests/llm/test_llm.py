@@ -313,6 +313,46 @@ def test_urn_by_plain_steps(spark):
     assert tuple(mean) == pytest.approx((-2 - math.log10(2), -1))
 
 
+def _mixer(n_words: int, seed: int) -> lm.Mixer:
+    r = np.random.default_rng(seed)
+    spec = lm.Spec(table_bits=12)
+    code = lm.Code([b"w%d" % i for i in range(n_words)], r.integers(2, 50, n_words).tolist(), 40, 9, spec.code_bits)
+    both = [lm._stretched(r.integers(0, 9, (2, 1 << 12))) for _ in range(2)]
+    start = np.tile(np.array([0.3, 0.4, 0.4, 0.1]), (lm._GATES, 1))
+    return lm.Mixer(code, spec, tuple(s for s, _ in both), tuple(n for _, n in both), start)
+
+
+def test_lm_models_every_bit():
+    code = _mixer(3000, 1).code
+    assert (code.length > 8).any() and (code.tail == 0).all()
+    assert len(code.chance) == 3001 and (0.5 ** code.length.astype(float)).sum() == pytest.approx(1)
+
+
+def test_lm_weights_live_through_a_text(monkeypatch):
+    mixer, r = _mixer(300, 2), random.Random(3)
+    texts = [b" ".join(b"w%d" % r.randrange(300) for _ in range(n)) for n in (0, 3, 700, 40, 90, 350)]
+    block = lm.tokens_of(texts, mixer.code, False)
+    found, weights, n = mixer.run(block, 0.01)
+    e, own = lm.events_of(block, mixer.code, mixer.spec), mixer.code.own
+    plain, ends, w = np.zeros(len(block.sym)), np.zeros((lm._GATES, lm._INPUTS)), None
+    for token, node, bit, one, two in zip(e.token, e.node, e.bit, *e.slots):
+        if w is None or block.text[token] != text:
+            ends += 0 if w is None else w
+            text, w, table = block.text[token], mixer.weights.copy(), 1 / (1 + np.exp(-(np.arange(33) - 16) / 2))
+        x = np.array([own[node], mixer.stretch[0][one], mixer.stretch[1][two], 0.3], float)
+        gate = mixer.seen[0][one] * 3 + mixer.seen[1][two]
+        z = np.clip(x @ w[gate], -7.9, 7.9)
+        p, cell = 1 / (1 + np.exp(-z)), int(2 * z + 16.5)
+        mixed = (p + table[cell]) / 2
+        plain[token] += math.log10(mixed if bit else 1 - mixed)
+        w[gate] += 0.01 * (bit - p) * x
+        table[cell] += mixer.spec.refine * (bit - table[cell])
+    assert found == pytest.approx(plain) and weights == pytest.approx(ends + w) and n == len(texts)
+    monkeypatch.setattr(lm, "_NARROW", 2)
+    again, weights, _ = mixer.run(block, 0.01)
+    assert again == pytest.approx(plain) and weights == pytest.approx(ends + w)
+
+
 def test_lm_learns_contexts_of_the_tuning_fold(spark):
     fold = lambda k: [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 7 == k]
     r, words = random.Random(10), [f"w{i}" for i in range(64)]
