@@ -30,7 +30,7 @@ KINDS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     "aws_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     "password": r"(?<=[Pp]assword[=:])[^\s\"',;]{4,}",
-    "token": r"(?<![0-9A-Za-z])(?=[0-9a-f]*\d)[0-9a-f]{32,64}(?![0-9A-Za-z])",
+    "token": r"(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*\d)[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "card": r"(?<![\d-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -58,7 +58,7 @@ def _canonical(surface: Column, kind: Column) -> Column:
         F.when(kind.isin("card", "ssn"), digits)
         .when(kind == "phone", F.right(digits, F.lit(10)))
         .when(kind.isin("name_f", "name_m"), F.regexp_replace(surface, _TITLE, ""))
-        .when(kind == "email", F.lower(surface))
+        .when(kind.isin("email", "token"), F.lower(surface))
         .otherwise(surface)
     )
 
@@ -166,9 +166,19 @@ def _written(surface: Column, kind: Column, canonical: Column) -> Column:
         "",
     )
     title = F.regexp_extract(surface, _TITLE, 0)
+    # a token in capitals stays so, one of both cases has capitals where its surface has them
+    cased = F.array_join(
+        F.transform(
+            F.split(canonical, ""),
+            lambda ch, i: F.when(F.regexp_like(F.get(chars, i), F.lit("[A-F]")), F.upper(ch)).otherwise(ch),
+        ),
+        "",
+    )
+    cased = F.when(surface == F.lower(surface), canonical).when(surface == F.upper(surface), F.upper(canonical)).otherwise(cased)
     return (
         F.when(kind.isin("card", "ssn", "phone"), laid)
         .when(kind.isin("name_f", "name_m"), F.concat(title, canonical))
+        .when(kind == "token", cased)
         .otherwise(canonical)
     )
 

@@ -423,6 +423,16 @@ def test_pii_surrogates(spark):
     assert pii.replace_entities(docs.limit(0)).count() == 0
 
 
+def test_tokens_of_any_case(spark):
+    token = "9233a8ec" * 4 + "0f"
+    mixed = token[:8].upper() + token[8:]
+    docs = spark.createDataFrame([(1, f'TOKEN = "{token.upper()}" {token} {mixed} {"ABCDEF" * 6}')], "doc_id long, text string")
+    row = pii.replace_entities(docs, count_col="n").first()
+    _, _, upper, lower, both, plain = row.text.split(" ")
+    assert row.n == 3 and lower != token and lower == lower.lower() and upper == f'"{lower.upper()}"'
+    assert both == "".join(c.upper() if m.isupper() else c for c, m in zip(lower, mixed)) and plain == "ABCDEF" * 6
+
+
 def test_surrogates_stay_distinct(spark):
     ids = [f"{i:03d}-12-3456" for i in range(300)] + [f"Mr. A{chr(97 + i)} Poe" for i in range(26)]
     surfaces = spark.createDataFrame([(s,) for s in ids], "surface string")
