@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from joblattice.llm.shared import WORD, staged
+from joblattice.llm import simhash
+from joblattice.llm.shared import WORD, components, staged
 
 CAPACITY, GROUP_PIECES = 4096, 4096
 
@@ -58,6 +59,25 @@ def text_cluster(text: Column) -> Column:
     return F.when(plain != "", F.xxhash64(plain))
 
 
+def n_words(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0))
+
+
+def near_clusters(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size and cluster of each row; near copies share a cluster.
+
+    A cluster is what links between fingerprints of lower-cased texts reach, as in
+    ``simhash.near_duplicates``, so it holds exact copies up to letter case and white space too. Texts
+    without words have a null cluster.
+    """
+    row = F.struct("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"))
+    marked = simhash.fingerprints(docs.select(row.alias("row"), F.lower("text").alias("text")), "row")
+    fps = staged(marked.select("doc_id.*", "fp"), "pack-fingerprints")
+    edges = staged(simhash.links(fps.where("size > 0").select("fp").distinct()), "pack-links").distinct()
+    met = fps.join(components(edges).withColumnRenamed("node", "fp"), "fp", "left")
+    return met.select("doc_id", "source", "size", F.when(F.col("size") > 0, F.coalesce("label", "fp")).alias("cluster"))
+
+
 def pack(
     docs: DataFrame,
     capacity: int = CAPACITY,
@@ -68,14 +88,14 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, n_tokens, bin_id, bin_offset, source, cluster.
 
-    ``size`` defaults to the number of words, ``cluster`` to exact copies, ``source`` to the column of
-    that name. Rows of size 0 (null, empty, blank texts) get one row with a null bin, so that each row
+    ``size`` defaults to the number of words, ``cluster`` to exact copies (``near_clusters`` finds near
+    ones), ``source`` to the column of that name. Rows of size 0 (null, empty, blank texts) get one row with a null bin, so that each row
     of ``docs`` shows up. Null sources and clusters conflict with nothing. Repeated rows are packed as
     often as they occur; equal sizes go in the order of id, then piece. No two pieces of one source or
     one cluster share a bin; full pieces of long documents fill bins of their own.
     """
     text = F.col("text")
-    size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)) if size is None else size
+    size = n_words(text) if size is None else size
     slim = docs.select(
         F.col("doc_id").alias("doc_id"),
         size.cast("bigint").alias("size"),

@@ -35,7 +35,8 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    found = packing.near_clusters(table(spark, sf_dir, "documents"))
+    return packing.pack(found, size=F.col("size"), cluster=F.col("cluster"))
 
 
 def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from joblattice.llm import ann, lm, mixing, mtree, packing, pii, simhash, substring, tokens, toxicity
+from joblattice.llm import ann, lm, mixing, mtree, packing, pii, queries, simhash, substring, tokens, toxicity
 from joblattice.llm.shared import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, fp long, key string"
@@ -245,6 +245,21 @@ def test_packing_rules(docs, rows, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_near_copies_get_different_bins(spark, tmp_path):
+    r = random.Random(12)
+    words = [f"w{r.randrange(5000)}" for _ in range(400)]
+    fp = lambda ws: simhash.fingerprint(" ".join(ws).encode())
+    changed = ([*words[:i], "changed", *words[i + 1 :]] for i in range(400))
+    near = next(c for c in changed if 0 < (fp(c) ^ fp(words)).bit_count() <= 2)
+    texts = [" ".join(words), " ".join(near), " ".join(words).upper(), None, "Ünï cödé", "ünï  CÖDÉ", "other"]
+    rows = [(i, t, f"s{i}") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {p.doc_id: p for p in queries.op5_best_fit_packing(spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows) and found[3].bin_id is None and found[3].cluster is None
+    assert len({found[i].bin_id for i in (0, 1, 2)}) == 3 and len({found[i].cluster for i in (0, 1, 2)}) == 1
+    assert found[4].bin_id != found[5].bin_id and found[6].cluster != found[4].cluster
+
+
 def test_best_fit_takes_the_tightest_compatible_bin():
     pieces = [(7, 0, None), (6, 1, None), (3, 0, None), (3, 2, 0), (1, 3, 0), (1, None, None)]
     assert packing.best_fit(pieces, 10) == [(0, 0), (1, 0), (1, 6), (0, 7), (1, 9), (2, 0)]
