@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joblattice.llm import ann, lm, mixing, mtree, packing, pii, simhash, substring, tokens, toxicity
+from joblattice.llm import ann, hard_negatives, lloyd, lm, mixing, mtree, packing, pii, simhash, substring, tokens, toxicity
 from joblattice.llm.shared import crc_remainder, table
 
 
@@ -62,6 +62,16 @@ def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, width=64)
+
+
+def op12_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
@@ -87,6 +97,51 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM p QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
 
 
+def _lloyd_sql(rounds: int = 10, k: int = 8) -> str:
+    """The rounds one after the other, a row for each vector and component."""
+    parts = [
+        """kept AS (SELECT vec_id, row_number() OVER () AS u,
+    list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        "x AS (SELECT u, unnest(v) AS x, unnest(range(64)) AS d FROM kept)",
+        f"""f AS (SELECT v, row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c FROM kept
+    QUALIFY row_number() OVER (ORDER BY sha256('3:' || vec_id), v) <= {k})""",
+        "c0 AS (SELECT c, unnest(v) AS m, unnest(range(64)) AS d FROM f)",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS (SELECT u, min(e) AS e, arg_min(c, struct_pack(e := e, c := c)) AS c
+    FROM (SELECT u, c, sum((x - m) * (x - m)) AS e FROM x JOIN c{r} USING (d) GROUP BY u, c) GROUP BY u)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS (SELECT c, d, coalesce(n, m) AS m FROM c{r} LEFT JOIN
+    (SELECT c, d, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS n
+    FROM x JOIN a{r} USING (u) GROUP BY c, d) USING (c, d))""")
+    last = f"""SELECT vec_id, CAST(a{rounds}.c AS INTEGER) AS cluster, CAST(e AS BIGINT) AS distance,
+    CAST(sum(e) OVER (PARTITION BY a{rounds}.c) AS BIGINT) AS cluster_inertia, CAST(sum(e) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (u) JOIN
+    (SELECT c, sha256(string_agg(CAST(m AS BIGINT), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c) USING (c)"""
+    return "WITH " + ",\n".join(p.replace(" AS (", " AS MATERIALIZED (", 1) for p in parts) + "\n" + last
+
+
+_OP12_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS i FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS anchor_id, c.vec_id AS other, q.label = c.label AS same, CAST(list_dot_product(q.i, c.i) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.i) = len(c.i) WHERE q.vec_id % 50 = 0),
+pos AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM p WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+    other AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN p USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Of these two the results are exact in SQL; tests hold the others against plain versions."""
-    return {"op2_substring_recompression": _OP2_SQL, "op9_mtree_top_k": _OP9_SQL}
+    """Of these the results are exact in SQL; tests hold the others against plain versions."""
+    return {
+        "op2_substring_recompression": _OP2_SQL,
+        "op9_mtree_top_k": _OP9_SQL,
+        "op11_sharded_lloyd": _lloyd_sql(),
+        "op12_threshold_negatives": _OP12_SQL,
+    }

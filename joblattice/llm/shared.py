@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,15 +20,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write the rows to the shared folder and go on from the files."""
-    spark = df.sparkSession
-    path, before = scratch_path(spark, label), spark.conf.get(_CLEANUP, "false")
+@contextlib.contextmanager
+def forgotten_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside drop their shuffle files when they end."""
+    before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(_CLEANUP, before)
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write the rows to the shared folder and go on from the files."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    with forgotten_shuffles(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
