@@ -25,50 +25,65 @@ from joblattice.session import broadcast_if_small
 BLOCK, SHARE, ANCHORS = 4096, 2048, 128
 #: Vectors with a larger component take no part: their products exceed 38 digits.
 LARGEST = float(1 << 40)
-#: The first step reads so many rows of each list, each further one twice as many as the last.
-FIRST_DEPTH = 4
+#: The first step reads so many rows of each list, each further one so many times as many as the last.
+FIRST_DEPTH, FURTHER = 16, 4
 
 
 class Lists:
     """The candidates of a block with their order by each component."""
 
     def __init__(self, ids: list, labels: list, vectors: np.ndarray, largest_anchor: int):
-        self.ids, self.labels = np.array(ids, dtype=object), np.array(labels, dtype=object)
-        self.x = exact(vectors, largest_anchor)
-        self.order = np.argsort(vectors, axis=0, kind="stable").T
+        self.ids, self.x = ids, exact(vectors, largest_anchor)
+        self.order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
+        self.code = {label: i for i, label in enumerate(dict.fromkeys(labels))}
+        self.labels = np.array([self.code[label] for label in labels])
+        self.rows: dict = {}
+        for i, r in enumerate(ids):
+            self.rows.setdefault(r, []).append(i)
         self.reads = 0
 
+    def eligible(self, own_id, own_label, same_label: bool) -> np.ndarray:
+        """The rows with the same label or with others, never those of the anchor's id."""
+        out = (self.labels == self.code.get(own_label, -1)) == same_label
+        out[self.rows.get(own_id, [])] = False
+        return out
+
     def search(self, anchor: np.ndarray, eligible: np.ndarray, windows: list[tuple[int | None, int | None]], k: int) -> list[list]:
         """For each window (low, high) the first ``k`` (score, id) of the eligible rows inside it."""
         a = anchor.astype(self.x.dtype)
-        dims = np.flatnonzero(a)
+        up, down = np.flatnonzero(a > 0), np.flatnonzero(a < 0)
         n = len(self.x)
-        lists = np.where((a[dims] > 0)[:, None], self.order[dims, ::-1], self.order[dims])
         seen = np.zeros(n, bool)
         rows, scores = np.empty(0, np.int64), np.empty(0, self.x.dtype)
-        start, step = 0, FIRST_DEPTH
+        start, step, threshold = 0, FIRST_DEPTH, None
         found: list[list] = [[] for _ in windows]
-        open_ = [i for i, (low, high) in enumerate(windows) if low is None or high is None or low <= high]
+        open_ = [i for i, (low, high) in enumerate(windows) if low is None or low <= high]
         while open_:
-            if start >= n or not len(dims):  # an anchor of zeros has no lists: every row scores 0
-                new, threshold = np.flatnonzero(~seen), None
-            else:
-                met = lists[:, start : start + step]
-                new = np.unique(met[~seen[met]])
-                threshold = int((a[dims] * self.x[met[:, -1], dims]).sum())
-            seen[new] = True
-            self.reads += len(new)
-            new = new[eligible[new]]
+            met = np.zeros(n, bool)
+            if start < n and len(up) + len(down):
+                end = min(start + step, n)
+                met[self.order[up, n - end : n - start]] = True
+                met[self.order[down, start:end]] = True
+                met &= ~seen
+                seen |= met
+                threshold = int((a[up] * self.x[self.order[up, n - end], up]).sum() + (a[down] * self.x[self.order[down, end - 1], down]).sum())
+                done = bool(seen.all())
+            else:  # an anchor of zeros has no lists: every row scores 0
+                met, done = ~seen, True
+            self.reads += int(met.sum())
+            new = np.flatnonzero(met & eligible)
             rows, scores = np.concatenate([rows, new]), np.concatenate([scores, self.x[new] @ a])
-            start, step = start + step, 2 * step
+            start, step = start + step, FURTHER * step
             for i in list(open_):
                 low, high = windows[i]
-                inside = np.ones(len(rows), bool) if high is None else scores <= high
-                mine = np.flatnonzero(inside if low is None else inside & (scores >= low))
+                if not done and high is not None and threshold >= high:
+                    continue  # rows of the window may still be unseen
+                inside = np.ones(len(rows), bool) if high is None else (scores <= high) & (scores >= low)
+                mine = np.flatnonzero(inside)
                 kth = None
                 if len(mine) >= k:
                     kth = np.partition(scores[mine], len(mine) - k)[len(mine) - k]
-                if threshold is None or (kth is not None and threshold < kth) or (low is not None and threshold < low):
+                if done or (kth is not None and threshold < kth) or (low is not None and threshold < low):
                     mine = mine if kth is None else mine[scores[mine] >= kth]
                     best = sorted((-int(scores[m]), self.ids[rows[m]]) for m in mine)
                     found[i] = [(-s, r) for s, r in best[:k]]
@@ -112,7 +127,7 @@ def _searched(met: DataFrame, k: int, same_label: bool, id_kind: str, low: int =
                 lists = Lists(ids, labels, x, int(np.abs(anchors).max(initial=0)))
                 out = []
                 for j, number in enumerate(numbers):
-                    eligible = ((lists.labels == own_labels[j]) == same_label) & (lists.ids != own[j])
+                    eligible = lists.eligible(own[j], own_labels[j], same_label)
                     of = [int(s) for s in windows[j] or ()]
                     bounds = [(-(-s * low // 100), s * high // 100) for s in of] or [(None, None)]
                     for w, found in enumerate(lists.search(anchors[j], eligible, bounds, k)):
