@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joblattice.llm import ann, hard_negatives, lloyd, lm, mixing, mtree, packing, pii, simhash, substring, tokens, toxicity
+from joblattice.llm import ann, hard_negatives, html, lloyd, lm, mixing, mtree, packing, pii, simhash, substring, tokens, toxicity
 from joblattice.llm.shared import crc_remainder, table
 
 
@@ -72,6 +72,10 @@ def op12_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op13_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).drop("n_deleted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
@@ -137,6 +141,16 @@ FROM pos JOIN p USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100
 QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 3"""
 
 
+#: Holds for pages whose text lies in articles of headings and paragraphs with these four references.
+_OP13_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS a FROM pages),
+b AS (SELECT page_id, url, list_transform(string_split_regex(replace(a, '<br>', ' '), '</?(?:h1|p)>'), lambda x:
+    trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'),
+        '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS b FROM a),
+t AS (SELECT page_id, url, array_to_string(list_filter(b, lambda x: x <> ''), chr(10)) AS text FROM b)
+SELECT page_id, url, text, length(text) AS n_chars FROM t"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Of these the results are exact in SQL; tests hold the others against plain versions."""
     return {
@@ -144,4 +158,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_mtree_top_k": _OP9_SQL,
         "op11_sharded_lloyd": _lloyd_sql(),
         "op12_threshold_negatives": _OP12_SQL,
+        "op13_site_templates": _OP13_SQL,
     }
