@@ -325,11 +325,11 @@ def extract(
 
 def _beside_templates(rows: DataFrame, known: DataFrame) -> DataFrame:
     """Pages joined with the template of their host; hosts of many pages are dealt to parts."""
-    hot = known.where(F.col("n_pages") > PART).select("host", F.ceil(F.col("n_pages") / PART).cast("int").alias("parts"))
+    hot = known.where(F.col("n_pages") > PART).select("host", F.ceil(F.col("n_pages") / PART).alias("parts"))
     dealt = rows.join(broadcast_if_small(hot), "host", "left")
     part = F.pmod(F.xxhash64("id", "url", "html"), F.coalesce("parts", F.lit(1)))
-    parts = F.sequence(F.lit(0), F.ceil(F.col("n_pages") / PART).cast("int") - 1)
-    copies = known.select("host", F.explode(parts).cast("bigint").alias("part"), "template")
+    parts = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n_pages") / PART) - 1)
+    copies = known.select("host", F.explode(parts).alias("part"), "template")
     return dealt.withColumn("part", part).join(copies, ["host", "part"], "left")
 
 
