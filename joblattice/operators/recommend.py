@@ -8,30 +8,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from joblattice.functions.skills import vocab_skills
-from joblattice.operators import tfidf
+from joblattice.operators import tfidf, topk
 from joblattice.operators.rows import first_per_key
-from joblattice.session import broadcast_if_small, cut_lineage, is_small
+from joblattice.session import broadcast_if_small, cut_lineage, is_small, written
 
 SCORE = "_similarity_score"
 SKILLS = "_extracted_skills"
-_SPREAD = 16
+#: Scores are rounded before ranking, so that equal texts rank the same each time.
+DIGITS = 9
 
 
 def cosine_scores(query_weights: DataFrame, postings: DataFrame, digits: int = 9, small: bool = False) -> DataFrame:
     """``(query_id, doc_id, score)`` of every query and document that share a term.
 
-    With a small query side, as checked by the caller, the postings stay where they are: partitioned
-    by document, so the sum per (query, document) needs no shuffle either. Otherwise both sides meet
-    by term, and a term's documents are spread over ``_SPREAD`` tasks: no term is rare enough to be
-    trusted with one.
+    ``small`` says that the caller has checked the query side.
     """
     asked = query_weights.select("query_id", tfidf.TERM, F.col("weight").alias("query_weight"))
-    if small:
-        met = postings.join(F.broadcast(asked), tfidf.TERM)
-    else:
-        every = F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))).alias("part")
-        part = F.pmod(F.hash(tfidf.DOC), F.lit(_SPREAD))
-        met = postings.withColumn("part", part).join(asked.select("*", every), [tfidf.TERM, "part"])
+    met = topk.meet(postings, asked, small)
     products = met.select("query_id", tfidf.DOC, (F.col("query_weight") * F.col("weight")).alias("product"))
     return products.groupBy("query_id", tfidf.DOC).agg(F.round(F.sum("product"), digits).alias(SCORE))
 
@@ -67,14 +60,23 @@ def recommend(
 ) -> DataFrame:
     """Top ``top_n`` documents for each row of ``queries(query_id, query)``.
 
-    Without a model one is fitted on ``docs`` first.
+    Without a model one is fitted on ``docs`` first. When many products lie behind the join of query and
+    document terms, only documents that can be among the best are scored whole (``topk``); the result is
+    the same.
     """
     tfidf.need_column(docs, text)
-    model = model or tfidf.fit(docs, key, text, spec, lemmas)
+    fresh = model is None
+    model = model or tfidf.fit(docs, key, text, spec, lemmas, written_vocab=True)
     asked = tfidf.term_counts(queries, "query_id", "query", model.spec, lemmas)
+    small = is_small(asked)
     weights = tfidf.weigh(asked, model.vocab, model.spec).withColumnRenamed(tfidf.DOC, "query_id")
-    # The size is checked on the queries' own terms, which cost nothing to count.
-    scores = cosine_scores(weights, model.postings, small=is_small(asked))
+    weights = written(weights, "query-weights")
+    if (fresh or model.bounds is not None) and topk.worth_bounding(weights, model.vocab):
+        if fresh:
+            model = tfidf.placed(docs, key, text, model.vocab, model.spec, lemmas)
+        scores = topk.best_scores(weights, model, top_n, DIGITS, small, SCORE)
+    else:
+        scores = cosine_scores(weights, model.postings, DIGITS, small)
     return top_documents(scores, queries, docs, key, top_n)
 
 

@@ -1,9 +1,10 @@
 """TF-IDF term models over any number of documents.
 
-Layout of the work: the text is hashed by document id once; term counts, weights and norms of a
-document are then computed where its text is, with no further shuffle. Only the per-term counts
-travel, already summed per task. A vocabulary cut to ``max_features`` terms is bounded by that
-number and broadcast; an uncut one is written down and measured first.
+Layout of the work: each text is split and counted once a plan, inside its own row and where it lies;
+the text itself never travels. Vocabulary, weights and norms of one plan share one shuffle of the term
+counts by document. A vocabulary that is written first leaves only the terms it has kept to be moved,
+once, for the norms. Per-term counts are summed per task before they travel. A vocabulary cut to
+``max_features`` terms is bounded by that number and broadcast; an uncut one is written and measured first.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from joblattice.constants import MAX_FEATURES, NGRAM_RANGE
 from joblattice.functions.text import counted, ngrams, word_tokens
 from joblattice.operators.dictionary import lemmatized_tokens
-from joblattice.session import broadcast_if_small, cut_lineage
+from joblattice.session import broadcast_if_small, scratch_path, spread, written
 
 DOC, TERM = "doc_id", "term"
 CUT_MAX_TERMS = 50_000
@@ -43,11 +44,16 @@ ON_THE_FLY = replace(STORED, max_features=None, ngram_range=(1, 1))
 
 @dataclass(frozen=True)
 class Model:
-    """``vocab(term, cf, df, idf)`` and ``postings(doc_id, term, weight)``, hash-partitioned by document."""
+    """``vocab(term, cf, df, idf)`` and ``postings(doc_id, term, weight)``.
+
+    A placed model has its postings in files by frequency ``band`` of the term, and
+    ``bounds(term, df, band, top)`` with the largest weight of each term.
+    """
 
     vocab: DataFrame
     postings: DataFrame
     spec: Spec
+    bounds: DataFrame | None = None
 
 
 def need_column(df: DataFrame, name: str) -> None:
@@ -58,7 +64,7 @@ def need_column(df: DataFrame, name: str) -> None:
 def _named(column: str, name: str) -> Column:
     """The column under ``name``, without an alias that changes nothing.
 
-    Such an alias is dropped in one use of a plan and kept in another, and then the shuffle under it
+    Such an alias is dropped in one use of a plan and kept in another, and then the shuffle over it
     is no longer shared.
     """
     return F.col(column) if column == name else F.col(column).alias(name)
@@ -70,27 +76,30 @@ def term_counts(
     text: str,
     spec: Spec = STORED,
     lemmas: DataFrame | None = None,
-    placed: bool = True,
+    placed: bool = False,
 ) -> DataFrame:
     """``(doc_id, term, tf)`` for every n-gram of every document; documents without terms have no row.
 
-    Each text is counted inside its own row, so nothing is grouped over documents. ``placed`` rows
-    are hash-partitioned by document, for sums per document that follow in the same job; without it
-    nothing is shuffled.
+    Each text is counted inside its own row, so nothing is grouped over documents. Texts stay where they
+    lie, unless their files give the scan fewer tasks than there are cores. ``placed`` counts are
+    hash-partitioned by document, one array a document, for sums per document in the same plan.
     """
     need_column(docs, text)
     if lemmas is None:
-        texts = docs.select(_named(key, DOC), _named(text, "text"))
+        texts = spread(docs.select(_named(key, DOC), _named(text, "text")))
         words: Column = word_tokens(F.col("text"))
     else:
         texts = lemmatized_tokens(docs, key, text, lemmas).select(_named(key, DOC), "tokens")
         words = F.col("tokens")
-    if placed:
-        texts = texts.repartition(DOC)
     if spec.stopwords:
         stop = F.array(*[F.lit(w) for w in spec.stopwords])
         words = F.filter(words, lambda w: ~F.array_contains(stop, w))
-    return texts.select(DOC, F.inline(counted(ngrams(words, *spec.ngram_range))))
+    counts = counted(ngrams(words, *spec.ngram_range))
+    if not placed:
+        return texts.select(DOC, F.inline(counts))
+    held = texts.select(DOC, counts.alias("counts")).repartition(DOC)
+    # The plain generator would have Spark count every text a second time, to leave out those without terms.
+    return held.select(DOC, F.inline_outer("counts")).filter(F.col(TERM).isNotNull())
 
 
 def corpus_counts(counts: DataFrame) -> DataFrame:
@@ -122,19 +131,18 @@ def with_term_ids(vocab: DataFrame) -> DataFrame:
     return vocab.withColumn("term_id", (F.row_number().over(Window.orderBy(TERM)) - 1).cast("int"))
 
 
-def weigh(counts: DataFrame, vocab: DataFrame, spec: Spec = STORED) -> DataFrame:
+def weigh(counts: DataFrame, vocab: DataFrame, spec: Spec = STORED, *carried: str) -> DataFrame:
     """L2-normalised tf-idf weights; terms outside the vocabulary fall away.
 
     A vocabulary cut to few enough terms is broadcast unseen; any other is measured first, and
-    joined by term if it is too large.
+    joined by term if it is too large. Columns of the vocabulary named in ``carried`` come along.
     """
-    terms = vocab.select(TERM, "idf")
-    cut = spec.max_features is not None and spec.max_features <= CUT_MAX_TERMS
-    near = F.broadcast(terms) if cut else broadcast_if_small(terms)
+    terms = vocab.select(TERM, "idf", *carried)
+    near = F.broadcast(terms) if is_cut(spec) else broadcast_if_small(terms)
     tf = F.log(F.col("tf")) + 1.0 if spec.sublinear_tf else F.col("tf").cast("double")
-    raw = counts.join(near, TERM).select(DOC, TERM, (tf * F.col("idf")).alias("raw"))
+    raw = counts.join(near, TERM).select(DOC, TERM, (tf * F.col("idf")).alias("raw"), *carried)
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(DOC)))
-    return raw.select(DOC, TERM, (F.col("raw") / norm).alias("weight"))
+    return raw.select(DOC, TERM, (F.col("raw") / norm).alias("weight"), *carried)
 
 
 def count_docs(docs: DataFrame) -> Column:
@@ -142,33 +150,74 @@ def count_docs(docs: DataFrame) -> Column:
     return docs.agg(F.count(F.lit(1))).scalar()
 
 
+def vocabulary(docs: DataFrame, key: str, text: str, spec: Spec = STORED, lemmas: DataFrame | None = None) -> DataFrame:
+    """The vocabulary alone, in one lazy plan that writes nothing."""
+    return build_vocab(corpus_counts(term_counts(docs, key, text, spec, lemmas)), count_docs(docs), spec)
+
+
 def fit(
     docs: DataFrame,
     key: str,
     text: str,
     spec: Spec = STORED,
     lemmas: DataFrame | None = None,
-    written: bool = False,
+    written_vocab: bool = False,
 ) -> Model:
-    """Vocabulary and postings in one lazy plan that shuffles the text once for both.
+    """Vocabulary and postings in one lazy plan that shuffles the term counts once for both.
 
-    ``written`` counts the vocabulary at once and keeps it in the shared folder, for a model that
+    ``written_vocab`` counts the vocabulary at once and keeps it in the shared folder, for a model that
     several jobs will read. An uncut vocabulary always is, since it has to be measured.
     """
-    counts = term_counts(docs, key, text, spec, lemmas)
-    return from_counts(counts, corpus_counts(counts), count_docs(docs), spec, written)
+    if written_vocab or not is_cut(spec):
+        vocab = written(vocabulary(docs, key, text, spec, lemmas), "vocabulary")
+        return Model(vocab, weigh(term_counts(docs, key, text, spec, lemmas), vocab, spec), spec)
+    counts = term_counts(docs, key, text, spec, lemmas, placed=True)
+    return from_counts(counts, corpus_counts(counts), count_docs(docs), spec)
 
 
-def from_counts(
-    counts: DataFrame, totals: DataFrame, n_docs: Column, spec: Spec = STORED, written: bool = False
-) -> Model:
+def is_cut(spec: Spec) -> bool:
+    """Whether the settings alone bound the vocabulary to a size that may be broadcast."""
+    return spec.max_features is not None and spec.max_features <= CUT_MAX_TERMS
+
+
+def from_counts(counts: DataFrame, totals: DataFrame, n_docs: Column, spec: Spec = STORED) -> Model:
     """As ``fit``, from term counts that are at hand."""
     vocab = build_vocab(totals, n_docs, spec)
-    if written or spec.max_features is None or spec.max_features > CUT_MAX_TERMS:
-        vocab = cut_lineage(vocab)
+    if not is_cut(spec):
+        vocab = written(vocab, "vocabulary")
     return Model(vocab, weigh(counts, vocab, spec), spec)
 
 
+# --- postings ready for ranking -------------------------------------------------------------------
+
+
+def band(df: Column) -> Column:
+    """Frequency class of a term: four times as many documents are one class further."""
+    return F.floor(F.log2(df) / 2).cast("int")
+
+
+def place(counts: DataFrame, vocab: DataFrame, spec: Spec, postings_path: str, bounds_path: str) -> Model:
+    """Write postings into a folder for each frequency band of their term, and the largest weight of each term.
+
+    Whoever reads rare terms only leaves the folders of the common ones, where most rows lie, alone.
+    """
+    spark = counts.sparkSession
+    terms = vocab.withColumn("band", band(F.col("df")))
+    weigh(counts, terms, spec, "band").write.mode("errorifexists").partitionBy("band").parquet(postings_path)
+    schema = f"{DOC} {counts.schema[DOC].dataType.simpleString()}, {TERM} string, weight double, band int"
+    postings = spark.read.schema(schema).parquet(postings_path)
+    tops = postings.groupBy(TERM).agg(F.max("weight").alias("top"))
+    bounds = terms.select(TERM, "df", "band").join(F.broadcast(tops) if is_cut(spec) else tops, TERM)
+    bounds.write.mode("errorifexists").parquet(bounds_path)
+    return Model(vocab, postings, spec, spark.read.parquet(bounds_path))
+
+
+def placed(docs: DataFrame, key: str, text: str, vocab: DataFrame, spec: Spec = STORED, lemmas: DataFrame | None = None) -> Model:
+    """A model under a written vocabulary with its postings in the shared folder, by band and with bounds."""
+    folder = scratch_path(docs.sparkSession, "postings")
+    return place(term_counts(docs, key, text, spec, lemmas), vocab, spec, folder, f"{folder}-bounds")
+
+
 def transform(
     texts: DataFrame,
     key: str,

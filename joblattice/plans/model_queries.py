@@ -7,10 +7,10 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from joblattice.operators import evaluate, recommend, search, tfidf
+from joblattice.operators import evaluate, recommend, search, tfidf, topk
 from joblattice.plans.catalog import Tables, query, sql_skill_tokens, sql_word_tokens
 from joblattice.plans.text_queries import VOCAB
-from joblattice.session import broadcast_if_small, scratch_path
+from joblattice.session import broadcast_if_small, is_small, scratch_path, written
 from joblattice.sources import models
 
 # --- SQL pieces ---------------------------------------------------------------------------------------
@@ -62,7 +62,7 @@ def _queries(t: Tables) -> DataFrame:
 
 @query(f"WITH {_model(_DOCS)} SELECT term, cf, df, round(idf, 6) AS idf FROM vocab")
 def tfidf_vocab(t: Tables) -> DataFrame:
-    vocab = tfidf.fit(t.documents, "doc_id", "text").vocab
+    vocab = tfidf.vocabulary(t.documents, "doc_id", "text")
     return vocab.select("term", "cf", "df", F.round("idf", 6).alias("idf"))
 
 
@@ -99,8 +99,8 @@ def tfidf_incremental(t: Tables) -> DataFrame:
     """Model of the documents, brought up to date after the well-labelled ones were edited."""
     spec = tfidf.STORED
     docs, edited = _edited(t)
-    stored = tfidf.term_counts(docs, "doc_id", "text", spec)
-    fresh = tfidf.term_counts(edited, "doc_id", "text", spec)
+    stored = tfidf.term_counts(docs, "doc_id", "text", spec, placed=True)
+    fresh = tfidf.term_counts(edited, "doc_id", "text", spec, placed=True)
     counts = tfidf.replace_counts(stored, edited, "doc_id", fresh)
     totals = tfidf.shift_totals(tfidf.corpus_counts(stored), stored, edited, "doc_id", fresh)
     postings = tfidf.from_counts(counts, totals, tfidf.count_docs(docs), spec).postings
@@ -142,6 +142,16 @@ def recommend_unigrams(t: Tables) -> DataFrame:
     return _shown(recommend.recommend(_queries(t), t.documents, "doc_id", "text", spec=tfidf.ON_THE_FLY))
 
 
+@query(f"WITH {_ranked()} SELECT query_id, rank, doc_id, round(score, 6) AS _similarity_score FROM recs")
+def recommend_bounded(t: Tables) -> DataFrame:
+    """The ranking of ``recommend_topk`` from bounds, whatever the number of products."""
+    vocab = written(tfidf.vocabulary(t.documents, "doc_id", "text"), "vocabulary")
+    model = tfidf.placed(t.documents, "doc_id", "text", vocab)
+    asked = tfidf.transform(_queries(t), "query_id", "query", vocab).withColumnRenamed("doc_id", "query_id")
+    scores = topk.best_scores(written(asked, "query-weights"), model, 10, recommend.DIGITS, is_small(asked), recommend.SCORE)
+    return _shown(recommend.top_documents(scores, _queries(t), t.documents, "doc_id", 10))
+
+
 @query(f"WITH {_ranked(False, None)} SELECT query_id, rank, doc_id, round(score, 6) AS _similarity_score FROM recs")
 def recommend_stored(t: Tables) -> DataFrame:
     """Ranking from a stored model that brings its own settings along."""
@@ -179,17 +189,18 @@ scored AS (SELECT item_id AS query,
 _METRICS = ["p_at_1", "p_at_5", "p_at_10", "r_at_1", "r_at_5", "r_at_10", "mrr"]
 
 
-def _truth(queries: DataFrame, docs: DataFrame, model: tfidf.Model) -> DataFrame:
+def _truth(queries: DataFrame, model: tfidf.Model) -> DataFrame:
     asked = tfidf.term_counts(queries, "query_id", "query", model.spec).join(model.vocab.select("term", "df"), "term")
     specific = asked.groupBy("doc_id").agg(F.min_by("term", F.struct("df", "term")).alias("term"))
     named = broadcast_if_small(specific.withColumnRenamed("doc_id", "query"))
-    held = tfidf.term_counts(docs, "doc_id", "text", model.spec).withColumnRenamed("doc_id", "item")
+    held = model.postings.select(F.col("doc_id").alias("item"), "term")
     return held.join(named, "term").select("query", "item")
 
 
 def _evaluated(t: Tables, score) -> DataFrame:
     queries, docs = _queries(t), t.documents
-    model = tfidf.fit(docs, "doc_id", "text", written=True)
+    vocab = written(tfidf.vocabulary(docs, "doc_id", "text"), "vocabulary")
+    model = tfidf.placed(docs, "doc_id", "text", vocab)
 
     def by_tfidf(asked: DataFrame, k: int) -> DataFrame:
         named = asked.withColumnRenamed("query", "query_id").join(queries, "query_id")
@@ -197,7 +208,7 @@ def _evaluated(t: Tables, score) -> DataFrame:
         return ranked.withColumnsRenamed({"query_id": "query", "doc_id": "item"})
 
     ids = queries.select(F.col("query_id").alias("query"))
-    scores = score(by_tfidf, ids, _truth(queries, docs, model))
+    scores = score(by_tfidf, ids, _truth(queries, model))
     return scores.withColumns({m: F.round(m, 6) for m in _METRICS})
 
 

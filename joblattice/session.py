@@ -61,6 +61,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write the rows to the shared folder as Parquet and go on from the files."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt over all cores when their files give fewer tasks than that; else as they are.
+
+    For costly work per row on tables of few huge row groups. Tables of many files are not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """Whether the rows and the bytes of their variable-length values stay within both bounds.
 

@@ -37,10 +37,11 @@ def build_and_save(
     """Fit and write a model version.
 
     The term counts are written first, straight from the rows of the texts, and read by all later
-    steps; the only shuffle by document is that of the weighted terms the vocabulary has kept.
+    steps; the only shuffle by document is that of the weighted terms the vocabulary has kept. The
+    postings lie by frequency band, and the largest weight of each term beside them, for ``recommend``.
     """
     _write_spec(docs.sparkSession, root, version, spec, lemmas is not None)
-    counts = _write(tfidf.term_counts(docs, key, text, spec, lemmas, placed=False), root, "counts", version)
+    counts = _write(tfidf.term_counts(docs, key, text, spec, lemmas), root, "counts", version)
     totals = _write(tfidf.corpus_counts(counts), root, "totals", version)
     return _save_from_counts(counts, totals, docs, root, version, spec)
 
@@ -69,7 +70,7 @@ def update_and_save(
     _write_spec(spark, root, version, spec, with_lemmas)
     old_counts = spark.read.parquet(part_path(root, "counts", old_version))
     old_totals = spark.read.parquet(part_path(root, "totals", old_version))
-    fresh = tfidf.term_counts(changed, key, text, spec, lemmas, placed=False)
+    fresh = tfidf.term_counts(changed, key, text, spec, lemmas)
     counts = _write(tfidf.replace_counts(old_counts, changed, key, fresh), root, "counts", version)
     totals = _write(tfidf.shift_totals(old_totals, old_counts, changed, key, fresh), root, "totals", version)
     return _save_from_counts(counts, totals, docs, root, version, spec)
@@ -80,8 +81,7 @@ def _save_from_counts(counts, totals, docs, root, version, spec) -> tfidf.Model:
     if spec.max_features is not None:
         vocab = tfidf.with_term_ids(vocab)
     vocab = _write(vocab, root, "vocab", version)
-    postings = _write(tfidf.weigh(counts, vocab, spec), root, "postings", version)
-    return tfidf.Model(vocab, postings, spec)
+    return tfidf.place(counts, vocab, spec, part_path(root, "postings", version), part_path(root, "bounds", version))
 
 
 def _write_spec(spark: SparkSession, root: str, version: str, spec: tfidf.Spec, with_lemmas: bool) -> None:
@@ -102,8 +102,9 @@ def load(spark: SparkSession, root: str, version: str, spec: tfidf.Spec | None =
 
     For many queries take it from ``ModelCache``, which places the postings by document once.
     """
-    vocab, postings = (spark.read.parquet(part_path(root, part, version)) for part in ("vocab", "postings"))
-    return tfidf.Model(vocab, postings, stored_spec(spark, root, version)[0] if spec is None else spec)
+    parts = (spark.read.parquet(part_path(root, part, version)) for part in ("vocab", "postings", "bounds"))
+    vocab, postings, bounds = parts
+    return tfidf.Model(vocab, postings, stored_spec(spark, root, version)[0] if spec is None else spec, bounds)
 
 
 def registry_row(

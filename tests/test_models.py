@@ -7,7 +7,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from joblattice.operators import evaluate, recommend, search, tfidf
+from joblattice import session
+from joblattice.operators import evaluate, recommend, search, tfidf, topk
 from joblattice.sources import models
 
 
@@ -82,22 +83,27 @@ def test_empty_corpus_gives_empty_tables(spark):
     assert model.vocab.count() == 0 and model.postings.count() == 0
 
 
-def test_weights_of_a_document_need_one_shuffle_of_the_text(docs):
-    model = tfidf.fit(docs, "job_id", "job_description")
-    plan = model.postings._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(doc_id") == plan.count("REPARTITION_BY_COL") and "BroadcastHashJoin" in plan
-
-
 @pytest.mark.parametrize("key", ["job_id", "doc_id"])
-def test_vocabulary_and_postings_share_the_shuffle_of_the_text(spark, docs, folder, key):
-    docs.withColumnRenamed("job_id", key).write.parquet(f"{folder}/docs")
-    stored = spark.read.parquet(f"{folder}/docs")
-    asked = spark.createDataFrame([(1, "python sql")], "query_id int, query string")
-    ranked = recommend.recommend(asked, stored, key=key)
-    ranked.collect()
-    plan = ranked._jdf.queryExecution().executedPlan().toString()
+def test_a_plan_splits_each_text_once_and_never_moves_it(spark, docs, folder, key):
+    docs.withColumnRenamed("job_id", key).repartition(8).write.parquet(f"{folder}/docs")
+    stored = spark.read.parquet(f"{folder}/docs").repartition(8)  # no fewer tasks than cores: nothing to spread
+    postings = tfidf.fit(stored, key, "job_description").postings
+    postings.collect()
+    plan = postings._jdf.queryExecution().executedPlan().toString()
     shared = [line for line in plan.splitlines() if "ReusedExchange" in line and "REPARTITION_BY_COL" in line]
-    assert len(shared) == 1
+    assert len(shared) == 1 and "counts" in shared[0] and "text" not in shared[0]
+    final = plan.split("Initial Plan")[0]
+    assert len([line for line in final.splitlines() if "regexp_extract_all" in line]) == 1
+    assert len([line for line in final.splitlines() if "Exchange hashpartitioning(doc_id" in line]) == 1
+
+    vocab = tfidf.vocabulary(stored, key, "job_description")
+    assert "hashpartitioning(doc_id" not in vocab._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_huge_row_groups_are_spread_over_the_cores(spark, docs):
+    assert session.spread(docs.coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = docs.repartition(9)
+    assert session.spread(many) is many
 
 
 QUERIES = {1: "senior data python", 2: "sql cloud", 3: "nothing known", 4: "", 5: "etl paris etl"}
@@ -112,9 +118,11 @@ def plain_ranking(texts, spec, query, n):
 
 @pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("top_n", [3, 50])
-def test_ranking_like_scoring_every_document(spark, docs, monkeypatch, small, top_n):
+@pytest.mark.parametrize("bounded", [True, False])
+def test_ranking_like_scoring_every_document(spark, docs, monkeypatch, small, top_n, bounded):
     if not small:
         monkeypatch.setattr(recommend, "is_small", lambda *_: False)
+    monkeypatch.setattr(topk, "worth_bounding", lambda *_: bounded)
     asked = spark.createDataFrame(list(QUERIES.items()), "query_id int, query string")
     out = recommend.recommend(asked, docs, top_n=top_n).orderBy("query_id", "rank").collect()
     for query_id, query in QUERIES.items():
@@ -125,6 +133,53 @@ def test_ranking_like_scoring_every_document(spark, docs, monkeypatch, small, to
         assert all(0.0 <= s <= 1.0 + 1e-9 for _, s in got)
 
 
+def _common_term_docs(n=400, seed=6):
+    """One term in every document, some in many, and rare ones."""
+    rng = random.Random(seed)
+    rare = [a + b for a in "klmnp" for b in ("ova", "eri", "uto", "ist", "ond", "arg")]
+    mid = ["alpha", "beta", "gamma", "delta"]
+    return [" ".join(["every"] * rng.randint(1, 3) + rng.sample(mid, 2) + rng.choices(rare, k=rng.randint(0, 6))) for _ in range(n)]
+
+
+def test_bounds_spare_the_rows_of_common_terms(spark, monkeypatch):
+    texts = _common_term_docs()
+    docs = spark.createDataFrame(list(enumerate(texts)), "job_id long, job_description string").repartition(3)
+    asked = {1: "every kova kova meri", 2: "every alpha luto pist pist", 3: "every", 4: "every nond narg beta keri", 5: "zzz"}
+    queries = spark.createDataFrame(list(asked.items()), "query_id int, query string")
+    spec = tfidf.Spec(ngram_range=(1, 1))
+    vocab = session.written(tfidf.vocabulary(docs, "job_id", "job_description", spec), "vocabulary")
+    model = tfidf.placed(docs, "job_id", "job_description", vocab, spec)
+    weights = session.written(tfidf.transform(queries, "query_id", "query", vocab, spec).withColumnRenamed("doc_id", "query_id"), "weights")
+    others = F.col("query_id") != 3  # the query of nothing but the term in every document reads all its rows
+    before = model.postings.join(weights.select("query_id", "term"), "term").filter(others).count()
+
+    met, real = [], topk.meet
+    monkeypatch.setattr(topk, "meet", lambda *a: met.append(real(*a)) or met[-1])
+    scores = topk.best_scores(weights, model, 5, 9, True, recommend.SCORE)
+    got = recommend.top_documents(scores, queries, docs, "job_id", 5).orderBy("query_id", "rank").collect()
+    after = sum(m.filter(others).count() for m in met)
+    assert after < before / 4
+    assert scores.count() < 0.3 * len(texts) * 3 + len(texts)  # all documents only for the query of the one common term
+    for query_id, query in asked.items():
+        expected = plain_ranking(texts, spec, query, 5)
+        mine = [(r["doc_id"], r[recommend.SCORE]) for r in got if r["query_id"] == query_id]
+        assert [i for i, _ in mine] == [i for i, _ in expected]
+        assert [s for _, s in mine] == pytest.approx([s for _, s in expected], abs=1e-8)
+
+
+def test_postings_of_common_terms_lie_apart(spark):
+    docs = spark.createDataFrame(list(enumerate(_common_term_docs())), "job_id long, job_description string")
+    spec = tfidf.Spec(ngram_range=(1, 1))
+    vocab = session.written(tfidf.vocabulary(docs, "job_id", "job_description", spec), "vocabulary")
+    model = tfidf.placed(docs, "job_id", "job_description", vocab, spec)
+    facts = {r["term"]: r for r in model.bounds.collect()}
+    assert facts["every"]["df"] == 400 and facts["every"]["band"] == 4 and facts["kova"]["band"] < 4
+    tops = {r["term"]: r["top"] for r in model.postings.groupBy("term").agg(F.max("weight").alias("top")).collect()}
+    assert {t: r["top"] for t, r in facts.items()} == tops
+    plan = topk._in_bands(model.postings, model.bounds.filter("band < 4")).filter("weight > 0")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [band" in plan.replace("isnotnull(band), ", "").replace("[isnotnull(band#", "[band#")
+
+
 def test_ranked_documents_with_skills(spark, docs):
     asked = spark.createDataFrame([(1, "python sql")], "query_id int, query string")
     ranked = recommend.recommend(asked, docs, top_n=2)
