@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from joblattice.constants import TRIGRAM_THRESHOLD
 from joblattice.functions.text import let
 from joblattice.functions.trigram import shared_share, trigrams
 from joblattice.operators.rows import first_per_key
-from joblattice.session import broadcast_if_small
+from joblattice.session import broadcast_if_small, is_small, spread, written
 
 
 def like_escape(text: str) -> str:
@@ -49,6 +49,71 @@ def fuzzy_search(
     return hits.orderBy(F.desc("similarity"), F.asc(key)).limit(top_n)
 
 
+#: Rows of one trigram in one task, where the side of the queries is too large to be broadcast.
+SALT_ROWS = 100_000
+_ROUNDING = 1e-9
+
+
+def _at_least(value: Column) -> Column:
+    """The smallest whole number not below ``value``, whatever its last digits."""
+    return F.ceil(value - _ROUNDING)
+
+
+def gram_postings(sets: DataFrame, key: str) -> DataFrame:
+    """``(key, size, gram)`` of ``sets(key, size, grams)``."""
+    return sets.select(key, "size", F.explode("grams").alias("gram"))
+
+
+def query_grams(queries: DataFrame, frequencies: DataFrame, threshold: float) -> DataFrame:
+    """``(query_id, query_size, gram, df, first)``: the trigrams of each query, the rarest marked ``first``.
+
+    Of m trigrams a hit shares at least threshold * m, so it holds one of any m - threshold * m + 1; the
+    rarest are taken. Trigrams that no text has count as the rarest of all and cost nothing.
+    """
+    grams = queries.select("query_id", trigrams(F.col("query")).alias("grams"))
+    rows = grams.select("query_id", F.size("grams").alias("query_size"), F.explode("grams").alias("gram"))
+    rows = rows.join(broadcast_if_small(frequencies), "gram", "left").na.fill(0, ["df"])
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("df", "gram"))
+    needed = F.col("query_size") - _at_least(F.col("query_size") * threshold) + 1
+    return rows.withColumn("first", place <= needed)
+
+
+def meet(postings: DataFrame, asked: DataFrame, key: str) -> DataFrame:
+    """Postings beside the trigrams of the queries; frequent trigrams are dealt to several tasks."""
+    terms = asked.select("query_id", "query_size", "gram", "df")
+    if is_small(terms):
+        return postings.join(F.broadcast(terms.drop("df")), "gram")
+    salts = F.ceil(F.col("df") / SALT_ROWS).cast("int")
+    heavy = terms.filter(F.col("df") > SALT_ROWS).select("gram", salts.alias("salts")).distinct()
+    dealt = postings.join(broadcast_if_small(written(heavy, "heavy-grams")), "gram", "left")
+    dealt = dealt.withColumn("salt", F.pmod(F.hash(key), F.coalesce("salts", F.lit(1)))).drop("salts")
+    copies = terms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1))).drop("df")
+    return dealt.join(copies, ["gram", "salt"])
+
+
+def similar(postings: DataFrame, asked: DataFrame, key: str, threshold: float, read=lambda postings, asked: postings) -> DataFrame:
+    """``(query_id, key, similarity)`` of all texts that reach the threshold; ``asked`` is written.
+
+    Texts and queries first meet on each query's rarest trigrams alone. A text whose share of those,
+    with all the others added, could not reach the threshold is out; the common trigrams are counted
+    for the rest. ``read`` narrows the postings to what the given trigrams need.
+    """
+    rare, common = asked.filter("first"), asked.filter("NOT first")
+    possible = F.least("size", "query_size") >= F.greatest("size", "query_size") * F.lit(threshold) - _ROUNDING
+    group = ["query_id", key, "size", "query_size"]
+    met = meet(read(postings, rare), rare, key).filter(possible)
+    needed = _at_least((F.col("size") + F.col("query_size")) * (threshold / (1 + threshold)))
+    left = F.greatest(_at_least(F.col("query_size") * threshold) - 1, F.lit(0))
+    alive = met.groupBy(*group).agg(F.count(F.lit(1)).alias("common")).filter(F.col("common") >= needed - left)
+    alive = written(alive, "similar-candidates")
+    near = broadcast_if_small(alive.drop("common"))
+    held = read(postings, common).join(broadcast_if_small(alive.select(key).distinct()), key, "left_semi")
+    rest = meet(held, common, key).join(near, group).groupBy(*group).agg(F.count(F.lit(1)).alias("common"))
+    counted = alive.unionByName(rest).groupBy(*group).agg(F.sum("common").alias("common"))
+    score = F.col("common") / (F.col("size") + F.col("query_size") - F.col("common"))
+    return counted.select("query_id", key, score.alias("similarity")).filter(F.col("similarity") >= threshold)
+
+
 def fuzzy_search_many(
     docs: DataFrame,
     key: str,
@@ -57,33 +122,77 @@ def fuzzy_search_many(
     threshold: float = TRIGRAM_THRESHOLD,
     top_n: int = 20,
 ) -> DataFrame:
-    """As ``fuzzy_search`` for a table ``queries(query_id, query)``: ``(query_id, rank, key, similarity)``.
+    """As ``fuzzy_search`` for a table ``queries(query_id, query)``: ``(query_id, key, similarity)``.
 
-    Texts and queries meet on shared trigrams only, and only where their set sizes still allow the
-    threshold: the similarity is at most the smaller size over the larger one. Texts too long or
-    too short for every query are left out before their trigrams are spread.
+    Each text becomes the set of its trigrams where it lies, and those sets are written; texts too long
+    or too short for every query are left out. No text is shuffled, and no trigram but those of queries.
     """
-    asked = queries.select("query_id", trigrams(F.col("query")).alias("grams"))
-    asked = asked.select("query_id", F.size("grams").alias("query_size"), "grams")
-    shortest, longest = (F.lit(x) for x in asked.agg(F.min("query_size"), F.max("query_size")).first())
-    placed = docs.select(F.col(key), F.col(text).alias("__text")).repartition(key)
-
-    def worth_it(grams: Column) -> Column:
-        size = F.size(grams)
-        fits = (size >= shortest * threshold) & (size * threshold <= longest)
-        return F.when(fits, F.transform(grams, lambda g: F.struct(size.alias("size"), g.alias("gram"))))
-
-    # Decided inside one expression: a filter on the size would take every text's trigrams again.
-    held = placed.select(key, F.inline(let(trigrams(F.col("__text")), worth_it)))
-    near = broadcast_if_small(asked.select("query_id", "query_size", F.explode("grams").alias("gram")))
-    possible = F.least("size", "query_size") >= F.greatest("size", "query_size") * F.lit(threshold)
-    common = (
-        held.join(near, "gram")
-        .filter(possible)
-        .groupBy("query_id", key, "size", "query_size")
-        .agg(F.count(F.lit(1)).alias("common"))
-    )
-    score = F.col("common") / (F.col("size") + F.col("query_size") - F.col("common"))
-    scored = common.select("query_id", key, score.alias("similarity")).filter(F.col("similarity") >= threshold)
-    order = [F.desc("similarity"), F.asc(key)]
-    return first_per_key(scored, ["query_id"], order, top_n)
+    sizes = queries.select(F.size(trigrams(F.col("query"))).alias("n")).agg(F.min("n"), F.max("n"))
+    shortest, longest = (F.lit(x) for x in sizes.first())
+    grams = spread(docs.select(key, text)).select(F.col(key), trigrams(F.col(text)).alias("grams"))
+    sets = written(grams, "gram-sets").withColumn("size", F.size("grams"))
+    sets = sets.filter((F.col("size") >= shortest * threshold - _ROUNDING) & (F.col("size") * threshold <= longest + _ROUNDING))
+    postings = gram_postings(sets, key)
+    wanted = queries.select(F.explode(trigrams(F.col("query"))).alias("gram")).distinct()
+    frequencies = postings.join(broadcast_if_small(wanted), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    asked = written(query_grams(queries, frequencies, threshold), "query-grams")
+    return _best(similar(postings, asked, key, threshold), key, top_n)
+
+
+def _best(scored: DataFrame, key: str, top_n: int) -> DataFrame:
+    return first_per_key(scored, ["query_id"], [F.desc("similarity"), F.asc(key)], top_n)
+
+
+# --- a stored index -------------------------------------------------------------------------------
+
+BUCKETS = 64
+
+
+def bucket_of(gram: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(buckets)).cast("int")
+
+
+def write_index(docs: DataFrame, key: str, text: str, path: str, buckets: int = BUCKETS) -> None:
+    """Write ``postings`` into a folder for each bucket of trigrams, with the size of each text's set, and their counts.
+
+    ``buckets`` grows with the table: a query reads the buckets of its trigrams, whole. Frequent trigrams
+    are dealt to many tasks by text, and so to many files of their bucket.
+    """
+    spark = docs.sparkSession
+    grams = spread(docs.select(key, text)).select(F.col(key), trigrams(F.col(text)).alias("grams"))
+    postings = gram_postings(grams.withColumn("size", F.size("grams")), key).withColumn("bucket", bucket_of(F.col("gram"), buckets))
+    part = F.pmod(F.xxhash64(key), F.lit(spark.sparkContext.defaultParallelism))
+    placed = postings.repartition("bucket", part).sortWithinPartitions("bucket", "gram", key)
+    placed.write.mode("errorifexists").partitionBy("bucket").parquet(f"{path}/postings")
+    held = spark.read.schema(f"{_kinds(docs, key)}, size int, gram string, bucket int").parquet(f"{path}/postings")
+    counts = held.groupBy("bucket", "gram").agg(F.count(F.lit(1)).alias("df")).repartition("bucket")
+    counts.write.mode("errorifexists").partitionBy("bucket").parquet(f"{path}/counts")
+    spark.range(1).select(F.lit(buckets).alias("buckets"), F.lit(_kinds(docs, key)).alias("key")).write.parquet(f"{path}/layout")
+
+
+def _kinds(docs: DataFrame, key: str) -> str:
+    return f"`{key}` {docs.schema[key].dataType.simpleString()}"
+
+
+def fuzzy_search_indexed(
+    spark: SparkSession,
+    path: str,
+    key: str,
+    queries: DataFrame,
+    threshold: float = TRIGRAM_THRESHOLD,
+    top_n: int = 20,
+) -> DataFrame:
+    """As ``fuzzy_search_many`` from a written index: only the buckets of the queries' trigrams are read."""
+    layout = spark.read.parquet(f"{path}/layout").first()
+    buckets = layout["buckets"]
+    postings = spark.read.schema(f"{layout['key']}, size int, gram string, bucket int").parquet(f"{path}/postings")
+    counts = spark.read.schema("gram string, df bigint, bucket int").parquet(f"{path}/counts")
+
+    def read(rows: DataFrame, asked: DataFrame) -> DataFrame:
+        wanted = asked.select(bucket_of(F.col("gram"), buckets).alias("b")).distinct()
+        return rows.filter(F.col("bucket").isin([r["b"] for r in wanted.collect()]))  # at most as many as there are buckets
+
+    wanted = queries.select(F.explode(trigrams(F.col("query"))).alias("gram")).distinct()
+    known = read(counts, wanted).join(broadcast_if_small(wanted), "gram").select("gram", "df")
+    asked = written(query_grams(queries, known, threshold), "query-grams")
+    return _best(similar(postings, asked, key, threshold, read), key, top_n)

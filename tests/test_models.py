@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -278,20 +279,52 @@ def grams(text):
     return {f"  {w} "[i : i + 3] for w in words for i in range(len(w) + 1)}
 
 
-def test_fuzzy_search_like_comparing_every_pair(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_fuzzy_search_like_comparing_every_pair(spark, folder, monkeypatch, small):
+    if not small:  # the path of query sides too large to broadcast, with frequent trigrams dealt out
+        monkeypatch.setattr(search, "is_small", lambda *_: False)
+        monkeypatch.setattr(search, "SALT_ROWS", 10)
     rng = random.Random(8)
     texts = ["machine learning" if i % 3 == 0 else "".join(rng.choice("abc learnig,") for _ in range(rng.randint(0, 25))) for i in range(120)]
+    texts += [None, ""]
     asked = {1: "machine learning", 2: "lear, ab", 3: "zzz", 4: ""}
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     queries = spark.createDataFrame(list(asked.items()), "query_id int, query string")
-    many = search.fuzzy_search_many(docs, "id", "text", queries, 0.3, 15).collect()
-    for query_id, query in asked.items():
-        scored = [(len(grams(query) & grams(t)) / max(1, len(grams(query) | grams(t))), i) for i, t in enumerate(texts)]
-        best = sorted(((-s, i) for s, i in scored if s >= 0.3))[:15]
-        got = sorted((-r["similarity"], r["id"]) for r in many if r["query_id"] == query_id)
-        assert [i for _, i in got] == [i for _, i in best]
-        one = search.fuzzy_search(docs, "id", "text", query, 0.3, 15).collect()
-        assert [r["id"] for r in one] == [i for _, i in best]
+    search.write_index(docs, "id", "text", f"{folder}/index", 16)
+    for threshold in (0.3, 0.8) if small else (0.3,):
+        many = search.fuzzy_search_many(docs, "id", "text", queries, threshold, 15).collect()
+        indexed = search.fuzzy_search_indexed(spark, f"{folder}/index", "id", queries, threshold, 15).collect()
+        assert sorted(indexed) == sorted(many)
+        for query_id, query in asked.items():
+            scored = [(len(grams(query) & grams(t)) / max(1, len(grams(query) | grams(t))), i) for i, t in enumerate(texts)]
+            best = sorted(((-s, i) for s, i in scored if s >= threshold))[:15]
+            got = sorted((-r["similarity"], r["id"]) for r in many if r["query_id"] == query_id)
+            assert [i for _, i in got] == [i for _, i in best]
+            if small and threshold == 0.3:
+                one = search.fuzzy_search(docs, "id", "text", query, threshold, 15).collect()
+                assert [r["id"] for r in one] == [i for _, i in best]
+
+
+def test_search_joins_rare_trigrams_and_reads_their_buckets_only(spark, folder, monkeypatch):
+    docs = spark.createDataFrame([(i, f"the same old words {i % 50:03d}x{i}") for i in range(300)], "id long, text string")
+    queries = spark.createDataFrame([(1, "the same old words 007x7")], "query_id int, query string")
+    met, real = [], search.meet
+    monkeypatch.setattr(search, "meet", lambda *a: met.append(real(*a)) or met[-1])
+    assert search.fuzzy_search_many(docs, "id", "text", queries, 0.9).count() == 1
+    every = sum(len(grams("the same old words 007x7") & grams(f"the same old words {i % 50:03d}x{i}")) for i in range(300))
+    assert sum(m.count() for m in met) < every / 10
+    plans = [m._jdf.queryExecution().executedPlan().toString() for m in met]
+    assert not any("text" in line for plan in plans for line in plan.splitlines() if "Exchange" in line)
+
+    met.clear()
+    search.write_index(docs, "id", "text", f"{folder}/index", 512)
+    assert search.fuzzy_search_indexed(spark, f"{folder}/index", "id", queries, 0.9).count() == 1
+    wanted = queries.select(F.explode(search.trigrams(F.col("query"))).alias("g"))
+    wanted = {r["b"] for r in wanted.select(search.bucket_of(F.col("g"), 512).alias("b")).collect()}
+    for m, some in zip(met, (True, False)):
+        read = re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ (?:IN \(([\d,]+)\)|= (\d+))", m._jdf.queryExecution().executedPlan().toString())
+        buckets = {int(b) for b in (read[1] or read[2]).split(",")}
+        assert buckets <= wanted and (not some or len(buckets) < len(wanted) / 2)
 
 
 def test_contains_takes_wildcards_as_text(spark):
