@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from joblattice.operators import clean, rows, runs, tables, tfidf, validate
 from joblattice.schemas import BATCH_RUNS, JOBS, MODEL_VERSIONS
 from joblattice.sources import models, pages
-from joblattice.sources.files import with_sequence
-from joblattice.sources.snapshots import Snapshots
+from joblattice.sources.files import MONTH, with_sequence
+from joblattice.sources.monthly import MonthlyTable
 
 
 @dataclass
@@ -50,8 +50,8 @@ class Day:
         return self.spark.read.parquet(self.stage_path(name))
 
     @property
-    def jobs(self) -> Snapshots:
-        return Snapshots(self.spark, f"{self.root}/jobs")
+    def jobs(self) -> MonthlyTable:
+        return MonthlyTable(self.spark, f"{self.root}/jobs", JOBS)
 
     def runs_log(self) -> DataFrame:
         return self.spark.read.schema(BATCH_RUNS).parquet(f"{self.root}/batch_runs")
@@ -124,12 +124,13 @@ def vectorize(day: Day, jobs: DataFrame) -> DataFrame:
 
 def export(day: Day, jobs: DataFrame) -> DataFrame:
     def work():
-        batch = tables.as_job_rows(jobs, day.now_col)
-        held = day.jobs.read() if day.jobs.exists() else day.spark.createDataFrame([], JOBS)
+        batch = day.keep(tables.as_job_rows(jobs, day.now_col), "exported")
         required = ("job_id", "job_title")
+        months = day.jobs.touched(batch, "job_id")
+        held = day.jobs.read(months=months).drop(MONTH)
         counts = tables.upsert_counts(held, batch, required=required).collect()[0]
-        day.jobs.commit(tables.upsert(held, batch, required=required), day.now_col)
-        return day.jobs.read(), {
+        day.jobs.rewrite(months, day.now_col, lambda rows: tables.upsert(rows, batch, required=required))
+        return day.jobs.read().drop(MONTH), {
             "jobs_inserted": counts["inserted"],
             "jobs_updated": counts["updated"],
             "jobs_failed": counts["failed"],

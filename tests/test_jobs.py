@@ -1,14 +1,16 @@
 from __future__ import annotations
 
 import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from joblattice.operators import reports, runs
+from joblattice.operators import reports, runs, tables
 from joblattice.plans import daily
 from joblattice.schemas import API_PAGE, BATCH_RUNS, HIT, RAW_JOBS
-from joblattice.sources import files, pages
+from joblattice.sources import files, monthly, pages
 from joblattice.sources.snapshots import Snapshots
 from joblattice.streaming import flows
 
@@ -246,3 +248,73 @@ def test_stored_models_bring_their_settings(spark, folder):
     assert models.load(spark, folder, "v1").spec == spec
     models.update_and_save(docs, docs.limit(0), "job_id", "job_description", folder, "v1", "v2")
     assert models.stored_spec(spark, folder, "v2") == (spec, False)
+
+
+def _files(folder):
+    return {str(p.relative_to(folder)) for p in Path(folder).rglob("*.parquet")}
+
+
+def test_a_batch_rewrites_only_the_months_it_touches(spark, folder):
+    kind = T.StructType.fromDDL("job_id string, job_title string, posted_date date, updated_at timestamp")
+    day = datetime.date
+
+    def batch(*rows):
+        return spark.createDataFrame([(i, t, d, datetime.datetime(2026, 1, 1)) for i, t, d in rows], kind)
+
+    def write(rows, fail=False):
+        columns = ("job_title", "posted_date", "updated_at")
+        months = table.touched(rows, "job_id")
+
+        def change(held):
+            if fail:
+                raise OSError("lost")
+            return tables.upsert(held, rows, "job_id", update_columns=columns)
+
+        return months, table.rewrite(months, F.current_timestamp(), change)
+
+    def content(number=None):
+        return sorted((r["job_id"], r["job_title"], r["posted_date"]) for r in table.read(number).collect())
+
+    table = monthly.MonthlyTable(spark, folder, kind)
+    assert table.read().count() == 0
+    first = [("a", "old", day(2025, 1, 5)), ("b", "old", day(2025, 2, 5)), ("c", "old", day(2025, 3, 5)), ("d", "old", day(2025, 3, 6)), ("e", "old", None)]
+    write(batch(*first))
+    before = _files(f"{folder}/data")
+
+    with pytest.raises(OSError):
+        write(batch(("a", "new", day(2025, 1, 7))), fail=True)
+    assert content() == sorted(first, key=str)
+
+    months, number = write(batch(("a", "new", day(2025, 1, 7)), ("f", "new", day(2025, 4, 1))))
+    assert (sorted(months), number) == ([day(2025, 1, 1), day(2025, 4, 1)], 2)
+    added = _files(f"{folder}/data") - before
+    assert before <= _files(f"{folder}/data") and {f.split("/")[0] for f in added} == {"posted_month=2025-01-01", "posted_month=2025-04-01"}
+    opened = {p for p in table.folders().values()}
+    assert len(opened) == 5 and sum("000001-" in p for p in opened) == 3
+
+    months, _ = write(batch(("b", "moved", day(2025, 3, 9)), ("e", "dated", day(2025, 4, 2))))  # two months are left empty
+    assert set(months) == {day(2025, 2, 1), day(2025, 3, 1), day(2025, 4, 1), None}
+    assert day(2025, 2, 1) not in table.folders() and None not in table.folders()
+    assert content() == [
+        ("a", "new", day(2025, 1, 7)), ("b", "moved", day(2025, 3, 9)), ("c", "old", day(2025, 3, 5)),
+        ("d", "old", day(2025, 3, 6)), ("e", "dated", day(2025, 4, 2)), ("f", "new", day(2025, 4, 1)),
+    ]
+    assert content(1) == sorted(first, key=str)
+    read = table.read(months=[day(2025, 4, 1)])
+    assert all("posted_month=2025-04-01" in f for f in read.inputFiles()) and read.count() == 2
+
+
+def test_second_day_leaves_other_months_alone(spark, folder):
+    def landed(ids):
+        hits = [(str(i), f"Data engineer {i}", f"2025-{1 + i % 6:02d}-03T00:00:00Z", "text", f"http://x/{i}", ("co",), ("Paris",), None, None, None) for i in ids]
+        return spark.createDataFrame([("q", "Paris", 1, hits)], API_PAGE)
+
+    day = daily.Day(spark, folder, datetime.datetime(2026, 1, 8, 0, 30))
+    assert daily.run_day(day, landed(range(12))).count() == 12
+    before = _files(f"{folder}/jobs/data")
+    again = daily.run_day(daily.Day(spark, folder, datetime.datetime(2026, 1, 9, 0, 30)), landed([2, 14]))
+    assert again.count() == 13
+    added = _files(f"{folder}/jobs/data") - before
+    assert before <= _files(f"{folder}/jobs/data") and {f.split("/")[0] for f in added} == {"posted_month=2025-03-01"}
+    last = {r["stage"]: r for r in day.runs_log().filter("batch_id <> '" + day.batch_id + "' AND status = 'success'").collect()}
+    assert (last["export"]["jobs_inserted"], last["export"]["jobs_updated"]) == (1, 1)
