@@ -30,6 +30,8 @@ from joblattice.session import scratch_path
 END_ID = 2
 #: The dictionary is trained on the ids of at most this many documents, chosen by a hash of the id.
 DICTIONARY_DOCS, DICTIONARY_BYTES = 4_000, 112_640
+#: A longer sampled document gives one piece of this size out of each of its quarters.
+PIECE_BYTES, PIECES = 1024, 4
 SHARD_BYTES = 1 << 20
 LEVEL = 3
 _CACHE_WORDS = 800_000
@@ -160,6 +162,19 @@ def _encoded(batch: pa.RecordBatch, path: str) -> Iterator[tuple[int, list[bytes
         yield a, encoder(path).encode(texts[a:b])
 
 
+def dictionary_pieces(ids: bytes) -> list[bytes]:
+    """What the dictionary learns from one document: all of a short one, of a longer one pieces from each quarter.
+
+    Where in its quarter a piece begins is told by a checksum of the whole document.
+    """
+    if len(ids) <= PIECE_BYTES * PIECES:
+        return [ids]
+    part, seed = len(ids) // 4 // PIECES, zlib.crc32(ids)
+    room = part - PIECE_BYTES // 4 + 1
+    starts = [4 * (q * part + zlib.crc32(bytes([q]), seed) % room) for q in range(PIECES)]
+    return [ids[s : s + PIECE_BYTES] for s in starts]
+
+
 def train_dictionary(docs: DataFrame, path: str, max_docs: int = DICTIONARY_DOCS) -> bytes:
     """A zstandard dictionary for the ids of a bounded sample; no dictionary if there is too little to learn."""
     sample = hash_sample(docs, F.col("doc"), max_docs)
@@ -167,9 +182,9 @@ def train_dictionary(docs: DataFrame, path: str, max_docs: int = DICTIONARY_DOCS
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, ids in _encoded(batch, path):
-                yield pa.RecordBatch.from_arrays([pa.array([i[:4096] for i in ids], pa.binary())], ["ids"])
+                pieces = [p for i in ids for p in dictionary_pieces(i)]
+                yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.binary())], ["ids"])
 
-    # the first 1024 ids of a sampled document are enough to learn from
     samples = sorted(bytes(r[0]) for r in sample.mapInArrow(run, "ids binary").collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()

@@ -193,6 +193,22 @@ def test_toxicity_learns_and_keeps_clean_rows(spark, empty, labels):
     assert toxicity.train(empty, labels).score("x") < 1 and toxicity.reject_toxic(empty, labels.limit(0)).count() == 0
 
 
+def test_dictionary_learns_from_whole_texts():
+    import struct
+
+    short = struct.pack("<900I", *range(900))
+    assert tokens.dictionary_pieces(short) == [short] and tokens.dictionary_pieces(b"") == [b""]
+    starts = []
+    for n in (1025, 4096, 100_003):
+        pieces = tokens.dictionary_pieces(struct.pack(f"<{n}I", *range(n)))
+        assert [len(p) for p in pieces] == [tokens.PIECE_BYTES] * tokens.PIECES
+        ids = [struct.unpack("<256I", p) for p in pieces]
+        assert all(list(i) == list(range(i[0], i[0] + 256)) for i in ids)  # whole ids, in order
+        assert all(q * (n // 4) <= i[0] and i[-1] < (q + 1) * (n // 4) for q, i in enumerate(ids))
+        starts += [i[0] for i in ids]
+    assert starts[-1] > 75_000
+
+
 def test_token_files_round_trip(spark, docs, rows, empty, folder):
     import public_tokenizers
     from tokenizers import Tokenizer
