@@ -18,6 +18,7 @@ from joblattice.constants import (
     TOTAL_SLA_SECONDS,
 )
 from joblattice.functions.values import days_since
+from joblattice.operators.runs import last_states
 
 
 def since(column: str, as_of: Column, days: int) -> Column:
@@ -96,10 +97,15 @@ def _status(name: str) -> Column:
     return F.count_if(F.col("status") == name)
 
 
-def daily_statistics(runs: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
+def _one_row_a_run(runs: DataFrame, folded: bool) -> DataFrame:
+    """A run log as it is written holds several rows a run; ``folded`` says that the caller has folded it."""
+    return runs if folded else last_states(runs)
+
+
+def daily_statistics(runs: DataFrame, as_of: Column, days: int = 30, folded: bool = False) -> DataFrame:
     processed = F.sum("jobs_inserted") + F.sum("jobs_updated")
     return (
-        runs.filter(since("batch_date", as_of, days))
+        _one_row_a_run(runs, folded).filter(since("batch_date", as_of, days))
         .groupBy("batch_date")
         .agg(
             F.count(F.lit(1)).alias("total_stages"),
@@ -126,9 +132,9 @@ def stage_timing(runs: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
     )
 
 
-def failure_rate(runs: DataFrame, as_of: Column, days: int = 90) -> DataFrame:
+def failure_rate(runs: DataFrame, as_of: Column, days: int = 90, folded: bool = False) -> DataFrame:
     return (
-        runs.filter(since("batch_date", as_of, days))
+        _one_row_a_run(runs, folded).filter(since("batch_date", as_of, days))
         .groupBy("stage")
         .agg(F.count(F.lit(1)).alias("total_runs"), _status("failed").alias("failed_runs"))
         .withColumn("failure_rate", F.round(100.0 * F.col("failed_runs") / F.col("total_runs"), 2))
@@ -136,9 +142,9 @@ def failure_rate(runs: DataFrame, as_of: Column, days: int = 90) -> DataFrame:
     )
 
 
-def success_rate(runs: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
+def success_rate(runs: DataFrame, as_of: Column, days: int = 7, folded: bool = False) -> DataFrame:
     return (
-        runs.filter(since("batch_date", as_of, days))
+        _one_row_a_run(runs, folded).filter(since("batch_date", as_of, days))
         .groupBy("batch_date")
         .agg(F.count(F.lit(1)).alias("total_runs"), _status("success").alias("successful"))
         .withColumn("success_rate", F.round(100.0 * F.col("successful") / F.col("total_runs"), 1))
@@ -161,6 +167,16 @@ def latest_batch_status(runs: DataFrame) -> DataFrame:
     )
 
 
+def last_run(runs: DataFrame) -> DataFrame:
+    """The run created last, with what it has collected, enriched and inserted; no row for an empty log."""
+    order = F.struct("created_at", *RUN_KEY)
+    newest = F.struct(
+        "batch_id", "batch_date", "stage", "status", "jobs_collected", "jobs_enriched", "jobs_inserted",
+        "execution_time_seconds", "created_at",
+    )
+    return runs.agg(F.max_by(newest, order).alias("run")).where("run is not null").select("run.*")
+
+
 def failed_runs(runs: DataFrame, n: int = 10, by: str = "updated_at") -> DataFrame:
     """The last ``n`` failed runs."""
     return (

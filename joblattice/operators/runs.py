@@ -41,12 +41,20 @@ def run_row(
     return align_schema(row, BATCH_RUNS)
 
 
-def current_runs(log: DataFrame) -> DataFrame:
-    """The last state of every batch and stage, created when its first row was."""
-    body = [f.name for f in BATCH_RUNS.fields if f.name not in ("batch_id", "stage", "created_at")]
+def last_states(log: DataFrame) -> DataFrame:
+    """The last state of every batch and stage, created when its first row was; columns as in ``log``.
+
+    A partial aggregate, so a batch of very many rows is no single task.
+    """
+    body = [c for c in log.columns if c not in ("batch_id", "stage", "created_at")]
     # At equal times the final states sort after the earlier ones.
     order = F.struct("updated_at", F.col("status").isin("success", "failed").alias("final"))
     folded = log.groupBy("batch_id", "stage").agg(
         F.max_by(F.struct(*body), order).alias("last"), F.min("created_at").alias("created_at")
     )
-    return folded.select("batch_id", "stage", "last.*", "created_at").select(*BATCH_RUNS.fieldNames())
+    return folded.select("batch_id", "stage", "last.*", "created_at").select(*log.columns)
+
+
+def current_runs(log: DataFrame) -> DataFrame:
+    """The last states of a whole run log, in the order of its schema."""
+    return last_states(log).select(*BATCH_RUNS.fieldNames())

@@ -170,7 +170,7 @@ SELECT batch_date, count(*) AS total_stages, count(*) FILTER (WHERE status = 'su
     count(*) FILTER (WHERE status = 'failed') AS failed, CAST(sum(jobs_inserted) + sum(jobs_updated) AS BIGINT) AS total_processed
 FROM runs WHERE {_since(30)} GROUP BY batch_date"""))
 def daily_stats(t: Tables) -> DataFrame:
-    return reports.daily_statistics(runs(t), as_of())
+    return reports.daily_statistics(runs(t), as_of(), folded=True)
 
 
 @query(_runs_sql(f"""
@@ -186,7 +186,7 @@ SELECT stage, count(*) AS total_runs, count(*) FILTER (WHERE status = 'failed')
     round(CAST(100.0 AS DOUBLE) * count(*) FILTER (WHERE status = 'failed') / count(*), 2) AS failure_rate
 FROM runs WHERE {_since(90)} GROUP BY stage"""))
 def failure_rate(t: Tables) -> DataFrame:
-    return reports.failure_rate(runs(t), as_of())
+    return reports.failure_rate(runs(t), as_of(), folded=True)
 
 
 @query(_runs_sql(f"""
@@ -194,9 +194,48 @@ SELECT batch_date, count(*) AS total_runs, count(*) FILTER (WHERE status = 'succ
     round(CAST(100.0 AS DOUBLE) * count(*) FILTER (WHERE status = 'success') / count(*), 1) AS success_rate
 FROM runs WHERE {_since(7)} GROUP BY batch_date"""))
 def success_rate(t: Tables) -> DataFrame:
+    return reports.success_rate(runs(t), as_of(), folded=True)
+
+
+# The same reports over a log that holds several states of a run.
+
+
+def _folded_sql(select: str) -> str:
+    return _runs_sql(f""", folded AS (SELECT * FROM runs QUALIFY row_number() OVER
+    (PARTITION BY batch_id, stage ORDER BY updated_at DESC, status <> 'in_progress' DESC) = 1) {select}""")
+
+
+@query(_folded_sql(f"""
+SELECT batch_date, count(*) AS total_stages, count(*) FILTER (WHERE status = 'success') AS successful,
+    count(*) FILTER (WHERE status = 'failed') AS failed, CAST(sum(jobs_inserted) + sum(jobs_updated) AS BIGINT) AS total_processed
+FROM folded WHERE {_since(30)} GROUP BY batch_date"""))
+def daily_stats_log(t: Tables) -> DataFrame:
+    return reports.daily_statistics(runs(t), as_of())
+
+
+@query(_folded_sql(f"""
+SELECT stage, count(*) AS total_runs, count(*) FILTER (WHERE status = 'failed') AS failed_runs,
+    round(CAST(100.0 AS DOUBLE) * count(*) FILTER (WHERE status = 'failed') / count(*), 2) AS failure_rate
+FROM folded WHERE {_since(90)} GROUP BY stage"""))
+def failure_rate_log(t: Tables) -> DataFrame:
+    return reports.failure_rate(runs(t), as_of())
+
+
+@query(_folded_sql(f"""
+SELECT batch_date, count(*) AS total_runs, count(*) FILTER (WHERE status = 'success') AS successful,
+    round(CAST(100.0 AS DOUBLE) * count(*) FILTER (WHERE status = 'success') / count(*), 1) AS success_rate
+FROM folded WHERE {_since(7)} GROUP BY batch_date"""))
+def success_rate_log(t: Tables) -> DataFrame:
     return reports.success_rate(runs(t), as_of())
 
 
+@query(_runs_sql("""
+SELECT batch_id, batch_date, stage, status, jobs_collected, jobs_enriched, jobs_inserted, execution_time_seconds, created_at FROM runs
+ORDER BY created_at DESC, batch_id DESC, stage DESC LIMIT 1"""))
+def last_run(t: Tables) -> DataFrame:
+    return reports.last_run(runs(t))
+
+
 @query(_runs_sql("""
 SELECT batch_id, batch_date, stage, status, jobs_inserted, jobs_updated, jobs_failed, execution_time_seconds, created_at
 FROM runs ORDER BY created_at DESC, batch_id, stage LIMIT 1"""))

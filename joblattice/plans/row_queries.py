@@ -450,7 +450,7 @@ def batch_log(t: Tables) -> DataFrame:
     day = daily.Day(t.spark, scratch_path(t.spark, "daily-texts"), datetime(2026, 1, 8, 0, 30), limit=10**9)
     daily.run_day(day, landed)
     log = runs.current_runs(day.runs_log())
-    rates = reports.failure_rate(log, F.current_date())
+    rates = reports.failure_rate(log, F.current_date(), folded=True)
     return log.select("stage", "status", *_LOG_COLUMNS).join(rates, "stage")
 
 

@@ -102,6 +102,30 @@ def test_five_stages_twice(spark, landed, folder):
     assert newest["model_version"] == "tfidf_v20260109_003000"
 
 
+def test_reports_fold_a_written_log(spark):
+    """Rows of one run count once, by its last state; at equal times a final state is later than its start."""
+    rows = [
+        ("b1", "collect", "in_progress", 0, "2026-01-08 00:00:00"), ("b1", "collect", "success", 5, "2026-01-08 00:05:00"),
+        ("b1", "export", "in_progress", 0, "2026-01-08 00:06:00"), ("b1", "export", "failed", 0, "2026-01-08 00:06:00"),
+        ("b2", "collect", "failed", 0, "2026-01-08 01:00:00"), ("b2", "collect", "success", 7, "2026-01-08 02:00:00"),
+    ]
+    log = spark.createDataFrame(rows, "batch_id string, stage string, status string, jobs_inserted long, at string").select(
+        "batch_id", "stage", "status", "jobs_inserted", F.lit(0).alias("jobs_updated"), F.lit("2026-01-08").cast("date").alias("batch_date"),
+        F.col("at").cast("timestamp").alias("updated_at"), F.col("at").cast("timestamp").alias("created_at"),
+    )
+    today = F.lit("2026-01-09").cast("date")
+    assert reports.daily_statistics(log, today).first()[1:] == (3, 2, 1, 12)
+    assert {r[0]: r[1:] for r in reports.failure_rate(log, today).collect()} == {"collect": (2, 0, 0.0), "export": (1, 1, 100.0)}
+    assert reports.success_rate(log, today).first()[1:] == (3, 2, 66.7)
+    folded = runs.last_states(log)
+    assert folded.columns == log.columns and reports.success_rate(folded, today, folded=True).first()[1:] == (3, 2, 66.7)
+    assert reports.success_rate(log.limit(0), today).count() == 0
+    counts = {"jobs_collected": F.lit(3), "jobs_enriched": F.lit(2), "execution_time_seconds": F.lit(60)}
+    last = reports.last_run(log.withColumns(counts))
+    assert tuple(last.drop("batch_date", "created_at").first()) == ("b2", "collect", "success", 3, 2, 7, 60)
+    assert reports.last_run(log.limit(0).withColumns(counts)).count() == 0
+
+
 def test_failed_stage_is_logged(spark, folder):
     day = daily.Day(spark, folder, datetime.datetime(2026, 1, 8))
     with pytest.raises(Exception):
