@@ -19,7 +19,7 @@ from joblattice.plans.catalog import (
     sql_text,
     sql_word_tokens,
 )
-from joblattice.session import broadcast_if_small
+from joblattice.session import broadcast_if_small, spread
 
 # Words that the supplied texts really hold, beside the default skills they hardly do.
 KEYWORDS = [*SKILL_KEYWORDS, "The", "Of the", "The of", "De la", "La", "Que", "Und", "Der", "With", "Für", "À la"]
@@ -60,7 +60,8 @@ SELECT doc_id, {sql_keyword_skills('low', KEYWORDS)} AS skills
 FROM (SELECT doc_id, lower(text) AS low FROM documents)
 """)
 def skills_keywords(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", skills.extract_skills(F.col("text"), KEYWORDS).alias("skills"))
+    docs = spread(t.documents.select("doc_id", "text"))
+    return docs.select("doc_id", skills.extract_skills(F.col("text"), KEYWORDS).alias("skills"))
 
 
 @query(f"""

@@ -173,6 +173,36 @@ def test_dictionary_joins(spark):
     assert out == {1: ["py", "and", "sql", "box"], 2: ["none", "at"], 3: []}
 
 
+@pytest.mark.parametrize("sizes", [[True, True], [False, True], [False, False]], ids=["one list", "occurring forms", "own entries"])
+def test_dictionary_of_any_size(spark, monkeypatch, sizes):
+    """Against plain look-ups: repeated forms, null keys, repeated rows, rows without a known word, an empty text."""
+    rng = random.Random(9)
+    words = [a + b for a in "abcdefgh" for b in "klmnop"]
+    table = [(w, f"{w[0]}{i}") for w in words[::3] for i in range(1 + (w[1] == "k"))] + [("ak", None), (None, "x"), ("zz", "never")]
+    rows = [(None if i == 5 else i % 30, " ".join(rng.choices(words, k=i % 17))) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (50, None)], "id int, text string")
+    answers = iter(sizes)
+    monkeypatch.setattr(dictionary, "is_small", lambda _: next(answers))
+    lemmas = spark.createDataFrame(table, "form string, lemma string")
+    out = dictionary.lemmatized_tokens(docs, "id", "text", lemmas).collect()
+    known = {}
+    for form, lemma in table:
+        known.setdefault(form, []).append(lemma or form)
+    plain = [(k, [t for w in (x or "").split() for t in sorted(known.get(w, [w]))]) for k, x in [*rows, (50, None)]]
+    assert sorted(map(repr, ((r["id"], r["tokens"]) for r in out))) == sorted(map(repr, plain))
+    answers = iter(sizes)
+    found = dictionary.skills_by_join(docs, "id", "text", lemmas.withColumnRenamed("lemma", "skill")).collect()
+    skills = [(k, sorted({s for f, s in table if s and f in (x or "").split()})) for k, x in [*rows, (50, None)]]
+    assert sorted(map(repr, ((r["id"], r["skills"]) for r in found))) == sorted(map(repr, skills))
+
+
+def test_dictionary_moves_no_words(spark):
+    docs = spark.range(0, 100, 1, 8).select("id", F.lit("py and sql").alias("text"))
+    lemmas = spark.createDataFrame([("py", "python")], "form string, lemma string")
+    plan = dictionary.lemmatized_tokens(docs, "id", "text", lemmas)._jdf.queryExecution().optimizedPlan()
+    assert "Generate" not in plan.toString() and "Join" not in plan.toString()
+
+
 # --- upsert -----------------------------------------------------------------------------------------
 
 
