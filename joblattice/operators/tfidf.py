@@ -10,6 +10,7 @@ once, for the norms. Per-term counts are summed per task before they travel. A v
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -111,6 +112,42 @@ def _cutoff(bound: int | float, n_docs: Column) -> Column:
     return F.lit(bound) if isinstance(bound, int) else F.lit(bound) * n_docs
 
 
+LEVELS_PER_OCTAVE = 16
+
+
+def _cut_at(rows: DataFrame, key: Column, wanted: Column) -> Column:
+    """``(key, above)`` as a scalar: the key at which ``wanted`` rows are reached, smallest keys first, and the rows before it."""
+    heights = rows.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    kind = heights.schema["key"].dataType.simpleString()
+    start = F.struct(F.lit(None).cast(kind).alias("key"), F.lit(0).cast("bigint").alias("above"), F.lit(0).cast("bigint").alias("seen"))
+
+    def further(at: Column, height: Column) -> Column:
+        step = F.struct(height["key"].alias("key"), at["seen"].alias("above"), (at["seen"] + height["n"]).alias("seen"))
+        return F.when(at["seen"] < F.col("wanted"), step).otherwise(at)
+
+    listed = heights.agg(F.array_sort(F.collect_list(F.struct("key", "n"))).alias("all")).withColumn("wanted", wanted)
+    return listed.select(F.aggregate("all", start, further)).scalar()
+
+
+def down_to_cut(totals: DataFrame, size: int) -> DataFrame:
+    """The terms of highest ``cf`` down to the cut after ``size`` of them, and those with the cut's ``cf`` and first two letters.
+
+    A histogram over levels of ``cf`` (at most a thousand) finds the level in which the cut lies, one over
+    ``cf`` and first two letters the place in that level.
+    """
+    rows = totals.filter(F.col("df") > 0)
+    level = -F.floor(F.log2("cf") * LEVELS_PER_OCTAVE)
+    place = F.struct((-F.col("cf")).alias("cf"), F.left(TERM, F.lit(2)).alias("head"))
+    first = _cut_at(rows, level, F.lit(size))
+    second = _cut_at(rows.filter(level == first["key"]), place, F.lit(size) - first["above"])
+    return rows.filter((level < first["key"]) | ((level == first["key"]) & (place <= second["key"])))
+
+
+def most_frequent(totals: DataFrame, size: int) -> DataFrame:
+    """The ``size`` terms of highest ``cf``, ties to the alphabetically smaller; only terms down to the cut are put in order."""
+    return down_to_cut(totals, size).orderBy(F.desc("cf"), F.asc(TERM)).limit(size)
+
+
 def build_vocab(totals: DataFrame, n_docs: Column, spec: Spec = STORED) -> DataFrame:
     """Vocabulary with smooth idf ``ln((1+n)/(1+df)) + 1``; ``n_docs`` counts empty documents too.
 
@@ -122,13 +159,26 @@ def build_vocab(totals: DataFrame, n_docs: Column, spec: Spec = STORED) -> DataF
     if spec.max_df != 1.0:
         kept = kept.filter(F.col("df") <= _cutoff(spec.max_df, n_docs))
     if spec.max_features is not None:
-        kept = kept.orderBy(F.desc("cf"), F.asc(TERM)).limit(spec.max_features)
+        kept = most_frequent(kept, spec.max_features)
     return kept.withColumn("idf", F.log((1 + n_docs) / (1 + F.col("df"))) + 1.0)
 
 
 def with_term_ids(vocab: DataFrame) -> DataFrame:
-    """Numbers the terms alphabetically from 0; for a vocabulary cut by ``max_features``."""
-    return vocab.withColumn("term_id", (F.row_number().over(Window.orderBy(TERM)) - 1).cast("int"))
+    """Numbers the terms of a vocabulary of any size alphabetically from 0; writes it down to do so.
+
+    Terms are dealt by ranges and numbered inside them; the sizes of the ranges, one a partition, give
+    where each begins.
+    """
+    spark = vocab.sparkSession
+    at = F.monotonically_increasing_id()
+    ranges = written(vocab.repartitionByRange(TERM).sortWithinPartitions(TERM).withColumn("_at", at), "numbered")
+    part = F.shiftright("_at", 33)
+    sizes = ranges.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()
+    begins = zip((r["_part"] for r in sizes), accumulate((r["n"] for r in sizes), initial=0))
+    offsets = F.broadcast(spark.createDataFrame(list(begins), "_part bigint, _begin bigint"))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = ranges.withColumn("_part", part).join(offsets, "_part").withColumn("term_id", F.col("_begin") + inside)
+    return numbered.drop("_part", "_begin", "_at")
 
 
 def weigh(counts: DataFrame, vocab: DataFrame, spec: Spec = STORED, *carried: str) -> DataFrame:

@@ -66,6 +66,13 @@ def tfidf_vocab(t: Tables) -> DataFrame:
     return vocab.select("term", "cf", "df", F.round("idf", 6).alias("idf"))
 
 
+@query(f"WITH {_model(_DOCS, None, False)} SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS term_id FROM vocab")
+def tfidf_term_ids(t: Tables) -> DataFrame:
+    """The numbers of all terms of an uncut vocabulary, dealt by ranges."""
+    vocab = tfidf.with_term_ids(tfidf.vocabulary(t.documents, "doc_id", "text", tfidf.ON_THE_FLY))
+    return vocab.select("term", "df", "term_id")
+
+
 @query(f"WITH {_model(_DOCS)} SELECT id AS doc_id, term, round(weight, 6) AS weight FROM postings")
 def tfidf_weights(t: Tables) -> DataFrame:
     postings = tfidf.fit(t.documents, "doc_id", "text").postings

@@ -78,8 +78,8 @@ def update_and_save(
 
 def _save_from_counts(counts, totals, docs, root, version, spec) -> tfidf.Model:
     vocab = tfidf.build_vocab(totals, tfidf.count_docs(docs), spec)
-    if spec.max_features is not None:
-        vocab = tfidf.with_term_ids(vocab)
+    kind = "int" if tfidf.is_cut(spec) else "bigint"
+    vocab = tfidf.with_term_ids(vocab).withColumn("term_id", F.col("term_id").cast(kind))
     vocab = _write(vocab, root, "vocab", version)
     return tfidf.place(counts, vocab, spec, part_path(root, "postings", version), part_path(root, "bounds", version))
 

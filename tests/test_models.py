@@ -223,6 +223,38 @@ def test_stored_updated_and_cached_models(spark, docs, folder):
     assert cache.versions() == []
 
 
+@pytest.mark.parametrize("size", [0, 1, 7, 40, 399, 400, 1000])
+def test_cut_by_histograms(spark, size):
+    """Against a plain sort, with many ties, the cut inside a level and inside equal first letters, and more terms asked than there are."""
+    rng = random.Random(size)
+    rows = [(f"{a}{b}{i}", rng.choice([1, 1, 1, 2, 5, 1000, 1001, 1002, 10**12]), 1 + i) for i in range(4) for a in "abcdefghij" for b in "abcdefghij"]
+    totals = spark.createDataFrame(rows, "term string, cf bigint, df bigint")
+    kept = [r["term"] for r in tfidf.most_frequent(totals, size).collect()]
+    assert kept == [t for t, *_ in sorted(rows, key=lambda r: (-r[1], r[0]))[:size]]
+
+
+def test_cut_puts_only_its_own_level_in_order(spark):
+    """Of many terms seen once, those before the cut by cf and first letters are all that is sorted."""
+    totals = spark.range(20_000).select(F.concat(F.char(97 + F.col("id") % 26), F.char(97 + F.floor(F.col("id") / 26) % 26), "id").alias("term"))
+    totals = totals.withColumns({"cf": F.when(F.hash("term") % 500 == 0, 9).otherwise(1).cast("bigint"), "df": F.lit(1).cast("bigint")})
+    assert 100 <= tfidf.down_to_cut(totals, 100).count() < 200
+    assert tfidf.most_frequent(totals, 100).count() == 100
+
+
+def test_term_ids_over_many_ranges(spark):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        vocab = spark.range(5000).select(F.concat(F.lit("t"), F.sha1(F.col("id").cast("string"))).alias("term"))
+        numbered = tfidf.with_term_ids(vocab).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    in_order = sorted(numbered, key=lambda r: r["term_id"])
+    assert [r["term_id"] for r in in_order] == list(range(5000))
+    assert [r["term"] for r in in_order] == sorted(r["term"] for r in numbered)
+    assert tfidf.with_term_ids(vocab.limit(0)).collect() == []
+
+
 def test_lemmas_in_a_model(spark):
     docs = spark.createDataFrame([(1, "jobs and job"), (2, "boxes")], "id int, text string")
     lemmas = spark.createDataFrame([("jobs", "job"), ("boxes", "b")], "form string, lemma string")
