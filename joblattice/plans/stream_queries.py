@@ -9,6 +9,7 @@ from joblattice.plans.catalog import Tables, query
 from joblattice.plans.row_queries import landed_pages
 from joblattice.session import scratch_path
 from joblattice.streaming import flows
+from joblattice.streaming.changes import ChangeLog
 
 
 def _drained(t: Tables, stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
@@ -51,6 +52,27 @@ def stream_upsert(t: Tables) -> DataFrame:
     return flows.current_table(base, _drained(t, changes, "changes"), "c_custkey", "_seq", ["balance"])
 
 
+_LANDINGS = 5
+
+
+@query(f"""
+WITH placed AS (SELECT *, ({_LANDINGS - 1} - event_id % {_LANDINGS}) * 1000000000000 + event_id AS place FROM events),
+changes AS (SELECT user_id AS c_custkey, arg_min(event_type, place) AS segment, arg_max(value, place) AS balance FROM placed GROUP BY user_id)
+SELECT coalesce(c.c_custkey, u.c_custkey) AS c_custkey, coalesce(c_mktsegment, segment) AS segment, coalesce(balance, c_acctbal) AS balance
+FROM customer c FULL JOIN changes u ON c.c_custkey = u.c_custkey""")
+def stream_upsert_folded(t: Tables) -> DataFrame:
+    """Events that land in several parts, the later event of a pair often first, in a log that folds itself in three slices."""
+    events = t.events.select(
+        F.col("user_id").alias("c_custkey"), F.col("event_type").alias("segment"), F.col("value").alias("balance"), F.col("event_id").alias("_seq")
+    )
+    landed = scratch_path(t.spark, "landed-events")
+    log = ChangeLog(t.spark, scratch_path(t.spark, "changes"), events.schema, "c_custkey", "_seq", ["balance"], slices=3)
+    for part in reversed(range(_LANDINGS)):
+        events.filter(F.col("_seq") % _LANDINGS == part).write.mode("append").parquet(landed)
+        log.drain(flows.read_parquet_stream(t.spark, landed, events.schema))
+    return log.current_table(t.customer.select("c_custkey", F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance")))
+
+
 @query("""
 SELECT 'http://jobs.example/' || o_orderkey AS url, 'Customer ' || o_custkey AS company_name, o_orderstatus AS search_query,
     CAST(o_orderdate AS DATE) AS posted_date, CAST(trunc(o_totalprice) AS BIGINT) AS salary_min FROM orders""")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import random
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,7 @@ from joblattice.plans import daily
 from joblattice.schemas import API_PAGE, BATCH_RUNS, HIT, RAW_JOBS
 from joblattice.sources import files, monthly, pages
 from joblattice.sources.snapshots import Snapshots
-from joblattice.streaming import flows
+from joblattice.streaming import changes, flows
 
 
 def hit(i, title="Senior Data Engineer", description="We use Python and SQL", low=45000.0, place="Paris 1er"):
@@ -342,3 +343,42 @@ def test_second_day_leaves_other_months_alone(spark, folder):
     assert before <= _files(f"{folder}/jobs/data") and {f.split("/")[0] for f in added} == {"posted_month=2025-03-01"}
     last = {r["stage"]: r for r in day.runs_log().filter("batch_id <> '" + day.batch_id + "' AND status = 'success'").collect()}
     assert (last["export"]["jobs_inserted"], last["export"]["jobs_updated"]) == (1, 1)
+
+
+def test_change_log_folds_itself(spark, folder):
+    """Against a plain re-telling after every micro-batch: smaller orders later, a hot key, null keys and values, empty and repeated micro-batches."""
+    rng = random.Random(3)
+    schema = "_seq long, k string, made string, value int"
+    base = spark.createDataFrame([("k1", "base", 0), ("k50", "base", 0)], "k string, made string, value int")
+    log = changes.ChangeLog(spark, folder, spark.createDataFrame([], schema).schema, "k", "_seq", ["value"], slices=3)
+    assert log.newest() is None and log.read().count() == 0
+    now = {"k1": ("base", 0), "k50": ("base", 0)}
+    for number in range(8):
+        keys = ["hot" if rng.random() < 0.4 else rng.choice([None, *(f"k{i}" for i in range(9))]) for _ in range(0 if number == 4 else 25)]
+        rows = [(1000 - 30 * number + i, k, rng.choice([None, f"{number}-{i}"]), rng.choice([None, i])) for i, k in enumerate(keys)]
+        batch = spark.createDataFrame(rng.sample(rows, len(rows)), schema).repartition(2)
+        log.add(batch, number)
+        for _, k, made, value in rows:
+            if k is not None:
+                now[k] = (now[k][0] if k in now else made, value)
+        log.add(batch, number)  # given again after a failure
+        assert log.newest() == number
+        if number in (1, 4, 7):
+            assert {r["k"]: (r["made"], r["value"]) for r in log.current_table(base).collect()} == now
+    opened = {tuple(f.split(f"{folder}/")[1].split("/")[:2]) for f in log.read().inputFiles()}
+    assert opened <= {("fold", f"epoch={n}") for n in (5, 6, 7)} | {("log", f"epoch={n}") for n in (6, 7)}
+    assert log.read().count() == len({k for k in now if k != "k50"})
+
+
+def test_change_log_is_whole_after_a_lost_write(spark, folder, monkeypatch):
+    batch = spark.createDataFrame([(1, "a", 1)], "_seq long, k string, value int")
+    log = changes.ChangeLog(spark, folder, batch.schema, "k", "_seq", ["value"], slices=2)
+    log.add(batch, 0)
+    later = batch.withColumn("value", F.lit(2))
+    with monkeypatch.context() as broken:
+        broken.setattr(log, "_rows_of", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            log.add(later, 1)
+    assert [r["value"] for r in log.read().collect()] == [1]
+    log.add(later, 1)
+    assert [r["value"] for r in log.read().collect()] == [2]
