@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from joblattice.functions.text import let
 
 
+# Every triple of letters and blanks but those that run over the end of a word: a letter before two blanks.
+_TRIPLES = r"(?=(  [^ ]| [^ ].|[^ ]{2}.))"
+
+
 def trigrams(c: Column) -> Column:
     """Distinct trigrams of the lower-case words, each padded with two blanks before and one after."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
 
-    def of_word(word: Column) -> Column:
-        padded = F.concat(F.lit("  "), word, F.lit(" "))
-        return F.transform(F.sequence(F.lit(1), F.length(word) + 1), lambda i: F.substr(padded, i, F.lit(3)))
-
-    return F.array_distinct(F.flatten(F.transform(words, of_word)))
+    padded = F.concat(F.lit("  "), F.array_join(words, "  "), F.lit(" "))
+    return F.array_distinct(F.regexp_extract_all(padded, F.lit(_TRIPLES), F.lit(1)))
 
 
 def shared_share(a: Column, b: Column) -> Column:

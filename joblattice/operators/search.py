@@ -91,17 +91,39 @@ def meet(postings: DataFrame, asked: DataFrame, key: str) -> DataFrame:
     return dealt.join(copies, ["gram", "salt"])
 
 
-def similar(postings: DataFrame, asked: DataFrame, key: str, threshold: float, read=lambda postings, asked: postings) -> DataFrame:
+#: Share of all meetings of trigrams behind the rarest ones from which on a first round over these spares too little.
+ONE_ROUND_SHARE = 0.25
+
+
+def _one_round(asked: DataFrame) -> bool:
+    """Whether the rarest trigrams alone bring so many meetings that all are counted at once."""
+    rare, every = asked.agg(F.sum(F.when(F.col("first"), F.col("df"))), F.sum("df")).first()
+    return (rare or 0) > ONE_ROUND_SHARE * (every or 0)
+
+
+def similar(
+    postings: DataFrame,
+    asked: DataFrame,
+    key: str,
+    threshold: float,
+    read=lambda postings, asked: postings,
+    whole: DataFrame | None = None,
+) -> DataFrame:
     """``(query_id, key, similarity)`` of all texts that reach the threshold; ``asked`` is written.
 
     Texts and queries first meet on each query's rarest trigrams alone. A text whose share of those,
     with all the others added, could not reach the threshold is out; the common trigrams are counted
     for the rest. ``read`` narrows the postings to what the given trigrams need.
+
+    Where the rarest trigrams bring a large part of all meetings, all are counted at once instead. The
+    postings then lie by text (``whole``, if they do so already), so that queries and texts meet and are
+    counted in one task, and no row a query and text is shuffled.
     """
+    if _one_round(asked) and is_small(asked.select("query_id", "query_size", "gram")):
+        return _similar_at_once(postings, asked, key, threshold, read, whole)
     rare, common = asked.filter("first"), asked.filter("NOT first")
-    possible = F.least("size", "query_size") >= F.greatest("size", "query_size") * F.lit(threshold) - _ROUNDING
     group = ["query_id", key, "size", "query_size"]
-    met = meet(read(postings, rare), rare, key).filter(possible)
+    met = meet(read(postings, rare), rare, key).filter(_possible(threshold))
     needed = _at_least((F.col("size") + F.col("query_size")) * (threshold / (1 + threshold)))
     left = F.greatest(_at_least(F.col("query_size") * threshold) - 1, F.lit(0))
     alive = met.groupBy(*group).agg(F.count(F.lit(1)).alias("common")).filter(F.col("common") >= needed - left)
@@ -110,10 +132,36 @@ def similar(postings: DataFrame, asked: DataFrame, key: str, threshold: float, r
     held = read(postings, common).join(broadcast_if_small(alive.select(key).distinct()), key, "left_semi")
     rest = meet(held, common, key).join(near, group).groupBy(*group).agg(F.count(F.lit(1)).alias("common"))
     counted = alive.unionByName(rest).groupBy(*group).agg(F.sum("common").alias("common"))
+    return _scored(counted, key, threshold)
+
+
+def _possible(threshold: float) -> Column:
+    """Whether the sizes of a text's and a query's sets let them reach the threshold."""
+    return F.least("size", "query_size") >= F.greatest("size", "query_size") * F.lit(threshold) - _ROUNDING
+
+
+def _scored(counted: DataFrame, key: str, threshold: float) -> DataFrame:
     score = F.col("common") / (F.col("size") + F.col("query_size") - F.col("common"))
     return counted.select("query_id", key, score.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
+def _similar_at_once(postings: DataFrame, asked: DataFrame, key: str, threshold: float, read, whole: DataFrame | None) -> DataFrame:
+    if whole is None:
+        shortest, longest = asked.agg(F.min("query_size"), F.max("query_size")).first()
+        held = read(postings, asked).filter(_size_between(shortest, longest, threshold))
+        whole = held.join(F.broadcast(asked.select("gram").distinct()), "gram", "left_semi").repartition(F.col(key))
+        whole = whole.sortWithinPartitions(key)  # a text's counts are then touched together
+    met = whole.join(F.broadcast(asked.select("query_id", "query_size", "gram")), "gram").filter(_possible(threshold))
+    counted = met.groupBy("query_id", key, "size", "query_size").agg(F.count(F.lit(1)).alias("common"))
+    return _scored(counted, key, threshold)
+
+
+def _size_between(shortest: int | None, longest: int | None, threshold: float) -> Column:
+    """Whether a set is neither too small nor too large for every query."""
+    size, low, high = F.col("size"), F.lit(shortest), F.lit(longest)
+    return (size >= low * threshold - _ROUNDING) & (size * threshold <= high + _ROUNDING)
+
+
 def fuzzy_search_many(
     docs: DataFrame,
     key: str,
@@ -125,18 +173,19 @@ def fuzzy_search_many(
     """As ``fuzzy_search`` for a table ``queries(query_id, query)``: ``(query_id, key, similarity)``.
 
     Each text becomes the set of its trigrams where it lies, and those sets are written; texts too long
-    or too short for every query are left out. No text is shuffled, and no trigram but those of queries.
+    or too short for every query are left out. No text is shuffled.
     """
     sizes = queries.select(F.size(trigrams(F.col("query"))).alias("n")).agg(F.min("n"), F.max("n"))
-    shortest, longest = (F.lit(x) for x in sizes.first())
+    shortest, longest = sizes.first()
     grams = spread(docs.select(key, text)).select(F.col(key), trigrams(F.col(text)).alias("grams"))
     sets = written(grams, "gram-sets").withColumn("size", F.size("grams"))
-    sets = sets.filter((F.col("size") >= shortest * threshold - _ROUNDING) & (F.col("size") * threshold <= longest + _ROUNDING))
+    sets = sets.filter(_size_between(shortest, longest, threshold))
     postings = gram_postings(sets, key)
     wanted = queries.select(F.explode(trigrams(F.col("query"))).alias("gram")).distinct()
     frequencies = postings.join(broadcast_if_small(wanted), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     asked = written(query_grams(queries, frequencies, threshold), "query-grams")
-    return _best(similar(postings, asked, key, threshold), key, top_n)
+    whole = gram_postings(sets.repartition(F.col(key)), key)
+    return _best(similar(postings, asked, key, threshold, whole=whole), key, top_n)
 
 
 def _best(scored: DataFrame, key: str, top_n: int) -> DataFrame:

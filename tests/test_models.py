@@ -360,6 +360,23 @@ def test_search_joins_rare_trigrams_and_reads_their_buckets_only(spark, folder,
         assert buckets <= wanted and (not some or len(buckets) < len(wanted) / 2)
 
 
+def test_search_by_common_trigrams_shuffles_no_pairs_of_query_and_text(spark, folder):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcd efé½") for _ in range(rng.randint(0, 40))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    asked = {i: texts[i][:25] for i in range(20)}
+    queries = spark.createDataFrame(list(asked.items()), "query_id int, query string")
+    search.write_index(docs, "id", "text", f"{folder}/index", 8)
+    found = [search.fuzzy_search_many(docs, "id", "text", queries), search.fuzzy_search_indexed(spark, f"{folder}/index", "id", queries)]
+    for rows in found:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"hashpartitioning\(query_id#\d+L?, id#", plan)
+        for query_id, query in asked.items():
+            scored = [(len(grams(query) & grams(t)) / max(1, len(grams(query) | grams(t))), i) for i, t in enumerate(texts)]
+            best = sorted((-s, i) for s, i in scored if s >= 0.3)[:20]
+            assert sorted((-r["similarity"], r["id"]) for r in rows.filter(F.col("query_id") == query_id).collect()) == best
+
+
 def test_contains_takes_wildcards_as_text(spark):
     df = spark.createDataFrame([("100% remote",), ("1000 remote",)], "t string")
     assert df.filter(search.contains_ignore_case("t", "100% REM")).count() == 1
