@@ -76,7 +76,9 @@ def recommend(
             model = tfidf.placed(docs, key, text, model.vocab, model.spec, lemmas)
         scores = topk.best_scores(weights, model, top_n, DIGITS, small, SCORE)
     else:
-        scores = cosine_scores(weights, model.postings, DIGITS, small)
+        stored = small and model.bounds is not None  # files by frequency band hold a document's terms apart
+        postings = topk.by_document(model.postings, weights) if stored else model.postings
+        scores = cosine_scores(weights, postings, DIGITS, small)
     return top_documents(scores, queries, docs, key, top_n)
 
 

@@ -8,6 +8,9 @@ shortened by what the document has already shown. Common terms that cannot reach
 own are not joined at all; a document goes on only while what is left can lift it to the floor, and the
 common terms are joined for those documents alone. Postings lie by frequency band of their term, so
 the rounds over rare terms read none of the common ones' files.
+
+Rounds pay only where bounds set a good part of the products aside. Otherwise all products are summed in
+one round, each document's in one task, and the floors keep all but the best from being sorted.
 """
 
 from __future__ import annotations
@@ -24,7 +27,9 @@ MARGIN = 1e-8
 #: Documents scored whole for the floor, as a multiple of the number asked for.
 NOMINEES = 2
 #: Products of query and document terms that a core sums up sooner than bounds could spare them.
-PLAIN_PRODUCTS = 2_000_000
+PLAIN_PRODUCTS = 500_000_000
+#: Share of all products behind the terms that bounds cannot set aside, from which on all are summed in one round.
+ONE_ROUND_SHARE = 0.5
 _SPREAD = 16
 
 
@@ -34,6 +39,12 @@ def worth_bounding(weights: DataFrame, vocab: DataFrame) -> bool:
     return (found or 0) > PLAIN_PRODUCTS * weights.sparkSession.sparkContext.defaultParallelism
 
 
+def by_document(postings: DataFrame, asked: DataFrame) -> DataFrame:
+    """The postings of the queries' terms, a document's in one task, so that its scores are summed where they lie."""
+    terms = F.broadcast(asked.select(tfidf.TERM).distinct())
+    return postings.select(tfidf.DOC, tfidf.TERM, "weight").join(terms, tfidf.TERM, "left_semi").repartition(F.col(tfidf.DOC))
+
+
 def meet(postings: DataFrame, asked: DataFrame, small: bool) -> DataFrame:
     """Postings beside the queries' terms, on ``term``.
 
@@ -109,6 +120,22 @@ def _completed(postings: DataFrame, pairs: DataFrame, asked: DataFrame, small: b
     return met.groupBy("query_id", tfidf.DOC).agg(_shares(met).alias("score"))
 
 
+def _one_round(asked: DataFrame) -> bool:
+    """Whether the bounds set so few products aside that rounds over the rest would cost more than they spare."""
+    needed, every = asked.agg(F.sum(F.when(F.col("needed"), F.col("df"))), F.sum("df")).first()
+    return (needed or 0) > ONE_ROUND_SHARE * (every or 0)
+
+
+def _best_at_once(asked: DataFrame, floor: DataFrame, model: tfidf.Model, digits: int, name: str) -> DataFrame:
+    """The scores that reach the floors, each summed in the task of its document."""
+    terms = asked.select("query_id", tfidf.TERM, "query_weight")
+    met = by_document(model.postings, terms).join(F.broadcast(terms), tfidf.TERM)
+    scores = met.groupBy("query_id", tfidf.DOC).agg(_shares(met).alias("score"))
+    best = scores.join(broadcast_if_small(floor), "query_id", "left")
+    best = best.filter(F.col("floor").isNull() | (F.col("score") >= F.col("floor") - MARGIN))
+    return best.select("query_id", tfidf.DOC, F.round("score", digits).alias(name))
+
+
 def best_scores(weights: DataFrame, model: tfidf.Model, top_n: int, digits: int, small: bool, name: str) -> DataFrame:
     """``(query_id, doc_id, score)``: exact scores of all documents that may be among a query's best ``top_n``."""
     asked = written(ordered_terms(weights, model.bounds, top_n), "query-terms")
@@ -118,6 +145,8 @@ def best_scores(weights: DataFrame, model: tfidf.Model, top_n: int, digits: int,
     needed = F.col("floor").isNull() | (reach >= F.col("floor") - MARGIN)
     asked = written(asked.withColumn("needed", needed), "query-terms")
 
+    if small and _one_round(asked):
+        return _best_at_once(asked, floor, model, digits, name)
     rare, common = asked.filter("needed"), asked.filter("NOT needed")
     left = common.groupBy("query_id").agg(F.max("sum_left").alias("sum_left"), F.max("square_left").alias("square_left"))
     left = floor.join(left, "query_id", "left").na.fill(0.0, ["sum_left", "square_left"])

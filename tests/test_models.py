@@ -168,6 +168,22 @@ def test_bounds_spare_the_rows_of_common_terms(spark, monkeypatch):
         assert [s for _, s in mine] == pytest.approx([s for _, s in expected], abs=1e-8)
 
 
+@pytest.mark.parametrize("bounded", [True, False])
+def test_scores_of_placed_postings_are_summed_by_document(spark, docs, monkeypatch, bounded):
+    monkeypatch.setattr(topk, "worth_bounding", lambda *_: bounded)
+    vocab = session.written(tfidf.vocabulary(docs, "job_id", "job_description"), "vocabulary")
+    model = tfidf.placed(docs, "job_id", "job_description", vocab)
+    scored, real = [], recommend.top_documents
+    monkeypatch.setattr(recommend, "top_documents", lambda scores, *a: scored.append(scores) or real(scores, *a))
+    asked = spark.createDataFrame(list(QUERIES.items()), "query_id int, query string")
+    out = recommend.recommend(asked, docs, top_n=3, model=model).collect()
+    plan = scored[0]._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in plan and not re.search(r"hashpartitioning\(query_id#\d+, doc_id#", plan)
+    for query_id, query in QUERIES.items():
+        got = sorted((r["rank"], r["doc_id"]) for r in out if r["query_id"] == query_id)
+        assert [i for _, i in got] == [i for i, _ in plain_ranking(some_docs(), tfidf.STORED, query, 3)]
+
+
 def test_postings_of_common_terms_lie_apart(spark):
     docs = spark.createDataFrame(list(enumerate(_common_term_docs())), "job_id long, job_description string")
     spec = tfidf.Spec(ngram_range=(1, 1))
