@@ -183,7 +183,7 @@ def fuzzy_search_many(
     postings = gram_postings(sets, key)
     wanted = queries.select(F.explode(trigrams(F.col("query"))).alias("gram")).distinct()
     frequencies = postings.join(broadcast_if_small(wanted), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    asked = written(query_grams(queries, frequencies, threshold), "query-grams")
+    asked = written(query_grams(queries, written(frequencies, "gram-counts"), threshold), "query-grams")
     whole = gram_postings(sets.repartition(F.col(key)), key)
     return _best(similar(postings, asked, key, threshold, whole=whole), key, top_n)
 

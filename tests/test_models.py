@@ -393,6 +393,15 @@ def test_search_by_common_trigrams_shuffles_no_pairs_of_query_and_text(spark, fo
             assert sorted((-r["similarity"], r["id"]) for r in rows.filter(F.col("query_id") == query_id).collect()) == best
 
 
+def test_search_counts_the_trigrams_of_all_texts_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(30)], "id long, text string")
+    queries = spark.createDataFrame([(1, "some words 7"), (2, "words")], "query_id int, query string")
+    given, real = [], search.query_grams
+    monkeypatch.setattr(search, "query_grams", lambda q, frequencies, t: given.append(frequencies) or real(q, frequencies, t))
+    assert search.fuzzy_search_many(docs, "id", "text", queries).count() > 0
+    assert "Aggregate" not in given[0]._jdf.queryExecution().executedPlan().toString()  # read from files, not counted at each use
+
+
 def test_contains_takes_wildcards_as_text(spark):
     df = spark.createDataFrame([("100% remote",), ("1000 remote",)], "t string")
     assert df.filter(search.contains_ignore_case("t", "100% REM")).count() == 1
