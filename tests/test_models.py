@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from joblattice import session
-from joblattice.operators import evaluate, recommend, search, tfidf, topk
+from joblattice.operators import counting, evaluate, recommend, search, tfidf, topk
 from joblattice.sources import models
 
 
@@ -107,6 +107,69 @@ def test_few_huge_row_groups_are_spread_over_the_cores(spark, docs):
     assert session.spread(many) is many
 
 
+@pytest.mark.parametrize("low, high", [(1, 1), (1, 2), (2, 3), (1, 5)])
+@pytest.mark.parametrize("chunk", [7, 1 << 19])
+def test_counting_in_chunks(spark, monkeypatch, low, high, chunk):
+    """Against plain counting, with repeated and null keys, texts longer than a chunk, and arrays as well as rows."""
+    monkeypatch.setattr(counting, "CHUNK_WORDS", chunk)
+    texts = some_docs()
+    keyed = [(None if i == 5 else i // 2, text) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(keyed, "doc_id long, text string").repartition(3)
+    spec = tfidf.Spec(ngram_range=(low, high))
+    want, corpus = [], defaultdict(lambda: [0, 0])
+    for key, text in keyed:
+        w = words_of(text)
+        tf = Counter(" ".join(w[i : i + n]) for n in range(low, high + 1) for i in range(len(w) - n + 1))
+        want += [(key, term, n) for term, n in tf.items()]
+        for term, n in tf.items():
+            corpus[term][0] += n
+            corpus[term][1] += 1
+    order = lambda rows: sorted(rows, key=str)
+    for placed in (False, True):
+        assert order(tuple(r) for r in tfidf.term_counts(docs, "doc_id", "text", spec, placed=placed).collect()) == order(want)
+    totals = counting.totals(tfidf.word_lists(docs, "doc_id", "text", spec), low, high)
+    assert {r["term"]: [r["cf"], r["df"]] for r in totals.collect()} == corpus
+
+
+def test_a_lemma_with_a_blank_equals_a_pair(spark):
+    docs = spark.createDataFrame([(1, "ny new york"), (2, "new york")], "id int, text string")
+    lemmas = spark.createDataFrame([("ny", "new york")], "form string, lemma string")
+    counts = {(r["doc_id"], r["term"]): r["tf"] for r in tfidf.term_counts(docs, "id", "text", lemmas=lemmas).collect()}
+    assert counts[1, "new york"] == 2 and counts[2, "new york"] == 1 and counts[1, "new york new"] == 1
+    facts = {r["term"]: (r["cf"], r["df"]) for r in tfidf.vocabulary(docs, "id", "text", lemmas=lemmas).collect()}
+    assert facts["new york"] == (3, 2)
+
+
+def _rare_term_docs():
+    rng = random.Random(5)
+    often = ["every", "other", "third"]
+    name = lambda i: "".join(chr(97 + int(d)) for d in f"{i:06d}")
+    return [(i, " ".join(["every"] * 2 + rng.sample(often, 2) + [name(7 * i), name(7 * i + 1)])) for i in range(300)]
+
+
+@pytest.mark.parametrize("bits", [20, 3])
+@pytest.mark.parametrize("bounds", [{}, {"min_df": 2, "max_df": 0.9}])
+def test_rare_terms_are_not_summed_for_a_cut(spark, monkeypatch, bits, bounds):
+    """Also with so few buckets that the first floor is far above every count."""
+    monkeypatch.setattr(counting, "BUCKETS", 1 << bits)
+    monkeypatch.setattr(counting, "_DOWN", counting.np.uint64(64 - bits))
+    rows = _rare_term_docs()
+    docs = spark.createDataFrame(rows, "job_id long, job_description string")
+    spec = tfidf.Spec(max_features=3, **bounds)
+    idf, _ = plain_model([text for _, text in rows], spec)
+    vocab = tfidf.vocabulary(docs, "job_id", "job_description", spec)
+    assert {r["term"]: r["idf"] for r in vocab.collect()} == pytest.approx(idf)
+    lists = tfidf.word_lists(docs, "job_id", "job_description", spec)
+    kept, floor, totals = tfidf._sums_to_cut(lists, tfidf.count_docs(docs), spec)
+    assert floor > 1 and kept is not None
+    if bits == 20:
+        assert totals.count() < 20 < counting.totals(lists, 1, 2).count()
+    assert set(idf) <= {r["term"] for r in totals.collect()}
+    whole = tfidf.fit(docs, "job_id", "job_description", spec, written_vocab=True)
+    by_term = lambda m: {(r["doc_id"], r["term"]): r["weight"] for r in m.postings.collect()}
+    assert by_term(whole) == pytest.approx(by_term(tfidf.fit(docs, "job_id", "job_description", spec)))
+
+
 QUERIES = {1: "senior data python", 2: "sql cloud", 3: "nothing known", 4: "", 5: "etl paris etl"}
 
 
