@@ -75,7 +75,7 @@ def tfidf_term_ids(t: Tables) -> DataFrame:
 
 @query(f"WITH {_model(_DOCS)} SELECT id AS doc_id, term, round(weight, 6) AS weight FROM postings")
 def tfidf_weights(t: Tables) -> DataFrame:
-    postings = tfidf.fit(t.documents, "doc_id", "text").postings
+    postings = tfidf.fit(t.documents, "doc_id", "text", written_vocab=True).postings
     return postings.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
