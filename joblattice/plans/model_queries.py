@@ -87,7 +87,7 @@ _OPTIONS = tfidf.Spec(
 @query(f"""WITH {_model(_DOCS, 2000, True, "['the', 'of', 'de']", 'ln(tf) + 1', 'df >= 2 AND df <= 0.4 * n')}
 SELECT id AS doc_id, term, round(weight, 6) AS weight FROM postings""")
 def tfidf_options(t: Tables) -> DataFrame:
-    postings = tfidf.fit(t.documents, "doc_id", "text", _OPTIONS).postings
+    postings = tfidf.fit(t.documents, "doc_id", "text", _OPTIONS, written_vocab=True).postings
     return postings.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
