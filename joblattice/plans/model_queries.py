@@ -116,7 +116,7 @@ def tfidf_incremental(t: Tables) -> DataFrame:
 
 @query(f"WITH {_model(_DOCS)} SELECT count(*) AS vocab_size, '(1, 2)' AS ngram_range FROM vocab")
 def model_summary(t: Tables) -> DataFrame:
-    return models.summary(tfidf.fit(t.documents, "doc_id", "text"))
+    return models.summary(tfidf.fit(t.documents, "doc_id", "text", written_vocab=True))
 
 
 @query(f"""WITH {_model(_CHANGED)}, numbered AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_id FROM vocab)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from joblattice import session
 from joblattice.operators import counting, evaluate, recommend, search, tfidf, topk
+from joblattice.plans import catalog
 from joblattice.sources import models
 
 
@@ -170,6 +171,16 @@ def test_rare_terms_are_not_summed_for_a_cut(spark, monkeypatch, bits, bounds):
     assert by_term(whole) == pytest.approx(by_term(tfidf.fit(docs, "job_id", "job_description", spec)))
 
 
+@pytest.mark.parametrize("name", ["tfidf_weights", "tfidf_options", "model_summary"])
+def test_queries_move_only_terms_of_the_vocabulary(spark, folder, name):
+    rows = [(i, text) for i, text in _rare_term_docs()]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    found = catalog.load()[name].build(catalog.Tables(spark, folder))
+    assert found.count() > 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "counts" not in plan and "REPARTITION_BY_COL" not in plan
+
+
 QUERIES = {1: "senior data python", 2: "sql cloud", 3: "nothing known", 4: "", 5: "etl paris etl"}
 
 
