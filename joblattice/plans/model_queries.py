@@ -106,10 +106,12 @@ def tfidf_incremental(t: Tables) -> DataFrame:
     """Model of the documents, brought up to date after the well-labelled ones were edited."""
     spec = tfidf.STORED
     docs, edited = _edited(t)
-    stored = tfidf.term_counts(docs, "doc_id", "text", spec, placed=True)
-    fresh = tfidf.term_counts(edited, "doc_id", "text", spec, placed=True)
-    counts = tfidf.replace_counts(stored, edited, "doc_id", fresh)
-    totals = tfidf.shift_totals(tfidf.corpus_counts(stored), stored, edited, "doc_id", fresh)
+    held = written(tfidf.word_lists(docs, "doc_id", "text", spec), "words")
+    changed = written(tfidf.word_lists(edited, "doc_id", "text", spec), "words")
+    kept = tfidf.frequent_buckets(tfidf.replace_counts(held, changed, tfidf.DOC, changed), tfidf.count_docs(docs), spec)
+    stored, fresh = tfidf.list_counts(held, spec, kept), tfidf.list_counts(changed, spec, kept)
+    counts = tfidf.replace_counts(stored, changed, tfidf.DOC, fresh)
+    totals = tfidf.shift_totals(tfidf.corpus_counts(stored), stored, changed, tfidf.DOC, fresh)
     postings = tfidf.from_counts(counts, totals, tfidf.count_docs(docs), spec).postings
     return postings.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 

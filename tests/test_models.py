@@ -181,6 +181,24 @@ def test_queries_move_only_terms_of_the_vocabulary(spark, folder, name):
     assert "counts" not in plan and "REPARTITION_BY_COL" not in plan
 
 
+def test_changed_documents_under_a_cut(spark):
+    """Only terms that may be among the most frequent after the change are counted, before and after it."""
+    rows = _rare_term_docs()
+    spec = tfidf.Spec(max_features=3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    edited = spark.createDataFrame([(i, "fresh " * 5) for i in range(200)] + [(7777, "every fresh"), (299, "")], "doc_id long, text string")
+    after = docs.join(edited, "doc_id", "left_anti").unionByName(edited)
+    held, changed = (tfidf.word_lists(df, "doc_id", "text", spec) for df in (docs, edited))
+    kept = tfidf.frequent_buckets(tfidf.replace_counts(held, changed, tfidf.DOC, changed), tfidf.count_docs(after), spec)
+    stored, fresh = tfidf.list_counts(held, spec, kept), tfidf.list_counts(changed, spec, kept)
+    assert stored.select("term").distinct().count() < 20
+    counts = tfidf.replace_counts(stored, changed, tfidf.DOC, fresh)
+    totals = tfidf.shift_totals(tfidf.corpus_counts(stored), stored, changed, tfidf.DOC, fresh)
+    model = tfidf.from_counts(counts, totals, tfidf.count_docs(after), spec)
+    by_term = lambda m: {(r["doc_id"], r["term"]): r["weight"] for r in m.postings.collect()}
+    assert by_term(model) == pytest.approx(by_term(tfidf.fit(after, "doc_id", "text", spec)))
+
+
 QUERIES = {1: "senior data python", 2: "sql cloud", 3: "nothing known", 4: "", 5: "etl paris etl"}
 
 
