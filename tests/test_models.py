@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -199,6 +200,20 @@ def test_changed_documents_under_a_cut(spark):
     assert by_term(model) == pytest.approx(by_term(tfidf.fit(after, "doc_id", "text", spec)))
 
 
+def test_numbers_are_moved_in_place_of_terms(spark, docs, folder):
+    spec = tfidf.Spec(max_features=15)
+    vocab = tfidf.with_term_ids(tfidf.vocabulary(docs, "job_id", "job_description", spec))
+    counts = tfidf.term_counts(docs, "job_id", "job_description", spec)
+    numbered, plain = (tfidf.weigh(counts, v, spec) for v in (session.written(vocab, "numbered"), vocab.drop("term_id")))
+    by_term = lambda df: {(r["doc_id"], r["term"]): r["weight"] for r in df.collect()}
+    assert by_term(numbered) == pytest.approx(by_term(plain))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") and "REPARTITION_BY_COL" in plan
+    models.build_and_save(docs, "job_id", "job_description", folder, "v1", spec)
+    models.update_and_save(docs, docs.filter("job_id < 5"), "job_id", "job_description", folder, "v1", "v2", spec)
+    assert sorted(os.listdir(folder)) == ["bounds", "postings", "spec", "vocab", "words"]
+
+
 QUERIES = {1: "senior data python", 2: "sql cloud", 3: "nothing known", 4: "", 5: "etl paris etl"}
 
 
