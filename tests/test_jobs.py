@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from joblattice.operators import reports, runs, tables
+from joblattice.operators import reports, rows, runs, tables
 from joblattice.plans import daily
-from joblattice.schemas import API_PAGE, BATCH_RUNS, HIT, RAW_JOBS
+from joblattice.schemas import API_PAGE, BATCH_RUNS, HIT, JOBS, RAW_JOBS
 from joblattice.sources import files, monthly, pages
 from joblattice.sources.snapshots import Snapshots
 from joblattice.streaming import changes, flows
@@ -382,3 +382,30 @@ def test_change_log_is_whole_after_a_lost_write(spark, folder, monkeypatch):
     assert [r["value"] for r in log.read().collect()] == [1]
     log.add(later, 1)
     assert [r["value"] for r in log.read().collect()] == [2]
+
+
+@pytest.mark.parametrize("keys, repeated", [([1, 2, None], False), ([1, 2, 1], True), ([None, 2, None], True), ([], False)])
+def test_has_repeats(spark, keys, repeated):
+    assert rows.has_repeats(spark.createDataFrame([(k,) for k in keys], "k long").repartition(3), ["k"]) is repeated
+
+
+def test_first_batch_meets_no_empty_table(spark, folder):
+    batch = spark.createDataFrame([("a", "x"), ("b", "y")], "job_id string, job_title string")
+    held = monthly.MonthlyTable(spark, f"{folder}/jobs", JOBS).read()
+    plan = held.select("job_id", "job_title").join(batch.hint("merge"), "job_id", "full_outer")._jdf.queryExecution().executedPlan().toString()
+    assert held.count() == 0 and "Join" not in plan and "Exchange" not in plan
+
+
+def test_unrepeated_listings_are_shuffled_for_no_stage(spark, folder, monkeypatch):
+    """Repeats in the landed pages and in rows of another origin still leave the first row of a listing."""
+    shuffled = []
+    first = rows.first_per_key  # keep_first finds it by name
+    monkeypatch.setattr(rows, "first_per_key", lambda *a, **k: shuffled.append(1) or first(*a, **k))
+    landed = lambda n: spark.createDataFrame([("q", "paris", i + 1, [hit(i % n)]) for i in range(6)], API_PAGE)
+    for n, root in ((6, "once"), (3, "again")):
+        day = daily.Day(spark, f"{folder}/{root}", datetime.datetime(2026, 1, 8))
+        raw = daily.collect(day, landed(n))
+        assert raw.count() == n and bool(shuffled) is (n == 3)
+        assert daily.enrich(day, raw).count() == n
+        assert daily.enrich(day, raw.unionByName(raw)).count() == n and shuffled
+        shuffled.clear()
