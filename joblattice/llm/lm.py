@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from joblattice.llm.shared import as_bytes, crc_remainder, sharded, staged
+from joblattice.llm.shared import as_bytes, crc_remainder, discard, sharded, staged
 
 FOLDS, HELD_OUT, TUNING = 7, 2, 3
 
@@ -41,7 +41,8 @@ FOLDS, HELD_OUT, TUNING = 7, 2, 3
 class Spec:
     """``max_frequent`` words of at most ``max_bytes`` bytes make the table that tasks hold in memory.
 
-    ``code_bits`` bounds the bits of a code that are modelled; by default all are.
+    ``code_bits`` bounds the bits of a code that are modelled; by default all are. Tasks take texts of about
+    ``block_tokens`` tokens at a time, for mixing ``mixed_tokens``, so that there are enough to go side by side.
     """
 
     max_frequent: int = 131_072
@@ -50,6 +51,7 @@ class Spec:
     table_bits: int = 20
     spell_bits: int = 18
     block_tokens: int = 200_000
+    mixed_tokens: int = 3_000_000
     rate: float = 0.01
     urn: float = 32.0
     tuning_rate: float = 0.03
@@ -60,6 +62,10 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _GATES, _INPUTS, _BUCKETS = 9, 4, 33
 #: What the constant input says, and the number of texts below which each is gone through by itself.
 _BIAS, _NARROW = 0.3, 24
+#: Texts that are gone through side by side, and their bits that are looked up at a time.
+_LANES, _WINDOW = 1024, 64
+#: Tokens whose bits are looked up at a time for counting.
+_PIECE = 5_000
 _CHUNK = 1 << 14
 #: Bytes back that the spelling models look.
 ORDERS = 4
@@ -175,8 +181,21 @@ class Code:
         self.node = np.array([v for path in paths for v, _ in path], np.int32)
         self.bit = np.array([b for path in paths for _, b in path], np.int8)
         self.chance = np.array(chance)
-        self.mark = _hash(np.arange(len(chance)) + 1)
         self.own = np.log(self.chance / (1 - self.chance)).astype(np.float32)
+        self._spread()
+
+    def _spread(self) -> None:
+        """What each node says along all ways, so that a bit takes one step to it."""
+        self.own_at = self.own[self.node]
+        self.mark_at = _hash(np.arange(len(self.chance)) + 1)[self.node]
+
+    def __getstate__(self) -> dict:
+        # tasks make the long arrays again: a broadcast lies on the disk of every executor
+        return {k: v for k, v in self.__dict__.items() if k not in ("own_at", "mark_at")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._spread()
 
 
 @dataclass
@@ -216,64 +235,92 @@ class Events:
     slots: tuple[np.ndarray, np.ndarray]
 
 
+def contexts_of(sym: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The last token and the one before it, of each token; before a text there are ends."""
+    last, before = np.empty_like(sym), np.empty_like(sym)
+    last[0:1], last[1:] = end, sym[:-1]
+    before[:2], before[2:] = end, sym[:-2]
+    before[starts] = end
+    return last, before
+
+
+def _ways(first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(token, place among the ways of the code) of each bit, for tokens of which ``length`` bits from ``first`` are wanted."""
+    token = np.repeat(np.arange(len(length), dtype=np.int32), length)
+    at = (first - (np.cumsum(length) - length))[token]
+    at += np.arange(len(at))
+    return token, at
+
+
+def _slots(context: np.ndarray, token: np.ndarray, mark: np.ndarray, bits: int) -> np.ndarray:
+    slots = context.take(token)
+    slots ^= mark
+    slots *= _ODD
+    slots >>= np.uint64(64 - bits)
+    return slots.view(np.int64)
+
+
 def events_of(block: Block, code: Code, spec: Spec) -> Events:
     sym = block.sym
-    last = np.empty_like(sym)
-    last[0:1], last[1:] = code.end, sym[:-1]
-    before = np.empty_like(sym)
-    before[:2], before[2:] = code.end, sym[:-2]
-    before[block.starts] = code.end
-    length = code.length[sym]
-    token = np.repeat(np.arange(len(sym), dtype=np.int32), length)
-    first = code.first[sym] - (np.cumsum(length) - length)
-    at = np.arange(len(token)) + first[token]
-    node, bit = code.node[at], code.bit[at]
-    mark = code.mark[node]
-    shift = np.uint64(64 - spec.table_bits)
-    one, two = _hash(last + 1), _hash(last + 1, before + 7)
-    slots = tuple((((c[token] ^ mark) * _ODD) >> shift).astype(np.int32) for c in (one, two))
-    return Events(token, node, bit, slots)
+    last, before = contexts_of(sym, block.starts, code.end)
+    token, at = _ways(code.first[sym], code.length[sym])
+    mark = code.mark_at.take(at)
+    slots = tuple(_slots(c, token, mark, spec.table_bits) for c in (_hash(last + 1), _hash(last + 1, before + 7)))
+    return Events(token, code.node.take(at), code.bit.take(at), slots)
 
 
 # --- count tables ----------------------------------------------------------------------------------
 
 
-def _chunks(table: np.ndarray, name: int) -> pa.RecordBatch:
-    """A table of counts as rows of (table, chunk, counts of zeros and ones)."""
+_CELLS = "name int, chunk int, places binary, counts binary"
+
+
+def _packed(table: np.ndarray, name: int) -> pa.RecordBatch:
+    """A table of counts as rows of (table, chunk, places of the counts above 0, the counts in as few bytes as they need)."""
     rows = []
     for at in range(0, table.shape[1], _CHUNK):
-        part = table[:, at : at + _CHUNK]
-        if part.any():
-            rows.append((name, at // _CHUNK, part.astype("<i8").tobytes()))
-    kinds = (pa.int32(), pa.int32(), pa.binary())
+        part = table[:, at : at + _CHUNK].ravel()
+        places = np.flatnonzero(part)
+        if len(places):
+            counts = part[places]
+            kind = np.min_scalar_type(counts.max()).newbyteorder("<")
+            rows.append((name, at // _CHUNK, places.astype("<u2").tobytes(), counts.astype(kind).tobytes()))
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["name", "chunk", "data"]
+        [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["name", "chunk", "places", "counts"]
     )
 
 
+def _unpacked(places: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    at = np.frombuffer(places, "<u2")
+    return at, np.frombuffer(counts, f"<u{len(counts) // len(at)}").astype(np.int64)
+
+
 def add_tables(parts: DataFrame, sizes: dict[int, int]) -> dict[int, np.ndarray]:
     """The sums of all parts of each table. Chunks are dealt by number and added as they stream by."""
+    width = {n: min(size, _CHUNK) for n, size in sizes.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for name, chunk, data in zip(*(c.to_pylist() for c in batch.columns)):
-                part = np.frombuffer(data, "<i8")
-                if (name, chunk) in sums:
-                    sums[name, chunk] += part
-                else:
-                    sums[name, chunk] = part.copy()
-        rows = [(n, c, np.minimum(v, (1 << 31) - 1).astype("<i4").tobytes()) for (n, c), v in sums.items()]
-        kinds = (pa.int32(), pa.int32(), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["name", "chunk", "data"]
-        )
+            for name, chunk, places, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if (name, chunk) not in sums:
+                    sums[name, chunk] = np.zeros((2, width[name]), np.int64)
+                at, n = _unpacked(places, counts)
+                sums[name, chunk].ravel()[at] += n  # places of one row differ
+        for (name, chunk), v in sums.items():
+            np.minimum(v, (1 << 31) - 1, out=v)
+            row = _packed(v, name)
+            yield row.set_column(1, "chunk", pa.array([chunk], pa.int32()))
 
-    schema = "name int, chunk int, data binary"
     out = {n: np.zeros((2, size), np.int32) for n, size in sizes.items()}
-    for name, chunk, data in parts.repartition("name", "chunk").mapInArrow(run, schema).toLocalIterator():
-        part = np.frombuffer(data, "<i4").reshape(2, -1)
-        out[name][:, chunk * _CHUNK : chunk * _CHUNK + part.shape[1]] = part
+    summed = staged(parts.repartition("name", "chunk").mapInArrow(run, _CELLS), "lm-tables")  # drops its shuffle files
+    for name, chunk, places, counts in summed.toLocalIterator():
+        at, n = _unpacked(places, counts)
+        part = np.zeros(2 * width[name], np.int32)
+        part[at] = n
+        out[name][:, chunk * _CHUNK : chunk * _CHUNK + width[name]] = part.reshape(2, -1)
+    discard(summed)
     return out
 
 
@@ -285,7 +332,29 @@ def add_counts(table: np.ndarray, more: np.ndarray) -> None:
 
 def _tally(slots: np.ndarray, bits: np.ndarray, table: np.ndarray) -> None:
     size = table.shape[1]
-    table += np.bincount(slots + size * bits.astype(np.int32), minlength=2 * size).reshape(2, size).astype(table.dtype)
+    table += np.bincount(slots + size * bits.astype(np.int64), minlength=2 * size).reshape(2, size).astype(table.dtype)
+
+
+def few_tables(docs: DataFrame) -> DataFrame:
+    """The rows in no more tasks than some for each core: every task sends tables of its own."""
+    return docs.coalesce(max(4 * docs.sparkSession.sparkContext.defaultParallelism, 1))
+
+
+def _cells(block: Block, code: Code, spec: Spec) -> np.ndarray:
+    """For each context (a row), the cell of its table that each bit of the texts adds to."""
+    last, before = contexts_of(block.sym, block.starts, code.end)
+    length = code.length.take(block.sym)
+    out, done = np.empty((2, int(length.sum())), np.int64), 0
+    for a in range(0, len(length), _PIECE):  # pieces that stay in the processor's cache
+        piece = slice(a, a + _PIECE)
+        token, at = _ways(code.first.take(block.sym[piece]), length[piece])
+        mark, ones = code.mark_at.take(at), code.bit.take(at).astype(np.int64)
+        ones <<= spec.table_bits
+        one = last[piece] + 1
+        for k, context in enumerate((_hash(one), _hash(one, before[piece] + 7))):
+            np.bitwise_or(_slots(context, token, mark, spec.table_bits), ones, out=out[k, done : done + len(at)])
+        done += len(at)
+    return out
 
 
 def context_tables(docs: DataFrame, code: Code, spec: Spec) -> dict[int, np.ndarray]:
@@ -293,22 +362,23 @@ def context_tables(docs: DataFrame, code: Code, spec: Spec) -> dict[int, np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [np.zeros((2, 1 << spec.table_bits), np.int32) for _ in range(2)]
-        for texts in _texts(batches, spec):
-            events = events_of(tokens_of(texts, held.value, False), held.value, spec)
-            for slots, table in zip(events.slots, tables):
-                _tally(slots, events.bit, table)
+        for texts in _texts(batches, spec.block_tokens):
+            for table, cells in zip(tables, _cells(tokens_of(texts, held.value, False), held.value, spec)):
+                table += np.bincount(cells, minlength=table.size).reshape(table.shape).astype(table.dtype)
         for name, table in enumerate(tables):
-            yield _chunks(table, name)
+            yield _packed(table, name)
 
-    parts = docs.select("rid", "text").mapInArrow(run, "name int, chunk int, data binary")
-    return add_tables(parts, {0: 1 << spec.table_bits, 1: 1 << spec.table_bits})
+    parts = few_tables(docs.select("rid", "text")).mapInArrow(run, _CELLS)
+    found = add_tables(parts, {0: 1 << spec.table_bits, 1: 1 << spec.table_bits})
+    held.destroy()
+    return found
 
 
-def _texts(batches: Iterator[pa.RecordBatch], spec: Spec) -> Iterator[list[bytes]]:
+def _texts(batches: Iterator[pa.RecordBatch], tokens: int) -> Iterator[list[bytes]]:
     """Texts of bounded size together, a very long one alone."""
     for batch in batches:
         texts = as_bytes(batch.column(1))
-        for a, b in sharded(np.array([len(t) // 5 + 1 for t in texts]), spec.block_tokens):
+        for a, b in sharded(np.array([len(t) // 5 + 1 for t in texts]), tokens):
             yield texts[a:b]
 
 
@@ -325,81 +395,179 @@ class Mixer:
     seen: tuple[np.ndarray, np.ndarray]
     weights: np.ndarray  # gates x inputs
 
+    def __post_init__(self):
+        # one look at a context gives both: the stretch as the lower half, the share in the gate as the upper
+        self.both = []
+        for stretch, seen, factor in zip(self.stretch, self.seen, (3, 1)):
+            both = np.empty((len(stretch), 2), "<i4")
+            both[:, 0], both[:, 1] = stretch.astype("<f4").view("<i4"), seen.astype("<i4") * factor
+            self.both.append(both.view("<i8")[:, 0])
+
+    def __reduce__(self):  # tasks put the halves together again
+        return Mixer, (self.code, self.spec, self.stretch, self.seen, self.weights)
+
     def run(self, block: Block, rate: float) -> tuple[np.ndarray, np.ndarray, int]:
         """(log10 probability of each token's code, sum of the texts' last weights, number of texts).
 
-        Texts are predicted side by side, each bit of all texts in one step, and the longest, when few
-        are left, one after the other; a text starts from the common weights and learns from all of
-        its own bits and no others, so results don't depend on which texts a task happens to hold.
+        Texts are predicted side by side, one bit of each in one step; the longest go first, and where
+        a text has ended the next one takes its place. The last few are gone through one after the
+        other. A text starts from the common weights and learns from all of its own bits and no
+        others, so results don't depend on which texts a task happens to hold.
         """
         code, spec = self.code, self.spec
-        e = events_of(block, code, spec)
-        lane = block.text[e.token]
-        lanes = len(block.starts)
-        size = np.bincount(lane, minlength=lanes)
-        order = np.argsort(-size, kind="stable")
-        rank = np.empty(lanes, np.int64)
-        rank[order] = np.arange(lanes)
-        time = np.arange(len(lane)) - (np.cumsum(size) - size)[lane]
-        active = np.bincount(time, minlength=1)
-        begin = np.cumsum(active) - active
-        put = begin[time] + rank[lane]
-        del lane, time
-        inputs = np.empty((len(put), _INPUTS), np.float32)
-        inputs[put, 0] = code.own[e.node]
-        inputs[put, 1] = self.stretch[0][e.slots[0]]
-        inputs[put, 2] = self.stretch[1][e.slots[1]]
-        inputs[:, 3] = _BIAS
-        gate = np.empty(len(put), np.int32)
-        gate[put] = self.seen[0][e.slots[0]] * 3 + self.seen[1][e.slots[1]]
-        bit = np.empty(len(put), np.float32)
-        bit[put] = e.bit
-        weights = np.repeat(self.weights[None].astype(np.float64), lanes, axis=0).reshape(-1, _INPUTS)
+        n = len(block.sym)
+        # ends behind the last text, for windows that reach over it
+        sym = np.append(block.sym, np.full(_WINDOW, code.end, block.sym.dtype))
+        length, stop = code.length[sym], np.append(block.starts[1:], n)
+        upto = np.cumsum(length)
+        begin = (upto - length)[block.starts]
+        size = upto[stop - 1] - begin
+        # the token at the first bit of each window of each text, and at the bit behind its last one
+        count = -(-size // _WINDOW) + 1
+        first = np.cumsum(count) - count
+        bound = np.repeat(begin - first * _WINDOW, count) + np.arange(count.sum()) * _WINDOW
+        bound = np.minimum(bound, upto[-1] - 1)
+        known = Known(sym, *contexts_of(sym, block.starts, code.end), length, upto, bound, np.searchsorted(upto, bound, side="right"))
+        logs = np.zeros(n)
+        queue = np.argsort(-size, kind="stable")
+        queue = queue[: np.count_nonzero(size)]
+        fresh = self.weights.astype(np.float64)
+        total = fresh * (len(size) - len(queue))
         centre = (np.arange(_BUCKETS) - _BUCKETS // 2) / 2
-        table = np.tile(1 / (1 + np.exp(-centre)), lanes)
-        w_base, t_base = np.arange(lanes) * _GATES, np.arange(lanes) * _BUCKETS
-        chance = np.empty(len(put))
-        wide = int(np.searchsorted(-active, -_NARROW, side="right"))
-        for a, m in zip(begin[:wide].tolist(), active[:wide].tolist()):
-            part = slice(a, a + m)
-            x, y = inputs[part].astype(np.float64), bit[part]
-            at = w_base[:m] + gate[part]
-            w = weights.take(at, axis=0)
-            z = np.minimum(np.maximum(np.einsum("ij,ij->i", x, w), -7.9), 7.9)
-            p = 1 / (1 + np.exp(-z))
-            cell = t_base[:m] + (2 * z + 0.5 + _BUCKETS // 2).astype(np.int32)
-            q = table.take(cell)
-            chance[part] = p + q
-            weights[at] = w + (rate * (y - p))[:, None] * x
-            table[cell] = q + spec.refine * (y - q)
-        weights, table = weights.reshape(lanes, _GATES, _INPUTS), table.reshape(lanes, _BUCKETS)
-        for i in range(int(active[wide]) if wide < len(active) else 0):
-            rest = begin[wide : size[order[i]]] + i
-            chance[rest], weights[i], table[i] = _alone(
-                inputs[rest], bit[rest], gate[rest], weights[i], table[i], rate, spec.refine
-            )
-        chance = np.where(bit > 0, 0.5 * chance, 1 - 0.5 * chance)
-        modelled = np.log10(np.maximum(chance[put], 1e-6))
-        out = np.bincount(e.token, modelled, minlength=len(block.sym)) + code.tail[block.sym]
-        return out, weights.sum(axis=0), lanes
+        flat = 1 / (1 + np.exp(-centre))
+        text, queue = queue[:_LANES], queue[_LANES:]
+        done = np.zeros(len(text), np.int64)  # windows
+        weights, table = np.repeat(fresh[None], len(text), axis=0), np.repeat(flat[None], len(text), axis=0)
+        while len(text):
+            many, left = len(text), size[text] - done * _WINDOW
+            tokens, starts, token, inputs, gate, bit = self._window(known, first[text] + done)
+            ended = np.flatnonzero(left <= _WINDOW)
+            for i in ended.tolist():  # bits behind the end of a text change nothing
+                inputs[left[i] :, i] = 0
+            step = _steps if many >= _NARROW else _one_by_one
+            chance = step(inputs, gate, bit, weights, table, rate, spec.refine)
+            chance *= bit - 0.5
+            chance += 1 - bit
+            chance = np.log(np.maximum(chance, 1e-6, out=chance).T.copy())
+            for i in ended.tolist():
+                chance[i, left[i] :] = 0
+            own = tokens < np.repeat(stop[text], np.diff(starts))
+            logs[tokens[own]] += np.bincount(token, chance.ravel(), minlength=len(tokens))[own]
+            done += 1
+            if not len(ended):
+                continue
+            total += weights[ended].sum(axis=0)
+            more = min(len(ended), len(queue))
+            text[ended[:more]], queue = queue[:more], queue[more:]
+            done[ended[:more]], weights[ended[:more]], table[ended[:more]] = 0, fresh, flat
+            if more < len(ended):
+                kept = np.ones(many, bool)
+                kept[ended[more:]] = False
+                text, done, weights, table = text[kept], done[kept], weights[kept], table[kept]
+        return logs / math.log(10) + code.tail[block.sym], total, len(size)
+
+    def _window(self, known: Known, window: np.ndarray) -> tuple:
+        """What the bits of one window of each text are predicted from.
+
+        (tokens, first of each text among them, token of each bit, inputs, gates with the number of
+        the text, bits), the last three with a row for each step.
+        """
+        many, code, spec, length, upto = len(window), self.code, self.spec, known.length, known.upto
+        bits, low, after = known.bound[window], known.at[window], known.at[window + 1]
+        high = after + (upto[after] - length[after] < bits + _WINDOW)
+        short = np.flatnonzero(known.bound[window + 1] != bits + _WINDOW)  # behind the last text
+        high[short] = np.searchsorted(upto, bits[short] + (_WINDOW - 1), side="right") + 1
+        starts = np.zeros(many + 1, np.int64)
+        np.cumsum(high - low, out=starts[1:])
+        tokens = np.arange(starts[-1]) + np.repeat(low - starts[:-1], high - low)
+        symbols, wanted = known.sym.take(tokens), length.take(tokens)
+        way = code.first.take(symbols)
+        skipped = bits - (upto[low] - length[low])
+        way[starts[:-1]] += skipped
+        wanted[starts[:-1]] -= skipped
+        wanted[starts[1:] - 1] -= upto[high - 1] - (bits + _WINDOW)
+        token, at = _ways(way, wanted)
+        mark = code.mark_at.take(at)
+        rows = lambda v: v.reshape(many, _WINDOW).T
+        inputs = np.empty((_WINDOW, many, _INPUTS), np.float32)
+        inputs[:, :, 0] = rows(code.own_at.take(at))
+        inputs[:, :, 3] = _BIAS
+        gate = 0
+        last = known.last.take(tokens) + 1
+        for k, context in enumerate((_hash(last), _hash(last, known.before.take(tokens) + 7))):
+            both = self.both[k].take(_slots(context, token, mark, spec.table_bits))
+            inputs[:, :, 1 + k] = rows(both.view("<f4")[::2])
+            both >>= 32
+            gate += both
+        gate = rows(gate) + np.arange(many) * _GATES
+        return tokens, starts, token, inputs, gate, rows(code.bit.take(at)).astype(float, order="C")
+
+
+@dataclass
+class Known:
+    """Of each token its symbol, the two before it, the bits of its code and of all codes up to it; of each window its first bit and the token there."""
+
+    sym: np.ndarray
+    last: np.ndarray
+    before: np.ndarray
+    length: np.ndarray
+    upto: np.ndarray
+    bound: np.ndarray
+    at: np.ndarray
+
+
+def _steps(inputs, gates, bits, weights, table, rate: float, refine: float) -> np.ndarray:
+    """Sums of both chances of every bit; a row of bits is one step, which changes weights and tables in place."""
+    chance = np.empty(bits.shape)
+    rows = weights.reshape(-1, _INPUTS)
+    whole = rows.view(f"V{8 * _INPUTS}")[:, 0]  # a text's weights are moved as one
+    cells, base = table.reshape(-1), np.arange(bits.shape[1]) * _BUCKETS
+    for x, y, at, out in zip(inputs, bits, gates, chance):
+        x, w = x.astype(np.float64), rows.take(at, axis=0)
+        z = np.einsum("ij,ij->i", x, w)
+        np.minimum(np.maximum(z, -7.9, out=z), 7.9, out=z)
+        p = np.exp(-z)
+        p += 1
+        np.divide(1, p, out=p)
+        z *= 2
+        z += 0.5 + _BUCKETS // 2
+        cell = z.astype(np.int64)
+        cell += base
+        q = cells.take(cell)
+        np.add(p, q, out=out)
+        np.subtract(y, p, out=p)
+        p *= rate
+        x *= p[:, None]
+        w += x
+        whole[at] = w.view(whole.dtype)[:, 0]
+        cells[cell] = q + refine * (y - q)
+    return chance
+
+
+def _one_by_one(inputs, gates, bits, weights, table, rate: float, refine: float) -> np.ndarray:
+    """As ``_steps``, for so few texts that it is quicker to go through them one after the other."""
+    chance = np.empty(bits.shape)
+    for i in range(bits.shape[1]):
+        chance[:, i], weights[i], table[i] = _alone(
+            inputs[:, i], bits[:, i], gates[:, i] - i * _GATES, weights[i], table[i], rate, refine
+        )
+    return chance
 
 
 def _alone(inputs, bits, gates, weights, table, rate: float, refine: float) -> tuple[list, list, list]:
-    """The steps of ``Mixer.run`` for the bits of one text: (sums of both chances, weights, table)."""
+    """``_steps`` for the bits of one text: (sums of both chances, weights, table)."""
     weights, table, out, half = weights.tolist(), table.tolist(), [], _BUCKETS // 2 + 0.5
-    for at in range(0, len(bits), _CHUNK):
-        part = slice(at, at + _CHUNK)
-        for (a, b, c, d), y, gate in zip(inputs[part].tolist(), bits[part].tolist(), gates[part].tolist()):
-            w = weights[gate]
-            wa, wb, wc, wd = w
-            z = min(max(a * wa + b * wb + c * wc + d * wd, -7.9), 7.9)
-            p = 1 / (1 + math.exp(-z))
-            cell = int(2 * z + half)
-            q = table[cell]
-            out.append(p + q)
-            step = rate * (y - p)
-            weights[gate] = (wa + step * a, wb + step * b, wc + step * c, wd + step * d)
-            table[cell] = q + refine * (y - q)
+    for (a, b, c, d), y, gate in zip(inputs.tolist(), bits.tolist(), gates.tolist()):
+        w = weights[gate]
+        wa, wb, wc, wd = w
+        z = min(max(a * wa + b * wb + c * wc + d * wd, -7.9), 7.9)
+        p = 1 / (1 + math.exp(-z))
+        cell = int(2 * z + half)
+        q = table[cell]
+        out.append(p + q)
+        step = rate * (y - p)
+        weights[gate] = (wa + step * a, wb + step * b, wc + step * c, wd + step * d)
+        table[cell] = q + refine * (y - q)
     return out, weights, table
 
 
@@ -484,7 +652,7 @@ def tune(docs: DataFrame, mixer: Mixer) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros((_GATES, _INPUTS)), 0
-        for texts in _texts(batches, spec):
+        for texts in _texts(batches, spec.mixed_tokens):
             _, weights, lanes = held.value.run(tokens_of(texts, held.value.code, False), spec.tuning_rate)
             total += weights
             n += lanes
@@ -493,6 +661,7 @@ def tune(docs: DataFrame, mixer: Mixer) -> np.ndarray:
 
     found = docs.select("rid", "text").mapInArrow(run, "k int, w double, n bigint").groupBy("k")
     rows = found.agg(F.sum("w").alias("w"), F.sum("n").alias("n")).orderBy("k").collect()
+    held.destroy()
     if not rows or not rows[0]["n"]:
         return mixer.weights
     return np.array([r["w"] / r["n"] for r in rows]).reshape(_GATES, _INPUTS)
@@ -556,9 +725,9 @@ def spell_tables(vocabulary: DataFrame, spec: Spec) -> Speller:
                 for slot, table in zip(slots, tables):
                     _tally(slot, bit, table)
         for name, table in enumerate(tables):
-            yield _chunks(table, name)
+            yield _packed(table, name)
 
-    parts = vocabulary.select("word").mapInArrow(run, "name int, chunk int, data binary")
+    parts = few_tables(vocabulary.select("word")).mapInArrow(run, _CELLS)
     found = add_tables(parts, {k: 1 << spec.spell_bits for k in range(ORDERS)})
     both = [_stretched(found[k]) for k in range(ORDERS)]
     return Speller(spec, [s for s, _ in both], [n for _, n in both])
@@ -600,7 +769,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
     for k, more in context_tables(tuning, code, spec).items():
         add_counts(tables[k], more)
     both = [_stretched(tables[k]) for k in range(2)]
-    mixer.stretch, mixer.seen = tuple(s for s, _ in both), tuple(n for _, n in both)
+    mixer = Mixer(code, spec, tuple(s for s, _ in both), tuple(n for _, n in both), mixer.weights)
 
     held = spark.sparkContext.broadcast(mixer)
     known = np.array([c for _, c in rows] + [ends, 0], np.int64)
@@ -612,7 +781,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
         model = held.value
         for batch in batches:
             texts = as_bytes(batch.column(1))
-            for a, b in sharded(np.array([len(t) // 5 + 1 for t in texts]), spec.block_tokens):
+            for a, b in sharded(np.array([len(t) // 5 + 1 for t in texts]), spec.mixed_tokens):
                 block = tokens_of(texts[a:b], model.code, True)
                 logs, _, _ = model.run(block, spec.rate)
                 plain = block.sym != model.code.escape
@@ -636,6 +805,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
         " bits double, rare map<binary,int>"
     )
     scored = staged(slim.select("rid", "text", held_out).mapInArrow(run, schema), "lm-scored")
+    held.destroy()
 
     # words behind the escape meet their counts and spellings
     spell = spark.sparkContext.broadcast(spell_tables(vocabulary.where("c > 0"), spec))

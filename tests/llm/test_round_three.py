@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from joblattice.llm import hard_negatives, html, lloyd
+from joblattice.llm import hard_negatives, html, lloyd, lm
 
 VECTORS = "vec_id long, embedding array<float>, label int, cluster int, distance string, a int, score double"
 
@@ -234,3 +235,52 @@ def test_templates_and_article_share(spark):
     assert known["big.example"] == (31, 6)  # first and closing line, link, each with what it stands in
     assert known["loose.example"] == (24, 1)
     assert set(known) == {"big.example", "loose.example"}
+
+
+def _lm_mixer(seed: int) -> lm.Mixer:
+    r, spec = np.random.default_rng(seed), lm.Spec(table_bits=12)
+    code = lm.Code([b"w%d" % i for i in range(500)], r.integers(2, 50, 500).tolist(), 40, 9)
+    both = [lm._stretched(r.integers(0, 9, (2, 1 << 12))) for _ in range(2)]
+    weights = np.tile(np.array([0.3, 0.4, 0.4, 0.1]), (lm._GATES, 1))
+    return lm.Mixer(code, spec, tuple(s for s, _ in both), tuple(n for _, n in both), weights)
+
+
+def test_lm_texts_take_turns(monkeypatch):
+    """Texts that follow each other in a place, and windows that reach over their ends, change no result."""
+    mixer, r = _lm_mixer(4), random.Random(5)
+    texts = [b" ".join(b"w%d" % r.randrange(520) for _ in range(r.choice((0, 1, 7, 30, 200)))) for _ in range(150)]
+    monkeypatch.setattr(lm, "_NARROW", 2)
+    steps, wide = [], lm._steps
+    monkeypatch.setattr(lm, "_steps", lambda x, *rest: steps.append(x.shape[1]) or wide(x, *rest))
+    single = [mixer.run(lm.tokens_of([t], mixer.code, False), 0.01) for t in texts]
+    monkeypatch.setattr(lm, "_LANES", 40)
+    for window in (7, 64, 1000):
+        monkeypatch.setattr(lm, "_WINDOW", window)
+        steps.clear()
+        found, weights, n = mixer.run(lm.tokens_of(texts, mixer.code, False), 0.01)
+        assert found == pytest.approx(np.concatenate([s[0] for s in single]), rel=1e-9) and n == 150
+        assert weights == pytest.approx(sum(s[1] for s in single), rel=1e-9)
+        assert steps[0] == max(steps) == 40
+
+
+def test_lm_broadcasts_leave_out_what_tasks_can_make():
+    mixer = _lm_mixer(6)
+    again = pickle.loads(pickle.dumps(mixer))
+    assert (again.code.mark_at == mixer.code.mark_at).all() and (again.code.own_at == mixer.code.own_at).all()
+    assert all((a == b).all() for a, b in zip(again.both, mixer.both))
+    kept = sum(v.nbytes for v in (*mixer.stretch, *mixer.seen, mixer.code.node, mixer.code.bit))
+    assert len(pickle.dumps(mixer)) < kept + 40_000
+
+
+def test_lm_count_tables_are_few_and_small(spark):
+    """Neither the number of tables that tasks send nor their bytes follow the number of partitions."""
+    docs = spark.range(50).repartition(300)
+    assert lm.few_tables(docs).rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert lm.few_tables(docs).count() == 50
+    table = np.zeros((2, 1 << 16), np.int64)
+    table[0, 5], table[1, 70], table[1, 40_000], table[0, 65_535] = 3, 300, 2**31 + 5, 7
+    row = lm._packed(table, 2)
+    assert row.nbytes < 200
+    frame = spark.createDataFrame([tuple(r.values()) for r in row.to_pylist() * 2], lm._CELLS)
+    expected = np.minimum(2 * table, 2**31 - 1)
+    assert (lm.add_tables(frame, {2: 1 << 16})[2] == expected).all()
