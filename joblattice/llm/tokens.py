@@ -36,6 +36,8 @@ SHARD_BYTES = 1 << 20
 LEVEL = 3
 _CACHE_WORDS = 800_000
 _SLICE_CHARS = 8_000_000
+#: All characters that ``str.isspace`` takes (none lies beyond the first plane), and no character.
+_BLANK = frozenset(["", *(c for c in map(chr, range(1 << 16)) if c.isspace())])
 
 
 class Encoder:
@@ -67,17 +69,15 @@ class Encoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, words: list[str]) -> None:
-        """Put words, each of one space and what follows it, into the table."""
-        ids = self._ids("".join(words))
+        """Put words, each behind a space, into the table."""
+        ids = self._ids(" " + " ".join(words))
         ends = np.cumsum(self.bytes[ids])
-        stops = np.cumsum([len(w.encode()) for w in words])
+        stops = np.cumsum(np.fromiter(map(len, map(str.encode, words)), np.int64, len(words)) + 1)
         at = np.searchsorted(ends, stops) + 1
         if ends[-1] != stops[-1] or (ends[at - 1] != stops).any():
             raise ValueError("the tokenizer joined two words")
-        data, start = ids.tobytes(), 0
-        for word, stop in zip(words, (4 * at).tolist()):
-            self.young[word[1:]] = data[start:stop]
-            start = stop
+        data, stops = ids.tobytes(), (4 * at).tolist()
+        self.young.update(zip(words, map(data.__getitem__, map(slice, [0, *stops[:-1]], stops))))
 
     def _known(self, words: list[str]) -> list[bytes]:
         """The ids of distinct words behind a space, from the table or the library; nothing for odd ones.
@@ -92,9 +92,9 @@ class Encoder:
         missing = [i for i, ids in enumerate(found) if ids is None]
         fresh, ended = {}, []
         for w in map(words.__getitem__, missing):
-            if w in old:
+            if old and w in old:
                 young[w] = old[w]
-            elif not w or w[0].isspace() or w[-1].isspace():
+            elif w[:1] in _BLANK or w[-1] in _BLANK:
                 young[w] = b""
             elif w[-1] in self.marks and w[:-1].isalpha():
                 ended.append(w)
@@ -104,7 +104,7 @@ class Encoder:
                 fresh[w] = None
         fresh = list(fresh)
         for at in range(0, len(fresh), 20_000):
-            self._learn([" " + w for w in fresh[at : at + 20_000]])
+            self._learn(fresh[at : at + 20_000])
         for w in ended:
             young[w] = (young.get(w[:-1]) or old[w[:-1]]) + self.marks[w[-1]]
         for i in missing:
@@ -124,7 +124,7 @@ class Encoder:
         heads = [texts[i].partition(" ")[0] for i in cut]
         rests = pc.split_pattern(pa.array([texts[i][len(h) + 1 :] for i, h in zip(cut, heads)], pa.large_string()), " ")
         coded = rests.flatten().dictionary_encode()
-        words = self._known(coded.dictionary.to_pylist())
+        words = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         pool = np.frombuffer(b"".join(words), "<u4")
         length = np.fromiter(map(len, words), np.int32, len(words)) >> 2
         start = np.cumsum(length, dtype=np.int32) - length

@@ -6,12 +6,14 @@ import hashlib
 import math
 import pickle
 import random
+import sys
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from joblattice.llm import hard_negatives, html, lloyd, lm
+from joblattice.llm import hard_negatives, html, lloyd, lm, tokens
 
 VECTORS = "vec_id long, embedding array<float>, label int, cluster int, distance string, a int, score double"
 
@@ -284,3 +286,11 @@ def test_lm_count_tables_are_few_and_small(spark):
     frame = spark.createDataFrame([tuple(r.values()) for r in row.to_pylist() * 2], lm._CELLS)
     expected = np.minimum(2 * table, 2**31 - 1)
     assert (lm.add_tables(frame, {2: 1 << 16})[2] == expected).all()
+
+
+def test_words_beside_any_white_space_are_encoded_whole():
+    assert tokens._BLANK == {"", *(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())}
+    e = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [f"a b{c} d, {c}e. f{c}" for c in sorted(tokens._BLANK)] + ["x b d, e. f", "y b. d e, f\n"]
+    for _ in range(2):  # new words, then known ones
+        assert e.encode(texts) == [np.array([*e._ids(t), tokens.END_ID], "<u4").tobytes() for t in texts]
