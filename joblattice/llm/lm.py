@@ -28,6 +28,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +67,8 @@ _BIAS, _NARROW = 0.3, 24
 _LANES, _WINDOW = 1024, 64
 #: Tokens whose bits are looked up at a time for counting.
 _PIECE = 5_000
+#: Tokens whose scores are put together at a time.
+_SCORED = 200_000
 _CHUNK = 1 << 14
 #: Bytes back that the spelling models look.
 ORDERS = 4
@@ -209,7 +212,19 @@ class Block:
     @property
     def text(self) -> np.ndarray:
         """The number of the text of each token."""
-        return np.repeat(np.arange(len(self.starts)), np.diff(np.append(self.starts, len(self.sym))))
+        return np.repeat(np.arange(len(self.starts)), self.sizes)
+
+    @property
+    def sizes(self) -> np.ndarray:
+        """The number of tokens of each text."""
+        return np.diff(np.append(self.starts, len(self.sym)))
+
+    def pieces(self, tokens: int) -> Iterator[tuple[int, int, slice, Block]]:
+        """(first text, text behind the last, their tokens, a block of them), of at most ``tokens`` or of one longer text."""
+        for a, b in sharded(self.sizes, tokens):
+            low = int(self.starts[a])
+            own = slice(low, int(self.starts[b]) if b < len(self.starts) else len(self.sym))
+            yield a, b, own, Block(self.sym[own], self.starts[a:b] - low, self.rare[a:b])
 
 
 def tokens_of(texts: list[bytes], code: Code, keep_rare: bool) -> Block:
@@ -374,12 +389,16 @@ def context_tables(docs: DataFrame, code: Code, spec: Spec) -> dict[int, np.ndar
     return found
 
 
+def _byte_lengths(texts: pa.Array) -> np.ndarray:
+    lengths = pc.fill_null(pc.binary_length(texts.cast(pa.binary())), 0)
+    return lengths.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _texts(batches: Iterator[pa.RecordBatch], tokens: int) -> Iterator[list[bytes]]:
     """Texts of bounded size together, a very long one alone."""
     for batch in batches:
-        texts = as_bytes(batch.column(1))
-        for a, b in sharded(np.array([len(t) // 5 + 1 for t in texts]), tokens):
-            yield texts[a:b]
+        for a, b in sharded(_byte_lengths(batch.column(1)) // 5 + 1, tokens):
+            yield as_bytes(batch.column(1).slice(a, b - a))
 
 
 # --- mixing ----------------------------------------------------------------------------------------
@@ -404,7 +423,7 @@ class Mixer:
             self.both.append(both.view("<i8")[:, 0])
 
     def __reduce__(self):  # tasks put the halves together again
-        return Mixer, (self.code, self.spec, self.stretch, self.seen, self.weights)
+        return _joined, (self.code, self.spec, self.stretch, self.seen, self.weights)
 
     def run(self, block: Block, rate: float) -> tuple[np.ndarray, np.ndarray, int]:
         """(log10 probability of each token's code, sum of the texts' last weights, number of texts).
@@ -415,19 +434,22 @@ class Mixer:
         others, so results don't depend on which texts a task happens to hold.
         """
         code, spec = self.code, self.spec
-        n = len(block.sym)
-        # ends behind the last text, for windows that reach over it
-        sym = np.append(block.sym, np.full(_WINDOW, code.end, block.sym.dtype))
-        length, stop = code.length[sym], np.append(block.starts[1:], n)
-        upto = np.cumsum(length)
-        begin = (upto - length)[block.starts]
+        n, starts = len(block.sym), block.starts
+        # what is held for each token is few bytes: two ends before the texts, and ends behind them, for windows that reach over
+        sym = np.full(n + 2 + _WINDOW, code.end, block.sym.dtype)
+        sym[2 : n + 2] = block.sym
+        length = code.length.astype(np.int16)
+        upto = length.take(sym[2:])
+        upto = np.cumsum(upto, dtype=np.int32 if upto.sum(dtype=np.int64) < 1 << 30 else np.int64)
+        stop = np.append(starts[1:], n)
+        begin = upto[starts].astype(np.int64) - length[block.sym[starts]]
         size = upto[stop - 1] - begin
         # the token at the first bit of each window of each text, and at the bit behind its last one
         count = -(-size // _WINDOW) + 1
         first = np.cumsum(count) - count
         bound = np.repeat(begin - first * _WINDOW, count) + np.arange(count.sum()) * _WINDOW
         bound = np.minimum(bound, upto[-1] - 1)
-        known = Known(sym, *contexts_of(sym, block.starts, code.end), length, upto, bound, np.searchsorted(upto, bound, side="right"))
+        known = Known(sym, upto, bound, _behind(upto, bound))
         logs = np.zeros(n)
         queue = np.argsort(-size, kind="stable")
         queue = queue[: np.count_nonzero(size)]
@@ -440,7 +462,7 @@ class Mixer:
         weights, table = np.repeat(fresh[None], len(text), axis=0), np.repeat(flat[None], len(text), axis=0)
         while len(text):
             many, left = len(text), size[text] - done * _WINDOW
-            tokens, starts, token, inputs, gate, bit = self._window(known, first[text] + done)
+            tokens, lows, token, inputs, gate, bit = self._window(known, first[text] + done, starts[text])
             ended = np.flatnonzero(left <= _WINDOW)
             for i in ended.tolist():  # bits behind the end of a text change nothing
                 inputs[left[i] :, i] = 0
@@ -451,7 +473,7 @@ class Mixer:
             chance = np.log(np.maximum(chance, 1e-6, out=chance).T.copy())
             for i in ended.tolist():
                 chance[i, left[i] :] = 0
-            own = tokens < np.repeat(stop[text], np.diff(starts))
+            own = tokens < np.repeat(stop[text], np.diff(lows))
             logs[tokens[own]] += np.bincount(token, chance.ravel(), minlength=len(tokens))[own]
             done += 1
             if not len(ended):
@@ -464,25 +486,30 @@ class Mixer:
                 kept = np.ones(many, bool)
                 kept[ended[more:]] = False
                 text, done, weights, table = text[kept], done[kept], weights[kept], table[kept]
-        return logs / math.log(10) + code.tail[block.sym], total, len(size)
+        logs /= math.log(10)
+        if code.tail.any():
+            logs += code.tail[block.sym]
+        return logs, total, len(size)
 
-    def _window(self, known: Known, window: np.ndarray) -> tuple:
+    def _window(self, known: Known, window: np.ndarray, begins: np.ndarray) -> tuple:
         """What the bits of one window of each text are predicted from.
 
         (tokens, first of each text among them, token of each bit, inputs, gates with the number of
         the text, bits), the last three with a row for each step.
         """
-        many, code, spec, length, upto = len(window), self.code, self.spec, known.length, known.upto
+        many, code, spec, sym, upto = len(window), self.code, self.spec, known.sym, known.upto
         bits, low, after = known.bound[window], known.at[window], known.at[window + 1]
-        high = after + (upto[after] - length[after] < bits + _WINDOW)
+        from_bit = lambda at: upto[at] - code.length[sym[at + 2]]
+        high = after + (from_bit(after) < bits + _WINDOW)
         short = np.flatnonzero(known.bound[window + 1] != bits + _WINDOW)  # behind the last text
-        high[short] = np.searchsorted(upto, bits[short] + (_WINDOW - 1), side="right") + 1
+        high[short] = _behind(upto, bits[short] + (_WINDOW - 1)) + 1
         starts = np.zeros(many + 1, np.int64)
         np.cumsum(high - low, out=starts[1:])
         tokens = np.arange(starts[-1]) + np.repeat(low - starts[:-1], high - low)
-        symbols, wanted = known.sym.take(tokens), length.take(tokens)
-        way = code.first.take(symbols)
-        skipped = bits - (upto[low] - length[low])
+        symbols, last, before = sym.take(tokens + 2), sym.take(tokens + 1), sym.take(tokens)
+        before[starts[:-1][low == begins]] = code.end  # the text before ends one token earlier
+        way, wanted = code.first.take(symbols), code.length.take(symbols)
+        skipped = bits - from_bit(low)
         way[starts[:-1]] += skipped
         wanted[starts[:-1]] -= skipped
         wanted[starts[1:] - 1] -= upto[high - 1] - (bits + _WINDOW)
@@ -493,8 +520,8 @@ class Mixer:
         inputs[:, :, 0] = rows(code.own_at.take(at))
         inputs[:, :, 3] = _BIAS
         gate = 0
-        last = known.last.take(tokens) + 1
-        for k, context in enumerate((_hash(last), _hash(last, known.before.take(tokens) + 7))):
+        last += 1
+        for k, context in enumerate((_hash(last), _hash(last, before + 7))):
             both = self.both[k].take(_slots(context, token, mark, spec.table_bits))
             inputs[:, :, 1 + k] = rows(both.view("<f4")[::2])
             both >>= 32
@@ -505,17 +532,25 @@ class Mixer:
 
 @dataclass
 class Known:
-    """Of each token its symbol, the two before it, the bits of its code and of all codes up to it; of each window its first bit and the token there."""
+    """Of each token its symbol, behind two ends, and the bits of all codes up to it; of each window its first bit and the token there."""
 
     sym: np.ndarray
-    last: np.ndarray
-    before: np.ndarray
-    length: np.ndarray
     upto: np.ndarray
     bound: np.ndarray
     at: np.ndarray
 
 
+def _behind(upto: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return np.searchsorted(upto, bits.astype(upto.dtype), side="right")  # other kinds would be copied whole
+
+
+def _joined(*parts) -> Mixer:
+    """A mixer for tasks, which look at contexts as a whole only."""
+    mixer = Mixer(*parts)
+    mixer.stretch = mixer.seen = ()
+    return mixer
+
+
 def _steps(inputs, gates, bits, weights, table, rate: float, refine: float) -> np.ndarray:
     """Sums of both chances of every bit; a row of bits is one step, which changes weights and tables in place."""
     chance = np.empty(bits.shape)
@@ -576,8 +611,12 @@ def text_scores(block: Block, logs: np.ndarray, escape: int) -> np.ndarray:
 
     The token after the last earlier place of the same three tokens is foretold; the escape never is.
     The flags of a text are drawn from two urns of hits and misses, one for flags after a hit, so
-    their probability follows from counts alone.
+    their probability follows from counts alone. Texts are gone through some at a time.
     """
+    return np.concatenate([_text_scores(part, logs[own], escape) for _, _, own, part in block.pieces(_SCORED)])
+
+
+def _text_scores(block: Block, logs: np.ndarray, escape: int) -> np.ndarray:
     plain = np.add.reduceat(logs, block.starts)
     sym, text, n = block.sym, block.text, len(block.sym)
     at = np.flatnonzero(np.arange(n) - block.starts[text] >= 3)
@@ -774,30 +813,30 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec:
     held = spark.sparkContext.broadcast(mixer)
     known = np.array([c for _, c in rows] + [ends, 0], np.int64)
     floor = math.log10(n_train + n_types + 1) if n_train + n_types else 0.0
-    base = np.log10(known + 1.0) - floor
+    counted, base = (known > 0).astype(np.int64), np.log10(known + 1.0) - floor
+    base[code.escape] = 0.0  # words behind it are counted below
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, row = TaskContext.get().partitionId(), 0
         model = held.value
         for batch in batches:
-            texts = as_bytes(batch.column(1))
-            for a, b in sharded(np.array([len(t) // 5 + 1 for t in texts]), spec.mixed_tokens):
-                block = tokens_of(texts[a:b], model.code, True)
+            n_bytes = _byte_lengths(batch.column(1))
+            for a, b in sharded(n_bytes // 5 + 1, spec.mixed_tokens):
+                block = tokens_of(as_bytes(batch.column(1).slice(a, b - a)), model.code, True)
                 logs, _, _ = model.run(block, spec.rate)
-                plain = block.sym != model.code.escape
-                add = lambda v: np.add.reduceat(v, block.starts)  # noqa: B023, E731
-                columns = [
-                    pa.array(np.arange(row, row + b - a) + (part << 40)),
-                    batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
-                    pa.array(np.diff(np.append(block.starts, len(block.sym)))),
-                    pa.array([len(t) for t in texts[a:b]], pa.int64()),
-                    pa.array(add((plain & (known[block.sym] > 0)).astype(np.int64))),
-                    pa.array(add(np.where(plain, base[block.sym], 0.0))),
-                    pa.array(text_scores(block, logs, model.code.escape)),
-                    pa.array([list(r.items()) for r in block.rare], pa.map_(pa.binary(), pa.int32())),
-                ]
-                row += b - a
-                yield pa.RecordBatch.from_arrays(columns, names)
+                for low, high, own, some in block.pieces(_SCORED):
+                    many, at = high - low, a + low
+                    add = lambda v: np.add.reduceat(v[some.sym], some.starts)  # noqa: B023, E731
+                    columns = [
+                        pa.array(np.arange(row, row + many) + (part << 40)),
+                        batch.column(0).slice(at, many), batch.column(2).slice(at, many),
+                        pa.array(some.sizes), pa.array(n_bytes[at : at + many]),
+                        pa.array(add(counted)), pa.array(add(base)),
+                        pa.array(text_scores(some, logs[own], model.code.escape)),
+                        pa.array([list(r.items()) for r in some.rare], pa.map_(pa.binary(), pa.int32())),
+                    ]
+                    row += many
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["row", "rid", "held", "n_tokens", "n_bytes", "n_known", "base", "bits", "rare"]
     schema = (

@@ -7,6 +7,7 @@ import math
 import pickle
 import random
 import sys
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -294,3 +295,37 @@ def test_words_beside_any_white_space_are_encoded_whole():
     texts = [f"a b{c} d, {c}e. f{c}" for c in sorted(tokens._BLANK)] + ["x b d, e. f", "y b. d e, f\n"]
     for _ in range(2):  # new words, then known ones
         assert e.encode(texts) == [np.array([*e._ids(t), tokens.END_ID], "<u4").tobytes() for t in texts]
+
+
+def test_lm_mixing_holds_few_bytes_for_each_token():
+    r = np.random.default_rng(3)
+    mixer = _lm_mixer(3)
+    code = lm.Code([b"a", b"b", b"c", b"d"], [40, 30, 20, 10], 10, 9)
+    mixer = lm.Mixer(code, mixer.spec, mixer.stretch, mixer.seen, mixer.weights)
+    texts = [b" ".join(r.choice([b"a", b"b", b"c", b"d", b"e"], 300).tolist()) for _ in range(1300)]
+    block = lm.tokens_of(texts, code, False)
+    mixer.run(lm.tokens_of(texts[:1], code, False), 0.01)
+    peaks = []
+    for part in (block, lm.Block(np.tile(block.sym, 3), np.concatenate([block.starts + k * len(block.sym) for k in range(3)]), [])):
+        tracemalloc.start()
+        logs, _, _ = mixer.run(part, 0.01)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert (peaks[1] - peaks[0]) / (2 * len(block.sym)) < 35  # what a token more takes, its result of 8 included
+
+
+def test_lm_scores_of_texts_put_together_in_pieces(monkeypatch):
+    r = np.random.default_rng(5)
+    mixer = pickle.loads(pickle.dumps(_lm_mixer(5)))  # as tasks have it
+    words = [b"w%d" % i for i in range(9)] + [b"rare"]
+    texts = [b" ".join(r.choice(words, n).tolist()) for n in (0, 300, 5, 1, 40, 0, 90)]
+    block = lm.tokens_of(texts, mixer.code, True)
+    logs, _, _ = mixer.run(block, 0.01)
+    whole = lm.text_scores(block, logs, mixer.code.escape)
+    monkeypatch.setattr(lm, "_SCORED", 50)
+    assert len(list(block.pieces(lm._SCORED))) > 3
+    assert (lm.text_scores(block, logs, mixer.code.escape) == whole).all()
+    for a, b, own, part in block.pieces(lm._SCORED):
+        alone = lm.tokens_of(texts[a:b], mixer.code, True)
+        assert (part.sym == alone.sym).all() and (part.starts == alone.starts).all() and part.rare == alone.rare
+        assert own.stop - own.start == len(alone.sym)
