@@ -512,3 +512,31 @@ def test_search_counts_the_trigrams_of_all_texts_once(spark, monkeypatch):
 def test_contains_takes_wildcards_as_text(spark):
     df = spark.createDataFrame([("100% remote",), ("1000 remote",)], "t string")
     assert df.filter(search.contains_ignore_case("t", "100% REM")).count() == 1
+
+
+def test_stored_documents_of_one_row_are_weighed_where_they_lie(spark, folder, monkeypatch):
+    rows = [(i, t) for i, t in enumerate(some_docs())]
+    docs = spark.createDataFrame(rows, "job_id long, job_description string").repartition(3)
+    monkeypatch.setattr(tfidf, "weigh", None)  # it deals all counts by document
+    spec = tfidf.Spec(max_features=20, sublinear_tf=True)
+    model = models.build_and_save(docs, "job_id", "job_description", folder, "v1", spec)
+    monkeypatch.undo()
+    found = {(r.doc_id, r.term): r.weight for r in model.postings.collect()}
+    counts = tfidf.term_counts(docs, "job_id", "job_description", spec)
+    expected = {(r.doc_id, r.term): r.weight for r in tfidf.weigh(counts, model.vocab.drop("term_id"), spec).collect()}
+    assert found == pytest.approx(expected, rel=1e-12) and len(found) > 100
+
+
+def test_stored_documents_of_several_rows_have_one_length(spark, folder):
+    texts = ["data python data", "sql cloud", "python team", None, "cloud cloud etl", "data etl", ""]
+    docs = spark.createDataFrame(list(zip(["a", "b", "a", "a", None, None, "c"], texts)), "job_id string, job_description string")
+    spec = tfidf.Spec(max_features=9, ngram_range=(1, 2))
+    model = models.build_and_save(docs, "job_id", "job_description", folder, "v1", spec)
+    found = sorted((r.doc_id or "", r.term, round(r.weight, 12)) for r in model.postings.collect())
+    counts = tfidf.term_counts(docs, "job_id", "job_description", spec)
+    plain = tfidf.weigh(counts, model.vocab.drop("term_id"), spec).collect()
+    assert found == sorted((r.doc_id or "", r.term, round(r.weight, 12)) for r in plain) and len(found) > 8
+    lengths = defaultdict(float)
+    for key, _, weight in found:
+        lengths[key] += weight * weight
+    assert lengths == pytest.approx({"": 1.0, "a": 1.0, "b": 1.0})
