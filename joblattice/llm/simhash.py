@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from joblattice.llm.shared import as_bytes, components, free_name, staged
+from joblattice.llm.shared import as_bytes, components, free_name, never_broadcast, staged
 
 BANDS, MAX_BITS, SHINGLE, SEED = 8, 2, 3, 42
 _BLOCK = 1 << 16
@@ -107,7 +107,7 @@ def links(distinct_fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         ]
     )
     keyed = pivot_table(distinct_fps).select(F.explode(keys).alias("key"), "fp", "t0", "t1")
-    left, right = keyed.alias("l"), keyed.alias("r")
+    left, right = never_broadcast(keyed.alias("l")), never_broadcast(keyed.alias("r"))
     close = F.lit(True)
     for t in ("t0", "t1"):
         for j in range(8):
