@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import corpus_pipeline
 from joblattice.llm import simhash
 
 
@@ -20,3 +21,13 @@ def test_links_broadcast_no_exploded_keys(spark):
     close = {(min(a, b), max(a, b)) for a in fps for b in fps if a != b and (a ^ b).bit_count() <= 2}
     assert {tuple(r) for r in found.collect()} == close and len(close) == 4
     assert "BroadcastExchange" not in _plan(found)
+
+
+def test_pipeline_drops_near_copies_without_a_broadcast_of_exploded_keys(spark, monkeypatch):
+    written, real = {}, simhash.staged
+    monkeypatch.setattr(simhash, "staged", lambda df, label: written.update({label: df}) or real(df, label))
+    texts = [" ".join(f"word{k * 31 + i}" for i in range(20)) for k in range(6)]
+    docs = spark.createDataFrame([(i, texts[i % 6]) for i in range(18)], "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4, 5]
+    assert "BroadcastExchange" not in _plan(written["links"])
