@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from joblattice.llm.shared import staged
+from joblattice.llm.shared import as_matrix, block_runs, side_by_side, staged
 
 QUERY_BLOCK, VECTOR_BLOCK, QUERY_BITS, SEED = 256, 4096, 4, 20
 #: Standard errors of the estimate that the bounds span.
@@ -79,40 +79,39 @@ def _lengths(x: np.ndarray) -> np.ndarray:
     return top[:, 0] * np.sqrt(((x / top) ** 2).sum(axis=1))
 
 
-def search_block(ids: list, vectors: np.ndarray, q_ids: list, queries: np.ndarray, k: int) -> list[tuple]:
-    """(query, vector, cosine): each query's best ``k`` of a block, the query's own row left out."""
-    lengths, q_lengths = _lengths(vectors), _lengths(queries)
-    unit, q_unit = vectors / lengths[:, None], queries / q_lengths[:, None]
-    turn = rotation(vectors.shape[1])
-    codes, scalars = encode(unit, turn)
-    found, error = estimate(codes, scalars, q_unit, turn)
-    own = np.array(ids)[None, :] == np.array(q_ids)[:, None]
-    lower, upper = np.where(own, -np.inf, found - error), np.where(own, -np.inf, found + error)
-    kth = min(k, len(ids)) - 1
-    bar = -np.partition(-lower, kth, axis=1)[:, kth]
-    out = []
-    for i, q in enumerate(q_ids):
-        near = np.flatnonzero((upper[i] >= bar[i]) & ~own[i])
-        cosine = (unit[near] * q_unit[i]).sum(axis=1)
-        best = sorted(zip((-cosine).tolist(), (ids[j] for j in near.tolist())))[:k]
-        out += [(q, v, -c) for c, v in best]
-    return out
-
-
-def blocked(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
-    """Rows gathered into blocks of about ``size`` by a hash: block, dim and the list of rows; and how many blocks."""
-    n = max(1, -(-rows.count() // size))
-    keyed = rows.withColumn("block", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(n)))
-    keyed = keyed.groupBy("block", F.size("v").alias("dim"))
-    return keyed.agg(F.collect_list(F.struct(*rows.columns)).alias(name)), n
-
-
-def met_blocks(vectors: DataFrame, queries: DataFrame, vector_block: int, query_block: int) -> DataFrame:
-    """(block, vectors, queries): each block of vectors beside each block of queries of the same length."""
-    left, n = blocked(vectors, vector_block, "vectors")
-    right, _ = blocked(queries, query_block, "queries")
-    everywhere = right.drop("block").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
-    return left.join(everywhere, ["block", "dim"]).select("block", "vectors", "queries")
+class Coded:
+    """A block of vectors with its codes."""
+
+    def __init__(self, ids: list, vectors: np.ndarray):
+        self.ids, self.unit = ids, vectors / _lengths(vectors)[:, None]
+        self.turn = rotation(vectors.shape[1])
+        self.codes, self.scalars = encode(self.unit, self.turn)
+
+    def search(self, q_ids: list, queries: np.ndarray, k: int) -> list[tuple]:
+        """(query, vector, cosine): each query's best ``k`` of the block, the query's own row left out."""
+        ids, unit = self.ids, self.unit
+        q_unit = queries / _lengths(queries)[:, None]
+        found, error = estimate(self.codes, self.scalars, q_unit, self.turn)
+        own = np.array(ids)[None, :] == np.array(q_ids)[:, None]
+        lower, upper = np.where(own, -np.inf, found - error), np.where(own, -np.inf, found + error)
+        kth = min(k, len(ids)) - 1
+        bar = -np.partition(-lower, kth, axis=1)[:, kth]
+        out = []
+        for i, q in enumerate(q_ids):
+            near = np.flatnonzero((upper[i] >= bar[i]) & ~own[i])
+            cosine = (unit[near] * q_unit[i]).sum(axis=1)
+            best = sorted(zip((-cosine).tolist(), (ids[j] for j in near.tolist())))[:k]
+            out += [(q, v, -c) for c, v in best]
+        return out
+
+
+def met_blocks(vectors: DataFrame, queries: DataFrame, vector_block: int) -> DataFrame:
+    """(block, dim, id, v, asks): blocks of about ``vector_block`` vectors by a hash, each followed by all queries."""
+    n = max(1, -(-vectors.count() // vector_block))
+    dim = F.size("v").alias("dim")
+    block = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(n).cast("bigint")).alias("block")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("block")
+    return side_by_side(vectors.select(block, dim, "id", "v"), queries.select(every, dim, "id", "v"))
 
 
 def top_k(pairs: DataFrame, k: int) -> DataFrame:
@@ -134,25 +133,30 @@ def nearest(
     base = staged(usable(vectors, id_col, vector_col), "ann-vectors")
     asked = staged(usable(queries, id_col, vector_col), "ann-queries")
     kind = base.schema["id"].dataType.simpleString()
-    met = met_blocks(base, asked, VECTOR_BLOCK, QUERY_BLOCK).select("vectors", "queries")
+    met = met_blocks(base, asked, VECTOR_BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                ids, x = _unpack(batch.column(0)[i])
-                q_ids, q = _unpack(batch.column(1)[i])
-                found = search_block(ids, x, q_ids, q, k)
-                columns = [pa.array([f[j] for f in found], t) for j, t in enumerate((id_type(batch), id_type(batch), pa.float64()))]
+        at, parts, block = None, [], None
+        for key, asks, rows in block_runs(batches):
+            if key != at:
+                at, parts, block = key, [], None
+            ids, x = rows.column("id"), as_matrix(rows.column("v"))
+            if not asks:
+                parts.append((ids.to_pylist(), x))
+                continue
+            if not parts:
+                continue  # no vectors of this length in the block
+            if block is None:
+                block = Coded([i for p, _ in parts for i in p], np.concatenate([p for _, p in parts]))
+            for start in range(0, len(x), QUERY_BLOCK):
+                found = block.search(ids[start : start + QUERY_BLOCK].to_pylist(), x[start : start + QUERY_BLOCK], k)
+                columns = [pa.array([f[j] for f in found], t) for j, t in enumerate((ids.type, ids.type, pa.float64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
 
     pairs = met.mapInArrow(run, f"query_id {kind}, vec_id {kind}, score double")
     return top_k(pairs, k)
 
 
-def id_type(batch: pa.RecordBatch) -> pa.DataType:
-    return batch.schema.field(0).type.value_type.field("id").type
-
-
 def _unpack(cell: pa.ListScalar) -> tuple[list, np.ndarray]:
     rows = cell.values
     flat = rows.field("v").flatten().to_numpy(zero_copy_only=False)

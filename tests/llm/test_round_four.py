@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
-from joblattice.llm import simhash
+from joblattice.llm import ann, simhash
 
 
 def _plan(df):
@@ -31,3 +33,27 @@ def test_pipeline_drops_near_copies_without_a_broadcast_of_exploded_keys(spark,
     kept = corpus_pipeline.drop_near_copies(spark, docs, "")
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4, 5]
     assert "BroadcastExchange" not in _plan(written["links"])
+
+
+def _rows(seed, n, dim, first=0):
+    r = np.random.default_rng(seed)
+    return [(first + i, [float(x) for x in v], i % 4) for i, v in enumerate(r.normal(size=(n, dim)))]
+
+
+VECTORS = "vec_id long, embedding array<double>, label int"
+
+
+def test_one_bit_blocks_are_neither_broadcast_nor_gathered(spark, monkeypatch):
+    monkeypatch.setattr(ann, "VECTOR_BLOCK", 40)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 8)
+    rows = _rows(1, 260, 24) + _rows(2, 90, 12, 300) + [(900, [1.0, 2.0], 0)]
+    vectors = spark.createDataFrame(rows, VECTORS).repartition(3)
+    found = ann.nearest(vectors, vectors.where("vec_id % 9 = 0"), 3)
+    want = set()
+    for q, x, _ in rows:
+        unit = np.array(x) / np.linalg.norm(x)
+        near = sorted((-float(unit @ (np.array(v) / np.linalg.norm(v))), i) for i, v, _ in rows if i != q and len(v) == len(x))
+        want |= {(q, n + 1, i) for n, (_, i) in enumerate(near[:3])} if q % 9 == 0 else set()
+    assert {(r["query_id"], r["rank"], r["vec_id"]) for r in found.collect()} == want
+    plan = _plan(found)
+    assert "Broadcast" not in plan and "collect_list" not in plan
