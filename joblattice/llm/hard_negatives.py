@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from joblattice.llm.shared import forgotten_shuffles, staged
+from joblattice.llm.shared import as_matrix, block_runs, forgotten_shuffles, side_by_side, staged
 from joblattice.session import broadcast_if_small
 
 #: Rows of a block and of one label's share of a block, as dealt by hash; anchors side by side.
@@ -33,7 +33,8 @@ class Lists:
     """The candidates of a block with their order by each component."""
 
     def __init__(self, ids: list, labels: list, vectors: np.ndarray, largest_anchor: int):
-        self.ids, self.x = ids, exact(vectors, largest_anchor)
+        self.ids, self.vectors = ids, vectors
+        self.fit(largest_anchor)
         self.order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
         self.code = {label: i for i, label in enumerate(dict.fromkeys(labels))}
         self.labels = np.array([self.code[label] for label in labels])
@@ -42,6 +43,10 @@ class Lists:
             self.rows.setdefault(r, []).append(i)
         self.reads = 0
 
+    def fit(self, largest_anchor: int) -> None:
+        """Make the scores of anchors with components up to that one exact."""
+        self.x = exact(self.vectors, largest_anchor)
+
     def eligible(self, own_id, own_label, same_label: bool) -> np.ndarray:
         """The rows with the same label or with others, never those of the anchor's id."""
         out = (self.labels == self.code.get(own_label, -1)) == same_label
@@ -97,45 +102,49 @@ def exact(whole: np.ndarray, other: int) -> np.ndarray:
     return whole.astype(np.float64 if top < 1 << 53 else np.int64 if top < 1 << 63 else object)
 
 
-def _cells(column: pa.ListScalar, *names: str) -> tuple:
-    """The named fields of a list of rows, the one called v as a matrix."""
-    rows, out = column.values, []
-    for name in names:
-        cells = rows.field(name)
-        if name == "v":
-            out.append(cells.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1))
-        else:
-            out.append(cells.to_pylist())
-    return tuple(out)
-
-
-def _searched(met: DataFrame, k: int, same_label: bool, id_kind: str, low: int = 0, high: int = 0) -> DataFrame:
+def _searched(blocks: DataFrame, anchors: DataFrame, k: int, same_label: bool, id_kind: str, low: int = 0, high: int = 0) -> DataFrame:
     """(a, window, id, score): for each anchor and window the first rows of one block.
 
-    ``met`` holds rows (rows, anchors): a block beside some anchors. Each score in an anchor's list makes a
-    window from ``low`` to ``high`` percent of it; without a list, all scores are searched.
+    ``blocks`` holds the rows of all blocks, ``anchors`` a row for each anchor and block it meets. Each score in an
+    anchor's list ``windows`` makes a window from ``low`` to ``high`` percent of it; without a list, all scores are searched.
     """
     schema = f"a bigint, window int, id {id_kind}, score decimal(38,0)"
     kinds = [pa.int64(), pa.int32(), None, pa.decimal128(38, 0)]
+    columns = ["block", "dim", "id", "label", "v"]
+    lone = {"a": F.lit(None).cast("bigint"), "windows": F.lit(None).cast("array<decimal(38,0)>")}
+    met = side_by_side(blocks.select(*columns).withColumns(lone), anchors.select(*columns, *lone))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            id_type = batch.schema.field("rows").type.value_type.field("id").type
-            for i in range(batch.num_rows):
-                ids, labels, x = _cells(batch.column("rows")[i], "id", "label", "v")
-                numbers, own, own_labels, anchors, windows = _cells(batch.column("anchors")[i], "a", "id", "label", "v", "windows")
-                lists = Lists(ids, labels, x, int(np.abs(anchors).max(initial=0)))
+        at, parts, lists = None, [], None
+        for key, asks, rows in block_runs(batches):
+            if key != at:
+                at, parts, lists = key, [], None
+            if not asks:
+                parts.append((rows.column("id").to_pylist(), rows.column("label").to_pylist(), as_matrix(rows.column("v"))))
+                continue
+            if not parts:
+                continue  # no rows of this length in the block
+            if lists is None:
+                ids, labels, x = zip(*parts)
+                lists = Lists([i for p in ids for i in p], [i for p in labels for i in p], np.concatenate(x), 0)
+            for start in range(0, rows.num_rows, ANCHORS):
+                some = rows.slice(start, ANCHORS)
+                numbers, own, own_labels, windows = (some.column(c).to_pylist() for c in ("a", "id", "label", "windows"))
+                x = as_matrix(some.column("v"))
+                lists.fit(int(np.abs(x).max(initial=0)))
                 out = []
                 for j, number in enumerate(numbers):
                     eligible = lists.eligible(own[j], own_labels[j], same_label)
                     of = [int(s) for s in windows[j] or ()]
                     bounds = [(-(-s * low // 100), s * high // 100) for s in of] or [(None, None)]
-                    for w, found in enumerate(lists.search(anchors[j], eligible, bounds, k)):
+                    for w, found in enumerate(lists.search(x[j], eligible, bounds, k)):
                         out += [(number, w, r, s) for s, r in found]
-                columns = [pa.array([o[c] if c < 3 else int(o[c]) for o in out], kinds[c] or id_type) for c in range(4)]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "window", "id", "score"])
+                types = [t or rows.column("id").type for t in kinds]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([o[c] if c < 3 else int(o[c]) for o in out], types[c]) for c in range(4)], ["a", "window", "id", "score"]
+                )
 
-    return met.select("rows", "anchors").mapInArrow(run, schema)
+    return met.mapInArrow(run, schema)
 
 
 def _best(pairs: DataFrame, k: int) -> DataFrame:
@@ -143,14 +152,6 @@ def _best(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _in_groups(anchors: DataFrame, *keys: str) -> DataFrame:
-    """Anchors gathered to groups of about ``ANCHORS`` for each value of the keys."""
-    groups = max(1, -(-anchors.count() // ANCHORS))
-    dealt = anchors.withColumn("g", F.pmod(F.xxhash64("a"), F.lit(groups)))
-    row = F.struct("a", "id", "label", "v", "windows")
-    return dealt.groupBy("g", "dim", *keys).agg(F.collect_list(row).alias("anchors")).drop("g")
-
-
 def mine(
     vectors: DataFrame,
     is_anchor: Column,
@@ -192,13 +193,12 @@ def mine(
     shares = F.ceil(F.count("*") / SHARE).alias("shares")
     labels = broadcast_if_small(staged(base.groupBy("label").agg(shares), "negatives-labels"))
     placed = base.join(labels, "label").withColumn("block", home(F.pmod(F.xxhash64("a"), F.col("shares"))))
-    blocks = placed.groupBy("block", "dim").agg(F.collect_list(F.struct("id", "label", "v")).alias("rows"))
-    blocks = staged(blocks, "negatives-blocks")
+    blocks = staged(placed.select("block", "dim", "id", "label", "v"), "negatives-blocks")
 
     asked = base.where("anchor").withColumn("windows", F.lit(None).cast("array<decimal(38,0)>"))
     at = F.array_distinct(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1), home))
     near = asked.join(labels, "label").withColumn("block", F.explode(at))
-    found = _searched(blocks.join(_in_groups(near, "block"), ["block", "dim"]), n_positives, True, id_kind)
+    found = _searched(blocks, near, n_positives, True, id_kind)
     with forgotten_shuffles(base.sparkSession):
         positives = staged(_best(found, n_positives).select("a", "rank", "id", "score"), "negatives-positives")
 
@@ -207,8 +207,7 @@ def mine(
     searching = base.where("anchor").drop("anchor").join(ranked, "a")
     searching = staged(searching.withColumn("windows", F.col("positives.score")), "negatives-anchors")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint")))
-    met = blocks.join(_in_groups(searching).withColumn("block", every), ["block", "dim"])
-    found = _best(_searched(met, n_negatives, False, id_kind, low, high), n_negatives)
+    found = _best(_searched(blocks, searching.withColumn("block", every), n_negatives, False, id_kind, low, high), n_negatives)
     found = found.select("a", "window", "rank", F.col("id").alias("negative"), F.col("score").alias("reached"))
     out = found.join(searching.select("a", "id", "positives"), "a")
     out = out.withColumn("positive", F.element_at("positives", F.col("window") + 1))

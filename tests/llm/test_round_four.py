@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from joblattice.llm import ann, simhash
+from joblattice.llm import ann, hard_negatives, simhash
 
 
 def _plan(df):
@@ -57,3 +58,24 @@ def test_one_bit_blocks_are_neither_broadcast_nor_gathered(spark, monkeypatch):
     assert {(r["query_id"], r["rank"], r["vec_id"]) for r in found.collect()} == want
     plan = _plan(found)
     assert "Broadcast" not in plan and "collect_list" not in plan
+
+
+def test_threshold_negatives_blocks_are_neither_broadcast_nor_gathered(spark, monkeypatch):
+    for name, size in (("BLOCK", 40), ("SHARE", 20), ("ANCHORS", 8)):
+        monkeypatch.setattr(hard_negatives, name, size)
+    searched, real = [], hard_negatives._best
+    monkeypatch.setattr(hard_negatives, "_best", lambda pairs, k: searched.append(pairs) or real(pairs, k))
+    rows = _rows(3, 180, 6) + _rows(4, 60, 3, 300) + [(900, [1.0, 2.0], 0)]
+    found = hard_negatives.mine(spark.createDataFrame(rows, VECTORS).repartition(3), F.col("vec_id") % 9 == 0)
+    whole = {i: (label, np.floor(256 * np.array(v)).astype(int)) for i, v, label in rows}
+    want = set()
+    for q in [i for i in whole if i % 9 == 0]:
+        label, x = whole[q]
+        scored = sorted((-int(v @ x), i) for i, (_, v) in whole.items() if i != q and len(v) == len(x))
+        for s, p in [(s, i) for s, i in scored if whole[i][0] == label][:5]:
+            inside = [(t, i) for t, i in scored if whole[i][0] != label and -50 * s <= -100 * t <= -95 * s]
+            want |= {(q, p, n + 1, i, -s, -t) for n, (t, i) in enumerate(inside[:3])}
+    assert {tuple(r) for r in found.collect()} == want and len(want) > 50
+    for plan in map(_plan, searched):
+        assert "collect_list(struct(a" not in plan and "BroadcastHashJoin [block" not in plan and "dim#" in plan
+    assert len(searched) == 2
