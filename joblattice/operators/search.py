@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from joblattice.constants import TRIGRAM_THRESHOLD
 from joblattice.functions.text import let
 from joblattice.functions.trigram import shared_share, trigrams
+from joblattice.operators import gram_sets
 from joblattice.operators.rows import first_per_key
 from joblattice.session import broadcast_if_small, is_small, spread, written
 
@@ -106,8 +109,9 @@ def similar(
     asked: DataFrame,
     key: str,
     threshold: float,
+    sets: Callable[[DataFrame], DataFrame],
     read=lambda postings, asked: postings,
-    whole: DataFrame | None = None,
+    top_n: int | None = None,
 ) -> DataFrame:
     """``(query_id, key, similarity)`` of all texts that reach the threshold; ``asked`` is written.
 
@@ -115,12 +119,13 @@ def similar(
     with all the others added, could not reach the threshold is out; the common trigrams are counted
     for the rest. ``read`` narrows the postings to what the given trigrams need.
 
-    Where the rarest trigrams bring a large part of all meetings, all are counted at once instead. The
-    postings then lie by text (``whole``, if they do so already), so that queries and texts meet and are
-    counted in one task, and no row a query and text is shuffled.
+    Where the rarest trigrams bring a large part of all meetings, all are counted at once instead: ``sets`` gives
+    ``(key, size, grams)``, any number of rows a text, with all the trigrams asked for. They are brought together by
+    text, so that queries and texts meet and are counted in one task (``gram_sets``), and no row a query and
+    text is shuffled. With ``top_n``, texts that are not among the best so many may then be left out.
     """
     if _one_round(asked) and is_small(asked.select("query_id", "query_size", "gram")):
-        return _similar_at_once(postings, asked, key, threshold, read, whole)
+        return _similar_at_once(sets(asked), asked, key, threshold, top_n)
     rare, common = asked.filter("first"), asked.filter("NOT first")
     group = ["query_id", key, "size", "query_size"]
     met = meet(read(postings, rare), rare, key).filter(_possible(threshold))
@@ -145,15 +150,16 @@ def _scored(counted: DataFrame, key: str, threshold: float) -> DataFrame:
     return counted.select("query_id", key, score.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
-def _similar_at_once(postings: DataFrame, asked: DataFrame, key: str, threshold: float, read, whole: DataFrame | None) -> DataFrame:
-    if whole is None:
-        shortest, longest = asked.agg(F.min("query_size"), F.max("query_size")).first()
-        held = read(postings, asked).filter(_size_between(shortest, longest, threshold))
-        whole = held.join(F.broadcast(asked.select("gram").distinct()), "gram", "left_semi").repartition(F.col(key))
-        whole = whole.sortWithinPartitions(key)  # a text's counts are then touched together
-    met = whole.join(F.broadcast(asked.select("query_id", "query_size", "gram")), "gram").filter(_possible(threshold))
-    counted = met.groupBy("query_id", key, "size", "query_size").agg(F.count(F.lit(1)).alias("common"))
-    return _scored(counted, key, threshold)
+def _similar_at_once(sets: DataFrame, asked: DataFrame, key: str, threshold: float, top_n: int | None) -> DataFrame:
+    rows = asked.select("query_id", "query_size", "gram").collect()  # within the bounds of a broadcast
+    if not rows:
+        kinds = [F.lit(None).cast(asked.schema["query_id"].dataType).alias("query_id"), F.col(key), F.lit(0.0).alias("similarity")]
+        return sets.select(*kinds).limit(0)
+    known, sizes = gram_sets.Asked(rows), [r["query_size"] for r in rows]
+    held = gram_sets.numbered(sets.filter(_size_between(min(sizes), max(sizes), threshold)), key, known)
+    held = held.repartition(F.col(key)).sortWithinPartitions(key, "size")
+    kind = asked.schema["query_id"].dataType
+    return _scored(gram_sets.shared(held, key, known, kind, threshold, top_n), key, threshold)
 
 
 def _size_between(shortest: int | None, longest: int | None, threshold: float) -> Column:
@@ -184,8 +190,7 @@ def fuzzy_search_many(
     wanted = queries.select(F.explode(trigrams(F.col("query"))).alias("gram")).distinct()
     frequencies = postings.join(broadcast_if_small(wanted), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     asked = written(query_grams(queries, written(frequencies, "gram-counts"), threshold), "query-grams")
-    whole = gram_postings(sets.repartition(F.col(key)), key)
-    return _best(similar(postings, asked, key, threshold, whole=whole), key, top_n)
+    return _best(similar(postings, asked, key, threshold, lambda _: sets, top_n=top_n), key, top_n)
 
 
 def _best(scored: DataFrame, key: str, top_n: int) -> DataFrame:
@@ -195,6 +200,7 @@ def _best(scored: DataFrame, key: str, top_n: int) -> DataFrame:
 # --- a stored index -------------------------------------------------------------------------------
 
 BUCKETS = 64
+_POSTINGS = "size int, grams array<string>, bucket int"
 
 
 def bucket_of(gram: Column, buckets: int) -> Column:
@@ -204,17 +210,18 @@ def bucket_of(gram: Column, buckets: int) -> Column:
 def write_index(docs: DataFrame, key: str, text: str, path: str, buckets: int = BUCKETS) -> None:
     """Write ``postings`` into a folder for each bucket of trigrams, with the size of each text's set, and their counts.
 
-    ``buckets`` grows with the table: a query reads the buckets of its trigrams, whole. Frequent trigrams
-    are dealt to many tasks by text, and so to many files of their bucket.
+    A row holds what a text has in one bucket. ``buckets`` grows with the table: a query reads the buckets of its
+    trigrams, whole. A bucket is dealt to many tasks by text, and so to many files.
     """
     spark = docs.sparkSession
     grams = spread(docs.select(key, text)).select(F.col(key), trigrams(F.col(text)).alias("grams"))
-    postings = gram_postings(grams.withColumn("size", F.size("grams")), key).withColumn("bucket", bucket_of(F.col("gram"), buckets))
+    rows = gram_sets.by_bucket(grams, key, F.transform("grams", lambda g: bucket_of(g, buckets)))
     part = F.pmod(F.xxhash64(key), F.lit(spark.sparkContext.defaultParallelism))
-    placed = postings.repartition("bucket", part).sortWithinPartitions("bucket", "gram", key)
+    placed = rows.repartition("bucket", part).sortWithinPartitions("bucket", key)
     placed.write.mode("errorifexists").partitionBy("bucket").parquet(f"{path}/postings")
-    held = spark.read.schema(f"{_kinds(docs, key)}, size int, gram string, bucket int").parquet(f"{path}/postings")
-    counts = held.groupBy("bucket", "gram").agg(F.count(F.lit(1)).alias("df")).repartition("bucket")
+    held = spark.read.schema(f"{_kinds(docs, key)}, {_POSTINGS}").parquet(f"{path}/postings")
+    counts = held.select("bucket", F.explode("grams").alias("gram")).groupBy("bucket", "gram")
+    counts = counts.agg(F.count(F.lit(1)).alias("df")).repartition("bucket")
     counts.write.mode("errorifexists").partitionBy("bucket").parquet(f"{path}/counts")
     spark.range(1).select(F.lit(buckets).alias("buckets"), F.lit(_kinds(docs, key)).alias("key")).write.parquet(f"{path}/layout")
 
@@ -234,7 +241,7 @@ def fuzzy_search_indexed(
     """As ``fuzzy_search_many`` from a written index: only the buckets of the queries' trigrams are read."""
     layout = spark.read.parquet(f"{path}/layout").first()
     buckets = layout["buckets"]
-    postings = spark.read.schema(f"{layout['key']}, size int, gram string, bucket int").parquet(f"{path}/postings")
+    held = spark.read.schema(f"{layout['key']}, {_POSTINGS}").parquet(f"{path}/postings")
     counts = spark.read.schema("gram string, df bigint, bucket int").parquet(f"{path}/counts")
 
     def read(rows: DataFrame, asked: DataFrame) -> DataFrame:
@@ -244,4 +251,5 @@ def fuzzy_search_indexed(
     wanted = queries.select(F.explode(trigrams(F.col("query"))).alias("gram")).distinct()
     known = read(counts, wanted).join(broadcast_if_small(wanted), "gram").select("gram", "df")
     asked = written(query_grams(queries, known, threshold), "query-grams")
-    return _best(similar(postings, asked, key, threshold, read), key, top_n)
+    postings = lambda rows, asked: gram_postings(read(rows, asked), key)
+    return _best(similar(held, asked, key, threshold, lambda asked: read(held, asked), postings, top_n), key, top_n)
