@@ -12,11 +12,13 @@ from joblattice.functions.text import let
 _TRIPLES = r"(?=(  [^ ]| [^ ].|[^ ]{2}.))"
 
 
+def distinct_words(c: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+
+
 def trigrams(c: Column) -> Column:
     """Distinct trigrams of the lower-case words, each padded with two blanks before and one after."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-
-    padded = F.concat(F.lit("  "), F.array_join(words, "  "), F.lit(" "))
+    padded = F.concat(F.lit("  "), F.array_join(distinct_words(c), "  "), F.lit(" "))
     return F.array_distinct(F.regexp_extract_all(padded, F.lit(_TRIPLES), F.lit(1)))
 
 

@@ -8,7 +8,9 @@ is counted by numbers; no row a trigram, or a trigram and query, leaves a task.
 from __future__ import annotations
 
 import sys
+import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks bring this code along; workers need no copy of the package
 
 #: Texts times queries, and meetings of trigrams, that are counted at once in a task.
-CELLS, MEETINGS = 1 << 21, 1 << 22
+CELLS, MEETINGS = 1 << 19, 1 << 20
+#: Texts whose words are numbered at once, and texts times trigrams that are marked at once.
+TEXTS, FLAGS = 2048, 1 << 21
 _ROUNDING = 1e-9
 
 
@@ -30,25 +34,59 @@ def _kind(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def by_bucket(sets: DataFrame, key: str, bucket: Column) -> DataFrame:
-    """``(key, size, bucket, grams)`` of ``sets(key, grams)``; ``bucket`` is an array beside ``grams``, size that of the whole set."""
+def bucket_of(gram: Column, buckets: int) -> Column:
+    return F.pmod(F.crc32(gram.cast("binary")), F.lit(buckets)).cast("int")
+
+
+def _of_word(word: str) -> list[str]:
+    """As ``functions.trigram``, whose pattern also starts between the two halves of a letter beyond 16 bits."""
+    p = f"  {word} "
+    return [p[i : i + 3] for i in range(len(word) + 1)] + [f"?{p[i + 1 : i + 3]}" for i, c in enumerate(p) if c > "\uffff" and p[i + 1] != " "]
+
+
+def _bucketed(words: list[str], buckets: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The trigrams of some words in the order of their buckets, these buckets, and the trigrams of each word by place and start."""
+    places: dict[str, int] = {}
+    of = [[places.setdefault(g, len(places)) for g in _of_word(w)] for w in words]
+    home = np.fromiter((zlib.crc32(g.encode()) % buckets for g in places), np.int64, len(places))
+    order = np.argsort(home, kind="stable")
+    rank = np.empty(len(places), np.int64)
+    rank[order] = np.arange(len(places))
+    names = list(places)
+    starts = np.cumsum([0, *map(len, of)])
+    return [names[i] for i in order.tolist()], home[order], rank[np.fromiter(chain.from_iterable(of), np.int64, int(starts[-1]))], starts
+
+
+def by_bucket(texts: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``(key, size, bucket, grams)`` of ``texts(key, words)``: a row for each bucket that holds some of a text's
+    trigrams, size that of the whole set. Trigrams are made once for each word of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
-            buckets = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            code = np.repeat(np.arange(len(sizes)) * (1 << 32), sizes) + buckets
-            order = np.argsort(code, kind="stable")
-            code = code[order]
-            starts = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.empty(0, np.int64)
-            texts = code[starts] >> 32
-            ends = pa.array(np.concatenate((starts, [len(code)])), pa.int32())
-            grams = pa.ListArray.from_arrays(ends, batch.column(1).flatten().take(pa.array(order)))
-            numbers = (pa.array(a, pa.int32()) for a in (sizes[texts], code[starts] & 0xFFFFFFFF))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(texts)), *numbers, grams], [key, "size", "bucket", "grams"])
-
-    slim = sets.select(F.col(key), "grams", bucket.alias("buckets"))
-    return slim.mapInArrow(run, f"`{key}` {_kind(sets, key)}, size int, bucket int, grams array<string>")
+        for batch in (b.slice(i, TEXTS) for b in batches for i in range(0, b.num_rows, TEXTS)):
+            lengths = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
+            tokens = batch.column(1).flatten().dictionary_encode()
+            names, home, of, starts = _bucketed(tokens.dictionary.to_pylist(), buckets)
+            words, ends, width = tokens.indices.to_numpy(zero_copy_only=False), np.cumsum(np.concatenate(([0], lengths))), len(names)
+            known = pa.array(names, pa.string())
+            step = max(1, FLAGS // max(1, width))
+            for at in range(0, len(lengths) if width else 0, step):
+                to = min(at + step, len(lengths))
+                held = words[ends[at] : ends[to]]
+                has = starts[held + 1] - starts[held]
+                place = np.arange(int(has.sum())) + np.repeat(starts[held] - (np.cumsum(has) - has), has)
+                flags = np.zeros((to - at) * width, bool)
+                flags[np.repeat(np.repeat(np.arange(to - at) * width, lengths[at:to]), has) + of[place]] = True
+                found = np.flatnonzero(flags)
+                text, gram = found // width, found % width
+                code = text * buckets + home[gram]
+                firsts = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else found
+                sizes = np.bincount(text, minlength=to - at)
+                grams = pa.ListArray.from_arrays(pa.array(np.concatenate((firsts, [len(code)])), pa.int32()), known.take(pa.array(gram)))
+                numbers = (pa.array(a, pa.int32()) for a in (sizes[text[firsts]], home[gram[firsts]]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at + text[firsts])), *numbers, grams], [key, "size", "bucket", "grams"])
+
+    schema = f"`{key}` {_kind(texts, key)}, size int, bucket int, grams array<string>"
+    return texts.select(F.col(key), "words").mapInArrow(run, schema)
 
 
 class Asked:

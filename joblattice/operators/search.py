@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from joblattice.constants import TRIGRAM_THRESHOLD
 from joblattice.functions.text import let
-from joblattice.functions.trigram import shared_share, trigrams
+from joblattice.functions.trigram import distinct_words, shared_share, trigrams
 from joblattice.operators import gram_sets
+from joblattice.operators.gram_sets import bucket_of
 from joblattice.operators.rows import first_per_key
 from joblattice.session import broadcast_if_small, is_small, spread, written
 
@@ -203,10 +204,6 @@ BUCKETS = 64
 _POSTINGS = "size int, grams array<string>, bucket int"
 
 
-def bucket_of(gram: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(buckets)).cast("int")
-
-
 def write_index(docs: DataFrame, key: str, text: str, path: str, buckets: int = BUCKETS) -> None:
     """Write ``postings`` into a folder for each bucket of trigrams, with the size of each text's set, and their counts.
 
@@ -214,8 +211,8 @@ def write_index(docs: DataFrame, key: str, text: str, path: str, buckets: int =
     trigrams, whole. A bucket is dealt to many tasks by text, and so to many files.
     """
     spark = docs.sparkSession
-    grams = spread(docs.select(key, text)).select(F.col(key), trigrams(F.col(text)).alias("grams"))
-    rows = gram_sets.by_bucket(grams, key, F.transform("grams", lambda g: bucket_of(g, buckets)))
+    texts = spread(docs.select(key, text)).select(F.col(key), distinct_words(F.col(text)).alias("words"))
+    rows = gram_sets.by_bucket(texts, key, buckets)
     part = F.pmod(F.xxhash64(key), F.lit(spark.sparkContext.defaultParallelism))
     placed = rows.repartition("bucket", part).sortWithinPartitions("bucket", key)
     placed.write.mode("errorifexists").partitionBy("bucket").parquet(f"{path}/postings")
